@@ -90,24 +90,34 @@ def assign_names(files: DataFrame, ranges: DataFrame, existing: DataFrame | None
     # candidate rank per file: position among its candidates (by range order)
     cand = cand.select("file", "file_order", "name", "range_rank")
     spark = files.sparkSession
-    held = spark.createDataFrame([], "name string, file string, file_order long")
-    active = cand  # (file, name) pairs not rejected yet
-    for _ in range(MAX_NAMING_ROUNDS):
-        # every file that holds no name proposes its best remaining candidate
-        open_pairs = active.join(held.select("file"), "file", "left_anti")
-        best = open_pairs.groupBy("file", "file_order").agg(F.min("range_rank").alias("range_rank"))
-        proposals = best.join(open_pairs, ["file", "file_order", "range_rank"]).select("name", "file", "file_order")
-        contest = held.unionByName(proposals)
-        # each name keeps its earliest file (map-side combined: a hot name is cheap)
-        winner = contest.groupBy("name").agg(F.min_by(F.struct("file", "file_order"), "file_order").alias("w"))
-        new_held = cut_lineage(winner.select("name", F.col("w.file").alias("file"),
-                                             F.col("w.file_order").alias("file_order")))
-        losers = (contest.join(new_held.select("name", F.col("file").alias("_wf")), "name")
-                  .filter(F.col("file") != F.col("_wf")).select("file", "name"))
-        held = new_held
-        if losers.limit(1).count() == 0:
-            break
-        active = cut_lineage(active.join(losers, ["file", "name"], "left_anti"))
+    cand = cut_lineage(cand)
+    most = cand.groupBy("file").count().agg(F.max("count").alias("m")).first()["m"] or 0
+    if most <= 1:
+        # one candidate per file: every name simply goes to its earliest file
+        winner = cand.groupBy("name").agg(F.min_by(F.struct("file", "file_order"), "file_order").alias("w"))
+        held = winner.select("name", F.col("w.file").alias("file"), F.col("w.file_order").alias("file_order"))
+    else:
+        held = spark.createDataFrame([], "name string, file string, file_order long")
+        active = cand  # (file, name) pairs not rejected yet
+        for _ in range(MAX_NAMING_ROUNDS):
+            # every file that holds no name proposes its best remaining candidate
+            open_pairs = active.join(held.select("file"), "file", "left_anti")
+            best = open_pairs.groupBy("file", "file_order").agg(F.min("range_rank").alias("range_rank"))
+            proposals = best.join(open_pairs, ["file", "file_order", "range_rank"]).select("name", "file", "file_order")
+            contest = held.unionByName(proposals)
+            # each name keeps its earliest file (map-side combined: a hot name is cheap)
+            winner = contest.groupBy("name").agg(F.min_by(F.struct("file", "file_order"), "file_order").alias("w"))
+            new_held = cut_lineage(winner.select("name", F.col("w.file").alias("file"),
+                                                 F.col("w.file_order").alias("file_order")))
+            losers = (contest.join(new_held.select("name", F.col("file").alias("_wf")), "name")
+                      .filter(F.col("file") != F.col("_wf")).select("file", "name"))
+            active = cut_lineage(active.join(losers, ["file", "name"], "left_anti"))
+            held = new_held
+            still_open = active.join(held.select("file"), "file", "left_anti")
+            if still_open.limit(1).count() == 0:
+                break
+        else:
+            raise RuntimeError("name assignment did not settle; raise MAX_NAMING_ROUNDS")
     matched = cand.select("file").distinct().withColumn("_has", F.lit(True))
     out = (files.select("file").join(held.select("file", F.col("name").alias("new_name")), "file", "left")
            .join(matched, "file", "left"))

@@ -17,11 +17,15 @@ def _stamp(as_of, fmt: str) -> str:
     return d.strftime(fmt)
 
 
-def write_by(df: DataFrame, column: str, base: str, as_of, fmt: str = "parquet") -> str:
-    """K6: one output folder per distinct value of `column`, under as_of=YYYY-MM-DD."""
+def write_by(df: DataFrame, column: str, base: str, as_of, fmt: str = "parquet",
+             max_records_per_file: int = 5_000_000) -> str:
+    """K6: one output folder per distinct value of `column`, under as_of=YYYY-MM-DD.
+
+    No shuffle by `column`: each task writes its own slice of every value, so a
+    value holding a third of the rows is written by all tasks, not by one."""
     path = f"{base.rstrip('/')}/as_of={_stamp(as_of, '%Y-%m-%d')}"
-    df.repartition(column).write.mode("overwrite").partitionBy(column).format(fmt) \
-        .option("header", True).save(path)
+    (df.write.mode("overwrite").partitionBy(column).format(fmt)
+     .option("header", True).option("maxRecordsPerFile", max_records_per_file).save(path))
     return path
 
 
@@ -35,6 +39,13 @@ def write_split(clean: DataFrame, exceptions: DataFrame, base: str, as_of, fmt:
     return a, b
 
 
+def write_normalised(df: DataFrame, base: str, file_col: str = "file_name", fmt: str = "parquet") -> str:
+    """Rewrite every payment file after date normalisation, one folder per
+    source file (the caller renames folders to files if it needs single files)."""
+    df.write.mode("overwrite").partitionBy(file_col).format(fmt).option("header", True).save(base)
+    return base
+
+
 def write_halves(df_with_half: DataFrame, base: str, as_of, fmt: str = "parquet") -> str:
     """K8: the two halves (column `half`) into a folder named YYYYMMDD."""
     path = f"{base.rstrip('/')}/{_stamp(as_of, '%Y%m%d')}"

@@ -43,9 +43,12 @@ def aging_bucket(days) -> Column:
 
 
 def parse_dmy(c) -> Column:
-    """pandas to_datetime(s.str.strip(), format='%d-%b-%Y', errors='coerce')."""
+    """pandas to_datetime(s.str.strip(), format='%d-%b-%Y', errors='coerce').
+
+    Only texts shaped like a date reach the parser (a failed parse is costly)."""
     from ledgerlake.functions.text import strip_ws
-    return F.try_to_date(strip_ws(c), "d-MMM-yyyy")
+    t = strip_ws(c)
+    return F.when(t.rlike(r"^\d{1,2}-[A-Za-z]{3}-\d{4}$"), F.try_to_date(t, "d-MMM-yyyy"))
 
 
 def format_mdy(d) -> Column:

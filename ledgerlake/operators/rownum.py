@@ -21,7 +21,10 @@ def with_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "r
                     total: str | None = None) -> DataFrame:
     """Add `name` = 1..n in `order` (make the order total for a stable result).
     With `total`, also add the row count n as that column."""
-    staged = (df.sort(*order)
+    # a content hash after the order keys spreads many equal keys over several
+    # range partitions (ties would otherwise all land in one task)
+    tiebreak = F.xxhash64(*[F.col(c) for c in df.columns])
+    staged = (df.sort(*order, tiebreak)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     staged = cut_lineage(staged)

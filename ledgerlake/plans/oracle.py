@@ -547,6 +547,11 @@ def oracle_sql() -> dict[str, str]:
         out[f"validate_{kind}"] = f"SELECT seq_id, deal_id, error_msg FROM ({fn()}) v"
     for kind in VALIDATION_SQL:
         out[f"load_{kind}"] = load_sql(kind)
+    out["patch_conflicts"] = (
+        f"SELECT deal_id, invoice_num, movement_type, count(*) AS n_patches, count(DISTINCT deal_type) AS n_deal_types, "
+        f"arg_max(deal_type, seq_id) FILTER (WHERE deal_type IS NOT NULL) AS last_deal_type "
+        f"FROM ({v_patch()}) v WHERE error_msg IS NULL AND deal_id IS NOT NULL GROUP BY 1, 2, 3 "
+        f"HAVING count(*) > 1 AND count(DISTINCT deal_type) > 1")
     wl = _worklist_ctes()
     out["worklist_clean"] = f"WITH {wl} SELECT * FROM cl"
     out["worklist_exceptions"] = f"WITH {wl} SELECT * FROM ex"

@@ -202,6 +202,14 @@ def _load_query(kind):
     return q
 
 
+def q_patch_conflicts(spark, sf):
+    from ledgerlake.operators.load import patch_conflicts
+    v = _validated(Ctx(spark, sf), "patch")
+    return patch_conflicts(v).select(F.col("p_deal").alias("deal_id"), F.col("p_invoice").alias("invoice_num"),
+                                     F.col("p_movement").alias("movement_type"), "n_patches", "n_deal_types",
+                                     F.col("p_deal_type").alias("last_deal_type"))
+
+
 # ---------------------------------------------------------------- worklist ----
 def _worklist(spark, sf):
     w = Ctx(spark, sf).fx("fx_worklist")
@@ -282,6 +290,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "post_totals_by_account": q_post_totals_by_account,
     **{f"validate_{k}": _validate_query(k) for k in VALIDATORS},
     **{f"load_{k}": _load_query(k) for k in VALIDATORS},
+    "patch_conflicts": q_patch_conflicts,
     "worklist_clean": q_worklist_clean,
     "worklist_exceptions": q_worklist_exceptions,
     "worklist_reconcile": q_worklist_reconcile,

@@ -77,3 +77,13 @@ def test_cell_at_second_row(spark):
     assert got == {"a": "x2"}
     got0 = {r["f"]: r["v"] for r in cell_at(rows, "f", "r", "v", 0).collect()}
     assert got0 == {"a": "x1", "b": "y9"}
+
+
+def test_split_halves_with_one_hot_key(spark):
+    """A third of the rows share one order key: sizes are still exact."""
+    df = spark.range(3000).withColumn("k", F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")))
+    got = split_halves(df, ["k"]).groupBy("half").count().collect()
+    assert {r["half"]: r["count"] for r in got} == {1: 1500, 2: 1500}
+    # ordering respected: every half-1 key <= every half-2 key
+    h = split_halves(df, ["k"])
+    assert h.filter("half = 1").agg(F.max("k")).first()[0] <= h.filter("half = 2").agg(F.min("k")).first()[0]

@@ -424,8 +424,9 @@ WITH {_worklist_ctes()},
 k AS (SELECT deal_id AS k, TRUE AS in_o, FALSE AS in_c, FALSE AS in_e FROM w
       UNION ALL SELECT deal_id, FALSE, TRUE, FALSE FROM cl UNION ALL SELECT deal_id, FALSE, FALSE, TRUE FROM ex),
 g AS (SELECT k, bool_or(in_o) AS in_o, bool_or(in_c) AS in_c, bool_or(in_e) AS in_e FROM k GROUP BY k),
-c AS (SELECT count_if(in_o) AS n_original, count_if(in_c) AS n_clean, count_if(in_e) AS n_exceptions,
-             count_if(in_o <> (in_c OR in_e)) AS n_key_mismatch FROM g),
+c AS (SELECT CAST(count_if(in_o) AS BIGINT) AS n_original, CAST(count_if(in_c) AS BIGINT) AS n_clean,
+             CAST(count_if(in_e) AS BIGINT) AS n_exceptions,
+             CAST(count_if(in_o <> (in_c OR in_e)) AS BIGINT) AS n_key_mismatch FROM g),
 so AS (SELECT COALESCE(SUM(payment_discount), 0) AS v FROM w),
 sc AS (SELECT COALESCE(SUM(payment_discount), 0) AS v FROM cl),
 se AS (SELECT COALESCE(SUM(payment_discount), 0) AS v FROM ex)
@@ -532,8 +533,8 @@ def oracle_sql() -> dict[str, str]:
     out["funder_report"] = rep
     out["funder_aging_summary"] = (f"SELECT funder, aging_bucket, count(*) AS n_items, round(sum(open_amt), 2) AS open_amt "
                                    f"FROM ({rep}) r GROUP BY funder, aging_bucket")
-    out["funder_counts"] = (f"SELECT funder, count(*) AS n_items, count_if(priority LIKE 'P1%') AS n_p1, "
-                            f"count_if(product_type = 'NetSuite') AS n_netsuite FROM ({rep}) r GROUP BY funder")
+    out["funder_counts"] = (f"SELECT funder, count(*) AS n_items, CAST(count_if(priority LIKE 'P1%') AS BIGINT) AS n_p1, "
+                            f"CAST(count_if(product_type = 'NetSuite') AS BIGINT) AS n_netsuite FROM ({rep}) r GROUP BY funder")
     pl = posted_ledger()
     out["post_derive"] = f"SELECT id, source, movement_type, CAST(adjustment_amt AS DOUBLE) AS adjustment_amt FROM ({pl}) p"
     out["post_lock"] = (f"SELECT id, {show(['original_invoice_amount', 'payment_discount', 'payment_applied_to_invoice', 'other_adjustment'], MONEY_COLS)} "

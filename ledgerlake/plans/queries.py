@@ -120,8 +120,8 @@ def q_x_invoice_clean(spark, sf):
     w = Ctx(spark, sf).fx("fx_worklist")
     clean = clean_invoice_text("invoice_number")
     return w.select("row_no", "invoice_number", clean.alias("invoice_clean"),
-                    F.size(split_pieces(clean)).alias("n_invoice_pieces"),
-                    F.size(split_pieces("outstanding_amount")).alias("n_amount_pieces"))
+                    F.size(split_pieces(clean)).cast("long").alias("n_invoice_pieces"),
+                    F.size(split_pieces("outstanding_amount")).cast("long").alias("n_amount_pieces"))
 
 
 # ----------------------------------------------------------- funder report ----

@@ -18,6 +18,33 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+# a batch with at most this many distinct keys is broadcast (after counting) to
+# pre-filter the ledger/master map-side; larger batches skip the pre-filter
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> DataFrame:
+    """`broadcast(df)` once a count proves it has at most `max_rows` rows; else `df`."""
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df
+
+
+def restrict_to_keys(big: DataFrame, small: DataFrame, keys: Sequence[str],
+                     max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
+    """Keep only rows of `big` whose keys occur in `small` (a left-semi join).
+
+    An upload batch is small next to the ledger: its distinct keys are
+    broadcast (size checked by a count) and the ledger is filtered in the scan
+    tasks, before any shuffle. Flags are only ever read for batch keys, so the
+    result is unchanged. With more keys than `max_keys` no pre-filter is used."""
+    k = small.select(*keys).dropna().dropDuplicates()
+    kb = bounded(k, max_keys)
+    if kb is k:
+        return big
+    return big.join(kb, list(keys), "left_semi")
+
+
 def any_of(cond: Column) -> Column:
     """EXISTS over a group: true if some row satisfies `cond` (NULL counts as no)."""
     return F.coalesce(F.bool_or(F.coalesce(cond, F.lit(False))), F.lit(False))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerlake.functions.oracle import is_bad_date, is_bad_number, messages, not_in_guarded
-from ledgerlake.operators.flags import any_of, attach
+from ledgerlake.operators.flags import any_of, attach, restrict_to_keys
 
 INIT = "Initial movement"
 
@@ -137,6 +137,8 @@ def _finish(batch_cols: list[str], df: DataFrame, msg: Column) -> DataFrame:
 def validate_worklist(batch: DataFrame, ledger: DataFrame, master: DataFrame) -> DataFrame:
     """V1-V5. The master's assignee for a deal is its smallest non-NULL one
     (the reference takes an arbitrary first row)."""
+    master = restrict_to_keys(master, batch, ["deal_id"])
+    ledger = restrict_to_keys(ledger, batch, ["deal_id"])
     m = (master.groupBy("deal_id")
          .agg(any_of(master_eligible(master)).alias("m_eligible"),
               F.min("assignee_current").alias("m_assignee")))
@@ -187,7 +189,9 @@ def validate_ns_payment(batch: DataFrame, ledger: DataFrame) -> DataFrame:
     for cond, _ in local:
         init_err = init_err | F.coalesce(cond, F.lit(False))
     names = ["l_init", "l_init_nonstd", "b_init", "b_init_bad", "b_init_err_seq"]
-    ledger_part = _part(ledger.filter((_c("movement_type") == INIT) & (_c("source") == "NetSuite")), names,
+    ledger = restrict_to_keys(ledger.filter((_c("movement_type") == INIT) & (_c("source") == "NetSuite")),
+                              batch, ["deal_id"])
+    ledger_part = _part(ledger, names,
                         l_init=F.lit(True), l_init_nonstd=_c("status") != "Standard")
     batch_part = _part(batch.filter(has_deal & (mv == INIT)), names,
                        b_init=F.lit(True),
@@ -214,7 +218,9 @@ def validate_o_payment(batch: DataFrame, ledger: DataFrame) -> DataFrame:
     deal, dt, mv, st = _c("deal_id"), _c("deal_type"), _c("movement_type"), _c("status")
     guard = deal.isNotNull() & (st != "Exceptional move")
     names = ["l_init", "l_init_nonstd", "b_init", "b_init_bad"]
-    ledger_part = _part(ledger.filter((_c("movement_type") == INIT) & (_c("source") == "Oracle")), names,
+    ledger = restrict_to_keys(ledger.filter((_c("movement_type") == INIT) & (_c("source") == "Oracle")),
+                              batch, ["deal_id"])
+    ledger_part = _part(ledger, names,
                         l_init=F.lit(True), l_init_nonstd=_c("status") != "Standard")
     batch_part = _part(batch.filter(deal.isNotNull() & (mv == INIT)), names,
                        b_init=F.lit(True), b_init_bad=(st != "Standard") | _c("report_date").isNull())
@@ -246,8 +252,9 @@ def validate_o_exception(batch: DataFrame, ledger: DataFrame, master: DataFrame)
     deal, dt, mv, st = _c("deal_id"), _c("deal_type"), _c("movement_type"), _c("status")
     has_deal = deal.isNotNull()
     names = ["m_eligible", "l_any_init", "l_ora_init", "b_init"]
-    master_part = _part(master.filter(master_eligible(master)), names, m_eligible=F.lit(True))
-    ledger_part = _part(ledger.filter(_c("movement_type") == INIT), names,
+    master_part = _part(restrict_to_keys(master.filter(master_eligible(master)), batch, ["deal_id"]), names,
+                        m_eligible=F.lit(True))
+    ledger_part = _part(restrict_to_keys(ledger.filter(_c("movement_type") == INIT), batch, ["deal_id"]), names,
                         l_any_init=F.lit(True), l_ora_init=_c("source") == "Oracle")
     batch_part = _part(batch.filter(has_deal & (mv == INIT)), names, b_init=F.lit(True))
     flags = _deal_flags([master_part, ledger_part, batch_part], names)
@@ -275,7 +282,7 @@ def validate_o_exception(batch: DataFrame, ledger: DataFrame, master: DataFrame)
 # ------------------------------------------------------------- status update ----
 def validate_status(batch: DataFrame, ledger: DataFrame) -> DataFrame:
     """V50-V55. Later checks replace the text, so the last firing one wins."""
-    flags = (ledger.groupBy("deal_id")
+    flags = (restrict_to_keys(ledger, batch, ["deal_id"]).groupBy("deal_id")
              .agg(F.lit(True).alias("l_exists"),
                   any_of(_c("source") == "NetSuite").alias("l_ns"),
                   any_of(_c("source") == "Oracle").alias("l_ora"),
@@ -293,7 +300,8 @@ def validate_status(batch: DataFrame, ledger: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- patch ----
 def validate_patch(batch: DataFrame, ledger: DataFrame) -> DataFrame:
     """V56-V64. The record must exist under (deal, invoice, movement)."""
-    keys = (ledger.select(F.col("deal_id").alias("k_deal"), F.col("invoice_num_").alias("k_invoice"),
+    keys = (restrict_to_keys(ledger, batch, ["deal_id"])
+            .select(F.col("deal_id").alias("k_deal"), F.col("invoice_num_").alias("k_invoice"),
                           F.col("movement_type").alias("k_movement"))
             .dropDuplicates(["k_deal", "k_invoice", "k_movement"]).withColumn("k_exists", F.lit(True)))
     on = ((F.col("deal_id") == F.col("k_deal")) & (F.col("invoice_num") == F.col("k_invoice"))

@@ -23,15 +23,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 MAX_BROADCAST_KEYS = 1_000_000
 
 
-def bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_KEYS) -> DataFrame:
+def bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """`broadcast(df)` once a count proves it has at most `max_rows` rows; else `df`."""
+    max_rows = MAX_BROADCAST_KEYS if max_rows is None else max_rows
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
 
 
 def restrict_to_keys(big: DataFrame, small: DataFrame, keys: Sequence[str],
-                     max_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
+                     max_keys: int | None = None) -> DataFrame:
     """Keep only rows of `big` whose keys occur in `small` (a left-semi join).
 
     An upload batch is small next to the ledger: its distinct keys are
@@ -60,17 +61,60 @@ def key_presence(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return df.select(*keys).dropDuplicates(list(keys)).withColumn(name, F.lit(True))
 
 
+# salting of hot keys when the flag table is too large to broadcast
+SALT_BUCKETS = 32
+HOT_KEY_SHARE = 0.001      # a key with more than this share of the batch rows is hot
+MAX_HOT_KEYS = 10_000
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_KEY_SHARE) -> DataFrame:
+    """Keys holding more than `share` of the rows of `df` (at most 1/share keys)."""
+    total = df.count()
+    counts = df.groupBy(*keys).count()
+    return counts.filter(F.col("count") > max(1, int(total * share))).select(*keys)
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
+                buckets: int | None = None) -> DataFrame:
+    """Equi-join where `right` has one row per key: rows of hot keys on the
+    left are spread over `buckets` tasks and their right row is repeated that
+    many times; other keys join as usual."""
+    buckets = buckets or SALT_BUCKETS
+    hot = bounded(hot_keys(left, keys).withColumn("_hot", F.lit(True)), MAX_HOT_KEYS)
+    row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
+    l2 = (left.join(hot, list(keys), "left")
+          .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(buckets).cast("long")))
+                      .otherwise(F.lit(0).cast("long")))
+          .drop("_hot"))
+    r2 = (right.join(hot, list(keys), "left")
+          .withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("long"),
+                                                                          F.lit(buckets - 1).cast("long")))
+                                          .otherwise(F.array(F.lit(0).cast("long")))))
+          .drop("_hot"))
+    return l2.join(r2, [*keys, "_salt"], how).drop("_salt")
+
+
 def attach(left: DataFrame, flags: DataFrame, keys: Sequence[str] | None = None,
            on: Column | None = None, defaults: dict | None = None) -> DataFrame:
     """Left-join a per-key flag table. Boolean flags of unmatched rows become
     False; other columns keep NULL unless `defaults` names a value. NULL keys
-    never match, as in SQL."""
+    never match, as in SQL.
+
+    A flag table of bounded size (counted) is broadcast, so the batch is not
+    shuffled and a hot key costs nothing. A larger one is joined with hot keys
+    salted, so no key's rows end up in one task."""
     defaults = dict(defaults or {})
     for field in flags.schema.fields:
         if field.name in (keys or []) or field.name in defaults:
             continue
         if field.dataType.typeName() == "boolean":
             defaults[field.name] = False
-    joined = left.join(flags, on, "left") if on is not None else left.join(flags, list(keys), "left")
+    small = bounded(flags)
+    if on is not None:
+        joined = left.join(small, on, "left")
+    elif small is not flags:
+        joined = left.join(small, list(keys), "left")
+    else:
+        joined = salted_join(left, flags, list(keys), "left")
     fills = {c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items() if v is not None}
     return joined.withColumns(fills) if fills else joined

@@ -53,7 +53,7 @@ def split_halves(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
 def _bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast `df` only after counting that it holds at most `max_rows` rows."""
-    n = df.limit(max_rows + 1).count()
+    n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
 

@@ -26,24 +26,47 @@ MAX_BROADCAST_KEYS = 1_000_000
 def bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """`broadcast(df)` once a count proves it has at most `max_rows` rows; else `df`."""
     max_rows = MAX_BROADCAST_KEYS if max_rows is None else max_rows
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if df.count() <= max_rows:  # a distributed count, no single-task limit
         return F.broadcast(df)
     return df
 
 
+class KeyScope:
+    """The distinct keys of a batch, counted once.
+
+    An upload batch is small next to the ledger. When it has at most
+    `max_keys` distinct keys (proven by the count), they are broadcast and
+    the ledger/master are filtered in their scan tasks (left-semi join) before
+    any shuffle. Every flag table built from such restricted inputs has at most
+    as many rows as the batch has keys, so it stays small enough for AQE's
+    run-time broadcast. Larger batches skip the pre-filter and join with hot
+    keys salted."""
+
+    def __init__(self, batch: DataFrame, keys: Sequence[str], max_keys: int | None = None):
+        self.keys = list(keys)
+        limit = MAX_BROADCAST_KEYS if max_keys is None else max_keys
+        distinct = batch.select(*self.keys).dropna().dropDuplicates()
+        self.small = distinct.count() <= limit
+        self.key_table = F.broadcast(distinct) if self.small else None
+
+    def restrict(self, big: DataFrame, rename: dict[str, str] | None = None) -> DataFrame:
+        """Rows of `big` whose keys occur in the batch (unchanged when large).
+        `rename` maps a batch key name to its name in `big`."""
+        if not self.small:
+            return big
+        rename = rename or {}
+        kt = self.key_table.select(*[F.col(k).alias(rename.get(k, k)) for k in self.keys])
+        return big.join(F.broadcast(kt), [rename.get(k, k) for k in self.keys], "left_semi")
+
+    def attach(self, left: DataFrame, flags: DataFrame, keys: Sequence[str] | None = None,
+               on: Column | None = None, defaults: dict | None = None) -> DataFrame:
+        return attach(left, flags, keys, on, defaults, small=self.small)
+
+
 def restrict_to_keys(big: DataFrame, small: DataFrame, keys: Sequence[str],
                      max_keys: int | None = None) -> DataFrame:
-    """Keep only rows of `big` whose keys occur in `small` (a left-semi join).
-
-    An upload batch is small next to the ledger: its distinct keys are
-    broadcast (size checked by a count) and the ledger is filtered in the scan
-    tasks, before any shuffle. Flags are only ever read for batch keys, so the
-    result is unchanged. With more keys than `max_keys` no pre-filter is used."""
-    k = small.select(*keys).dropna().dropDuplicates()
-    kb = bounded(k, max_keys)
-    if kb is k:
-        return big
-    return big.join(kb, list(keys), "left_semi")
+    """Keep only rows of `big` whose keys occur in `small` (see KeyScope)."""
+    return KeyScope(small, keys, max_keys).restrict(big)
 
 
 def any_of(cond: Column) -> Column:
@@ -95,25 +118,28 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 
 
 def attach(left: DataFrame, flags: DataFrame, keys: Sequence[str] | None = None,
-           on: Column | None = None, defaults: dict | None = None) -> DataFrame:
+           on: Column | None = None, defaults: dict | None = None, small: bool | None = None) -> DataFrame:
     """Left-join a per-key flag table. Boolean flags of unmatched rows become
     False; other columns keep NULL unless `defaults` names a value. NULL keys
     never match, as in SQL.
 
-    A flag table of bounded size (counted) is broadcast, so the batch is not
-    shuffled and a hot key costs nothing. A larger one is joined with hot keys
-    salted, so no key's rows end up in one task."""
+    A flag table with a proven bound (`small`, from KeyScope's count; counted
+    here when None) is joined plainly: AQE measures it at run time and
+    broadcasts it (64 MB holds a million keys), reading the batch side with
+    local shuffle reads, so a hot key is not gathered into one task. A larger
+    one is joined with hot keys salted, so no key's rows end up in one task."""
     defaults = dict(defaults or {})
     for field in flags.schema.fields:
         if field.name in (keys or []) or field.name in defaults:
             continue
         if field.dataType.typeName() == "boolean":
             defaults[field.name] = False
-    small = bounded(flags)
+    if small is None:
+        small = flags.count() <= MAX_BROADCAST_KEYS
     if on is not None:
-        joined = left.join(small, on, "left")
-    elif small is not flags:
-        joined = left.join(small, list(keys), "left")
+        joined = left.join(flags, on, "left")
+    elif small:
+        joined = left.join(flags, list(keys), "left")
     else:
         joined = salted_join(left, flags, list(keys), "left")
     fills = {c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items() if v is not None}

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ledgerlake.functions.oracle import is_bad_date, is_bad_number, messages, not_in_guarded
-from ledgerlake.operators.flags import any_of, attach, restrict_to_keys
+from ledgerlake.operators.flags import KeyScope, any_of
 
 INIT = "Initial movement"
 
@@ -137,17 +137,21 @@ def _finish(batch_cols: list[str], df: DataFrame, msg: Column) -> DataFrame:
 def validate_worklist(batch: DataFrame, ledger: DataFrame, master: DataFrame) -> DataFrame:
     """V1-V5. The master's assignee for a deal is its smallest non-NULL one
     (the reference takes an arbitrary first row)."""
-    master = restrict_to_keys(master, batch, ["deal_id"])
-    ledger = restrict_to_keys(ledger, batch, ["deal_id"])
+    scope = KeyScope(batch, ["deal_id"])
+    master, ledger = scope.restrict(master), scope.restrict(ledger)
     m = (master.groupBy("deal_id")
          .agg(any_of(master_eligible(master)).alias("m_eligible"),
               F.min("assignee_current").alias("m_assignee")))
+    # deals whose ledger holds an initial row under the master's assignee: the
+    # distinct (deal, assignee) pairs stream past the per-deal master summary
+    mk = m.select(F.col("deal_id").alias("p_deal"), F.col("m_assignee").alias("p_assignee"))
     pairs = (ledger.filter((_c("movement_type") == INIT) & _c("assignee").isNotNull())
              .select(F.col("deal_id").alias("p_deal"), F.col("assignee").alias("p_assignee"))
-             .dropDuplicates(["p_deal", "p_assignee"]).withColumn("m_dup", F.lit(True)))
-    m = attach(m, pairs, on=(F.col("deal_id") == F.col("p_deal")) & (F.col("m_assignee") == F.col("p_assignee")))
-    m = m.drop("p_deal", "p_assignee")
-    b = attach(batch, m, ["deal_id"], defaults={"m_assignee": None})
+             .dropDuplicates(["p_deal", "p_assignee"]))
+    dup = (pairs.join(F.broadcast(mk) if scope.small else mk, ["p_deal", "p_assignee"], "left_semi")
+           .select(F.col("p_deal").alias("deal_id")).distinct().withColumn("m_dup", F.lit(True)))
+    m = m.join(dup, "deal_id", "left")
+    b = scope.attach(batch, m, ["deal_id"], defaults={"m_assignee": None})
     deal, fm = _c("deal_id"), _c("funding_model")
     msg = messages(
         (deal.isNull(), M_DEAL_NULL),
@@ -189,8 +193,8 @@ def validate_ns_payment(batch: DataFrame, ledger: DataFrame) -> DataFrame:
     for cond, _ in local:
         init_err = init_err | F.coalesce(cond, F.lit(False))
     names = ["l_init", "l_init_nonstd", "b_init", "b_init_bad", "b_init_err_seq"]
-    ledger = restrict_to_keys(ledger.filter((_c("movement_type") == INIT) & (_c("source") == "NetSuite")),
-                              batch, ["deal_id"])
+    scope = KeyScope(batch, ["deal_id"])
+    ledger = scope.restrict(ledger.filter((_c("movement_type") == INIT) & (_c("source") == "NetSuite")))
     ledger_part = _part(ledger, names,
                         l_init=F.lit(True), l_init_nonstd=_c("status") != "Standard")
     batch_part = _part(batch.filter(has_deal & (mv == INIT)), names,
@@ -198,7 +202,7 @@ def validate_ns_payment(batch: DataFrame, ledger: DataFrame) -> DataFrame:
                        b_init_bad=(_c("status") != "Standard") | _c("report_date").isNull(),
                        b_init_err_seq=F.when(init_err, _c("seq_id")))
     flags = _deal_flags([ledger_part, batch_part], names)
-    b = attach(batch, flags, ["deal_id"], defaults={"b_init_err_seq": None})
+    b = scope.attach(batch, flags, ["deal_id"], defaults={"b_init_err_seq": None})
     earlier_err = F.coalesce(_c("b_init_err_seq") < _c("seq_id"), F.lit(False))
     msg = messages(
         (v6, M_UPFRONT),
@@ -218,14 +222,14 @@ def validate_o_payment(batch: DataFrame, ledger: DataFrame) -> DataFrame:
     deal, dt, mv, st = _c("deal_id"), _c("deal_type"), _c("movement_type"), _c("status")
     guard = deal.isNotNull() & (st != "Exceptional move")
     names = ["l_init", "l_init_nonstd", "b_init", "b_init_bad"]
-    ledger = restrict_to_keys(ledger.filter((_c("movement_type") == INIT) & (_c("source") == "Oracle")),
-                              batch, ["deal_id"])
+    scope = KeyScope(batch, ["deal_id"])
+    ledger = scope.restrict(ledger.filter((_c("movement_type") == INIT) & (_c("source") == "Oracle")))
     ledger_part = _part(ledger, names,
                         l_init=F.lit(True), l_init_nonstd=_c("status") != "Standard")
     batch_part = _part(batch.filter(deal.isNotNull() & (mv == INIT)), names,
                        b_init=F.lit(True), b_init_bad=(st != "Standard") | _c("report_date").isNull())
     flags = _deal_flags([ledger_part, batch_part], names)
-    b = attach(batch, flags, ["deal_id"])
+    b = scope.attach(batch, flags, ["deal_id"])
     msg = messages(
         (guard & (mv == INIT) & (dt != "Warehouse V2"), M_NON_V2),
         (guard & (dt != "Warehouse V2") & (mv != INIT) & ~(_c("l_init") | _c("b_init")), M_NO_INIT),
@@ -252,13 +256,13 @@ def validate_o_exception(batch: DataFrame, ledger: DataFrame, master: DataFrame)
     deal, dt, mv, st = _c("deal_id"), _c("deal_type"), _c("movement_type"), _c("status")
     has_deal = deal.isNotNull()
     names = ["m_eligible", "l_any_init", "l_ora_init", "b_init"]
-    master_part = _part(restrict_to_keys(master.filter(master_eligible(master)), batch, ["deal_id"]), names,
-                        m_eligible=F.lit(True))
-    ledger_part = _part(restrict_to_keys(ledger.filter(_c("movement_type") == INIT), batch, ["deal_id"]), names,
+    scope = KeyScope(batch, ["deal_id"])
+    master_part = _part(scope.restrict(master.filter(master_eligible(master))), names, m_eligible=F.lit(True))
+    ledger_part = _part(scope.restrict(ledger.filter(_c("movement_type") == INIT)), names,
                         l_any_init=F.lit(True), l_ora_init=_c("source") == "Oracle")
     batch_part = _part(batch.filter(has_deal & (mv == INIT)), names, b_init=F.lit(True))
     flags = _deal_flags([master_part, ledger_part, batch_part], names)
-    b = attach(batch, flags, ["deal_id"])
+    b = scope.attach(batch, flags, ["deal_id"])
     bad_status = not_in_guarded(st, ORA_EXC_STATUSES)
     msg = messages(
         (has_deal & (mv == INIT) & ~_c("m_eligible"), M_CRITERIA),
@@ -282,12 +286,13 @@ def validate_o_exception(batch: DataFrame, ledger: DataFrame, master: DataFrame)
 # ------------------------------------------------------------- status update ----
 def validate_status(batch: DataFrame, ledger: DataFrame) -> DataFrame:
     """V50-V55. Later checks replace the text, so the last firing one wins."""
-    flags = (restrict_to_keys(ledger, batch, ["deal_id"]).groupBy("deal_id")
+    scope = KeyScope(batch, ["deal_id"])
+    flags = (scope.restrict(ledger).groupBy("deal_id")
              .agg(F.lit(True).alias("l_exists"),
                   any_of(_c("source") == "NetSuite").alias("l_ns"),
                   any_of(_c("source") == "Oracle").alias("l_ora"),
                   any_of(_c("report_date").isNull()).alias("l_null_rd")))
-    b = attach(batch, flags, ["deal_id"])
+    b = scope.attach(batch, flags, ["deal_id"])
     deal, st = _c("deal_id"), _c("status")
     base = messages((deal.isNull(), M_DEAL_NULL), (deal.isNotNull() & ~_c("l_exists"), M_NOT_IN_DB))
     msg = (F.when((st == "Standard") & _c("l_null_rd"), F.lit(M_RD_NULL))
@@ -300,13 +305,14 @@ def validate_status(batch: DataFrame, ledger: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- patch ----
 def validate_patch(batch: DataFrame, ledger: DataFrame) -> DataFrame:
     """V56-V64. The record must exist under (deal, invoice, movement)."""
-    keys = (restrict_to_keys(ledger, batch, ["deal_id"])
+    scope = KeyScope(batch, ["deal_id", "invoice_num", "movement_type"])
+    keys = (scope.restrict(ledger, {"invoice_num": "invoice_num_"})
             .select(F.col("deal_id").alias("k_deal"), F.col("invoice_num_").alias("k_invoice"),
                           F.col("movement_type").alias("k_movement"))
             .dropDuplicates(["k_deal", "k_invoice", "k_movement"]).withColumn("k_exists", F.lit(True)))
     on = ((F.col("deal_id") == F.col("k_deal")) & (F.col("invoice_num") == F.col("k_invoice"))
           & (F.col("movement_type") == F.col("k_movement")))
-    b = attach(batch, keys, on=on)
+    b = scope.attach(batch, keys, on=on)
     deal, mv = _c("deal_id"), _c("movement_type")
     msg = messages(
         (deal.isNull(), M_DEAL_NULL),

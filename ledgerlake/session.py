@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Runtime-measured broadcast limit. Static (estimate-based) broadcast is switched
 # off by `tune`, so a join side is only broadcast once AQE has measured it.
-AQE_BROADCAST_BYTES = 32 * 1024 * 1024
+AQE_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def build_session(master: str = "local[*]", app: str = "ledgerlake",

@@ -67,6 +67,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise `df` as a Parquet table in the shared checkpoint folder and
+    read it back: the plan runs once (an eager `checkpoint()` without a cache
+    runs it twice), the result survives executor loss, and later plans see
+    real file statistics."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "cut")
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlake.operators.files import assign_names, normalise_dates
 from ledgerlake.operators.load import load_patch, load_payment, load_status, load_worklist, rows_written
-from ledgerlake.operators.report import SHEET_COLUMNS, funder_report
+from ledgerlake.operators.report import DROP_COLUMNS, SHEET_COLUMNS, funder_report
 from ledgerlake.operators.rownum import with_row_number
 from ledgerlake.operators.sinks import append_counted, write_by, write_normalised, write_split
 from ledgerlake.operators.validate import VALIDATORS
@@ -71,7 +71,7 @@ def read_payment_sheet(spark: SparkSession, path: str) -> DataFrame:
 
 def funder_report_job(spark: SparkSession, sheet_path: str, out_base: str, as_of, start="2020-01-01") -> str:
     """Filter, age and label the sheet; one output folder per funder."""
-    report = funder_report(read_payment_sheet(spark, sheet_path), as_of, start).drop("_file", "_row")
+    report = funder_report(read_payment_sheet(spark, sheet_path), as_of, start, drop=DROP_COLUMNS).drop("_file", "_row")
     return write_by(report, "funder", out_base, as_of, fmt="csv")
 
 

@@ -35,11 +35,13 @@ def _as_date(d):
     return _dt.date.fromisoformat(d) if isinstance(d, str) else d
 
 
-def funder_report(raw: DataFrame, as_of, start=DEFAULT_START, drop: list[str] | None = None) -> DataFrame:
+def funder_report(raw: DataFrame, as_of, start=DEFAULT_START, drop: list[str] | None = None,
+                  strict_drop: bool = False) -> DataFrame:
     """Rows of the report with `aging_bucket`, `product_type`, `priority`, `funder`.
 
-    `raw` uses snake_case names (see SHEET_COLUMNS). `drop` lists extra columns to
-    remove; names not present are ignored."""
+    `raw` uses snake_case names for the columns it reads (see SHEET_COLUMNS).
+    `drop` lists sheet columns to remove (DROP_COLUMNS for a full sheet); with
+    `strict_drop` a missing name is an error, as in pandas."""
     as_of, start = _as_date(as_of), _as_date(start)
     c = F.col
     due = c("payment_due_date").cast("date")
@@ -57,9 +59,12 @@ def funder_report(raw: DataFrame, as_of, start=DEFAULT_START, drop: list[str] |
            .withColumn("product_type", product_type("order_number"))
            .withColumn("priority", priority("yrx_assignee", "aging_days", "open_amt"))
            .withColumn("funder", funder_label("funder_name")))
-    dropped = ["yrx_status", "administered", "adjustment_terminated"] + [
-        SHEET_COLUMNS.get(x, x) for x in (drop or [])]
-    return out.drop(*dropped)
+    extra = [SHEET_COLUMNS.get(x, x) for x in (drop or [])]
+    if strict_drop:
+        missing = [x for x in extra if x not in raw.columns]
+        if missing:
+            raise KeyError(f"columns not found: {missing}")
+    return out.drop(*(["yrx_status", "administered", "adjustment_terminated"] + extra))
 
 
 def aging_summary(report: DataFrame) -> DataFrame:

@@ -99,6 +99,13 @@ def read_folder(spark: SparkSession, directory: str, suffixes: Sequence[str] = (
     return df.withColumn("file_name", file_name_of(F.col("_file")))
 
 
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """L1: the first `n` rows in file order (a sample to look at: the limit is the feature)."""
+    if "_row" in df.columns:
+        return df.orderBy("_file", "_row").limit(n)
+    return df.limit(n)
+
+
 def cell_at(df: DataFrame, file_cols: str | Sequence[str], order_col: str | Column, value_col: str,
             row_index: int = 1) -> DataFrame:
     """Value of `value_col` in the `row_index`-th row (0-based, file order)

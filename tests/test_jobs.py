@@ -25,6 +25,8 @@ def test_funder_report_job(spark, tmp_dir):
     write_csv(os.path.join(tmp_dir, "raw.csv"), header, rows)
     out = jobs.funder_report_job(spark, os.path.join(tmp_dir, "raw.csv"), tmp_dir + "/out", "2024-03-15")
     assert sorted(d for d in os.listdir(out) if d.startswith("funder=")) == ["funder=Key", "funder=WF"]
+    back = spark.read.option("header", True).csv(out)
+    assert "Comments" not in back.columns and "priority" in back.columns  # named sheet columns dropped
 
 
 def test_worklist_job(spark, tmp_dir):

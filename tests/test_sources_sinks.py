@@ -69,3 +69,15 @@ def test_constraint_report(spark):
     got = {r["constraint_name"]: r["violations"] for r in constraint_report(conform_ledger(rows)).collect()}
     assert got == {"CHK_SOURCE_STATUS": 1, "OMOVEDEALCOMBINATION": 2, "REPORT_DATE_MANDATORY": 1,
                    "NSMOVEDEALCOMBINATION": 1, "DEAL_ID_NOT_NULL": 1, "PK_ID": 2}
+
+
+def test_file_name_pieces_and_preview(spark, tmp_dir):
+    from ledgerlake.functions.text import file_dir_of, file_ext_of, file_name_of
+    from ledgerlake.sources.tables import preview, read_sheet_export
+    df = spark.createDataFrame([("/a/b/Report.XLSX",), ("C:\\x\\y.csv",), ("noext",)], "p string")
+    got = [tuple(r) for r in df.select(file_dir_of("p"), file_name_of("p"), file_ext_of("p")).collect()]
+    assert got == [("/a/b", "Report.XLSX", ".xlsx"), ("C:\\x", "y.csv", ".csv"), ("", "noext", "")]
+    path = os.path.join(tmp_dir, "s.csv")
+    with open(path, "w") as f:
+        f.write("a,b\n" + "".join(f"{i},x{i}\n" for i in range(20)))
+    assert [r["a"] for r in preview(read_sheet_export(spark, path)).collect()] == ["0", "1", "2", "3", "4"]

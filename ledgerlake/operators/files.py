@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlake.functions.dates import normalise_date_text
+from ledgerlake.operators.flags import bounded
 from ledgerlake.operators.rownum import with_row_number
 from ledgerlake.session import cut_lineage
 
@@ -51,12 +52,6 @@ def split_halves(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return numbered.withColumn("half", half.cast("int")).drop("_rn", "_n")
 
 
-def _bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast `df` only after counting that it holds at most `max_rows` rows."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def range_candidates(files: DataFrame, ranges: DataFrame) -> DataFrame:
     """Every (file, range) with start <= date <= end.
 
@@ -66,7 +61,7 @@ def range_candidates(files: DataFrame, ranges: DataFrame) -> DataFrame:
     months = ranges.withColumn(
         "_m", F.explode(F.sequence(F.trunc("start_date", "month"), F.trunc("end_date", "month"),
                                    F.expr("INTERVAL 1 MONTH"))))
-    months = _bounded(months, MAX_BROADCAST_RANGES)
+    months = bounded(months, MAX_BROADCAST_RANGES)
     f = files.withColumn("_m", F.trunc("cell_date", "month"))
     j = f.join(months, "_m").filter((F.col("cell_date") >= F.col("start_date")) & (F.col("cell_date") <= F.col("end_date")))
     return j.select("file", "file_order", F.col("file_name").alias("name"), "range_rank")

@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from ledgerlake.functions.oracle import is_bad_date, is_bad_number, parse_date3, to_number
 from ledgerlake.functions.text import clean_invoice_text, split_pieces
 from ledgerlake.operators import files as files_op
-from ledgerlake.operators.load import (ledger_max_id, load_patch, load_payment, load_status,
-                                       load_worklist)
+from ledgerlake.operators.load import load_patch, load_payment, load_status, load_worklist
 from ledgerlake.operators.posting import ALL_ACCOUNTS, post
 from ledgerlake.operators.quality import constraint_report, row_count_check
 from ledgerlake.operators.report import aging_summary, funder_counts, funder_report

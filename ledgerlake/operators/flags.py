@@ -85,7 +85,7 @@ def key_presence(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
 
 
 # salting of hot keys when the flag table is too large to broadcast
-SALT_BUCKETS = 32
+SALT_BUCKETS = 256  # many more than shuffle partitions, so hashed buckets even out
 HOT_KEY_SHARE = 0.001      # a key with more than this share of the batch rows is hot
 MAX_HOT_KEYS = 10_000
 

@@ -17,7 +17,8 @@ from ledgerlake.operators.sinks import append_counted, write_by, write_normalise
 from ledgerlake.operators.validate import VALIDATORS
 from ledgerlake.operators.worklist import clean_worklist, reconcile
 from ledgerlake.session import cut_lineage
-from ledgerlake.sources.tables import cell_at, read_batch, read_folder, read_ledger, read_master, read_sheet_export
+from ledgerlake.functions.text import file_name_of
+from ledgerlake.sources.tables import cell_at, read_batch, read_export, read_ledger, read_master, read_sheet_export
 
 INSERT_KINDS = ("worklist", "ns_payment", "o_payment", "o_exception")
 
@@ -76,8 +77,9 @@ def funder_report_job(spark: SparkSession, sheet_path: str, out_base: str, as_of
 
 
 def worklist_job(spark: SparkSession, path: str, out_base: str, as_of) -> dict:
-    """Clean a worklist export (CSV) into clean + exception outputs and reconcile."""
-    raw = read_sheet_export(spark, path).drop("_file", "_row")
+    """Clean a worklist export ('.xls' HTML table, CSV or Parquet, chosen by
+    extension) into clean + exception outputs and reconcile."""
+    raw = read_export(spark, path).drop("_file", "_row")
     cols = {c: c.lower().replace(" ", "_") for c in raw.columns}
     df = raw.select(*[F.col(f"`{a}`").alias(b) for a, b in cols.items()])
     df = cut_lineage(df.withColumn("payment_discount", F.col("payment_discount").try_cast("double")))
@@ -91,10 +93,12 @@ def worklist_job(spark: SparkSession, path: str, out_base: str, as_of) -> dict:
 
 
 def payment_files_job(spark: SparkSession, folder: str, ranges: DataFrame, out_base: str,
-                      date_column: str = "assignment_date", row_index: int = 1) -> DataFrame:
-    """Normalise the dates of every file, then name files by the date found in
-    the `row_index`-th row's `date_column` (0-based), first free range wins."""
-    rows = read_folder(spark, folder, suffixes=(".csv",))
+                      date_column: str = "assignment_date", row_index: int = 1, glob: str = "*.csv") -> DataFrame:
+    """Normalise the dates of every file in `folder` matching `glob` ('*.xls'
+    for HTML exports), then name files by the date found in the
+    `row_index`-th row's `date_column` (0-based), first free range wins."""
+    rows = read_export(spark, folder, glob)
+    rows = rows.withColumn("file_name", file_name_of(F.col("_file")))
     rows = rows.select(*[F.col(f"`{c}`").alias(c.lower().replace(" ", "_")) for c in rows.columns])
     rows = normalise_dates(rows)
     write_normalised(rows.drop("_file", "_row"), f"{out_base.rstrip('/')}/normalised")

@@ -120,3 +120,36 @@ def cell_at(df: DataFrame, file_cols: str | Sequence[str], order_col: str | Colu
         first = rest.groupBy(*keys).agg(F.min("_o").alias("_lo"))
         rest = rest.join(first, keys).filter(F.col("_o") > F.col("_lo")).drop("_lo")
     return rest.groupBy(*keys).agg(F.min_by("_v", "_o").alias(value_col))
+
+
+HTML_SUFFIXES = (".xls", ".htm", ".html")
+
+
+def read_export(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Read sheet exports by file extension, as text columns named
+    by the header row, with `_file` (path) and `_row` (position in the file).
+
+    '.xls'/'.htm(l)' files are HTML tables (first table of each file, first row
+    is the header, taken from one document); '.parquet' is read as is; other
+    files as CSV with a header. `path` may be a file or a folder (+ `glob`)."""
+    from ledgerlake.sources.html import read_html_tables
+
+    probe = (glob or path).lower()
+    if probe.endswith(HTML_SUFFIXES):
+        rows = read_html_tables(spark, path, glob or "*").filter(F.col("table_no") == 0)
+        header_row = rows.filter(F.col("row_no") == 0).select("cells").first()
+        if header_row is None:
+            raise ValueError(f"no table found under {path}")
+        header = [h or f"_c{i}" for i, h in enumerate(header_row["cells"])]
+        body = rows.filter(F.col("row_no") > 0)
+        return body.select(*[F.element_at("cells", i + 1).alias(h) for i, h in enumerate(header)],
+                           F.col("doc").alias("_file"),
+                           F.struct(F.lit(0).cast("long").alias("block"),
+                                    F.col("row_no").cast("long").alias("pos")).alias("_row"))
+    if probe.endswith(".parquet"):
+        df = spark.read.option("pathGlobFilter", glob).parquet(path) if glob else spark.read.parquet(path)
+        return with_file_position(df)
+    reader = spark.read.option("header", True)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    return with_file_position(reader.csv(path))

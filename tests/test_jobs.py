@@ -70,3 +70,32 @@ def test_upload_batch_insert_and_update(spark, tmp_dir):
                              new_ledger_path=tmp_dir + "/ledger_v2", user="u", as_of_ts="2024-01-02 00:00:00")
     assert spark.read.parquet(tmp_dir + "/ledger_v2").count() == n0 + res["rows_written"]
     assert res2["rows_written"] > 0
+
+
+def html_table(header, rows):
+    cells = lambda r, tag: "".join(f"<{tag}>{'' if v is None else v}</{tag}>" for v in r)
+    return ("<html><body><table><tr>" + cells(header, "th") + "</tr>"
+            + "".join("<tr>" + cells(r, "td") + "</tr>" for r in rows) + "</table></body></html>")
+
+
+def test_worklist_job_from_html_xls(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "worklist.xls")
+    with open(path, "w") as f:
+        f.write(html_table(["Deal Id", "Funding Model", "Invoice Number", "Outstanding Amount", "Payment Discount"],
+                           [[1, "OFD Warehouse", "#CM 1, NS 2", "1,000.50 20", 5], [2, "OFD Warehouse", "A B", "1", 3]]))
+    res = jobs.worklist_job(spark, path, tmp_dir + "/wl", "2024-03-15")
+    assert res["reconciled"] and res["n_exceptions"] == 1 and res["n_clean"] == 1
+
+
+def test_payment_files_job_from_html(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "xls")
+    os.makedirs(folder)
+    header = ["Deal Id", "Assignment Date"]
+    for name, rows in {"a.xls": [[1, "01-Feb-2024"], [2, "05-Mar-2024"]], "b.xls": [[3, "09-Sep-2024"]]}.items():
+        with open(os.path.join(folder, name), "w") as f:
+            f.write(html_table(header, rows))
+    ranges = spark.createDataFrame([("Q1", dt.date(2024, 1, 1), dt.date(2024, 3, 31), 1)],
+                                   "file_name string, start_date date, end_date date, range_rank long")
+    got = {r["file"]: (r["new_name"], r["status"]) for r in
+           jobs.payment_files_job(spark, folder, ranges, tmp_dir + "/pd", glob="*.xls").collect()}
+    assert got == {"a.xls": ("Q1", "renamed"), "b.xls": (None, "unmatched")}

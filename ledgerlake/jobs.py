@@ -18,7 +18,7 @@ from ledgerlake.operators.validate import VALIDATORS
 from ledgerlake.operators.worklist import clean_worklist, reconcile
 from ledgerlake.session import cut_lineage
 from ledgerlake.functions.text import file_name_of
-from ledgerlake.sources.tables import cell_at, read_batch, read_export, read_ledger, read_master, read_sheet_export
+from ledgerlake.sources.tables import cell_at, read_batch, read_export, read_ledger, read_master
 
 INSERT_KINDS = ("worklist", "ns_payment", "o_payment", "o_exception")
 
@@ -63,10 +63,13 @@ def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: s
 
 
 def read_payment_sheet(spark: SparkSession, path: str) -> DataFrame:
-    """The 'Raw' sheet exported as CSV with its header; typed report columns."""
-    raw = read_sheet_export(spark, path)
+    """The 'Raw' sheet exported as CSV, Parquet or an HTML '.xls', with its
+    header; the report's columns typed (dates ISO or m/d/yyyy)."""
+    raw = read_export(spark, path)
     renamed = raw.select(*[F.col(f"`{c}`").alias(SHEET_COLUMNS.get(c, c)) for c in raw.columns])
-    return (renamed.withColumn("payment_due_date", F.to_date("payment_due_date"))
+    due = F.col("payment_due_date").cast("string")
+    return (renamed.withColumn("payment_due_date", F.coalesce(F.try_to_date(due, "yyyy-MM-dd"),
+                                                              F.try_to_date(due, "M/d/yyyy")))
             .withColumn("open_amt", F.col("open_amt").try_cast("double")))
 
 

@@ -142,7 +142,9 @@ def read_export(spark: SparkSession, path: str, glob: str | None = None) -> Data
             raise ValueError(f"no table found under {path}")
         header = [h or f"_c{i}" for i, h in enumerate(header_row["cells"])]
         body = rows.filter(F.col("row_no") > 0)
-        return body.select(*[F.element_at("cells", i + 1).alias(h) for i, h in enumerate(header)],
+        # an empty cell is a missing value (as pandas.read_html and the CSV reader give)
+        return body.select(*[F.nullif(F.element_at("cells", i + 1), F.lit("")).alias(h)
+                             for i, h in enumerate(header)],
                            F.col("doc").alias("_file"),
                            F.struct(F.lit(0).cast("long").alias("block"),
                                     F.col("row_no").cast("long").alias("pos")).alias("_row"))

@@ -99,3 +99,13 @@ def test_payment_files_job_from_html(spark, tmp_dir):
     got = {r["file"]: (r["new_name"], r["status"]) for r in
            jobs.payment_files_job(spark, folder, ranges, tmp_dir + "/pd", glob="*.xls").collect()}
     assert got == {"a.xls": ("Q1", "renamed"), "b.xls": (None, "unmatched")}
+
+
+def test_funder_report_job_from_html(spark, tmp_dir):
+    header = ["Payment Due Date", "YRX_STATUS", "YRX_ASSIGNEE", "Order Number", "Deal Association Type",
+              "Adjustment_Terminated", "Administered", "Funder Name", "Open Amt"]
+    path = os.path.join(tmp_dir, "raw.xls")
+    with open(path, "w") as f:
+        f.write(html_table(header, [["1/10/2024", "Open", "OFD Cloud A", "NS-1", "Base", None, "Yes", "Dext Co", "100"]]))
+    out = jobs.funder_report_job(spark, path, tmp_dir + "/out", "2024-03-15")
+    assert [d for d in os.listdir(out) if d.startswith("funder=")] == ["funder=DEXT"]

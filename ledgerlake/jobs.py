@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlake.operators.files import assign_names, normalise_dates
+from ledgerlake.operators.files import assign_names, exclude_deals, normalise_dates, split_halves
+from ledgerlake.operators.quality import row_count_check
 from ledgerlake.operators.load import load_patch, load_payment, load_status, load_worklist, rows_written
 from ledgerlake.operators.report import DROP_COLUMNS, SHEET_COLUMNS, funder_report
 from ledgerlake.operators.rownum import with_row_number
-from ledgerlake.operators.sinks import append_counted, write_by, write_normalised, write_split
+from ledgerlake.operators.sinks import append_counted, write_by, write_halves, write_normalised, write_split
 from ledgerlake.operators.validate import VALIDATORS
 from ledgerlake.operators.worklist import clean_worklist, reconcile
 from ledgerlake.session import cut_lineage
@@ -96,7 +97,8 @@ def worklist_job(spark: SparkSession, path: str, out_base: str, as_of) -> dict:
 
 
 def payment_files_job(spark: SparkSession, folder: str, ranges: DataFrame, out_base: str,
-                      date_column: str = "assignment_date", row_index: int = 1, glob: str = "*.csv") -> DataFrame:
+                      date_column: str = "assignment_date", row_index: int = 1, glob: str = "*.csv",
+                      exclusions: DataFrame | None = None) -> DataFrame:
     """Normalise the dates of every file in `folder` matching `glob` ('*.xls'
     for HTML exports), then name files by the date found in the
     `row_index`-th row's `date_column` (0-based), first free range wins."""
@@ -104,7 +106,9 @@ def payment_files_job(spark: SparkSession, folder: str, ranges: DataFrame, out_b
     rows = rows.withColumn("file_name", file_name_of(F.col("_file")))
     rows = rows.select(*[F.col(f"`{c}`").alias(c.lower().replace(" ", "_")) for c in rows.columns])
     rows = normalise_dates(rows)
-    write_normalised(rows.drop("_file", "_row"), f"{out_base.rstrip('/')}/normalised")
+    kept = rows if exclusions is None else exclude_deals(
+        rows.withColumn("_deal", F.col("deal_id").try_cast("long")), exclusions, deal_col="_deal").drop("_deal")
+    write_normalised(kept.drop("_file", "_row"), f"{out_base.rstrip('/')}/normalised")
     cells = cell_at(rows, "file_name", "_row", date_column, row_index)
     files_order = with_row_number(rows.select("file_name").distinct(), ["file_name"], name="file_order")
     files = files_order.join(cells, "file_name", "left").select(
@@ -113,3 +117,19 @@ def payment_files_job(spark: SparkSession, folder: str, ranges: DataFrame, out_b
     names = assign_names(files, ranges)
     names.write.mode("overwrite").option("header", True).csv(f"{out_base.rstrip('/')}/assignments")
     return names
+
+
+def split_job(spark: SparkSession, path: str, out_base: str, as_of) -> DataFrame:
+    """Split one export into two halves by row position (first floor(n/2) rows
+    first), written under a YYYYMMDD folder. Returns the rows with `half`."""
+    rows = read_export(spark, path)
+    halves = split_halves(rows.withColumn("_pos", F.col("_row")), ["_file", "_pos"]).drop("_pos")
+    out = cut_lineage(halves)
+    write_halves(out.drop("_file", "_row"), out_base, as_of, fmt="csv")
+    return out
+
+
+def to_csv_job(spark: SparkSession, path: str, csv_path: str) -> dict:
+    """Convert an export to CSV, read it back and compare row counts."""
+    rows = read_export(spark, path).drop("_file", "_row")
+    return row_count_check(rows, csv_path).first().asDict()

@@ -109,3 +109,27 @@ def test_funder_report_job_from_html(spark, tmp_dir):
         f.write(html_table(header, [["1/10/2024", "Open", "OFD Cloud A", "NS-1", "Base", None, "Yes", "Dext Co", "100"]]))
     out = jobs.funder_report_job(spark, path, tmp_dir + "/out", "2024-03-15")
     assert [d for d in os.listdir(out) if d.startswith("funder=")] == ["funder=DEXT"]
+
+
+def test_split_and_csv_jobs(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "pdr.xls")
+    with open(path, "w") as f:
+        f.write(html_table(["Deal Id", "Amount"], [[i, i * 10] for i in range(7)]))
+    out = jobs.split_job(spark, path, tmp_dir + "/split", "2024-03-15")
+    got = sorted((int(r["Deal Id"]), r["half"]) for r in out.collect())
+    assert got == [(0, 1), (1, 1), (2, 1), (3, 2), (4, 2), (5, 2), (6, 2)]
+    assert sorted(os.listdir(tmp_dir + "/split/20240315"))[-2:] == ["half=1", "half=2"]
+    res = jobs.to_csv_job(spark, path, tmp_dir + "/pdr_csv")
+    assert res == {"source_rows": 7, "written_rows": 7, "ok": True}
+
+
+def test_payment_files_job_exclusions(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "ex")
+    os.makedirs(folder)
+    write_csv(os.path.join(folder, "f.csv"), ["Deal Id", "Assignment Date"],
+              [[1, "01-Feb-2024"], [2, "02-Feb-2024"], [None, "03-Feb-2024"]])
+    ranges = spark.createDataFrame([], "file_name string, start_date date, end_date date, range_rank long")
+    excl = spark.createDataFrame([("f.csv", 2)], "file_name string, deal_id long")
+    jobs.payment_files_job(spark, folder, ranges, tmp_dir + "/out", exclusions=excl)
+    back = spark.read.parquet(tmp_dir + "/out/normalised")
+    assert sorted((r["deal_id"] or "-") for r in back.collect()) == ["-", "1"]

@@ -36,7 +36,7 @@ def normalise_dates(df: DataFrame, columns: Sequence[str] = DATE_COLUMNS) -> Dat
 def exclude_deals(df: DataFrame, pairs: DataFrame, file_col: str = "file_name", deal_col: str = "deal_id") -> DataFrame:
     """Drop rows whose (file, deal) is listed; a NULL deal is kept
     (pandas `!=` keeps NaN). `pairs` has columns (file_name, deal_id)."""
-    p = pairs.select(F.col("file_name").alias("_xf"), F.col("deal_id").alias("_xd")).dropDuplicates()
+    p = bounded(pairs.select(F.col("file_name").alias("_xf"), F.col("deal_id").alias("_xd")).dropDuplicates())
     on = (F.col(file_col) == F.col("_xf")) & (F.col(deal_col) == F.col("_xd"))
     return df.join(p, on, "left_anti")
 

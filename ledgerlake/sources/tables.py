@@ -115,10 +115,17 @@ def cell_at(df: DataFrame, file_cols: str | Sequence[str], order_col: str | Colu
     keys = [file_cols] if isinstance(file_cols, str) else list(file_cols)
     order = F.col(order_col) if isinstance(order_col, str) else order_col
     rows = df.select(*keys, order.alias("_o"), F.col(value_col).alias("_v"))
+    from ledgerlake.operators.flags import MAX_BROADCAST_KEYS, salted_join
     rest = rows
     for _ in range(row_index):
         first = rest.groupBy(*keys).agg(F.min("_o").alias("_lo"))
-        rest = rest.join(first, keys).filter(F.col("_o") > F.col("_lo")).drop("_lo")
+        # one row per file: broadcast when the file count is bounded, else salt
+        # hot files so a file holding a third of the rows is not one task
+        if first.count() <= MAX_BROADCAST_KEYS:
+            joined = rest.join(F.broadcast(first), keys)
+        else:
+            joined = salted_join(rest, first, keys, "inner")
+        rest = joined.filter(F.col("_o") > F.col("_lo")).drop("_lo")
     return rest.groupBy(*keys).agg(F.min_by("_v", "_o").alias(value_col))
 
 

@@ -87,3 +87,15 @@ def test_split_halves_with_one_hot_key(spark):
     # ordering respected: every half-1 key <= every half-2 key
     h = split_halves(df, ["k"])
     assert h.filter("half = 1").agg(F.max("k")).first()[0] <= h.filter("half = 2").agg(F.min("k")).first()[0]
+
+
+def test_cell_at_salted_path_with_hot_file(spark, monkeypatch):
+    from ledgerlake.operators import flags as flag_mod
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 200).cast("string")).alias("f"),
+        F.col("id").alias("r"), (F.col("id") * 10).cast("string").alias("v"))
+    expected = {r["f"]: r["v"] for r in cell_at(rows, "f", "r", "v", 1).collect()}
+    monkeypatch.setattr(flag_mod, "MAX_BROADCAST_KEYS", 5)
+    monkeypatch.setattr(flag_mod, "HOT_KEY_SHARE", 0.05)
+    got = {r["f"]: r["v"] for r in cell_at(rows, "f", "r", "v", 1).collect()}
+    assert got == expected and expected["hot"] == "30"

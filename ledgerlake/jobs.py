@@ -97,12 +97,16 @@ def worklist_job(spark: SparkSession, path: str, out_base: str, as_of) -> dict:
 
 
 def payment_files_job(spark: SparkSession, folder: str, ranges: DataFrame, out_base: str,
-                      date_column: str = "assignment_date", row_index: int = 1, glob: str = "*.csv",
+                      date_column: str | int = "assignment_date", row_index: int = 1, glob: str = "*.csv",
                       exclusions: DataFrame | None = None) -> DataFrame:
     """Normalise the dates of every file in `folder` matching `glob` ('*.xls'
     for HTML exports), then name files by the date found in the
-    `row_index`-th row's `date_column` (0-based), first free range wins."""
+    `row_index`-th row's `date_column` (a name, or a 0-based column position:
+    the reference reads row 1, column 15), first free range wins."""
     rows = read_export(spark, folder, glob)
+    if isinstance(date_column, int):
+        from ledgerlake.sources.tables import data_columns
+        date_column = data_columns(rows)[date_column].lower().replace(" ", "_")
     rows = rows.withColumn("file_name", file_name_of(F.col("_file")))
     rows = rows.select(*[F.col(f"`{c}`").alias(c.lower().replace(" ", "_")) for c in rows.columns])
     rows = normalise_dates(rows)

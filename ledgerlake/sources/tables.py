@@ -106,13 +106,20 @@ def preview(df: DataFrame, n: int = 5) -> DataFrame:
     return df.limit(n)
 
 
-def cell_at(df: DataFrame, file_cols: str | Sequence[str], order_col: str | Column, value_col: str,
+def data_columns(df: DataFrame) -> list[str]:
+    """Sheet columns in file order (without the `_file` / `_row` bookkeeping)."""
+    return [c for c in df.columns if c not in ("_file", "_row")]
+
+
+def cell_at(df: DataFrame, file_cols: str | Sequence[str], order_col: str | Column, value_col: str | int,
             row_index: int = 1) -> DataFrame:
     """Value of `value_col` in the `row_index`-th row (0-based, file order)
     of every file (`file_cols` identify a file). Uses per-file aggregates
     (k+1 passes for index k) instead of a window, so one huge file does not
     land in a single task. Files with fewer rows are absent from the result."""
     keys = [file_cols] if isinstance(file_cols, str) else list(file_cols)
+    if isinstance(value_col, int):  # a 0-based column position, as iloc[row, col]
+        value_col = data_columns(df)[value_col]
     order = F.col(order_col) if isinstance(order_col, str) else order_col
     rows = df.select(*keys, order.alias("_o"), F.col(value_col).alias("_v"))
     from ledgerlake.operators.flags import MAX_BROADCAST_KEYS, salted_join

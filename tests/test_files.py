@@ -99,3 +99,8 @@ def test_cell_at_salted_path_with_hot_file(spark, monkeypatch):
     monkeypatch.setattr(flag_mod, "HOT_KEY_SHARE", 0.05)
     got = {r["f"]: r["v"] for r in cell_at(rows, "f", "r", "v", 1).collect()}
     assert got == expected and expected["hot"] == "30"
+
+
+def test_cell_at_by_position(spark):
+    rows = spark.createDataFrame([("a", 1, "x", "p"), ("a", 2, "y", "q")], "f string, r long, c1 string, c2 string")
+    assert cell_at(rows, "f", "r", 3, 1).first()["c2"] == "q"

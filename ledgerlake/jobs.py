@@ -26,7 +26,8 @@ INSERT_KINDS = ("worklist", "ns_payment", "o_payment", "o_exception")
 
 def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: str, ledger_path: str,
                  master_path: str | None = None, new_ledger_path: str | None = None, *,
-                 source: str | None = None, user: str | None = None, as_of_ts=None) -> dict:
+                 source: str | None = None, user: str | None = None, as_of_ts=None,
+                 partition_by: tuple[str, ...] = ()) -> dict:
     """Validate one staged batch and load its clean rows.
 
     Inserts are appended to `ledger_path`. Updates (status, patch) write a new
@@ -49,7 +50,7 @@ def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: s
                                  as_of_ts=as_of_ts, user=user)
         else:
             rows = load_payment(validated, kind, ledger, source=source, as_of_ts=as_of_ts, user=user)
-        result["rows_written"] = append_counted(rows.drop("seq_id"), ledger_path)
+        result["rows_written"] = append_counted(rows.drop("seq_id"), ledger_path, partition_by=partition_by)
         return result
     if new_ledger_path is None:
         raise ValueError("updates need new_ledger_path")
@@ -58,7 +59,10 @@ def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: s
     updated = cut_lineage(updated)
     result["rows_written"] = rows_written(updated).first()["rows_written"]
     keep = ledger.join(updated.select("id"), "id", "left_anti")
-    keep.unionByName(updated.select(*ledger.columns)).write.mode("errorifexists").parquet(new_ledger_path)
+    writer = keep.unionByName(updated.select(*ledger.columns)).write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(new_ledger_path)
     result["new_ledger_path"] = new_ledger_path
     return result
 

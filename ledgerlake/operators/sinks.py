@@ -58,11 +58,16 @@ def to_csv(df: DataFrame, path: str, header: bool = True) -> str:
     return path
 
 
-def append_counted(df: DataFrame, path: str, fmt: str = "parquet") -> int:
+def append_counted(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> int:
     """K1: append rows and return how many were written (counted by an
-    observation during the write, no second pass)."""
+    observation during the write, no second pass). A ledger stored with
+    `partition_by=("source",)` lets every source-filtered look-up prune whole
+    folders instead of reading them."""
     obs = Observation("appended")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").format(fmt).save(path)
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(path)
     return int(obs.get["rows"])
 
 

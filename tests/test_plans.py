@@ -60,3 +60,19 @@ def test_posting_is_narrow(spark, ledger_path):
     tree = plan.split("\n\n")[0]
     assert "Exchange" not in tree.replace("BroadcastExchange", "")
     assert tree.count("BroadcastHashJoin") == 1  # the fixed rule table, nothing else
+
+
+def test_source_partitioned_ledger_prunes(spark, tmp_path_factory):
+    from ledgerlake.operators.sinks import append_counted
+    path = str(tmp_path_factory.mktemp("pledger") / "ledger")
+    n = append_counted(adapter(spark, SF, "fx_ledger"), path, partition_by=("source",))
+    ledger = read_ledger(spark, path)
+    assert ledger.count() == n
+    batch = spark.createDataFrame([(1, "Standard", None, "5", "Upfront", "Apply to GL", "1")],
+                                  "seq_id long, status string, report_date string, deal_id string, deal_type string, "
+                                  "movement_type string, adjustment_amount string")
+    for c in ["comments", "ofs_payment_posting", "payment_source", "invoice_number", "other_adjustment",
+              "original_invoice_amount", "payment_discount", "payment_applied_to_invoice"]:
+        batch = batch.withColumn(c, batch["status"].substr(0, 0))
+    plan = plan_of(validate_ns_payment(batch, ledger))
+    assert "PartitionFilters: [isnotnull(source" in plan and "(source#" in plan and "= NetSuite)" in plan

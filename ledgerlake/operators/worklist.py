@@ -16,6 +16,15 @@ BLANK_FUNDING_MODEL = "OFD Warehouse V2"
 RECONCILE_TOLERANCE = 0.5
 
 
+def _discount(df: DataFrame):
+    """pandas to_numeric(errors='coerce') of the discount: text is parsed
+    leniently (no comma removal, X16), numbers are kept."""
+    c = F.col("payment_discount")
+    if dict(df.dtypes).get("payment_discount") == "string":
+        return lenient_double(c)
+    return c.cast("double")
+
+
 def _split_blank(df: DataFrame, blank_rule: str):
     blank = F.col("outstanding_amount").isNull()
     if blank_rule == "v6":
@@ -39,8 +48,9 @@ def clean_worklist(df: DataFrame, blank_rule: str = "v6") -> tuple[DataFrame, Da
         blank_amount = F.lit(None).cast("double")
     else:
         blank_amount = lenient_double("outstanding_amount")
+    discount = _discount(df)
     blank_rows = blank.select(*[blank_amount.alias(c) if c == "outstanding_amount"
-                                else (F.col(c).cast("double").alias(c) if c == "payment_discount" else F.col(c))
+                                else (discount.alias(c) if c == "payment_discount" else F.col(c))
                                 for c in cols], F.lit(0).alias("piece_no"))
     rest = marked.filter(~F.col("_blank")).withColumn("invoice_number", clean_invoice_text("invoice_number"))
     rest = (rest.withColumn("_amts", split_pieces("outstanding_amount"))
@@ -57,7 +67,7 @@ def clean_worklist(df: DataFrame, blank_rule: str = "v6") -> tuple[DataFrame, Da
         elif c == "invoice_number":
             out_cols.append(F.col("_p.i").alias(c))
         elif c == "payment_discount":
-            out_cols.append(F.when(F.col("piece_no") == 0, F.col(c).cast("double")).alias(c))
+            out_cols.append(F.when(F.col("piece_no") == 0, discount).alias(c))
         else:
             out_cols.append(F.col(c))
     clean = exploded.select(*out_cols, F.col("piece_no").cast("int").alias("piece_no"))

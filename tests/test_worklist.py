@@ -34,3 +34,13 @@ def test_reconcile_flags_lost_deal(spark):
     clean, exc = clean_worklist(df)
     rec = reconcile(df, clean.filter("deal_id = 10"), exc).first()
     assert not rec["reconciled"] and rec["n_key_mismatch"] == 1
+
+
+def test_text_discount_is_coerced_not_fatal(spark):
+    df = spark.createDataFrame([(1, 10, "x", "A B", "1 2", "1,5"), (2, 11, "x", "C", "3", " 7 "),
+                                (3, 12, None, "D", None, "n/a")],
+                               "row_no long, deal_id long, funding_model string, invoice_number string, "
+                               "outstanding_amount string, payment_discount string")
+    clean, _ = clean_worklist(df)
+    got = sorted((r["row_no"], r["piece_no"], r["payment_discount"]) for r in clean.collect())
+    assert got == [(1, 0, None), (1, 1, None), (2, 0, 7.0), (3, 0, None)]

@@ -18,58 +18,104 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ROW_SCHEMA = "doc string, table_no int, row_no int, cells array<string>"
 
 
+class _Table:
+    """One open <table>: its number, next row number, and cells carried down by rowspan."""
+
+    def __init__(self, number: int):
+        self.number = number
+        self.next_row = 0
+        self.carry: dict[int, tuple[str, int]] = {}   # column -> (text, rows still to fill)
+        self.raw: list[tuple[str, int, int]] | None = None  # cells of the open row: (text, colspan, rowspan)
+
+
 class _TableParser(HTMLParser):
-    """Collects the text of <td>/<th> cells per <tr> per <table> (nested tables
-    are numbered in document order)."""
+    """Collects the text of <td>/<th> cells per <tr> per <table>. Nested tables
+    are numbered in document order. colspan / rowspan are expanded the way
+    pandas.read_html does: the value is repeated in every spanned cell."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.rows: list[tuple[int, int, list[str]]] = []
-        self._tables: list[int] = []
-        self._next_table = 0
-        self._row_in: dict[int, int] = {}
-        self._cells: list[str] | None = None
+        self._open: list[_Table] = []
+        self._count = 0
         self._cell: list[str] | None = None
+        self._span = (1, 1)
+
+    @staticmethod
+    def _int(attrs, name) -> int:
+        try:
+            return max(1, int(dict(attrs).get(name) or 1))
+        except ValueError:
+            return 1
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
-            self._tables.append(self._next_table)
-            self._row_in[self._next_table] = 0
-            self._next_table += 1
-        elif tag == "tr" and self._tables:
+            self._open.append(_Table(self._count))
+            self._count += 1
+        elif not self._open:
+            return
+        elif tag == "tr":
             self._close_row()
-            self._cells = []
-        elif tag in ("td", "th") and self._tables:
-            if self._cells is None:
-                self._cells = []
+            self._open[-1].raw = []
+        elif tag in ("td", "th"):
+            t = self._open[-1]
+            if t.raw is None:
+                t.raw = []
             self._close_cell()
             self._cell = []
+            self._span = (self._int(attrs, "colspan"), self._int(attrs, "rowspan"))
 
     def handle_endtag(self, tag):
         if tag in ("td", "th"):
             self._close_cell()
         elif tag == "tr":
             self._close_row()
-        elif tag == "table" and self._tables:
+        elif tag == "table" and self._open:
             self._close_row()
-            self._tables.pop()
+            self._open.pop()
 
     def handle_data(self, data):
         if self._cell is not None:
             self._cell.append(data)
 
     def _close_cell(self):
-        if self._cell is not None and self._cells is not None:
-            self._cells.append(" ".join("".join(self._cell).split()))
+        if self._cell is not None and self._open and self._open[-1].raw is not None:
+            text = " ".join("".join(self._cell).split())
+            self._open[-1].raw.append((text, *self._span))
         self._cell = None
 
     def _close_row(self):
         self._close_cell()
-        if self._cells is not None and self._tables:
-            t = self._tables[-1]
-            self.rows.append((t, self._row_in[t], self._cells))
-            self._row_in[t] += 1
-        self._cells = None
+        if not self._open or self._open[-1].raw is None:
+            return
+        t = self._open[-1]
+        row: list[str] = []
+        raw = iter(t.raw)
+        col = 0
+        while True:
+            if col in t.carry:
+                text, left = t.carry.pop(col)
+                if left > 1:
+                    t.carry[col] = (text, left - 1)
+                row.append(text)
+                col += 1
+                continue
+            nxt = next(raw, None)
+            if nxt is None:
+                if t.carry and max(t.carry) > col:  # a carried cell further right: pad the gap
+                    row.append("")
+                    col += 1
+                    continue
+                break
+            text, colspan, rowspan = nxt
+            for _ in range(colspan):
+                row.append(text)
+                if rowspan > 1:
+                    t.carry[col] = (text, rowspan - 1)
+                col += 1
+        self.rows.append((t.number, t.next_row, row))
+        t.next_row += 1
+        t.raw = None
 
     def close(self):
         super().close()

@@ -81,3 +81,12 @@ def test_file_name_pieces_and_preview(spark, tmp_dir):
     with open(path, "w") as f:
         f.write("a,b\n" + "".join(f"{i},x{i}\n" for i in range(20)))
     assert [r["a"] for r in preview(read_sheet_export(spark, path)).collect()] == ["0", "1", "2", "3", "4"]
+
+
+def test_parse_tables_spans():
+    html = ("<table><tr><th colspan=2>Deal</th><th rowspan=3>Due</th></tr>"
+            "<tr><td>Id</td><td>Name</td></tr><tr><td>1</td><td>A</td></tr></table>")
+    assert [r[2] for r in parse_tables(html)] == [["Deal", "Deal", "Due"], ["Id", "Name", "Due"], ["1", "A", "Due"]]
+    nested = "<table><tr><td>a<table><tr><td>in</td></tr></table></td><td>b</td></tr></table>"
+    rows = parse_tables(nested)
+    assert (1, 0, ["in"]) in rows and rows[-1][0] == 0

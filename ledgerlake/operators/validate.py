@@ -305,14 +305,12 @@ def validate_status(batch: DataFrame, ledger: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- patch ----
 def validate_patch(batch: DataFrame, ledger: DataFrame) -> DataFrame:
     """V56-V64. The record must exist under (deal, invoice, movement)."""
-    scope = KeyScope(batch, ["deal_id", "invoice_num", "movement_type"])
+    key_cols = ["deal_id", "invoice_num", "movement_type"]
+    scope = KeyScope(batch, key_cols)
     keys = (scope.restrict(ledger, {"invoice_num": "invoice_num_"})
-            .select(F.col("deal_id").alias("k_deal"), F.col("invoice_num_").alias("k_invoice"),
-                          F.col("movement_type").alias("k_movement"))
-            .dropDuplicates(["k_deal", "k_invoice", "k_movement"]).withColumn("k_exists", F.lit(True)))
-    on = ((F.col("deal_id") == F.col("k_deal")) & (F.col("invoice_num") == F.col("k_invoice"))
-          & (F.col("movement_type") == F.col("k_movement")))
-    b = scope.attach(batch, keys, on=on)
+            .select("deal_id", F.col("invoice_num_").alias("invoice_num"), "movement_type")
+            .dropna().dropDuplicates(key_cols).withColumn("k_exists", F.lit(True)))
+    b = scope.attach(batch, keys, key_cols)
     deal, mv = _c("deal_id"), _c("movement_type")
     msg = messages(
         (deal.isNull(), M_DEAL_NULL),

@@ -6,9 +6,11 @@ per batch and attached with one left join:
 
 * the aggregate combines map-side, so a key holding a third of all ledger rows
   costs one partial-aggregate row per input partition, not a hot reduce task;
-* the flag table is unique per key, so the join never fans out; AQE's skew-join
-  splits a hot key on the batch side and broadcasts the flag table when its
-  measured size is small.
+* the flag table is unique per key, so the join never fans out;
+* for a batch with a counted bound on its keys (KeyScope) the ledger is
+  pre-filtered in its scan tasks and the small flag table is broadcast by AQE
+  at run time; above the bound, hot keys are salted (AQE's own skew split does
+  not apply when one join side is an aggregate on the join key).
 """
 
 from __future__ import annotations
@@ -74,24 +76,14 @@ def any_of(cond: Column) -> Column:
     return F.coalesce(F.bool_or(F.coalesce(cond, F.lit(False))), F.lit(False))
 
 
-def key_flags(df: DataFrame, keys: Sequence[str], **flags: Column) -> DataFrame:
-    """One row per key with boolean EXISTS flags (`name=condition`)."""
-    return df.groupBy(*keys).agg(*[any_of(c).alias(n) for n, c in flags.items()])
-
-
-def key_presence(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    """Distinct keys of `df` marked with a true flag column `name`."""
-    return df.select(*keys).dropDuplicates(list(keys)).withColumn(name, F.lit(True))
-
-
 # salting of hot keys when the flag table is too large to broadcast
 SALT_BUCKETS = 256  # many more than shuffle partitions, so hashed buckets even out
-HOT_KEY_SHARE = 0.001      # a key with more than this share of the batch rows is hot
-MAX_HOT_KEYS = 10_000
+HOT_KEY_SHARE = 0.001      # a key with more than this share of the batch rows is hot (<= 1000 keys)
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_KEY_SHARE) -> DataFrame:
-    """Keys holding more than `share` of the rows of `df` (at most 1/share keys)."""
+    """Keys holding more than `share` of the rows of `df`. There can be at most
+    1/share of them, so the result has a size bound by construction."""
     total = df.count()
     counts = df.groupBy(*keys).count()
     return counts.filter(F.col("count") > max(1, int(total * share))).select(*keys)
@@ -103,7 +95,8 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     left are spread over `buckets` tasks and their right row is repeated that
     many times; other keys join as usual."""
     buckets = buckets or SALT_BUCKETS
-    hot = bounded(hot_keys(left, keys).withColumn("_hot", F.lit(True)), MAX_HOT_KEYS)
+    # at most 1 / HOT_KEY_SHARE keys: a proven bound, broadcast without a count
+    hot = F.broadcast(hot_keys(left, keys).withColumn("_hot", F.lit(True)))
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
     l2 = (left.join(hot, list(keys), "left")
           .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(buckets).cast("long")))

@@ -17,6 +17,7 @@ from ledgerlake.operators.rownum import with_row_number
 from ledgerlake.operators.sinks import append_counted, write_by, write_halves, write_normalised, write_split
 from ledgerlake.operators.validate import VALIDATORS
 from ledgerlake.operators.worklist import clean_worklist, reconcile
+from ledgerlake.schemas import with_deal_bucket
 from ledgerlake.session import cut_lineage
 from ledgerlake.functions.text import file_name_of
 from ledgerlake.sources.tables import cell_at, read_batch, read_export, read_ledger, read_master
@@ -30,6 +31,9 @@ def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: s
                  partition_by: tuple[str, ...] = ()) -> dict:
     """Validate one staged batch and load its clean rows.
 
+    `partition_by` is the ledger's stored layout: ("source",) and/or
+    ("deal_bucket",) (see schemas.deal_bucket); look-ups then prune folders.
+
     Inserts are appended to `ledger_path`. Updates (status, patch) write a new
     ledger version to `new_ledger_path` (the input is never overwritten while
     it is read). Returns counts and the rejected rows' location."""
@@ -50,7 +54,10 @@ def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: s
                                  as_of_ts=as_of_ts, user=user)
         else:
             rows = load_payment(validated, kind, ledger, source=source, as_of_ts=as_of_ts, user=user)
-        result["rows_written"] = append_counted(rows.drop("seq_id"), ledger_path, partition_by=partition_by)
+        rows = rows.drop("seq_id")
+        if "deal_bucket" in partition_by:
+            rows = with_deal_bucket(rows)
+        result["rows_written"] = append_counted(rows, ledger_path, partition_by=partition_by)
         return result
     if new_ledger_path is None:
         raise ValueError("updates need new_ledger_path")

@@ -50,6 +50,7 @@ class KeyScope:
         distinct = batch.select(*self.keys).dropna().dropDuplicates()
         self.small = distinct.count() <= limit
         self.key_table = F.broadcast(distinct) if self.small else None
+        self._buckets: list[int] | None = None
 
     def restrict(self, big: DataFrame, rename: dict[str, str] | None = None) -> DataFrame:
         """Rows of `big` whose keys occur in the batch (unchanged when large).
@@ -58,7 +59,20 @@ class KeyScope:
             return big
         rename = rename or {}
         kt = self.key_table.select(*[F.col(k).alias(rename.get(k, k)) for k in self.keys])
-        return big.join(F.broadcast(kt), [rename.get(k, k) for k in self.keys], "left_semi")
+        on = [rename.get(k, k) for k in self.keys]
+        if "deal_bucket" in big.columns and "deal_id" in on:
+            # a ledger stored by deal bucket: read only the buckets of the
+            # batch's deals (at most DEAL_BUCKETS small ints, a bounded list)
+            big = big.filter(F.col("deal_bucket").isin(self.buckets()))
+        return big.join(F.broadcast(kt), on, "left_semi")
+
+    def buckets(self) -> list[int]:
+        """Deal buckets of the batch keys (computed once)."""
+        if self._buckets is None:
+            from ledgerlake.schemas import deal_bucket
+            rows = self.key_table.select(deal_bucket("deal_id").alias("b")).distinct().collect()
+            self._buckets = sorted(r["b"] for r in rows)
+        return self._buckets
 
     def attach(self, left: DataFrame, flags: DataFrame, keys: Sequence[str] | None = None,
                on: Column | None = None, defaults: dict | None = None) -> DataFrame:

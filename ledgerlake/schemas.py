@@ -99,6 +99,20 @@ BATCH_LAYOUTS: dict[str, tuple[list[str], str]] = {
 }
 
 
+# ledger layout: partition folders by a hash bucket of the deal, so look-ups for
+# the deals of one batch read only the buckets those deals fall in
+DEAL_BUCKETS = 1024
+
+
+def deal_bucket(col: str = "deal_id", buckets: int = DEAL_BUCKETS):
+    """Bucket of a deal id: pmod(xxhash64(deal_id), buckets)."""
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
+
+
+def with_deal_bucket(df: DataFrame, buckets: int = DEAL_BUCKETS) -> DataFrame:
+    return df.withColumn("deal_bucket", deal_bucket("deal_id", buckets))
+
+
 def slot(i: int) -> str:
     return f"c{i:03d}"
 

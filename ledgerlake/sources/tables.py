@@ -8,12 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from ledgerlake.functions.oracle import blank_to_null
 from ledgerlake.functions.text import file_name_of
-from ledgerlake.schemas import BATCH_LAYOUTS, LEDGER_SCHEMA, conform_master, slot
+from ledgerlake.schemas import BATCH_LAYOUTS, conform_master, slot
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger table (Parquet, ledger schema)."""
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    """The ledger table (Parquet), conformed to the ledger schema. Partition
+    columns of the stored layout (`source`, `deal_bucket`) are kept, so filters
+    and joins on them prune folders."""
+    from ledgerlake.schemas import conform_ledger
+    return conform_ledger(spark.read.parquet(path))
 
 
 def read_master(spark: SparkSession, path: str) -> DataFrame:

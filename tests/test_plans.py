@@ -76,3 +76,22 @@ def test_source_partitioned_ledger_prunes(spark, tmp_path_factory):
         batch = batch.withColumn(c, batch["status"].substr(0, 0))
     plan = plan_of(validate_ns_payment(batch, ledger))
     assert "PartitionFilters: [isnotnull(source" in plan and "(source#" in plan and "= NetSuite)" in plan
+
+
+def test_deal_bucket_layout_prunes_dynamically(spark, tmp_path_factory):
+    from ledgerlake.operators.sinks import append_counted
+    from ledgerlake.operators.validate import validate_status
+    from ledgerlake.schemas import with_deal_bucket
+    path = str(tmp_path_factory.mktemp("bledger") / "ledger")
+    flat = adapter(spark, SF, "fx_ledger")
+    append_counted(with_deal_bucket(flat), path, partition_by=("deal_bucket",))
+    ledger = read_ledger(spark, path)
+    batch = spark.createDataFrame([(1, "5", "Standard"), (2, "77", "Closed"), (3, None, "WIP")],
+                                  "seq_id long, deal_id string, status string")
+    out = validate_status(batch, ledger)
+    plan = plan_of(out)
+    # only the folders of the batch deals' buckets are read
+    line = [x for x in plan.splitlines() if x.startswith("PartitionFilters") and "deal_bucket" in x][0]
+    assert "deal_bucket" in line and " IN (" in line
+    same = validate_status(batch, flat)
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, same.collect()))

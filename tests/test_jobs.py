@@ -133,3 +133,23 @@ def test_payment_files_job_exclusions(spark, tmp_dir):
     jobs.payment_files_job(spark, folder, ranges, tmp_dir + "/out", exclusions=excl)
     back = spark.read.parquet(tmp_dir + "/out/normalised")
     assert sorted((r["deal_id"] or "-") for r in back.collect()) == ["-", "1"]
+
+
+def test_upload_batch_into_bucketed_ledger(spark, tmp_dir):
+    from ledgerlake.operators.sinks import append_counted
+    from ledgerlake.schemas import with_deal_bucket
+    ledger_path = tmp_dir + "/bledger"
+    n0 = append_counted(with_deal_bucket(adapter(spark, SF, "fx_ledger")), ledger_path, partition_by=("deal_bucket",))
+    b = adapter(spark, SF, "fx_batch").selectExpr(
+        "seq_id", "status", "report_date", "deal_id", "deal_type", "movement_type", "amount AS adjustment_amount")
+    to_staged(b, "o_payment", "B9").write.parquet(tmp_dir + "/st9")
+    res = jobs.upload_batch(spark, "o_payment", tmp_dir + "/st9", "B9", ledger_path, source="Oracle", user="u",
+                            as_of_ts="2024-01-01 00:00:00", partition_by=("deal_bucket",))
+    back = spark.read.parquet(ledger_path)
+    assert back.count() == n0 + res["rows_written"] and res["rows_written"] > 0
+    assert back.filter("deal_bucket IS NULL").count() == 0
+    st = adapter(spark, SF, "fx_status_batch")
+    to_staged(st, "status", "S9").write.parquet(tmp_dir + "/sst9")
+    res2 = jobs.upload_batch(spark, "status", tmp_dir + "/sst9", "S9", ledger_path, new_ledger_path=tmp_dir + "/v2",
+                             user="u", as_of_ts="2024-01-02 00:00:00", partition_by=("deal_bucket",))
+    assert spark.read.parquet(tmp_dir + "/v2").count() == back.count() and res2["rows_written"] > 0

@@ -14,7 +14,8 @@ from ledgerlake.operators.quality import row_count_check
 from ledgerlake.operators.load import load_patch, load_payment, load_status, load_worklist, rows_written
 from ledgerlake.operators.report import DROP_COLUMNS, SHEET_COLUMNS, funder_report
 from ledgerlake.operators.rownum import with_row_number
-from ledgerlake.operators.sinks import append_counted, write_by, write_halves, write_normalised, write_split
+from ledgerlake.operators.sinks import (append_counted, replace_buckets, write_by, write_halves, write_normalised,
+                                        write_split)
 from ledgerlake.operators.validate import VALIDATORS
 from ledgerlake.operators.worklist import clean_worklist, reconcile
 from ledgerlake.schemas import with_deal_bucket
@@ -59,12 +60,16 @@ def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: s
             rows = with_deal_bucket(rows)
         result["rows_written"] = append_counted(rows, ledger_path, partition_by=partition_by)
         return result
-    if new_ledger_path is None:
-        raise ValueError("updates need new_ledger_path")
+    if new_ledger_path is None and "deal_bucket" not in partition_by:
+        raise ValueError("updates need new_ledger_path (or a deal_bucket-partitioned ledger)")
     updated = load_status(validated, ledger, as_of_ts=as_of_ts, user=user) if kind == "status" \
         else load_patch(validated, ledger, as_of_ts=as_of_ts, user=user)
     updated = cut_lineage(updated)
     result["rows_written"] = rows_written(updated).first()["rows_written"]
+    if new_ledger_path is None:
+        # bucketed ledger: replace only the buckets that hold updated rows
+        result["buckets_rewritten"] = len(replace_buckets(spark, ledger_path, updated.drop("n_patches")))
+        return result
     keep = ledger.join(updated.select("id"), "id", "left_anti")
     writer = keep.unionByName(updated.select(*ledger.columns)).write.mode("errorifexists")
     if partition_by:

@@ -78,3 +78,26 @@ def replace_table(df: DataFrame, path: str, new_path: str, fmt: str = "parquet")
         raise ValueError("write the rewritten table to a new path")
     df.write.mode("errorifexists").format(fmt).save(new_path)
     return new_path
+
+
+def replace_buckets(spark, ledger_path: str, updated: DataFrame, bucket_col: str = "deal_bucket") -> list[int]:
+    """K3/K4 on a bucket-partitioned ledger: rewrite only the buckets holding
+    updated rows. Their new content (old rows minus the updated ids, plus the
+    updated rows) is first materialised in the shared checkpoint folder, then
+    those bucket folders alone are replaced (dynamic partition overwrite).
+    Returns the buckets rewritten (at most the bucket count, a bounded list)."""
+    from ledgerlake.session import cut_lineage
+    from ledgerlake.sources.tables import read_ledger
+    buckets = sorted(r[0] for r in updated.select(bucket_col).distinct().collect())
+    if not buckets:
+        return []
+    current = read_ledger(spark, ledger_path).filter(F.col(bucket_col).isin(buckets))
+    fresh = current.join(updated.select("id"), "id", "left_anti").unionByName(updated.select(*current.columns))
+    fresh = cut_lineage(fresh)  # read of the old folders completes before any is replaced
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        fresh.write.mode("overwrite").partitionBy(bucket_col).parquet(ledger_path)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    return buckets

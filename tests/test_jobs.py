@@ -153,3 +153,21 @@ def test_upload_batch_into_bucketed_ledger(spark, tmp_dir):
     res2 = jobs.upload_batch(spark, "status", tmp_dir + "/sst9", "S9", ledger_path, new_ledger_path=tmp_dir + "/v2",
                              user="u", as_of_ts="2024-01-02 00:00:00", partition_by=("deal_bucket",))
     assert spark.read.parquet(tmp_dir + "/v2").count() == back.count() and res2["rows_written"] > 0
+
+
+def test_status_update_rewrites_only_touched_buckets(spark, tmp_dir):
+    from ledgerlake.operators.sinks import append_counted
+    from ledgerlake.schemas import with_deal_bucket
+    ledger_path = tmp_dir + "/bl"
+    n0 = append_counted(with_deal_bucket(adapter(spark, SF, "fx_ledger")), ledger_path, partition_by=("deal_bucket",))
+    before = {r["id"]: r["status"] for r in spark.read.parquet(ledger_path).collect()}
+    st = spark.createDataFrame([(1, "5", "Further Checking")], "seq_id long, deal_id string, status string")
+    to_staged(st, "status", "S").write.parquet(tmp_dir + "/s")
+    res = jobs.upload_batch(spark, "status", tmp_dir + "/s", "S", ledger_path, user="u",
+                            as_of_ts="2024-01-02 00:00:00", partition_by=("deal_bucket",))
+    after = spark.read.parquet(ledger_path)
+    assert after.count() == n0 and res["buckets_rewritten"] == 1
+    changed = {r["id"]: r["status"] for r in after.collect() if before[r["id"]] != r["status"]}
+    deal5 = {r["id"] for r in after.filter("deal_id = '5'").collect()}
+    assert set(changed) <= deal5 and all(v == "Further Checking" for v in changed.values())
+    assert after.filter("deal_id = '5'").filter("status <> 'Further Checking'").count() == 0

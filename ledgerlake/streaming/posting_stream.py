@@ -20,11 +20,19 @@ def post_stream(stream: DataFrame, as_of_ts=None, user: str | None = None) -> Da
 
 
 def start_posting_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str,
-                         user: str | None = None, as_of_ts=None, once: bool = True):
+                         user: str | None = None, as_of_ts=None, once: bool = True,
+                         partition_by: tuple[str, ...] = ()):
     """Read new Parquet files of unposted rows from `source_dir`, post them and
-    append them to `sink_dir`. `checkpoint` must be a shared folder."""
+    append them to `sink_dir` (optionally in the ledger's partitioned layout,
+    e.g. ("deal_bucket",)). `checkpoint` must be a shared folder."""
     src = spark.readStream.schema(LEDGER_SCHEMA).parquet(source_dir)
-    q = (post_stream(src, as_of_ts, user).writeStream.format("parquet")
+    posted = post_stream(src, as_of_ts, user)
+    if "deal_bucket" in partition_by:
+        from ledgerlake.schemas import with_deal_bucket
+        posted = with_deal_bucket(posted)
+    q = (posted.writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).outputMode("append"))
+    if partition_by:
+        q = q.partitionBy(*partition_by)
     q = q.trigger(availableNow=True) if once else q.trigger(processingTime="1 minute")
     return q.start(sink_dir)

@@ -22,3 +22,17 @@ def test_posting_stream(spark, tmp_dir):
     q = start_posting_stream(spark, os.path.join(src, "*"), sink, ckpt, user="stream", as_of_ts="2024-01-01 09:09:09")
     q.awaitTermination(120)
     assert spark.read.parquet(sink).count() == 1
+
+
+def test_posting_stream_partitioned(spark, tmp_dir):
+    src, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("in", "out", "ckpt"))
+    rows = [{**{f.name: None for f in LEDGER_SCHEMA.fields}, "id": i, "deal_id": f"d{i}", "source": "NetSuite",
+             "movement_type": "Initial movement", "deal_type": "Upfront", "assignee": "cloud",
+             "original_invoice_amount": Decimal("10")} for i in range(5)]
+    spark.createDataFrame(rows, LEDGER_SCHEMA).write.parquet(os.path.join(src, "p"))
+    q = start_posting_stream(spark, os.path.join(src, "*"), sink, ckpt, user="s", as_of_ts="2024-01-01 00:00:00",
+                             partition_by=("deal_bucket",))
+    q.awaitTermination(120)
+    out = spark.read.parquet(sink)
+    assert out.count() == 5 and "deal_bucket" in out.columns
+    assert out.filter("trade_ar = -10 AND ofd_cld_14745 = 10").count() == 5

@@ -40,6 +40,7 @@ class _TableParser(HTMLParser):
         self._count = 0
         self._cell: list[str] | None = None
         self._span = (1, 1)
+        self._saved: list[tuple[list[str] | None, tuple[int, int]]] = []  # open cells around nested tables
 
     @staticmethod
     def _int(attrs, name) -> int:
@@ -50,6 +51,8 @@ class _TableParser(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
+            self._saved.append((self._cell, self._span))  # an enclosing cell keeps its text
+            self._cell = None
             self._open.append(_Table(self._count))
             self._count += 1
         elif not self._open:
@@ -73,6 +76,8 @@ class _TableParser(HTMLParser):
         elif tag == "table" and self._open:
             self._close_row()
             self._open.pop()
+            if self._saved:
+                self._cell, self._span = self._saved.pop()
 
     def handle_data(self, data):
         if self._cell is not None:

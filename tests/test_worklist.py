@@ -44,3 +44,28 @@ def test_text_discount_is_coerced_not_fatal(spark):
     clean, _ = clean_worklist(df)
     got = sorted((r["row_no"], r["piece_no"], r["payment_discount"]) for r in clean.collect())
     assert got == [(1, 0, None), (1, 1, None), (2, 0, 7.0), (3, 0, None)]
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st  # noqa: E402
+
+_piece = st.sampled_from(["CM 1", "NS 22", "#3", "DM  4", "x-5", "A/B", "é7", "  ", "", "12,5"])
+_amount = st.sampled_from(["1,200.50", "30", "n/a", "", "7 8", "1 2 3", "5e1"])
+_row = st.tuples(st.integers(0, 5), st.sampled_from(["OFD Warehouse", "OFD Warehouse V2", None]),
+                 st.one_of(st.none(), st.lists(_piece, min_size=1, max_size=3).map(" ".join)),
+                 st.one_of(st.none(), _amount), st.one_of(st.none(), st.integers(0, 50).map(float)))
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_row, min_size=1, max_size=8))
+def test_reconcile_property(spark, rows):
+    """Survey §5: whatever the text, deal ids and discount totals are preserved."""
+    data = [(i, *r) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(data, SCHEMA)
+    clean, exc = clean_worklist(df)
+    rec = reconcile(df, clean, exc).first()
+    assert rec["reconciled"], rec
+    # every clean row of a split parent has one piece per position, no gaps
+    pieces = {}
+    for r in clean.collect():
+        pieces.setdefault(r["row_no"], []).append(r["piece_no"])
+    assert all(sorted(v) == list(range(len(v))) for v in pieces.values())

@@ -79,29 +79,30 @@ def reconcile(original: DataFrame, clean: DataFrame, exceptions: DataFrame,
               tolerance: float = RECONCILE_TOLERANCE) -> DataFrame:
     """Q2: one row - distinct key counts (NULL counts as one value, as pandas
     `unique`), key-set equality of original vs clean+exceptions, discount sums
-    and whether they agree within `tolerance`."""
-    def ids(df, tag):
-        return df.select(F.col(key).alias("k")).distinct().withColumn(tag, F.lit(True))
-
-    o, c, e = ids(original, "in_o"), ids(clean, "in_c"), ids(exceptions, "in_e")
-    keys = (o.unionByName(c, allowMissingColumns=True).unionByName(e, allowMissingColumns=True)
-            .groupBy("k").agg(*[F.bool_or(F.coalesce(F.col(t), F.lit(False))).alias(t)
-                                for t in ("in_o", "in_c", "in_e")]))
-    counts = keys.agg(
+    and whether they agree within `tolerance`.
+
+    One pass: the three frames are stacked with a tag, aggregated per key
+    (map-side combined), then summed into the single result row."""
+    tags = ("o", "c", "e")
+
+    def part(df: DataFrame, tag: str) -> DataFrame:
+        return df.select(F.col(key).alias("k"),
+                         *[F.lit(t == tag).alias(f"in_{t}") for t in tags],
+                         *[(F.col(amount).cast("double") if t == tag else F.lit(None).cast("double")).alias(f"s_{t}")
+                           for t in tags])
+
+    stacked = part(original, "o").unionByName(part(clean, "c")).unionByName(part(exceptions, "e"))
+    per_key = stacked.groupBy("k").agg(*[F.bool_or(f"in_{t}").alias(f"in_{t}") for t in tags],
+                                       *[F.sum(f"s_{t}").alias(f"s_{t}") for t in tags])
+    res = per_key.agg(
         F.count_if("in_o").alias("n_original"),
         F.count_if("in_c").alias("n_clean"),
         F.count_if("in_e").alias("n_exceptions"),
-        F.count_if(F.col("in_o") != (F.col("in_c") | F.col("in_e"))).alias("n_key_mismatch"))
-
-    s_o = original.agg(F.coalesce(F.sum(F.col(amount).cast("double")), F.lit(0.0)).alias("sum_original"))
-    s_c = clean.agg(F.coalesce(F.sum(F.col(amount).cast("double")), F.lit(0.0)).alias("sum_clean"))
-    s_e = exceptions.agg(F.coalesce(F.sum(F.col(amount).cast("double")), F.lit(0.0)).alias("sum_exceptions"))
-    one = F.lit(1)
-    res = (counts.withColumn("_j", one)
-           .join(s_o.withColumn("_j", one), "_j").join(s_c.withColumn("_j", one), "_j")
-           .join(s_e.withColumn("_j", one), "_j").drop("_j"))
+        F.count_if(F.col("in_o") != (F.col("in_c") | F.col("in_e"))).alias("n_key_mismatch"),
+        *[F.coalesce(F.sum(f"s_{t}"), F.lit(0.0)).alias(n)
+          for t, n in zip(tags, ("sum_original", "sum_clean", "sum_exceptions"))])
     ok = (F.col("n_key_mismatch") == 0) & (
         F.abs(F.col("sum_clean") + F.col("sum_exceptions") - F.col("sum_original")) < tolerance)
-    return res.select(*[F.col(x) for x in res.columns if not x.startswith("sum_")],
+    return res.select("n_original", "n_clean", "n_exceptions", "n_key_mismatch",
                       *[F.round(x, 2).alias(x) for x in ("sum_original", "sum_clean", "sum_exceptions")],
                       ok.alias("reconciled"))

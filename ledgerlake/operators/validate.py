@@ -151,6 +151,10 @@ def validate_worklist(batch: DataFrame, ledger: DataFrame, master: DataFrame) ->
     dup = (pairs.join(F.broadcast(mk) if scope.small else mk, ["p_deal", "p_assignee"], "left_semi")
            .select(F.col("p_deal").alias("deal_id")).distinct().withColumn("m_dup", F.lit(True)))
     m = m.join(dup, "deal_id", "left")
+    if scope.small:
+        # at most one row per batch deal (proven by the scope's count): broadcast
+        # it so the batch is never shuffled for this look-up
+        m = F.broadcast(m)
     b = scope.attach(batch, m, ["deal_id"], defaults={"m_assignee": None})
     deal, fm = _c("deal_id"), _c("funding_model")
     msg = messages(

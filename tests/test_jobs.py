@@ -171,3 +171,12 @@ def test_status_update_rewrites_only_touched_buckets(spark, tmp_dir):
     deal5 = {r["id"] for r in after.filter("deal_id = '5'").collect()}
     assert set(changed) <= deal5 and all(v == "Further Checking" for v in changed.values())
     assert after.filter("deal_id = '5'").filter("status <> 'Further Checking'").count() == 0
+
+
+def test_command_line(spark, tmp_dir, capsys):
+    from ledgerlake.__main__ import main
+    path = os.path.join(tmp_dir, "p.csv")
+    write_csv(path, ["Deal Id", "Amount"], [[1, 2], [3, 4], [5, 6]])
+    res = main(["to-csv", "--file", path, "--out", tmp_dir + "/p_out"], spark=spark)
+    assert res == {"source_rows": 3, "written_rows": 3, "ok": True}
+    assert '"ok": true' in capsys.readouterr().out

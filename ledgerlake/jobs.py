@@ -134,7 +134,9 @@ def payment_files_job(spark: SparkSession, folder: str, ranges: DataFrame, out_b
     files = files_order.join(cells, "file_name", "left").select(
         F.col("file_name").alias("file"), "file_order",
         F.to_date(F.col(date_column), "M/d/yyyy").alias("cell_date"))
-    names = assign_names(files, ranges)
+    # a target name already taken by a file in the folder is skipped
+    existing = rows.select(F.col("file_name").alias("name")).distinct()
+    names = assign_names(files, ranges, existing)
     names.write.mode("overwrite").option("header", True).csv(f"{out_base.rstrip('/')}/assignments")
     return names
 

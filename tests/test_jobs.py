@@ -180,3 +180,17 @@ def test_command_line(spark, tmp_dir, capsys):
     res = main(["to-csv", "--file", path, "--out", tmp_dir + "/p_out"], spark=spark)
     assert res == {"source_rows": 3, "written_rows": 3, "ok": True}
     assert '"ok": true' in capsys.readouterr().out
+
+
+def test_payment_files_job_skips_names_present_in_folder(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "taken")
+    os.makedirs(folder)
+    header = ["Deal Id", "Assignment Date"]
+    write_csv(os.path.join(folder, "a.csv"), header, [[1, "01-Feb-2024"], [2, "05-Mar-2024"]])
+    write_csv(os.path.join(folder, "Q1.csv"), header, [[3, "01-Jan-2020"], [4, "01-Jan-2020"]])
+    ranges = spark.createDataFrame([("Q1.csv", dt.date(2024, 1, 1), dt.date(2024, 3, 31), 1),
+                                    ("Q1b.csv", dt.date(2024, 1, 1), dt.date(2024, 3, 31), 2)],
+                                   "file_name string, start_date date, end_date date, range_rank long")
+    got = {r["file"]: (r["new_name"], r["status"]) for r in
+           jobs.payment_files_job(spark, folder, ranges, tmp_dir + "/pt").collect()}
+    assert got == {"a.csv": ("Q1b.csv", "renamed"), "Q1.csv": (None, "unmatched")}

@@ -133,7 +133,7 @@ def payment_files_job(spark: SparkSession, folder: str, ranges: DataFrame, out_b
     files_order = with_row_number(rows.select("file_name").distinct(), ["file_name"], name="file_order")
     files = files_order.join(cells, "file_name", "left").select(
         F.col("file_name").alias("file"), "file_order",
-        F.to_date(F.col(date_column), "M/d/yyyy").alias("cell_date"))
+        F.try_to_date(F.col(date_column), "M/d/yyyy").alias("cell_date"))
     # a target name already taken by a file in the folder is skipped
     existing = rows.select(F.col("file_name").alias("name")).distinct()
     names = assign_names(files, ranges, existing)

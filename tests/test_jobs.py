@@ -194,3 +194,13 @@ def test_payment_files_job_skips_names_present_in_folder(spark, tmp_dir):
     got = {r["file"]: (r["new_name"], r["status"]) for r in
            jobs.payment_files_job(spark, folder, ranges, tmp_dir + "/pt").collect()}
     assert got == {"a.csv": ("Q1b.csv", "renamed"), "Q1.csv": (None, "unmatched")}
+
+
+def test_payment_files_job_bad_cell_date_is_unmatched(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "bad")
+    os.makedirs(folder)
+    write_csv(os.path.join(folder, "a.csv"), ["Deal Id", "Assignment Date"], [[1, "01-Feb-2024"], [2, "31-Feb-2024"]])
+    ranges = spark.createDataFrame([("Q1", dt.date(2024, 1, 1), dt.date(2024, 3, 31), 1)],
+                                   "file_name string, start_date date, end_date date, range_rank long")
+    got = {r["file"]: r["status"] for r in jobs.payment_files_job(spark, folder, ranges, tmp_dir + "/pb").collect()}
+    assert got == {"a.csv": "unmatched"}

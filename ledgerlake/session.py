@@ -61,9 +61,36 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def _path_and_fs(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for intermediate tables."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/ledgerlake/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared checkpoint folder for intermediate tables.
+
+    All paths of one application lie in one folder that is marked for deletion
+    when the driver ends, so intermediate tables never pile up across runs.
+    """
+    root = f"{checkpoint_dir(spark).rstrip('/')}/ledgerlake/{spark.sparkContext.applicationId}"
+    jpath, fs = _path_and_fs(spark, root)
+    fs.mkdirs(jpath)
+    fs.deleteOnExit(jpath)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that no later plan reads."""
+    jpath, fs = _path_and_fs(spark, path)
+    fs.delete(jpath, True)
+
+
+def materialise(df: DataFrame, name: str = "cut") -> tuple[DataFrame, str]:
+    """Write `df` as a Parquet table in the shared checkpoint folder; return the
+    table read back and its path (for `discard`)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -71,7 +98,4 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     read it back: the plan runs once (an eager `checkpoint()` without a cache
     runs it twice), the result survives executor loss, and later plans see
     real file statistics."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "cut")
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    return materialise(df)[0]

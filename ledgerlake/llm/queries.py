@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from ledgerlake.llm.bpe import op5_bpe
 from ledgerlake.llm.sharding import op9_sharding
+from ledgerlake.llm.warc import op6_warc
 
 QUERIES = {
     "op5_bpe": op5_bpe,
+    "op6_warc": op6_warc,
     "op9_sharding": op9_sharding,
 }
 

@@ -11,7 +11,8 @@ those of the whole text.
 
 Defined results: NULL and empty texts encode to no ids and decode to no bytes;
 ids outside the vocabulary make the decoding fail; other columns pass through
-untouched; empty tables give empty results.
+untouched, but for those named like a result column, which the result replaces;
+empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.llm.common import kept_fields, named, table, with_columns
+
 PIECE_CHARS = 1 << 14  # texts longer than this are cut
 BATCH_BYTES = 4 << 20  # output batches are closed at about this size
 
@@ -54,10 +57,6 @@ def pieces(text: str, limit: int = PIECE_CHARS) -> list[str]:
     return out
 
 
-def _with(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns, *columns.values()], names=[*batch.schema.names, *columns])
-
-
 def _slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices whose text is about `most` bytes."""
     import pyarrow.compute as pc
@@ -72,17 +71,10 @@ def _slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Iter
         yield batch.slice(start)
 
 
-def _names(df: DataFrame, *new: str) -> None:
-    taken = {c.lower() for c in df.columns} & set(new)
-    if taken:
-        raise ValueError(f"the input already has the columns {sorted(taken)}")
-
-
 def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text") -> DataFrame:
     """The input without its text, with `ids` (token ids packed as little-endian
     unsigned 32-bit integers, binary) and `n_tokens`."""
-    _names(docs, "ids", "n_tokens")
-    kept = [f for f in docs.schema.fields if f.name != text_col]
+    kept = kept_fields(docs, text_col, "ids", "n_tokens")
     schema = T.StructType([*kept, T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,10 +92,10 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text"
                     packed.append(_le_bytes(ids))
                     counts.append(len(ids))
                 rest = batch.select([f.name for f in kept])
-                yield _with(rest, {"ids": pa.array(packed, pa.binary()),
+                yield with_columns(rest, {"ids": pa.array(packed, pa.binary()),
                                           "n_tokens": pa.array(counts, pa.int64())})
 
-    return docs.select(*[F.col(f"`{f.name}`") for f in kept], F.col(f"`{text_col}`")).mapInArrow(run, schema)
+    return docs.select(*named(kept), F.col(f"`{text_col}`")).mapInArrow(run, schema)
 
 
 def _le_bytes(ids) -> bytes:
@@ -119,8 +111,8 @@ def _le_bytes(ids) -> bytes:
 
 def decode(encoded: DataFrame, rank_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
     """The input with `decoded`: the raw bytes of each row's ids, which need not be valid UTF-8."""
-    _names(encoded, "decoded")
-    schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
+    kept = kept_fields(encoded, "decoded")
+    schema = T.StructType([*kept, T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -129,16 +121,14 @@ def decode(encoded: DataFrame, rank_path: str, pattern: str, ids_col: str = "ids
             for batch in _slices(whole, ids_col):
                 out = [enc.decode_bytes(np.frombuffer(b, "<u4").tolist()) if b else b""
                        for b in batch.column(ids_col).to_pylist()]
-                yield _with(batch, {"decoded": pa.array(out, pa.binary())})
+                yield with_columns(batch, {"decoded": pa.array(out, pa.binary())})
 
-    return encoded.mapInArrow(run, schema)
+    return encoded.select(*named(kept)).mapInArrow(run, schema)
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str, rank_path: str | None = None, pattern: str | None = None) -> DataFrame:
     """Every whole document encoded and decoded again; digests of the ids and of the decoded bytes."""
     import public_tokenizers
-
-    from ledgerlake.llm.common import table
     rank_path = rank_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     pattern = pattern or public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from ledgerlake.llm.ann import op10_ann
 from ledgerlake.llm.bpe import op5_bpe
+from ledgerlake.llm.near import op2_near
 from ledgerlake.llm.quality import op8_quality
 from ledgerlake.llm.sharding import op9_sharding
 from ledgerlake.llm.warc import op6_warc
 
 QUERIES = {
+    "op2_near": op2_near,
     "op5_bpe": op5_bpe,
     "op6_warc": op6_warc,
     "op8_quality": op8_quality,

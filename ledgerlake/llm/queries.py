@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerlake.llm.ann import op10_ann
 from ledgerlake.llm.bpe import op5_bpe
 from ledgerlake.llm.decontaminate import op4_decontaminate
+from ledgerlake.llm.lm import op3_lm
 from ledgerlake.llm.near import op2_near
 from ledgerlake.llm.quality import op8_quality
 from ledgerlake.llm.sharding import op9_sharding
@@ -12,6 +13,7 @@ from ledgerlake.llm.warc import op6_warc
 
 QUERIES = {
     "op2_near": op2_near,
+    "op3_lm": op3_lm,
     "op4_decontaminate": op4_decontaminate,
     "op5_bpe": op5_bpe,
     "op6_warc": op6_warc,

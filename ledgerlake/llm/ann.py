@@ -40,8 +40,9 @@ from ledgerlake.session import materialise
 
 FUNCTIONS = 6
 WIDTH = 2.0
-TABLES = 4
+TABLES = 6
 PROBES = 40
+TEMPLATE = 4  # perturbation sets weighed per set visited
 EXACT_BELOW = 1024
 CHUNK = 4096  # members of a bucket that one group holds
 SEED = 20240229
@@ -59,25 +60,43 @@ def functions_of(dim: int, tables: int, functions: int, width: float) -> tuple[n
     return rng.standard_normal((dim, tables * functions)), rng.random_sample(tables * functions) * width
 
 
-def probe_sets(fraction: np.ndarray, probes: int) -> list[list[tuple[int, int]]]:
-    """Perturbation sets [(function, -1 or +1), ...] in the order of their cost, the empty set first."""
+def template_of(functions: int, count: int) -> np.ndarray:
+    """(count x 2*functions) perturbation sets over ranks, in the order of their expected cost, the empty set first.
+
+    Rank j is the j-th cheapest of a query's 2*functions single perturbations;
+    ranks j and 2*functions - 1 - j move the same function and exclude each other.
+    """
     import heapq
-    k = len(fraction)
-    cost = np.concatenate([fraction, 1.0 - fraction]) ** 2
-    order = np.argsort(cost, kind="stable")
-    z = cost[order].tolist()
-    which = [(int(o % k), -1 if o < k else 1) for o in order]
-    out: list[list[tuple[int, int]]] = [[]]
+    k = functions
+    j = np.arange(1, k + 1)
+    low = j * (j + 1) / (4.0 * (k + 1) * (k + 2))
+    i = 2 * k + 1 - np.arange(k + 1, 2 * k + 1)
+    z = np.concatenate([low, 1 - i / (k + 1) + i * (i + 1) / (4.0 * (k + 1) * (k + 2))]).tolist()
+    out = [np.zeros(2 * k, bool)]
     heap = [(z[0], (0,))]
-    while heap and len(out) < probes:
-        s, a = heapq.heappop(heap)
-        if len({which[i][0] for i in a}) == len(a):
-            out.append([which[i] for i in a])
+    while heap and len(out) < count:
+        cost, a = heapq.heappop(heap)
+        if not any(2 * k - 1 - r in a for r in a):
+            out.append(np.isin(np.arange(2 * k), a))
         last = a[-1] + 1
-        if last < len(z):
-            heapq.heappush(heap, (s - z[last - 1] + z[last], a[:-1] + (last,)))
-            heapq.heappush(heap, (s + z[last], a + (last,)))
-    return out
+        if last < 2 * k:
+            heapq.heappush(heap, (cost - z[last - 1] + z[last], a[:-1] + (last,)))
+            heapq.heappush(heap, (cost + z[last], a + (last,)))
+    return np.array(out)
+
+
+def probe_steps(fraction: np.ndarray, template: np.ndarray, probes: int) -> np.ndarray:
+    """(rows x probes x functions) steps from the home bucket: for each row the template's sets
+    of the lowest cost, by the row's own distances to its borders."""
+    rows, k = fraction.shape
+    cost = np.concatenate([fraction, 1.0 - fraction], axis=1) ** 2
+    order = np.argsort(cost, axis=1, kind="stable")
+    total = np.take_along_axis(cost, order, 1) @ template.T.astype(np.float64)
+    chosen = np.argsort(total, axis=1, kind="stable")[:, :probes]
+    move = np.zeros((rows, 2 * k, k), np.int64)  # what each rank does
+    at = np.arange(rows)[:, None]
+    move[at, np.arange(2 * k)[None, :], order % k] = np.where(order < k, -1, 1)
+    return np.matmul(template[chosen].astype(np.int64), move)
 
 
 def _mix(keys: np.ndarray) -> np.ndarray:
@@ -92,6 +111,7 @@ def _mix(keys: np.ndarray) -> np.ndarray:
 def _hashed(tables: int, functions: int, width: float, probes: int | None):
     """mapInArrow function: (class_id, vector bytes) to a row per table, or per table and probe."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        template = template_of(functions, TEMPLATE * probes) if probes is not None and functions else None
         for batch in batches:
             ids = batch.column("class_id").to_pylist()
             by_dim: dict[int, list[int]] = {}
@@ -107,22 +127,19 @@ def _hashed(tables: int, functions: int, width: float, probes: int | None):
                     pos = ((x @ a + b) / width).reshape(len(part), tables, functions)
                     home = np.floor(pos)
                     out_t, out_k, out_i = [], [], []
-                    for j, i in enumerate(part):
-                        for t in range(tables):
-                            if probes is None or functions == 0:
-                                keys = home[j, t][None]
-                            else:
-                                sets = probe_sets(pos[j, t] - home[j, t], probes)
-                                keys = np.repeat(home[j, t][None], len(sets), 0)
-                                for n, s in enumerate(sets):
-                                    for f, d in s:
-                                        keys[n, f] += d
-                            out_k.append(_mix(np.column_stack([np.full(len(keys), dim), keys])))
-                            out_t.append(np.full(len(keys), t, np.int32))
-                            out_i += [i] * len(keys)
+                    for t in range(tables):
+                        keys = home[:, t, None].astype(np.int64)
+                        if probes is not None and functions:
+                            keys = keys + probe_steps(pos[:, t] - home[:, t], template, probes)
+                        each = keys.shape[1]
+                        flat = np.column_stack([np.full(len(part) * each, dim), keys.reshape(-1, functions)])
+                        out_k.append(_mix(flat))
+                        out_t.append(np.full(len(flat), t, np.int32))
+                        out_i.append(np.repeat(part, each))
+                    out_i = np.concatenate(out_i)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(out_t)), pa.array(np.concatenate(out_k)),
-                         pa.array([ids[i] for i in out_i], pa.int64()),
+                         pa.array(np.array(ids, np.int64)[out_i]),
                          batch.column("v").take(pa.array(out_i))], names=["tab", "bucket", "class_id", "v"])
     return run
 
@@ -146,18 +163,29 @@ def _score_bucket(k: int):
                 part = q[lo:lo + 256]
                 x = np.frombuffer(b"".join(raw[i] for i in part), "<f8").reshape(len(part), -1)
                 rough = (x @ cand.T) / c_len
-                for j, i in enumerate(part):
-                    # the matrix product picks, with a margin for its rounding; a plain row product scores
-                    most = min(k, len(c))
-                    cut = np.partition(rough[j], len(c) - most)[len(c) - most]
-                    keep = np.flatnonzero(rough[j] >= cut - 1e-9 * max(1.0, abs(cut)))
-                    s = np.einsum("ij,ij->i", cand[keep], np.repeat(x[j][None], len(keep), 0))
-                    s = s / (c_len[keep] * np.sqrt(np.einsum("ij,ij->i", x[j][None], x[j][None]))[0])
-                    best = np.lexsort((ids[c[keep]], -s))[:most]
-                    out_q += [ids[i]] * len(best)
-                    out_c.append(ids[c[keep[best]]])
-                    out_s.append(s[best])
-        return pa.table({"query_class": pa.array(out_q, pa.int64()),
+                x_len = np.sqrt(np.einsum("ij,ij->i", x, x))
+                # the matrix product picks, one more than asked for; a plain row product scores
+                most = min(k, len(c))
+                if most == len(c):
+                    picked = np.repeat(np.arange(len(c))[None], len(part), 0)
+                else:
+                    picked = np.argpartition(-rough, most, axis=1)[:, :most + 1]
+                    worst = np.sort(-np.take_along_axis(rough, picked, 1), axis=1)
+                    # equal scores around the cut: the row is picked again, with all of them
+                    tied = np.flatnonzero(worst[:, most] - worst[:, most - 1] <= 1e-9 * np.abs(worst[:, most - 1]))
+                for rows, sel in [(np.arange(len(part)), picked)] if most == len(c) else [
+                        (np.setdiff1d(np.arange(len(part)), tied), None),
+                        *[(np.array([j]), np.flatnonzero(-rough[j] <= worst[j, most - 1] + 1e-9 * abs(worst[j, most - 1]))[None])
+                          for j in tied]]:
+                    if not len(rows):
+                        continue
+                    sel = picked[rows] if sel is None else sel
+                    s = np.einsum("mkd,md->mk", cand[sel], x[rows]) / (c_len[sel] * x_len[rows][:, None])
+                    best = np.lexsort((ids[c][sel], -s), axis=1)[:, :most]
+                    out_q.append(np.repeat(ids[part[rows]], best.shape[1]))
+                    out_c.append(np.take_along_axis(ids[c][sel], best, 1).ravel())
+                    out_s.append(np.take_along_axis(s, best, 1).ravel())
+        return pa.table({"query_class": pa.array(np.concatenate(out_q) if out_q else [], pa.int64()),
                          "class_id": pa.array(np.concatenate(out_c) if out_c else [], pa.int64()),
                          "score": pa.array(np.concatenate(out_s) if out_s else [], pa.float64())})
     return run

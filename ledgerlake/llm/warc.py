@@ -66,7 +66,7 @@ def warc_record(page_id, url, payload: bytes, digest: str, refers_to, is_revisit
     lines = ["WARC/1.1", f"WARC-Type: {'revisit' if is_revisit else 'response'}", f"WARC-Record-ID: {record_id(page_id)}",
              f"WARC-Date: {date}"]
     if url is not None:
-        safe = "".join(c if c > " " and c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
+        safe = "".join(c if "!" <= c <= "~" else "".join(f"%{b:02X}" for b in c.encode()) for c in url)
         lines.append(f"WARC-Target-URI: {safe}")
     lines.append(f"WARC-Payload-Digest: sha1:{digest}")
     if is_revisit:
@@ -186,11 +186,15 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
     groups = narrow.where(F.col("n") >= min_bytes).groupBy("sha").agg(
         F.max("page_id").alias("keeper"), F.count("*").alias("copies")).where("copies > 1 AND keeper IS NOT NULL")
     key = F.concat_ws("|", F.coalesce(F.col("page_id").cast("string"), F.lit("")), "sha")
-    revisits = narrow.join(groups, "sha").where(~F.col("page_id").eqNullSafe(F.col("keeper"))) \
-        .select(key.alias("key"), "keeper").distinct()
+    revisits, _ = materialise(narrow.join(groups, "sha").where(~F.col("page_id").eqNullSafe(F.col("keeper")))
+                              .select(key.alias("key"), "keeper").distinct(), "warc-revisits")
     # the payloads move once, to the bundles; both sides are dealt by the row's own key
-    joined = src.withColumn("key", key).repartition(bundles, "key").join(
-        revisits.repartition(bundles, "key"), "key", "left").select("page_id", "url", "payload", "sha", "keeper")
+    dealt = src.withColumn("key", key).repartition(bundles, "key")
+    if revisits.isEmpty():  # a join that adaptive execution finds empty would deal the payloads again
+        joined = dealt.withColumn("keeper", F.lit(None).cast("long"))
+    else:
+        joined = dealt.join(revisits.repartition(bundles, "key"), "key", "left")
+    joined = joined.select("page_id", "url", "payload", "sha", "keeper")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import base64

@@ -5,6 +5,7 @@ from __future__ import annotations
 from ledgerlake.llm.ann import op10_ann
 from ledgerlake.llm.bpe import op5_bpe
 from ledgerlake.llm.decontaminate import op4_decontaminate
+from ledgerlake.llm.html import op7_html
 from ledgerlake.llm.lm import op3_lm
 from ledgerlake.llm.near import op2_near
 from ledgerlake.llm.quality import op8_quality
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate,
     "op5_bpe": op5_bpe,
     "op6_warc": op6_warc,
+    "op7_html": op7_html,
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_ann": op10_ann,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from ledgerlake.llm.ann import op10_ann
 from ledgerlake.llm.bpe import op5_bpe
 from ledgerlake.llm.decontaminate import op4_decontaminate
@@ -10,9 +11,11 @@ from ledgerlake.llm.lm import op3_lm
 from ledgerlake.llm.near import op2_near
 from ledgerlake.llm.quality import op8_quality
 from ledgerlake.llm.sharding import op9_sharding
+from ledgerlake.llm.urls import op1_sql, op1_urls
 from ledgerlake.llm.warc import op6_warc
 
 QUERIES = {
+    "op1_urls": op1_urls,
     "op2_near": op2_near,
     "op3_lm": op3_lm,
     "op4_decontaminate": op4_decontaminate,
@@ -22,8 +25,12 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_ann": op10_ann,
+    "pipeline": corpus_pipeline.run,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    out = {"op1_urls": op1_sql()}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out

@@ -132,7 +132,7 @@ def _hashed(tables: int, functions: int, width: float, probes: int | None):
                         if probes is not None and functions:
                             keys = keys + probe_steps(pos[:, t] - home[:, t], template, probes)
                         each = keys.shape[1]
-                        flat = np.column_stack([np.full(len(part) * each, dim), keys.reshape(-1, functions)])
+                        flat = np.column_stack([np.full(len(part) * each, dim), keys.reshape(len(part) * each, functions)])
                         out_k.append(_mix(flat))
                         out_t.append(np.full(len(flat), t, np.int32))
                         out_i.append(np.repeat(part, each))

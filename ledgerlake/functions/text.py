@@ -5,7 +5,7 @@ Python's `\\w`/`\\s` are Unicode-aware; Java's are ASCII unless `(?U)` is given.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # ---- fixed values: prefixes glued to the number that follows, in this order ----
 GLUED_PREFIXES = ["CM ", "DM ", "NS "]
@@ -51,6 +51,13 @@ def lenient_double(c, strip_commas: bool = False) -> Column:
     return F.when(x.rlike(_NUMERIC), F.trim(x).try_cast("double"))
 
 
+def double_column(df: DataFrame, name: str) -> Column:
+    """A sheet column as numbers: text is coerced, a numeric column keeps its values; NaN is missing."""
+    col = F.col(f"`{name}`")
+    x = lenient_double(col) if dict(df.dtypes)[name] == "string" else col.cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def file_name_of(path) -> Column:
     return F.regexp_extract(_c(path), r"([^/\\]*)$", 1)
 

@@ -9,18 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerlake.operators.flags import bounded
 from ledgerlake.operators.files import assign_names, exclude_deals, normalise_dates, split_halves
 from ledgerlake.operators.quality import row_count_check
 from ledgerlake.operators.load import load_patch, load_payment, load_status, load_worklist, rows_written
 from ledgerlake.operators.report import DROP_COLUMNS, SHEET_COLUMNS, funder_report
 from ledgerlake.operators.rownum import with_row_number
-from ledgerlake.operators.sinks import (append_counted, replace_buckets, write_by, write_halves, write_normalised,
-                                        write_split)
+from ledgerlake.operators.sinks import (append_counted, clustered, read_csv, replace_buckets, write_by, write_halves,
+                                        write_normalised, write_split)
 from ledgerlake.operators.validate import VALIDATORS
 from ledgerlake.operators.worklist import clean_worklist, reconcile
 from ledgerlake.schemas import with_deal_bucket
-from ledgerlake.session import cut_lineage
-from ledgerlake.functions.text import file_name_of
+from ledgerlake.session import cut_lineage, path_exists
+from ledgerlake.functions.text import double_column, file_name_of
 from ledgerlake.sources.tables import cell_at, read_batch, read_export, read_ledger, read_master
 
 INSERT_KINDS = ("worklist", "ns_payment", "o_payment", "o_exception")
@@ -29,7 +30,7 @@ INSERT_KINDS = ("worklist", "ns_payment", "o_payment", "o_exception")
 def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: str, ledger_path: str,
                  master_path: str | None = None, new_ledger_path: str | None = None, *,
                  source: str | None = None, user: str | None = None, as_of_ts=None,
-                 partition_by: tuple[str, ...] = ()) -> dict:
+                 partition_by: tuple[str, ...] = (), rejected_path: str | None = None) -> dict:
     """Validate one staged batch and load its clean rows.
 
     `partition_by` is the ledger's stored layout: ("source",) and/or
@@ -37,7 +38,16 @@ def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: s
 
     Inserts are appended to `ledger_path`. Updates (status, patch) write a new
     ledger version to `new_ledger_path` (the input is never overwritten while
-    it is read). Returns counts and the rejected rows' location."""
+    it is read). Rejected rows are written with their error text below
+    `rejected_path` (default: next to the ledger), one folder per batch. A batch
+    of a name already loaded into this ledger is refused: its record is written
+    after the load, below `<ledger>_batches`.
+
+    Returns counts and the rejected rows' folder."""
+    beside = ledger_path.rstrip("/")
+    record = f"{beside}_batches/{kind}-{batch_name}"
+    if path_exists(spark, record):
+        raise ValueError(f"batch {batch_name!r} ({kind}) is already loaded into {ledger_path}")
     staged = spark.read.parquet(staged_path)
     batch = read_batch(staged, kind, batch_name)
     ledger = read_ledger(spark, ledger_path)
@@ -47,8 +57,16 @@ def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: s
     else:
         validated = fn(batch, ledger)
     validated = cut_lineage(validated)  # read twice: rejected report and load
-    rejected = validated.filter(F.col("error_msg").isNotNull()).count()
-    result = {"batch_rows": validated.count(), "rejected": rejected}
+    counts = validated.agg(F.count("*").alias("n"), F.count("error_msg").alias("bad")).first()
+    result = {"batch_rows": counts["n"], "rejected": counts["bad"],
+              "rejected_path": f"{(rejected_path or beside + '_rejected').rstrip('/')}/{kind}-{batch_name}"}
+    validated.filter(F.col("error_msg").isNotNull()).write.mode("overwrite").parquet(result["rejected_path"])
+
+    def done() -> dict:
+        spark.createDataFrame([(kind, batch_name, result["rows_written"])], "kind string, batch string, rows_written long") \
+            .coalesce(1).write.mode("errorifexists").json(record)
+        return result
+
     if kind in INSERT_KINDS:
         if kind == "worklist":
             rows = load_worklist(validated, read_master(spark, master_path), ledger, source=source,
@@ -59,7 +77,7 @@ def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: s
         if "deal_bucket" in partition_by:
             rows = with_deal_bucket(rows)
         result["rows_written"] = append_counted(rows, ledger_path, partition_by=partition_by)
-        return result
+        return done()
     if new_ledger_path is None and "deal_bucket" not in partition_by:
         raise ValueError("updates need new_ledger_path (or a deal_bucket-partitioned ledger)")
     updated = load_status(validated, ledger, as_of_ts=as_of_ts, user=user) if kind == "status" \
@@ -69,14 +87,15 @@ def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: s
     if new_ledger_path is None:
         # bucketed ledger: replace only the buckets that hold updated rows
         result["buckets_rewritten"] = len(replace_buckets(spark, ledger_path, updated.drop("n_patches")))
-        return result
-    keep = ledger.join(updated.select("id"), "id", "left_anti")
-    writer = keep.unionByName(updated.select(*ledger.columns)).write.mode("errorifexists")
+        return done()
+    # ids of a checked size are probed where the ledger lies; it is not dealt out for them
+    keep = ledger.join(bounded(updated.select("id")), "id", "left_anti")
+    writer = clustered(keep.unionByName(updated.select(*ledger.columns)), partition_by).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(new_ledger_path)
     result["new_ledger_path"] = new_ledger_path
-    return result
+    return done()
 
 
 def read_payment_sheet(spark: SparkSession, path: str) -> DataFrame:
@@ -87,7 +106,7 @@ def read_payment_sheet(spark: SparkSession, path: str) -> DataFrame:
     due = F.col("payment_due_date").cast("string")
     return (renamed.withColumn("payment_due_date", F.coalesce(F.try_to_date(due, "yyyy-MM-dd"),
                                                               F.try_to_date(due, "M/d/yyyy")))
-            .withColumn("open_amt", F.col("open_amt").try_cast("double")))
+            .withColumn("open_amt", double_column(renamed, "open_amt")))
 
 
 def funder_report_job(spark: SparkSession, sheet_path: str, out_base: str, as_of, start="2020-01-01") -> str:
@@ -102,13 +121,12 @@ def worklist_job(spark: SparkSession, path: str, out_base: str, as_of) -> dict:
     raw = read_export(spark, path).drop("_file", "_row")
     cols = {c: c.lower().replace(" ", "_") for c in raw.columns}
     df = raw.select(*[F.col(f"`{a}`").alias(b) for a, b in cols.items()])
-    df = cut_lineage(df.withColumn("payment_discount", F.col("payment_discount").try_cast("double")))
+    df = cut_lineage(df.withColumn("payment_discount", double_column(df, "payment_discount")))
     clean, exc = clean_worklist(df)
     clean_path, exc_path = write_split(clean, exc, out_base, as_of, fmt="csv")
-    rec = reconcile(df, spark.read.option("header", True).csv(clean_path)
-                    .withColumn("payment_discount", F.col("payment_discount").try_cast("double")),
-                    spark.read.option("header", True).csv(exc_path)
-                    .withColumn("payment_discount", F.col("payment_discount").try_cast("double"))).first()
+    written = [x.withColumn("payment_discount", double_column(x, "payment_discount"))
+               for x in (read_csv(spark, clean_path), read_csv(spark, exc_path))]
+    rec = reconcile(df, *written).first()
     return {"clean": clean_path, "exceptions": exc_path, **rec.asDict()}
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerlake.functions.dates import normalise_date_text
 from ledgerlake.operators.flags import bounded
 from ledgerlake.operators.rownum import with_row_number
-from ledgerlake.session import cut_lineage
+from ledgerlake.session import cut_lineage, discard, materialise
 
 # ---- fixed values ------------------------------------------------------------
 DATE_COLUMNS = ["contract_close_date", "funding_date", "assignment_date", "payment_due_date"]
@@ -22,9 +22,6 @@ REFERENCE_EXCLUSIONS = [
     ("PaymentDetails_NA_20190401_20190531_amend(excl 98636).xlsx", 98636),
     ("PaymentDetails_NA_20200601_20200930_amend(excl 115944).xlsx", 115944),
 ]
-# ranges tables up to this size are broadcast after a counted check
-MAX_BROADCAST_RANGES = 100_000
-MAX_NAMING_ROUNDS = 64
 
 
 def normalise_dates(df: DataFrame, columns: Sequence[str] = DATE_COLUMNS) -> DataFrame:
@@ -57,11 +54,11 @@ def range_candidates(files: DataFrame, ranges: DataFrame) -> DataFrame:
 
     Ranges are exploded to the months they cover and joined on (month) - an
     equi-join whatever the size of the ranges table - then the exact bounds are
-    checked. Small ranges tables are broadcast after a counted check."""
+    checked. Ranges tables of a measured size are broadcast."""
     months = ranges.withColumn(
         "_m", F.explode(F.sequence(F.trunc("start_date", "month"), F.trunc("end_date", "month"),
                                    F.expr("INTERVAL 1 MONTH"))))
-    months = bounded(months, MAX_BROADCAST_RANGES)
+    months = bounded(months)
     f = files.withColumn("_m", F.trunc("cell_date", "month"))
     j = f.join(months, "_m").filter((F.col("cell_date") >= F.col("start_date")) & (F.col("cell_date") <= F.col("end_date")))
     return j.select("file", "file_order", F.col("file_name").alias("name"), "range_rank")
@@ -75,44 +72,33 @@ def assign_names(files: DataFrame, ranges: DataFrame, existing: DataFrame | None
     (file, new_name, status) with status renamed / conflict / unmatched.
 
     Serial "first come, first served" with one priority order for all names is
-    computed as deferred acceptance: every open file proposes its best remaining
-    candidate, each name keeps its earliest proposer so far, the rest move on.
-    Each round is two aggregates and two joins; rounds end when nobody moves
-    (one round when ranges do not overlap)."""
+    computed as deferred acceptance: every file proposes its best remaining
+    candidate and each name keeps its earliest proposer. A name's keeper can only
+    be replaced by an earlier file, so every pair of that name with a later file
+    is out, proposed or not. Rounds of two aggregates and two joins go on until
+    no pair is out."""
     cand = range_candidates(files, ranges)
     if existing is not None:
         cand = cand.join(existing.select(F.col("name")), "name", "left_anti")
-    # candidate rank per file: position among its candidates (by range order)
-    cand = cand.select("file", "file_order", "name", "range_rank")
+    cand = cut_lineage(cand.select("file", "file_order", "name", "range_rank"))
     spark = files.sparkSession
-    cand = cut_lineage(cand)
-    most = cand.groupBy("file").count().agg(F.max("count").alias("m")).first()["m"] or 0
-    if most <= 1:
-        # one candidate per file: every name simply goes to its earliest file
-        winner = cand.groupBy("name").agg(F.min_by(F.struct("file", "file_order"), "file_order").alias("w"))
-        held = winner.select("name", F.col("w.file").alias("file"), F.col("w.file_order").alias("file_order"))
-    else:
-        held = spark.createDataFrame([], "name string, file string, file_order long")
-        active = cand  # (file, name) pairs not rejected yet
-        for _ in range(MAX_NAMING_ROUNDS):
-            # every file that holds no name proposes its best remaining candidate
-            open_pairs = active.join(held.select("file"), "file", "left_anti")
-            best = open_pairs.groupBy("file", "file_order").agg(F.min("range_rank").alias("range_rank"))
-            proposals = best.join(open_pairs, ["file", "file_order", "range_rank"]).select("name", "file", "file_order")
-            contest = held.unionByName(proposals)
-            # each name keeps its earliest file (map-side combined: a hot name is cheap)
-            winner = contest.groupBy("name").agg(F.min_by(F.struct("file", "file_order"), "file_order").alias("w"))
-            new_held = cut_lineage(winner.select("name", F.col("w.file").alias("file"),
-                                                 F.col("w.file_order").alias("file_order")))
-            losers = (contest.join(new_held.select("name", F.col("file").alias("_wf")), "name")
-                      .filter(F.col("file") != F.col("_wf")).select("file", "name"))
-            active = cut_lineage(active.join(losers, ["file", "name"], "left_anti"))
-            held = new_held
-            still_open = active.join(held.select("file"), "file", "left_anti")
-            if still_open.limit(1).count() == 0:
-                break
-        else:
-            raise RuntimeError("name assignment did not settle; raise MAX_NAMING_ROUNDS")
+    active, path, left = cand, None, None
+    while True:
+        best = active.groupBy("file").agg(F.min("range_rank").alias("range_rank"))
+        proposals = active.join(best, ["file", "range_rank"])
+        # map-side combined: a hot name is cheap
+        keeper = proposals.groupBy("name").agg(F.min("file_order").alias("_keeper"))
+        fewer, fewer_path = materialise(active.join(keeper, "name", "left").filter(
+            F.col("_keeper").isNull() | (F.col("file_order") <= F.col("_keeper"))).drop("_keeper"), "naming")
+        n = fewer.count()
+        if path is not None:
+            discard(spark, path)
+        active, path = fewer, fewer_path
+        if n == left:
+            break
+        left = n
+    best = active.groupBy("file").agg(F.min("range_rank").alias("range_rank"))
+    held = active.join(best, ["file", "range_rank"]).select("file", "name")
     matched = cand.select("file").distinct().withColumn("_has", F.lit(True))
     out = (files.select("file").join(held.select("file", F.col("name").alias("new_name")), "file", "left")
            .join(matched, "file", "left"))

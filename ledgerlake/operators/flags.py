@@ -7,7 +7,7 @@ per batch and attached with one left join:
 * the aggregate combines map-side, so a key holding a third of all ledger rows
   costs one partial-aggregate row per input partition, not a hot reduce task;
 * the flag table is unique per key, so the join never fans out;
-* for a batch with a counted bound on its keys (KeyScope) the ledger is
+* for a batch with a measured bound on its keys (KeyScope) the ledger is
   pre-filtered in its scan tasks and the small flag table is broadcast by AQE
   at run time; above the bound, hot keys are salted (AQE's own skew split does
   not apply when one join side is an aggregate on the join key).
@@ -20,35 +20,40 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 
-# a batch with at most this many distinct keys is broadcast (after counting) to
-# pre-filter the ledger/master map-side; larger batches skip the pre-filter
-MAX_BROADCAST_KEYS = 1_000_000
+# a side is broadcast only when its measured bytes are at most this
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def bounded(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """`broadcast(df)` once a count proves it has at most `max_rows` rows; else `df`."""
-    max_rows = MAX_BROADCAST_KEYS if max_rows is None else max_rows
-    if df.count() <= max_rows:  # a distributed count, no single-task limit
-        return F.broadcast(df)
-    return df
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the rows of `df` in memory, measured in one aggregate: 16 per
+    column and row, and the length of every text."""
+    sizes = [F.octet_length(F.col(f"`{n}`").cast("binary")) for n, t in df.dtypes if t in ("string", "binary")]
+    text = sum((F.coalesce(x, F.lit(0)) for x in sizes), F.lit(0)).cast("long")
+    return int(df.agg(F.coalesce(F.sum(text + F.lit(16 * (len(df.columns) + 1))), F.lit(0)).alias("b")).first()["b"])
+
+
+def bounded(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """`broadcast(df)` once its measured bytes are within the bound; else `df`."""
+    limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
+    return F.broadcast(df) if measured_bytes(df) <= limit else df
 
 
 class KeyScope:
     """The distinct keys of a batch, counted once.
 
-    An upload batch is small next to the ledger. When it has at most
-    `max_keys` distinct keys (proven by the count), they are broadcast and
+    An upload batch is small next to the ledger. When its distinct keys have at
+    most `max_bytes` bytes (measured), they are broadcast and
     the ledger/master are filtered in their scan tasks (left-semi join) before
     any shuffle. Every flag table built from such restricted inputs has at most
     as many rows as the batch has keys, so it stays small enough for AQE's
     run-time broadcast. Larger batches skip the pre-filter and join with hot
     keys salted."""
 
-    def __init__(self, batch: DataFrame, keys: Sequence[str], max_keys: int | None = None):
+    def __init__(self, batch: DataFrame, keys: Sequence[str], max_bytes: int | None = None):
         self.keys = list(keys)
-        limit = MAX_BROADCAST_KEYS if max_keys is None else max_keys
+        limit = MAX_BROADCAST_BYTES if max_bytes is None else max_bytes
         distinct = batch.select(*self.keys).dropna().dropDuplicates()
-        self.small = distinct.count() <= limit
+        self.small = measured_bytes(distinct) <= limit
         self.key_table = F.broadcast(distinct) if self.small else None
         self._buckets: list[int] | None = None
 
@@ -80,9 +85,9 @@ class KeyScope:
 
 
 def restrict_to_keys(big: DataFrame, small: DataFrame, keys: Sequence[str],
-                     max_keys: int | None = None) -> DataFrame:
+                     max_bytes: int | None = None) -> DataFrame:
     """Keep only rows of `big` whose keys occur in `small` (see KeyScope)."""
-    return KeyScope(small, keys, max_keys).restrict(big)
+    return KeyScope(small, keys, max_bytes).restrict(big)
 
 
 def any_of(cond: Column) -> Column:
@@ -107,13 +112,17 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
                 buckets: int | None = None) -> DataFrame:
     """Equi-join where `right` has one row per key: rows of hot keys on the
     left are spread over `buckets` tasks and their right row is repeated that
-    many times; other keys join as usual."""
+    many times; other keys join as usual. Rows with a NULL key match nothing
+    and are spread as well."""
     buckets = buckets or SALT_BUCKETS
     # at most 1 / HOT_KEY_SHARE keys: a proven bound, broadcast without a count
     hot = F.broadcast(hot_keys(left, keys).withColumn("_hot", F.lit(True)))
     row_hash = F.xxhash64(*[F.col(c) for c in left.columns])
+    no_key = F.lit(False)
+    for k in keys:
+        no_key = no_key | F.col(k).isNull()
     l2 = (left.join(hot, list(keys), "left")
-          .withColumn("_salt", F.when(F.col("_hot"), F.pmod(row_hash, F.lit(buckets).cast("long")))
+          .withColumn("_salt", F.when(F.col("_hot") | no_key, F.pmod(row_hash, F.lit(buckets).cast("long")))
                       .otherwise(F.lit(0).cast("long")))
           .drop("_hot"))
     r2 = (right.join(hot, list(keys), "left")
@@ -130,11 +139,10 @@ def attach(left: DataFrame, flags: DataFrame, keys: Sequence[str] | None = None,
     False; other columns keep NULL unless `defaults` names a value. NULL keys
     never match, as in SQL.
 
-    A flag table with a proven bound (`small`, from KeyScope's count; counted
-    here when None) is joined plainly: AQE measures it at run time and
-    broadcasts it (64 MB holds a million keys), reading the batch side with
-    local shuffle reads, so a hot key is not gathered into one task. A larger
-    one is joined with hot keys salted, so no key's rows end up in one task."""
+    The rows of hot and of NULL keys are salted, so no key's rows end up in one
+    task whatever the size of the flag table. Only where the keys are few enough
+    that the table fits a broadcast (`small`: measured by KeyScope, or here) is
+    it joined plainly: AQE measures it again and broadcasts it."""
     defaults = dict(defaults or {})
     for field in flags.schema.fields:
         if field.name in (keys or []) or field.name in defaults:
@@ -142,7 +150,7 @@ def attach(left: DataFrame, flags: DataFrame, keys: Sequence[str] | None = None,
         if field.dataType.typeName() == "boolean":
             defaults[field.name] = False
     if small is None:
-        small = flags.count() <= MAX_BROADCAST_KEYS
+        small = measured_bytes(flags) <= MAX_BROADCAST_BYTES
     if on is not None:
         joined = left.join(flags, on, "left")
     elif small:

@@ -54,11 +54,9 @@ def master_key_check(master: DataFrame) -> DataFrame:
 def row_count_check(source: DataFrame, path: str, header: bool = True) -> DataFrame:
     """Q3/K9: write `source` as CSV, read it back, compare row counts.
     Returns one row (source_rows, written_rows, ok)."""
-    from ledgerlake.operators.sinks import to_csv
+    from ledgerlake.operators.sinks import read_csv, to_csv
     to_csv(source, path, header=header)
-    spark = source.sparkSession
-    back = spark.read.option("header", header).csv(path)
-    a = source.agg(F.count(F.lit(1)).alias("source_rows")).withColumn("_j", F.lit(1))
-    b = back.agg(F.count(F.lit(1)).alias("written_rows")).withColumn("_j", F.lit(1))
-    return a.join(b, "_j").select("source_rows", "written_rows",
-                                  (F.col("source_rows") == F.col("written_rows")).alias("ok"))
+    back = read_csv(source.sparkSession, path, header=header)
+    both = source.select(F.lit(0).alias("_written")).unionAll(back.select(F.lit(1).alias("_written")))
+    return both.agg(F.count_if(F.col("_written") == 0).alias("source_rows"), F.count_if(F.col("_written") == 1).alias("written_rows")) \
+        .withColumn("ok", F.col("source_rows") == F.col("written_rows"))

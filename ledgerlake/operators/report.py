@@ -52,7 +52,8 @@ def funder_report(raw: DataFrame, as_of, start=DEFAULT_START, drop: list[str] |
             & ~c("deal_association_type").eqNullSafe(EXCLUDED_ASSOCIATION)
             & c("adjustment_terminated").isNull()
             & ~c("administered").eqNullSafe(EXCLUDED_ADMINISTERED)
-            & (c("open_amt") > MIN_OPEN_AMOUNT))
+            # Spark sorts NaN above every number; pandas drops it
+            & (c("open_amt") > MIN_OPEN_AMOUNT) & ~F.isnan(c("open_amt").cast("double")))
     out = (raw.filter(keep)
            .withColumn("aging_days", days)
            .withColumn("aging_bucket", aging_bucket("aging_days"))

@@ -8,6 +8,7 @@ file. Excel workbooks are not written (see README); CSV/Parquet instead.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
@@ -34,8 +35,9 @@ def write_split(clean: DataFrame, exceptions: DataFrame, base: str, as_of, fmt:
     stamp = _stamp(as_of, "%Y-%m-%d")
     a = f"{base.rstrip('/')}/cleaned_worklist_{stamp}"
     b = f"{base.rstrip('/')}/exception_{stamp}"
-    clean.write.mode("overwrite").format(fmt).option("header", True).save(a)
-    exceptions.write.mode("overwrite").format(fmt).option("header", True).save(b)
+    for rows, path in ((clean, a), (exceptions, b)):
+        writer = rows.write.mode("overwrite").format(fmt).option("header", True)
+        (writer.options(**CSV_OPTIONS) if fmt == "csv" else writer).save(path)
     return a, b
 
 
@@ -53,18 +55,33 @@ def write_halves(df_with_half: DataFrame, base: str, as_of, fmt: str = "parquet"
     return path
 
 
+# one quoting for writing and reading back, so that quotes and line breaks inside a cell survive
+CSV_OPTIONS = {"quote": '"', "escape": '"', "quoteAll": True}
+
+
 def to_csv(df: DataFrame, path: str, header: bool = True) -> str:
-    df.write.mode("overwrite").option("header", header).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).option("header", header).csv(path)
     return path
 
 
+def read_csv(spark, path: str, header: bool = True) -> DataFrame:
+    """A CSV folder written by this module, as text columns."""
+    return spark.read.option("quote", '"').option("escape", '"').option("multiLine", True).option("header", header).csv(path)
+
+
+def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows brought together by the folders they go to, so that a write makes few
+    files per folder; adaptive execution splits a folder that holds too much."""
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
 def append_counted(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> int:
     """K1: append rows and return how many were written (counted by an
     observation during the write, no second pass). A ledger stored with
     `partition_by=("source",)` lets every source-filtered look-up prune whole
     folders instead of reading them."""
     obs = Observation("appended")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").format(fmt)
+    writer = clustered(df, partition_by).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
@@ -85,19 +102,18 @@ def replace_buckets(spark, ledger_path: str, updated: DataFrame, bucket_col: str
     updated rows. Their new content (old rows minus the updated ids, plus the
     updated rows) is first materialised in the shared checkpoint folder, then
     those bucket folders alone are replaced (dynamic partition overwrite).
+    Each folder is replaced whole; readers that open several folders during the
+    replacement may see some of them old and some new.
     Returns the buckets rewritten (at most the bucket count, a bounded list)."""
+    from ledgerlake.operators.flags import bounded
     from ledgerlake.session import cut_lineage
     from ledgerlake.sources.tables import read_ledger
     buckets = sorted(r[0] for r in updated.select(bucket_col).distinct().collect())
     if not buckets:
         return []
     current = read_ledger(spark, ledger_path).filter(F.col(bucket_col).isin(buckets))
-    fresh = current.join(updated.select("id"), "id", "left_anti").unionByName(updated.select(*current.columns))
+    fresh = current.join(bounded(updated.select("id")), "id", "left_anti").unionByName(updated.select(*current.columns))
     fresh = cut_lineage(fresh)  # read of the old folders completes before any is replaced
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        fresh.write.mode("overwrite").partitionBy(bucket_col).parquet(ledger_path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    clustered(fresh, [bucket_col]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(bucket_col).parquet(ledger_path)
     return buckets

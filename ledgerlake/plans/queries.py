@@ -270,12 +270,6 @@ def q_row_count_check(spark, sf):
     return row_count_check(src, scratch_path(spark, "csv-check"))
 
 
-def q_html_tables(spark, sf):
-    pages = Ctx(spark, sf).spark.read.parquet(f"{sf.rstrip('/')}/pages.parquet")
-    rows = html_table_rows(pages, "page_id", "html")
-    return rows.select("doc", "table_no", "row_no", F.size("cells").alias("n_cells"))
-
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "x_parse_dates": q_x_parse_dates,
     "x_parse_numbers": q_x_parse_numbers,
@@ -299,5 +293,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalise_dates": q_normalise_dates,
     "constraint_report": q_constraint_report,
     "row_count_check": q_row_count_check,
-    "html_tables": q_html_tables,
 }

@@ -79,6 +79,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jpath, fs = _path_and_fs(spark, path)
+    return bool(fs.exists(jpath))
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that no later plan reads."""
     jpath, fs = _path_and_fs(spark, path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Window
 
 from ledgerlake.functions.oracle import blank_to_null
 from ledgerlake.functions.text import file_name_of
@@ -117,26 +118,17 @@ def data_columns(df: DataFrame) -> list[str]:
 def cell_at(df: DataFrame, file_cols: str | Sequence[str], order_col: str | Column, value_col: str | int,
             row_index: int = 1) -> DataFrame:
     """Value of `value_col` in the `row_index`-th row (0-based, file order)
-    of every file (`file_cols` identify a file). Uses per-file aggregates
-    (k+1 passes for index k) instead of a window, so one huge file does not
-    land in a single task. Files with fewer rows are absent from the result."""
+    of every file (`file_cols` identify a file), in one pass: Spark limits the
+    ranks to `row_index` + 1 per file before the shuffle, so one huge file does
+    not land in a single task. Files with fewer rows are absent from the result."""
     keys = [file_cols] if isinstance(file_cols, str) else list(file_cols)
     if isinstance(value_col, int):  # a 0-based column position, as iloc[row, col]
         value_col = data_columns(df)[value_col]
     order = F.col(order_col) if isinstance(order_col, str) else order_col
     rows = df.select(*keys, order.alias("_o"), F.col(value_col).alias("_v"))
-    from ledgerlake.operators.flags import MAX_BROADCAST_KEYS, salted_join
-    rest = rows
-    for _ in range(row_index):
-        first = rest.groupBy(*keys).agg(F.min("_o").alias("_lo"))
-        # one row per file: broadcast when the file count is bounded, else salt
-        # hot files so a file holding a third of the rows is not one task
-        if first.count() <= MAX_BROADCAST_KEYS:
-            joined = rest.join(F.broadcast(first), keys)
-        else:
-            joined = salted_join(rest, first, keys, "inner")
-        rest = joined.filter(F.col("_o") > F.col("_lo")).drop("_lo")
-    return rest.groupBy(*keys).agg(F.min_by("_v", "_o").alias(value_col))
+    ranked = rows.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy("_o"))) \
+        .filter(F.col("_n") <= row_index + 1)
+    return ranked.filter(F.col("_n") == row_index + 1).select(*keys, F.col("_v").alias(value_col))
 
 
 HTML_SUFFIXES = (".xls", ".htm", ".html")

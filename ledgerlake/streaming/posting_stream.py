@@ -8,6 +8,7 @@ checkpointed commit log gives exactly-once output across restarts.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerlake.operators.posting import post
 from ledgerlake.schemas import LEDGER_SCHEMA
@@ -29,7 +30,8 @@ def start_posting_stream(spark: SparkSession, source_dir: str, sink_dir: str, ch
     posted = post_stream(src, as_of_ts, user)
     if "deal_bucket" in partition_by:
         from ledgerlake.schemas import with_deal_bucket
-        posted = with_deal_bucket(posted)
+        # few files per bucket and micro-batch; a hot bucket is spread over several tasks
+        posted = with_deal_bucket(posted).repartition("deal_bucket", F.pmod(F.xxhash64("id"), F.lit(8)))
     q = (posted.writeStream.format("parquet")
          .option("checkpointLocation", checkpoint).outputMode("append"))
     if partition_by:

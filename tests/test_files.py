@@ -89,16 +89,26 @@ def test_split_halves_with_one_hot_key(spark):
     assert h.filter("half = 1").agg(F.max("k")).first()[0] <= h.filter("half = 2").agg(F.min("k")).first()[0]
 
 
-def test_cell_at_salted_path_with_hot_file(spark, monkeypatch):
-    from ledgerlake.operators import flags as flag_mod
+def test_cell_at_with_hot_file_ranks_before_the_shuffle(spark):
     rows = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 200).cast("string")).alias("f"),
         F.col("id").alias("r"), (F.col("id") * 10).cast("string").alias("v"))
-    expected = {r["f"]: r["v"] for r in cell_at(rows, "f", "r", "v", 1).collect()}
-    monkeypatch.setattr(flag_mod, "MAX_BROADCAST_KEYS", 5)
-    monkeypatch.setattr(flag_mod, "HOT_KEY_SHARE", 0.05)
-    got = {r["f"]: r["v"] for r in cell_at(rows, "f", "r", "v", 1).collect()}
-    assert got == expected and expected["hot"] == "30"
+    cells = cell_at(rows, "f", "r", "v", 1)
+    got = {r["f"]: r["v"] for r in cells.collect()}
+    assert got["hot"] == "30" and len(got) == 201
+    assert "WindowGroupLimit" in cells._jdf.queryExecution().executedPlan().toString()
+
+
+def test_naming_settles_on_long_chains(spark):
+    # every range overlaps the next: a file that loses its name takes the next one, 150 times
+    n = 150
+    ranges = spark.createDataFrame([(f"n{k}", f"2020-01-{1 + k // 28 % 2:02d}", "2020-12-31", k) for k in range(n)],
+                                   "file_name string, s string, e string, range_rank int").select(
+        "file_name", F.to_date("s").alias("start_date"), F.to_date("e").alias("end_date"), "range_rank")
+    files = spark.createDataFrame([(f"f{k:03d}", k) for k in range(n + 5)], "file string, file_order long").select(
+        "file", "file_order", F.to_date(F.lit("2020-06-15")).alias("cell_date"))
+    got = {r["file"]: (r["new_name"], r["status"]) for r in assign_names(files.where("file_order < 12"), ranges.where("range_rank < 10")).collect()}
+    assert got == {f"f{k:03d}": (f"n{k}", "renamed") if k < 10 else (None, "conflict") for k in range(12)}
 
 
 def test_cell_at_by_position(spark):

@@ -42,7 +42,7 @@ def test_hot_deal_broadcast_path(spark):
 
 
 def test_hot_deal_salted_path(spark, monkeypatch):
-    monkeypatch.setattr(flag_mod, "MAX_BROADCAST_KEYS", 10)   # flags too large to broadcast
+    monkeypatch.setattr(flag_mod, "MAX_BROADCAST_BYTES", 10)   # flags too large to broadcast
     monkeypatch.setattr(flag_mod, "HOT_KEY_SHARE", 0.05)
     ledger, batch = inputs(spark)
     out = validate_status(batch, ledger)
@@ -50,5 +50,5 @@ def test_hot_deal_salted_path(spark, monkeypatch):
     check(got)
     assert "_salt" in plan(out)
     # same answer as the broadcast path
-    monkeypatch.setattr(flag_mod, "MAX_BROADCAST_KEYS", 1_000_000)
+    monkeypatch.setattr(flag_mod, "MAX_BROADCAST_BYTES", 64 << 20)
     assert got == {r["seq_id"]: r["error_msg"] for r in validate_status(batch, ledger).collect()}

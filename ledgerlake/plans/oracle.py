@@ -414,10 +414,12 @@ def pieces(col: str) -> str:
     return f"COALESCE(string_split({col}, ' '), [''])"
 
 
-def _worklist_ctes() -> str:
+def _worklist_ctes(rule: str = "v6") -> str:
+    # the older rule blanks only rows without an amount and reads theirs as a number, which is none
+    model = "OR COALESCE(funding_model = 'OFD Warehouse V2', FALSE)" if rule == "v6" else ""
     return f"""
 w AS ({duck('fx_worklist')}),
-mk AS (SELECT *, (outstanding_amount IS NULL OR COALESCE(funding_model = 'OFD Warehouse V2', FALSE)) AS blank FROM w),
+mk AS (SELECT *, (outstanding_amount IS NULL {model}) AS blank FROM w),
 r AS (SELECT * EXCLUDE (invoice_number), {clean_invoice('invoice_number')} AS invoice_number FROM mk WHERE NOT blank),
 sp AS (SELECT *, {pieces('outstanding_amount')} AS amts, {pieces('invoice_number')} AS invs FROM r),
 ok AS (SELECT * FROM sp WHERE len(amts) = len(invs)),
@@ -579,4 +581,18 @@ def oracle_sql() -> dict[str, str]:
     out["normalise_dates"] = normalise_sql()
     out["constraint_report"] = constraint_sql()
     out["row_count_check"] = "SELECT count(*) AS source_rows, count(*) AS written_rows, TRUE AS ok FROM orders"
+    out["ledger_append"] = (f"SELECT source, 2 * count(*) AS n_rows, 2 * count(DISTINCT id) AS n_ids, "
+                            f"CAST(2 * SUM(adjustment_amt) AS DOUBLE) AS adjustment_amt, (SELECT 2 * count(*) FROM orders) AS n_appended "
+                            f"FROM ({pl}) p GROUP BY source")
+    out["master_scan"] = (f"SELECT oce_country, count(*) AS n_rows, count(DISTINCT deal_id) AS n_deals, count(assignee_current) AS n_assigned "
+                          f"FROM ({duck('fx_master')}) m GROUP BY oce_country")
+    out["write_by_funder"] = rep
+    out["write_worklist"] = (f"WITH {wl} SELECT 'clean' AS output, count(*) AS n_rows, CAST(SUM(row_no) AS BIGINT) AS sum_row_no FROM cl "
+                             f"UNION ALL SELECT 'exceptions', count(*), CAST(SUM(row_no) AS BIGINT) FROM ex")
+    out["worklist_clean_v5"] = f"WITH {_worklist_ctes('v5')} SELECT * FROM cl"
+    out["write_halves"] = out["split_halves"]
+    out["write_normalised"] = out["normalise_dates"]
+    out["preview"] = f"SELECT row_no, file_name FROM ({duck('fx_payment_files')}) z ORDER BY row_no LIMIT 5"
+    out["post_stream"] = (f"SELECT {show(['id', 'adjustment_type', 'adjustment_amt', 'payment_applied_to_invoice', *P.ALL_ACCOUNTS, 'created', 'created_by'], MONEY_COLS, DATE_COLS)} "
+                          f"FROM ({pl}) p")
     return out

@@ -16,12 +16,14 @@ from ledgerlake.operators.load import load_patch, load_payment, load_status, loa
 from ledgerlake.operators.posting import ALL_ACCOUNTS, post
 from ledgerlake.operators.quality import constraint_report, row_count_check
 from ledgerlake.operators.report import aging_summary, funder_counts, funder_report
+from ledgerlake.operators.sinks import append_counted, write_by, write_halves, write_normalised, write_split
 from ledgerlake.operators.validate import VALIDATORS
 from ledgerlake.operators.worklist import clean_worklist, reconcile
 from ledgerlake.plans.adapters import adapter, load_tables
 from ledgerlake.session import scratch_path, tune
-from ledgerlake.sources.html import html_table_rows
-from ledgerlake.sources.tables import cell_at, read_batch, to_staged
+from ledgerlake.schemas import conform_ledger
+from ledgerlake.sources.tables import cell_at, preview, read_batch, read_ledger, read_master, to_staged
+from ledgerlake.streaming.posting_stream import start_posting_stream
 
 # ---- fixed parameters of the registered queries (dates lie inside the data) ----
 AS_OF = "2000-06-15"
@@ -270,6 +272,71 @@ def q_row_count_check(spark, sf):
     return row_count_check(src, scratch_path(spark, "csv-check"))
 
 
+# ---------------------------------------------------------- tables and sinks ----
+def q_ledger_append(spark, sf):
+    """Posted rows appended twice to a stored ledger, counted while written and read back by the ledger scan."""
+    path = scratch_path(spark, "ledger")
+    rows = _posted(spark, sf).drop("posting_rule")
+    n = [append_counted(rows.withColumn("id", F.col("id") * 2 + k), path, partition_by=("source",)) for k in (0, 1)]
+    return for_compare(read_ledger(spark, path).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_ids"), F.sum("adjustment_amt").alias("adjustment_amt"))
+        .withColumn("n_appended", F.lit(sum(n)).cast("long")))
+
+
+def q_master_scan(spark, sf):
+    path = scratch_path(spark, "master")
+    Ctx(spark, sf).fx("fx_master").write.parquet(path)
+    return read_master(spark, path).groupBy("oce_country").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("deal_id").alias("n_deals"), F.count("assignee_current").alias("n_assigned"))
+
+
+def q_write_by_funder(spark, sf):
+    """The report written in one folder per funder, read back."""
+    path = write_by(_report(spark, sf), "funder", scratch_path(spark, "report"), AS_OF)
+    return for_compare(spark.read.parquet(path).withColumn("funder", F.col("funder").cast("string")))
+
+
+def q_write_worklist(spark, sf):
+    """Both worklist outputs written and read back."""
+    _, clean, exc = _worklist(spark, sf)
+    paths = write_split(clean, exc, scratch_path(spark, "worklist"), AS_OF)
+    parts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("row_no").alias("sum_row_no")).withColumn("output", F.lit(o))
+             for o, p in zip(("clean", "exceptions"), paths)]
+    return parts[0].unionByName(parts[1])
+
+
+def q_worklist_clean_v5(spark, sf):
+    return clean_worklist(Ctx(spark, sf).fx("fx_worklist"), "v5")[0]
+
+
+def q_write_halves(spark, sf):
+    path = write_halves(q_split_halves(spark, sf), scratch_path(spark, "halves"), AS_OF)
+    return spark.read.parquet(path).select("row_no", F.col("half").cast("int").alias("half"))
+
+
+def q_write_normalised(spark, sf):
+    """Every file rewritten after its dates are normalised, read back."""
+    rows = files_op.normalise_dates(Ctx(spark, sf).fx("fx_payment_files"))
+    path = write_normalised(rows.select("row_no", "file_name", *files_op.DATE_COLUMNS), scratch_path(spark, "normalised"))
+    return spark.read.parquet(path).select("row_no", *files_op.DATE_COLUMNS)
+
+
+def q_preview(spark, sf):
+    """L1: the first five rows of a stored export."""
+    path = scratch_path(spark, "export")
+    Ctx(spark, sf).fx("fx_payment_files").select("row_no", "file_name").orderBy("row_no").write.parquet(path)
+    return preview(spark.read.parquet(path).orderBy("row_no"), 5).select("row_no", "file_name")
+
+
+def q_post_stream(spark, sf):
+    """The ledger posted as a stream that ends with its input, read back."""
+    src, out = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
+    conform_ledger(Ctx(spark, sf).fx("fx_ledger")).write.parquet(src)
+    start_posting_stream(spark, src, out, scratch_path(spark, "stream-state"), user=USER, as_of_ts=POST_TS).awaitTermination()
+    return for_compare(read_ledger(spark, out).select(
+        "id", "adjustment_type", "adjustment_amt", "payment_applied_to_invoice", *ALL_ACCOUNTS, "created", "created_by"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "x_parse_dates": q_x_parse_dates,
     "x_parse_numbers": q_x_parse_numbers,
@@ -293,4 +360,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalise_dates": q_normalise_dates,
     "constraint_report": q_constraint_report,
     "row_count_check": q_row_count_check,
+    "ledger_append": q_ledger_append,
+    "master_scan": q_master_scan,
+    "write_by_funder": q_write_by_funder,
+    "write_worklist": q_write_worklist,
+    "worklist_clean_v5": q_worklist_clean_v5,
+    "write_halves": q_write_halves,
+    "write_normalised": q_write_normalised,
+    "preview": q_preview,
+    "post_stream": q_post_stream,
 }

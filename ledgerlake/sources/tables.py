@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql import Window
@@ -12,6 +13,9 @@ from ledgerlake.functions.text import file_name_of
 from ledgerlake.schemas import BATCH_LAYOUTS, conform_master, slot
 
 
+HTML_SUFFIXES = (".xls", ".htm", ".html")
+
+
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The ledger table (Parquet), conformed to the ledger schema. Partition
     columns of the stored layout (`source`, `deal_bucket`) are kept, so filters
@@ -131,36 +135,75 @@ def cell_at(df: DataFrame, file_cols: str | Sequence[str], order_col: str | Colu
     return ranked.filter(F.col("_n") == row_index + 1).select(*keys, F.col("_v").alias(value_col))
 
 
-HTML_SUFFIXES = (".xls", ".htm", ".html")
+def _listed(spark: SparkSession, path: str, glob: str | None) -> list[str]:
+    """The files below `path` (a listing, nothing is read)."""
+    reader = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    return sorted(unquote(f) for f in reader.text(path).inputFiles())
 
 
-def read_export(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Read sheet exports by file extension, as text columns named
-    by the header row, with `_file` (path) and `_row` (position in the file).
+def _plain(file: str) -> str:
+    """One spelling of a file's address (file:/a and file:///a are the same)."""
+    scheme, colon, rest = file.partition(":/")
+    return f"{scheme}:/{rest.lstrip('/')}" if colon and scheme == "file" else file
+
 
-    '.xls'/'.htm(l)' files are HTML tables (first table of each file, first row
-    is the header, taken from one document); '.parquet' is read as is; other
-    files as CSV with a header. `path` may be a file or a folder (+ `glob`)."""
+def _csv_by_header(spark: SparkSession, files: list[str]) -> list[DataFrame]:
+    """One frame per distinct header line, of the files that begin with it."""
+    lines = with_file_position(spark.read.text(files))
+    first = lines.filter(F.col("_row.block") == 0).groupBy("_file").agg(F.min_by("value", "_row").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for r in first.collect():  # a line per file, as many as the listing holds
+        groups.setdefault(r["header"], []).append(unquote(r["_file"]))
+    return [with_file_position(spark.read.option("header", True).csv(names)) for _, names in sorted(groups.items())]
+
+
+def _html_by_header(spark: SparkSession, files: list[str]) -> list[DataFrame]:
+    """The first table of each file; its cells are named by the file's own first row."""
     from ledgerlake.sources.html import read_html_tables
 
-    probe = (glob or path).lower()
-    if probe.endswith(HTML_SUFFIXES):
-        rows = read_html_tables(spark, path, glob or "*").filter(F.col("table_no") == 0)
-        header_row = rows.filter(F.col("row_no") == 0).select("cells").first()
-        if header_row is None:
-            raise ValueError(f"no table found under {path}")
-        header = [h or f"_c{i}" for i, h in enumerate(header_row["cells"])]
-        body = rows.filter(F.col("row_no") > 0)
-        # an empty cell is a missing value (as pandas.read_html and the CSV reader give)
-        return body.select(*[F.nullif(F.element_at("cells", i + 1), F.lit("")).alias(h)
-                             for i, h in enumerate(header)],
-                           F.col("doc").alias("_file"),
-                           F.struct(F.lit(0).cast("long").alias("block"),
-                                    F.col("row_no").cast("long").alias("pos")).alias("_row"))
-    if probe.endswith(".parquet"):
-        df = spark.read.option("pathGlobFilter", glob).parquet(path) if glob else spark.read.parquet(path)
-        return with_file_position(df)
-    reader = spark.read.option("header", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return with_file_position(reader.csv(path))
+    rows = read_html_tables(spark, files, "*").filter(F.col("table_no") == 0)
+    heads = rows.filter(F.col("row_no") == 0).select("doc", "cells").collect()  # a row per file
+    without = set(map(_plain, files)) - {_plain(r["doc"]) for r in heads}
+    if without:
+        raise ValueError(f"no table found in {sorted(without)}")
+    groups: dict[tuple, list[str]] = {}
+    for r in heads:
+        groups.setdefault(tuple(h or f"_c{i}" for i, h in enumerate(r["cells"])), []).append(r["doc"])
+    out = []
+    for header, docs in sorted(groups.items()):
+        body = rows.filter((F.col("row_no") > 0) & F.col("doc").isin(docs))
+        # an empty cell is a missing value (as pandas.read_html and the CSV reader give); short rows end with missing ones
+        out.append(body.select(*[F.nullif(F.get("cells", F.lit(i)), F.lit("")).alias(h) for i, h in enumerate(header)],
+                               F.col("doc").alias("_file"),
+                               F.struct(F.lit(0).cast("long").alias("block"), F.col("row_no").cast("long").alias("pos")).alias("_row")))
+    return out
+
+
+def read_export(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Sheet exports as text columns, with `_file` (path) and `_row`
+    (position in the file). `path` may be a file or a folder (+ `glob`).
+
+    Every file is read by its own kind and its own header: '.xls'/'.htm(l)' are
+    HTML tables (the first table of the file), '.parquet' is read as is, all
+    others as CSV. Columns are matched by name; a column a file lacks is NULL."""
+    kinds: dict[str, list[str]] = {}
+    for f in _listed(spark, path, glob):
+        low = f.lower()
+        kinds.setdefault("html" if low.endswith(HTML_SUFFIXES) else "parquet" if low.endswith(".parquet") else "csv", []).append(f)
+    if not kinds:
+        raise FileNotFoundError(f"no file under {path}" + (f" matches {glob}" if glob else ""))
+    parts: list[DataFrame] = []
+    if "csv" in kinds:
+        parts += _csv_by_header(spark, kinds["csv"])
+    if "html" in kinds:
+        parts += _html_by_header(spark, kinds["html"])
+    if "parquet" in kinds:
+        stored = with_file_position(spark.read.option("mergeSchema", True).parquet(*kinds["parquet"]))
+        # beside text exports, stored values are shown as text
+        parts.append(stored if not parts else stored.select(
+            *[F.col(f"`{c}`") if c in ("_file", "_row") else F.col(f"`{c}`").cast("string").alias(c) for c in stored.columns]))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    names = data_columns(out)
+    return out.select(*[F.col(f"`{c}`") for c in names], "_file", "_row")

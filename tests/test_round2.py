@@ -143,3 +143,28 @@ def test_upload_writes_rejects_and_refuses_a_second_load(spark, tmp_dir):
     assert out["rejected"] == rejected.count() == rejected.where("error_msg IS NOT NULL").count() >= 1
     with pytest.raises(ValueError, match="already loaded"):
         jobs.upload_batch(spark, "status", f"{tmp_dir}/s", "B1", f"{tmp_dir}/ledger", new_ledger_path=f"{tmp_dir}/v3")
+
+
+def test_every_file_is_read_by_its_own_header_and_kind(spark, tmp_dir):
+    from ledgerlake.sources.tables import read_export
+    import os
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/a 1.csv", "w") as f:
+        f.write("Deal Id,Amount,When\n1,10,05-May-2021\n2,,06-May-2021\n")
+    with open(f"{tmp_dir}/in/b.csv", "w") as f:
+        f.write("When,Deal Id,Amount\n07-May-2021,3,30\n")
+    with open(f"{tmp_dir}/in/c.csv", "w") as f:
+        f.write("Deal Id,Extra\n4,x\n")
+    with open(f"{tmp_dir}/in/d.xls", "w") as f:
+        f.write("<table><tr><th>Amount</th><th>Deal Id</th></tr><tr><td>50</td><td>5</td></tr><tr><td>60</td></tr></table>")
+    got = read_export(spark, f"{tmp_dir}/in")
+    assert set(got.columns) == {"Deal Id", "Amount", "When", "Extra", "_file", "_row"}
+    rows = sorted((r["Deal Id"] or "", r["Amount"], r["When"], r["Extra"]) for r in got.collect())
+    assert rows == [("", "60", None, None), ("1", "10", "05-May-2021", None), ("2", None, "06-May-2021", None),
+                    ("3", "30", "07-May-2021", None), ("4", None, None, "x"), ("5", "50", None, None)]
+    with open(f"{tmp_dir}/in/e.xls", "w") as f:
+        f.write("<p>no table</p>")
+    with pytest.raises(ValueError, match="e.xls"):
+        read_export(spark, f"{tmp_dir}/in")
+    with pytest.raises(FileNotFoundError):
+        read_export(spark, f"{tmp_dir}/in", "*.zzz")

@@ -45,9 +45,10 @@ PLACES = 64  # min-wise samples of a sketch
 BRANCH = 2  # tokens sampled at a node
 RECALL = 0.9999
 NODE_LIMIT = 256  # sets of a node that are compared by brute force
-PIVOTS = 8
+PIVOTS = 4
 DEPTH = 6
 BLOCK = 1024  # sets of a block in the exact check
+BITMAP_BITS = 1 << 25
 SEED = 0x5EED
 
 
@@ -183,9 +184,10 @@ def _close(a_sk: np.ndarray, a_n: np.ndarray, b_sk: np.ndarray, b_n: np.ndarray)
 
 # sketch estimates: five standard errors below the threshold still make a candidate
 MAYBE = THRESHOLD - 5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / PLACES)
-# a set this close to a pivot needs no more comparisons: its partners are within 0.35 of the pivot
-COVERED = 0.92
-PIVOT_LINK = 0.45
+# a set estimated this close to a pivot needs no more comparisons in its node: a partner at the threshold is within
+# 0.2 + 0.2 of the pivot (triangle inequality of the Jaccard distance), so its estimate is near 0.6 or above
+COVERED = THRESHOLD
+PIVOT_LINK = 0.35
 
 
 def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,18 +199,18 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sk = _sketches(batch.column("sketch"))
             nodes = batch.column("node").to_numpy().view(np.uint64)
             done = np.zeros(len(cls), bool)
-            pivots = batch.column("pivots").to_pylist()
-            for k in range(PIVOTS):
-                has = np.array([i for i, p in enumerate(pivots) if len(p) > k], np.int64)
-                if not len(has):
-                    break
-                p_sk = np.frombuffer(b"".join(pivots[i][k]["sketch"] for i in has), np.uint32).reshape(len(has), -1)
-                p_cls = np.array([pivots[i][k]["class_key"] for i in has], np.int64)
-                est = (sk[has] == p_sk).mean(1)
-                link = (est >= PIVOT_LINK) & (cls[has] != p_cls)
-                if link.any():
-                    yield _edges(0, cls[has][link], p_cls[link])
-                done[has[est >= COVERED]] = True
+            _, first, of_node = np.unique(nodes, return_index=True, return_inverse=True)
+            for k, pivots in enumerate(batch.column("pivots").take(pa.array(first)).to_pylist()):
+                rows = np.flatnonzero(of_node == k)
+                p_sk = np.frombuffer(b"".join(p["sketch"] for p in pivots), np.uint32).reshape(len(pivots), -1)
+                p_cls = np.array([p["class_key"] for p in pivots], np.int64)
+                est = (sk[rows][:, None] == p_sk[None]).mean(-1)
+                # pivots linked among themselves count as one
+                one = _forest((p_sk[:, None] == p_sk[None]).mean(-1) >= PIVOT_LINK)
+                for own in np.unique(one):
+                    link = (est[:, one == own] >= PIVOT_LINK).any(axis=1) & (cls[rows] != p_cls[own])
+                    yield _edges(0, cls[rows][link], np.full(link.sum(), p_cls[own]))
+                done[rows[(est >= COVERED).any(axis=1)]] = True
             left = ~done
             if left.any():
                 new = children(nodes[left], sk[left])
@@ -403,25 +405,49 @@ def _chains(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.nd
     return names[off], names[label[off]]
 
 
+def _bitmap(ids: DataFrame) -> np.ndarray:
+    """A fixed number of bits in which each id sets one, whatever the number of ids."""
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)) + 1  # Spark's bitmaps number their places from 1
+    rows = ids.select(at.alias("at")).groupBy(F.expr("bitmap_bucket_number(at)").alias("bucket")).agg(
+        F.expr("bitmap_construct_agg(bitmap_bit_position(at))").alias("bits")).collect()  # BITMAP_BITS / 32768 rows
+    out = np.zeros((BITMAP_BITS >> 15, 4096), np.uint8)
+    for r in rows:
+        out[r["bucket"] - 1] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
+
+
 def exact_links(docs: DataFrame, members: DataFrame, threshold: float = THRESHOLD, n: int = WORDS, block: int = BLOCK,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(kind, u, v): links (0) and counts (1) inside the groups of `members` (doc_id, class_key, label, copies)."""
+    """(kind, u, v): links (0) and counts (1) inside the groups of `members` (doc_id, class_key, label, copies).
+
+    Texts are not moved: a bitmap of fixed size lets nearly only the members'
+    texts through where they lie, and their shingles meet the groups.
+    """
+    some = docs.sparkSession.sparkContext.broadcast(_bitmap(members))  # BITMAP_BITS
+
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(n)
+        shingles, bits = Shingles(n), some.value
         for batch in batches:
-            made = [shingles.of(t) for t in batch.column("text").to_pylist()]
-            # an id repeated with another text has another class
-            fits = [len(s) > 0 and key_of(s) == k for s, k in zip(made, batch.column("class_key").to_pylist())]
-            kept = batch.select(["class_key", "label", "copies", "blocks"]).filter(pa.array(fits, pa.bool_()))
-            yield pa.RecordBatch.from_arrays(
-                [*kept.columns, pa.array([s.tobytes() for s, ok in zip(made, fits) if ok], pa.binary())],
-                names=["class_key", "label", "copies", "blocks", "shingles"])
+            at = batch.column("at").to_numpy()
+            hit = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            if not len(hit):
+                continue
+            part = batch.take(pa.array(hit))
+            for lo in range(0, part.num_rows, 512):
+                few = part.slice(lo, 512)
+                made = [shingles.of(t) for t in few.column("text").to_pylist()]
+                keep = [i for i, s in enumerate(made) if len(s)]
+                yield pa.RecordBatch.from_arrays(
+                    [few.column("doc_id").take(pa.array(keep, pa.int64())), pa.array([key_of(made[i]) for i in keep], pa.int64()),
+                     pa.array([made[i].tobytes() for i in keep], pa.binary())], names=["doc_id", "class_key", "shingles"])
 
     blocks = members.groupBy("label").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
     wanted = members.join(blocks, "label")
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).join(wanted, "doc_id") \
-        .select("text", "class_key", "label", "copies", "blocks") \
-        .mapInArrow(sets, "class_key long, label long, copies long, blocks int, shingles binary")
+    doc_id = F.col(id_col).cast("long")
+    # an id repeated with another text has another class
+    rows = docs.where(F.col(id_col).isNotNull()).select(
+        doc_id.alias("doc_id"), F.pmod(F.xxhash64(doc_id), F.lit(BITMAP_BITS)).alias("at"), F.col(text_col).alias("text")) \
+        .mapInArrow(sets, "doc_id long, class_key long, shingles binary").join(wanted, ["doc_id", "class_key"])
     keys = ["label", "bi", "bj"]
     paired = rows.withColumn("own", F.pmod(F.xxhash64("class_key"), F.col("blocks")).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(

@@ -12,7 +12,7 @@ from ledgerlake.llm.near import op2_near
 from ledgerlake.llm.quality import op8_quality
 from ledgerlake.llm.sharding import op9_sharding
 from ledgerlake.llm.urls import op1_sql, op1_urls
-from ledgerlake.llm.warc import op6_warc
+from ledgerlake.llm.warc import op6_sql, op6_warc
 
 QUERIES = {
     "op1_urls": op1_urls,
@@ -30,7 +30,7 @@ QUERIES = {
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {"op1_urls": op1_sql()}
+    out = {"op1_urls": op1_sql(), "op6_warc": op6_sql()}
     if corpus_pipeline.ORACLE_SQL is not None:
         out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out

@@ -291,4 +291,20 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     write_archive(table(spark, sf_dir, "pages"), path)
     return read_archive(spark, path, payload=False).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "frame", "frame_offset")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_sql() -> str:
+    """DuckDB form: SHA-1 in base 32 from its bits; of equal payloads the largest id is the response."""
+    bit = "CAST(substr(bits, 5 * i + {}, 1) AS INTEGER) * {}"
+    value = " + ".join(bit.format(k + 1, 16 >> k) for k in range(5))
+    return f"""
+WITH p AS (SELECT page_id, COALESCE(html, '') AS payload, sha1(COALESCE(html, '')) AS h FROM pages),
+b AS (SELECT *, list_aggregate(list_transform(range(1, 41), lambda i: substr(
+        '0000000100100011010001010110011110001001101010111100110111101111', strpos('0123456789abcdef', substr(h, i, 1)) * 4 - 3, 4)),
+        'string_agg', '') AS bits FROM p),
+d AS (SELECT *, list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + {value}, 1)),
+        'string_agg', '') AS payload_digest, max(page_id) OVER (PARTITION BY payload) AS keeper FROM b)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN page_id = keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> keeper THEN keeper END AS refers_to FROM d"""

@@ -33,7 +33,7 @@ def test_edges_pass_through_every_stage(spark):
         assert stage(spark, empty, SF).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op1_urls"])
+@pytest.mark.parametrize("name", ["op1_urls", "op6_warc"])
 def test_oracle(spark, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")

@@ -74,7 +74,8 @@ class Net:
         lengths = np.array([sum(len(docs[d][1]) for d in m) for m in members])
         rank = np.argsort(-lengths, kind="stable")
         steps = int(lengths.max())
-        x, y, who = (np.zeros((steps, len(members)), np.int32) for _ in range(3))
+        x, y = (np.zeros((steps, len(members)), np.uint16) for _ in range(2))  # fewer than 65,536 words
+        who = np.zeros((steps, len(members)), np.int32)
         begins = np.zeros((steps, len(members)), bool)
         for col, k in enumerate(rank):
             at = 0
@@ -238,7 +239,7 @@ class Net:
             self._step("word", slice(lo, hi), g, memory, rate, scale)
             self._step("word_bias", slice(lo, hi), b, memory, rate, scale)
         tokens = xs.ravel()
-        order = np.argsort(tokens.astype(np.uint16), kind="stable")
+        order = np.argsort(tokens, kind="stable")
         counts = np.bincount(tokens)
         used = np.flatnonzero(counts)
         first = np.append(0, np.cumsum(counts[used])[:-1])

@@ -39,13 +39,16 @@ WORDS = 1023  # the net's own words besides RARE
 CLASSES = 32
 SUFFIXES = 256  # inputs for rare words, by their last letters
 ADD = 0.1
-LISTED = 200_000  # frequent tokens whose counts go with the tasks
+LISTED = 100_000  # frequent tokens whose counts go with the tasks
 LISTED_BYTES = 64  # longer tokens are not listed, so the list is bounded
 ROUNDS = ((0, 1), (1, 2), (2, 4), (4, 8))  # shares of the training documents, in eighths
 END = b"\n"  # no word holds white space
 LEARN_TOKENS = 300_000  # documents learnt from together
-SCORE_TOKENS = 1_500_000
-HELD_TOKENS = 500_000  # distinct tokens a counting task holds before it passes them on
+SCORE_TOKENS = 600_000  # documents scored together
+LONG = 2048  # tokens; longer documents are scored with their like
+LONG_TOKENS = 2_000_000
+HELD_TOKENS = 200_000  # distinct tokens a counting task holds
+CODES = 300_000  # unknown words whose numbers a task remembers
 
 
 def tokens_of(text: str | None) -> list[bytes]:
@@ -95,39 +98,81 @@ class Vocabulary:
     def net(self) -> Net:
         return Net(self.counts, self.inputs, CLASSES)
 
-    def encode(self, words: list[bytes], cache: dict[bytes, tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-        """(inputs, targets) of a text. `cache`: each word's (target, input), kept up to a bound."""
+    def encode(self, ids: np.ndarray, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
+        """(inputs, targets) of a text from its words' numbers."""
+        x = np.empty(len(ids) + 1, np.int32)
+        x[0] = self.first
+        x[1:] = codes.inputs[ids]
+        y = np.append(x[1:], np.int32(self.index.get(END, self.rare)))
+        y[y >= self.size] = self.rare
+        return x, y
+
+
+class Codes(dict):
+    """Each word's number, one look-up per word: known words have their own, all others one by their last
+    letters, made when first asked for. `inputs` and `logs` give each number's input and log count."""
+
+    def __init__(self, vocab: Vocabulary, listed: dict[bytes, int] | None = None) -> None:
+        self.listed = listed or {}
+        known = list(dict.fromkeys([*vocab.index, *self.listed]))
+        super().__init__(zip(known, range(len(known))))
+        self.known = len(known)
+        tail = np.arange(SUFFIXES, dtype=np.int32) + vocab.size
+        own = [vocab.index.get(w, -1) for w in known]
+        self.inputs = np.append(np.array([i if i >= 0 else vocab.size + self._suffix(w) for i, w in zip(own, known)], np.int32), tail)
+        self.logs = np.append(np.log10(np.array([self.listed.get(w, np.nan) for w in known], np.float64) + ADD), np.full(SUFFIXES, np.nan))
+
+    @staticmethod
+    def _suffix(word: bytes) -> int:
         import zlib
-        if len(cache) > HELD_TOKENS:
-            cache.clear()
-        for w in set(words).difference(cache):
-            i = self.index.get(w, self.rare)
-            cache[w] = (i, i if i != self.rare else self.size + zlib.crc32(w[-3:]) % SUFFIXES)
-        pairs = np.array([cache[w] for w in words], np.int32).reshape(len(words), 2)
-        end = self.index.get(END, self.rare)
-        return np.append(np.int32(self.first), pairs[:, 1]), np.append(pairs[:, 0], np.int32(end))
-
-
-def vocabulary(counts: DataFrame) -> Vocabulary:
+        return zlib.crc32(word[-3:]) % SUFFIXES
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = self.known + self._suffix(word)
+        return number
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        out = np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+        if len(self) > self.known + CODES:
+            for w in [w for w, i in self.items() if i >= self.known]:
+                del self[w]
+        return out
+
+
+def listed_counts(counts: DataFrame, most: int | None = None) -> dict[bytes, int]:
+    """The counts of the most frequent tokens, at most `most` of them (LISTED).
+
+    A histogram of the counts on a fixed logarithmic scale gives the smallest
+    count that keeps the list within its bound, so only the list itself comes to
+    the driver, however many partitions there are."""
+    most = LISTED if most is None else most
+    short = counts.where(F.octet_length("token") <= LISTED_BYTES)
+    step = F.floor(F.log2("c") * 256).cast("int")  # at most 64 x 256 steps
+    held, least = 0, None
+    for r in sorted(short.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"]):
+        held += r["count"]
+        if held > most:
+            break
+        least = r["step"]
+    if least is None:
+        return {}
+    return {bytes(r["token"]): r["c"] for r in short.where(step >= least).collect()}
+
+
+def vocabulary(counts: DataFrame, listed: dict[bytes, int]) -> Vocabulary:
+    """The net's words: the most frequent of the listed tokens."""
     total, kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy(F.col("c").desc(), "token").limit(WORDS).collect()  # a fixed number
-    return Vocabulary([(bytes(r["token"]), r["c"]) for r in top], total, kinds)
+    top = sorted(listed.items(), key=lambda w: (-w[1], w[0]))[:WORDS]
+    return Vocabulary(top, total, kinds)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list, list]]:
-    """(ids, tokenised texts) of runs of rows with about `most` tokens."""
-    ids, texts, size = [], [], 0
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(id, words) of each row."""
     for batch in batches:
-        for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            words = tokens_of(text)
-            ids.append(i)
-            texts.append(words)
-            size += len(words) + 1
-            if size >= most:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-    if texts:
-        yield ids, texts
+        for lo in range(0, batch.num_rows, 256):
+            part = batch.slice(lo, 256)
+            for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                yield i, tokens_of(text)
 
 
 def learn(docs: DataFrame, vocab: Vocabulary, share: Column) -> Net:
@@ -143,12 +188,17 @@ def learn(docs: DataFrame, vocab: Vocabulary, share: Column) -> Net:
 
         def run(batches: Iterator[pa.RecordBatch], weights=weights) -> Iterator[pa.RecordBatch]:
             vocab = known.value
-            net, memory, cache, n = vocab.net(), {}, {}, 0
+            net, memory, codes, n = vocab.net(), {}, Codes(vocab), 0
             net.load(weights.value)
-            for _, texts in _chunks(batches, LEARN_TOKENS):
-                coded = [vocab.encode(words, cache) for words in texts]
-                net.train(coded, memory)
-                n += sum(len(y) for _, y in coded)
+            coded, size = [], 0
+            for _, words in _texts(batches):
+                coded.append(vocab.encode(codes.numbers(words), codes))
+                size += len(words) + 1
+                if size >= LEARN_TOKENS:
+                    net.train(coded, memory)
+                    n, coded, size = n + size, [], 0
+            net.train(coded, memory)
+            n += size
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([net.flat().tobytes()], pa.binary())],
                                                  names=["n", "weights"])
@@ -172,48 +222,52 @@ def learn(docs: DataFrame, vocab: Vocabulary, share: Column) -> Net:
     return net
 
 
-def scores(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, net: Net, id_col: str = "doc_id") -> DataFrame:
+def scores(docs: DataFrame, counts: DataFrame, listed: dict[bytes, int], vocab: Vocabulary, net: Net,
+           id_col: str = "doc_id") -> DataFrame:
     """(doc_id, n_tokens, n_known, base_score, score) of each row."""
-    spark = docs.sparkSession
-    listed = counts.where(F.octet_length("token") <= LISTED_BYTES).orderBy(F.col("c").desc(), "token").limit(LISTED).collect()
-    shared = spark.sparkContext.broadcast((vocab, net.flat(), {bytes(r["token"]): r["c"] for r in listed}))  # bounded
+    shared = docs.sparkSession.sparkContext.broadcast((vocab, net.flat(), listed))  # LISTED tokens and the net
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from collections import Counter
         vocab, flat, listed = shared.value
-        net = vocab.net()
+        net, codes = vocab.net(), Codes(vocab, listed)
         net.load(flat)
-        cache: dict = {}
-        logs: dict[bytes, float] = {w: float(np.log10(c + ADD)) for w, c in listed.items()}
-        kind = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))
-        for ids, texts in _chunks(batches, SCORE_TOKENS):
-            coded = [vocab.encode(words, cache) for words in texts]
+        end_log = float(np.log10(listed[END] + ADD)) if END in listed else np.nan
+        names = ["doc_id", "n_tokens", "known", "listed_sum", "rare_sum", "n_rare", "logp", "tail"]
+        kinds = [*[pa.int64()] * 3, *[pa.float64()] * 2, pa.int64(), pa.float64()]
+
+        def scored(rows: list[tuple], coded: list, tails: list[Counter]) -> pa.RecordBatch:
             logp = net.score(coded) / np.log(10)
-            n_tokens, n_known, listed_sum, rare_sum, n_rare, tails = [], [], [], [], [], []
-            for words, (_, y) in zip(texts, coded):
-                counted = Counter(words)
-                counted[END] += 1
-                known, base, rare, tail = 0, 0.0, 0.0, []
-                for w, n in counted.items():
-                    log = logs.get(w)
-                    if log is None:
-                        tail.append({"token": w, "n": n})
-                        continue
-                    known += n
-                    base += n * log
-                    if w not in vocab.index:
-                        rare += n * log
-                n_tokens.append(len(y))
-                n_known.append(known)
-                listed_sum.append(base)
-                rare_sum.append(rare)
-                n_rare.append(int(np.count_nonzero(y == vocab.rare)))
-                tails.append(tail)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()),
-                 pa.array(listed_sum, pa.float64()), pa.array(rare_sum, pa.float64()), pa.array(n_rare, pa.int64()),
-                 pa.array(logp, pa.float64()), pa.array(tails, kind)],
-                names=["doc_id", "n_tokens", "known", "listed_sum", "rare_sum", "n_rare", "logp", "tail"])
+            columns = [pa.array(c, k) for c, k in zip([*zip(*rows), logp], kinds)]
+            flat_tail = pa.StructArray.from_arrays(
+                [pa.array([w for t in tails for w in t], pa.binary()), pa.array([n for t in tails for n in t.values()], pa.int64())],
+                names=["token", "n"])
+            offsets = pa.array(np.cumsum([0] + [len(t) for t in tails]), pa.int32())
+            return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(offsets, flat_tail)], names=names)
+
+        # long documents wait for their like, so that lanes are of one length
+        pools: dict[bool, list] = {False: [[], [], [], 0], True: [[], [], [], 0]}
+        for i, words in _texts(batches):
+            ids = codes.numbers(words)
+            coded = vocab.encode(ids, codes)
+            every = [*words, END]
+            log = np.append(codes.logs[ids], end_log)
+            off = np.isnan(log)
+            tail = Counter([every[k] for k in np.flatnonzero(off)])
+            log[off] = 0.0
+            rare = coded[1] == vocab.rare
+            is_long = len(words) > LONG
+            pool = pools[is_long]
+            pool[0].append((i, len(every), len(every) - int(off.sum()), float(log.sum()), float(log[rare].sum()), int(rare.sum())))
+            pool[1].append(coded)
+            pool[2].append(tail)
+            pool[3] += len(every)
+            if pool[3] >= (LONG_TOKENS if is_long else SCORE_TOKENS):
+                yield scored(*pool[:3])
+                pool[:] = [], [], [], 0
+        for rows, coded, tails, size in pools.values():
+            if size:
+                yield scored(rows, coded, tails)
 
     part, _ = materialise(docs.select(F.col(id_col).cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, n_tokens long, known long, listed_sum double, rare_sum double, n_rare long, logp double, "
@@ -222,17 +276,14 @@ def scores(docs: DataFrame, counts: DataFrame, vocab: Vocabulary, net: Net, id_c
     tail = part.select("row", F.explode("tail").alias("t")).select("row", "t.token", "t.n") \
         .join(counts, "token", "left").groupBy("row").agg(
             F.sum(F.when(F.col("c").isNotNull(), F.col("n")).otherwise(0)).alias("tail_known"),
-            F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADD))).alias("tail_sum"),
-            # a listed word may be too long for the list
-            F.sum(F.when(F.col("token").isin([bytearray(w) for w in vocab.index if len(w) > LISTED_BYTES]), 0.0).otherwise(
-                F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADD)))).alias("tail_rare"))
+            F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(ADD))).alias("tail_sum"))
     all_log = float(np.log10(vocab.total + ADD * (vocab.kinds + 1)))
     rare_log = float(np.log10(vocab.rare_total + ADD * (vocab.rare_kinds + 1)))
     none = F.lit(0.0)
     return part.drop("tail").join(tail, "row", "left").select(
         "doc_id", "n_tokens", (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         (F.col("listed_sum") + F.coalesce("tail_sum", none) - F.col("n_tokens") * F.lit(all_log)).alias("base_score"),
-        (F.col("logp") + F.col("rare_sum") + F.coalesce("tail_rare", none) - F.col("n_rare") * F.lit(rare_log)).alias("score"))
+        (F.col("logp") + F.col("rare_sum") + F.coalesce("tail_sum", none) - F.col("n_rare") * F.lit(rare_log)).alias("score"))
 
 
 def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,9 +291,10 @@ def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     training = docs.where(~held_out(F.col("doc_id"), FOLDS))
     counts, _ = materialise(token_counts(training), "token-counts")
-    vocab = vocabulary(counts)
+    listed = listed_counts(counts)
+    vocab = vocabulary(counts, listed)
     eighth = F.floor(crc32_of_id(F.col("doc_id")) / F.lit(FOLDS)) % 8
     net = learn(training, vocab, eighth)
-    return scores(docs, counts, vocab, net).select(
+    return scores(docs, counts, listed, vocab, net).select(
         "doc_id", held_out(F.col("doc_id"), FOLDS).alias("held_out"), "n_tokens", "n_known",
         F.lit(vocab.total).cast("long").alias("train_tokens"), "base_score", "score")

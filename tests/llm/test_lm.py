@@ -49,10 +49,11 @@ def test_probabilities_sum_to_one():
     net = vocab.net()
     rng = np.random.RandomState(0)
     texts = [[f"w{int(k)}".encode() for k in rng.zipf(1.5, 30) % 60] for _ in range(80)]
-    coded = [vocab.encode(t, {}) for t in texts]
+    codes = L.Codes(vocab)
+    coded = [vocab.encode(codes.numbers(t), codes) for t in texts]
     net.train(coded, {})
     prefix = [b"w1", b"w3", b"w50"]
-    x, _ = vocab.encode(prefix, {})
+    x, _ = vocab.encode(codes.numbers(prefix), codes)
     total = 0.0
     for target in range(vocab.size):
         y = np.array([0, 0, 0, target], np.int32)

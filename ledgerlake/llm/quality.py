@@ -188,8 +188,10 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, max_train: int
         F.avg("quality").alias("share"))
     one = votes.select("doc_id", (F.col("share") > 0.5).cast("int").alias("label")).where(~held_out(F.col("doc_id"), folds))
     order = F.xxhash64("doc_id")
-    # the ids of the sample: at most `max_train` rows, so the broadcast is bounded
-    sample = one.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(order, "doc_id").limit(max_train)
+    have = one.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")
+    # about `max_train` rows by a hash of the id, so that no partition hands on more than its share of the bound
+    cut = (max_train << 20) // max(have.count(), max_train)
+    sample = have.where(F.pmod(order, F.lit(1 << 20)) < cut).orderBy(order, "doc_id").limit(max_train)
     length = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
     rows = featurised(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", length.alias("n_chars"))
                       .join(F.broadcast(sample), "doc_id"))

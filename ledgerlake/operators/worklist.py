@@ -81,8 +81,9 @@ def reconcile(original: DataFrame, clean: DataFrame, exceptions: DataFrame,
     `unique`), key-set equality of original vs clean+exceptions, discount sums
     and whether they agree within `tolerance`.
 
-    One pass: the three frames are stacked with a tag, aggregated per key
-    (map-side combined), then summed into the single result row."""
+    The three frames are read as given (frames cut from one source scan it once
+    each), stacked with a tag, aggregated per key (map-side combined), then
+    summed into the single result row."""
     tags = ("o", "c", "e")
 
     def part(df: DataFrame, tag: str) -> DataFrame:

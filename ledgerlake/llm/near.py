@@ -63,7 +63,7 @@ def runs_for(recall: float, threshold: float = THRESHOLD, branch: int = BRANCH,
 class Shingles:
     """Sorted distinct 64-bit shingle hashes of texts. Word hashes are remembered up to a bound."""
 
-    REMEMBERED = 1 << 20
+    REMEMBERED = 1 << 18
     MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
     FINISH = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -121,7 +121,7 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
         shingles, (a, b) = Shingles(n), places()
         for batch in batches:
             keys, sizes, made = [], [], []
-            for text in batch.column("text").to_pylist():
+            for text in (t for lo in range(0, batch.num_rows, 256) for t in batch.column("text").slice(lo, 256).to_pylist()):
                 s = shingles.of(text)
                 keys.append(key_of(s) if len(s) else None)
                 sizes.append(len(s))

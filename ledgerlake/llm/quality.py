@@ -68,7 +68,7 @@ def _byte_classes() -> np.ndarray:
 class Features:
     """Word indices and statistics of texts. Word hashes are remembered up to a bound."""
 
-    REMEMBERED = 1 << 20
+    REMEMBERED = 1 << 18
 
     def __init__(self) -> None:
         self.kinds = _byte_classes()
@@ -211,8 +211,8 @@ def score(docs: DataFrame, model: Model, score_col: str = "score") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, features = shared.value, Features()
         for whole in batches:
-            for lo in range(0, whole.num_rows, 512):
-                batch = whole.slice(lo, 512)
+            for lo in range(0, whole.num_rows, 256):
+                batch = whole.slice(lo, 256)
                 texts = batch.column("text").to_pylist()
                 lengths = batch.column("n_chars").to_pylist() if has_length else [None] * len(texts)
                 made = [features.of(t, n) for t, n in zip(texts, lengths)]

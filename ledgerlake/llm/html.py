@@ -3,27 +3,31 @@
 Tokens of a page are its tags, told apart by their path of open elements, and
 its text nodes with their path. Over the pages of one host, tokens with the
 same occurrence vector (how often each page has them) form a class: they come
-from the same piece of the host's template. Classes that are large and frequent
-enough and whose tokens keep one order are valid; they are nested by position
-into the host's template. What lies between template tokens are slots: text
-that no valid class holds.
+from the same piece of the host's template. The tags that every page has once
+are the skeleton; its gaps locate every other token, so that equal tokens in
+different gaps have different roles. Classes of roles that are large and
+frequent enough and lie in one gap are valid and nested there. What lies
+between template tokens are slots: text that no valid class holds.
 
 Occurrence vectors are never gathered: a vector is known by an exclusive-or of
-hashes of (page, count), which combines on the map side, so a host with a third
+hashes of (body, count), which combines on the map side, so a host with a third
 of all pages is no burden. What is left per host are the tokens that at least
-half of its pages share, which is bounded by the size of a page.
+half of its bodies share, which is bounded by the size of a page.
 
-The main text are the slots of the article: inside `article` or `main` elements
-where the page has them, else in the whole body. Menus, page headers, footers,
-sidebars, notices, adverts, forms and reader comments are elements of these
-kinds by tag, role, class or id; outside articles, text of the host's template
-goes too.
+Pages of a host with equal articles count once, by one representative; a page
+without articles counts by itself.
+
+The main text are the slots, on every page: template text goes inside articles
+too. Menus, page headers, footers, sidebars, notices, adverts, forms and reader
+comments are elements of these kinds by tag, role, class or id and go as well,
+and where a page has `article` or `main` elements, so does what lies outside.
 
 Defined results: NULL and empty pages give an empty text; a NULL or unusual URL
-belongs to the host ''; hosts with too few pages have an empty template, so
-only the elements' kinds decide; broken markup is read leniently (unknown end
-tags are skipped, open elements end with their parents); repeated pages count
-as often as they occur; an empty table gives no rows.
+belongs to the host ''; hosts with too few different bodies have an empty
+template, so only the elements' kinds decide; bodies that differ anywhere in
+their text count as different; broken markup is read leniently (unknown end
+tags are skipped, open elements end with their parents); an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -39,9 +43,9 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import table
 from ledgerlake.session import materialise
 
-MIN_PAGES = 3  # support of a valid class
+MIN_PAGES = 3  # support of a valid class, in different bodies
 MIN_TOKENS = 3  # size of a valid class
-SHARE = 0.5  # of a host's pages
+SHARE = 0.5  # of a host's bodies
 
 # fixed values of the markup language
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -158,31 +162,69 @@ def text_token(path: str, text: str) -> int:
     return _hash(f"{path}\n{' '.join(text.split())}")
 
 
-def occurrences(pages: DataFrame) -> DataFrame:
-    """(host, token, is_text, pages, total, vector, place) of the tokens of (host, page, html); rows combined within a batch."""
-    schema = "host string, token long, is_text boolean, pages long, total long, vector long, place double"
+def located(tokens: list[tuple[int, bool]], skeleton: dict[int, int]) -> Iterator[tuple[int, float]]:
+    """(role, place) of a page's tokens (token, is text): the skeleton's tags are marks, others lie in the gap after the last mark."""
+    gap = -1
+    for token, is_text in tokens:
+        mark = None if is_text else skeleton.get(token)
+        if mark is None:
+            yield _hash(f"{gap} {token}"), gap + 0.5
+        else:
+            gap = mark
+            yield token, float(gap)
+
+
+def tokens_of(events: list[tuple]) -> list[tuple[int, bool]]:
+    """(token, is text) of the events that are no space."""
+    return [(text_token(e[1], e[4]), True) if e[0] == "text" else (_hash(e[1]), False) for e in events if e[0] != "space"]
+
+
+def bodies(pages: DataFrame) -> DataFrame:
+    """(host, body, tokens, texts): the tokens of one page of each different body, of (host, page, html)."""
+    schema = "host string, body long, page long, tokens array<long>, texts array<boolean>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
+        for batch in batches:
+            rows = []
+            for html in batch.column("html").to_pylist():
+                events = list(reader.events(html))
+                rows.append((_hash(joined(chosen(events))) if marked(events) else None, tokens_of(events)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("host"), pa.array([p if r[0] is None else r[0] for r, p in zip(rows, batch.column("page").to_pylist())], pa.int64()), batch.column("page"),
+                 pa.array([[t for t, _ in r[1]] for r in rows], pa.list_(pa.int64())),
+                 pa.array([[x for _, x in r[1]] for r in rows], pa.list_(pa.bool_()))],
+                names=["host", "body", "page", "tokens", "texts"])
+
+    return pages.select("host", "page", "html").mapInArrow(run, schema).groupBy("host", "body").agg(
+        F.min(F.struct("page", "tokens", "texts")).alias("one")).select("host", "body", "one.tokens", "one.texts")
+
+
+def occurrences(found: DataFrame, by_role: bool) -> DataFrame:
+    """(host, token, is_text, pages, total, vector, place) of the tags of (host, body, tokens, texts), or with
+    the skeleton at hand of the roles of all tokens; rows combined within a batch."""
+    schema = "host string, token long, is_text boolean, pages long, total long, vector long, place double"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: dict[tuple[str, int, bool], list] = {}
-            for host, page, html in zip(*(c.to_pylist() for c in batch.columns)):
-                seen: dict[tuple[int, bool], list[int]] = {}
-                articles = "<article" in html or "<main" in html or "<ARTICLE" in html or "<MAIN" in html
-                n = 0
-                for kind, path, _, inside, text, _ in reader.events(html):
-                    n += 1
-                    # text inside an article is a slot in any case
-                    if kind == "space" or (kind == "text" and articles and inside):
-                        continue
-                    key = (text_token(path, text), True) if kind == "text" else (_hash(path), False)
-                    seen.setdefault(key, [0, n])[0] += 1
-                for (token, is_text), (count, first) in seen.items():
+            skeletons = batch.column("skeleton").to_pylist() if by_role else [None] * batch.num_rows
+            for host, body, tokens, texts, skeleton in zip(*(batch.column(c).to_pylist() for c in ("host", "body", "tokens", "texts")), skeletons):
+                page = list(zip(tokens, texts))
+                if by_role:
+                    marks = {t: k for k, t in enumerate(skeleton)}
+                    placed = [(role, x, place) for (role, place), (_, x) in zip(located(page, marks), page)]
+                else:
+                    placed = [(t, x, n / len(page)) for n, (t, x) in enumerate(page) if not x]
+                seen: dict[tuple[int, bool], list] = {}
+                for token, is_text, place in placed:
+                    seen.setdefault((token, is_text), [0, place])[0] += 1
+                for (token, is_text), (count, place) in seen.items():
                     row = held.setdefault((host, token, is_text), [0, 0, 0, 0.0])
                     row[0] += 1
                     row[1] += count
-                    row[2] ^= _hash(f"{page} {count}")
-                    row[3] += first / max(1, n)
+                    row[2] ^= _hash(f"{body} {count}")
+                    row[3] += place
             keys, rows = list(held), list(held.values())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()),
@@ -190,11 +232,18 @@ def occurrences(pages: DataFrame) -> DataFrame:
                  pa.array([r[3] for r in rows], pa.float64())],
                 names=["host", "token", "is_text", "pages", "total", "vector", "place"])
 
-    return pages.select("host", "page", "html").mapInArrow(run, schema).groupBy("host", "token", "is_text").agg(
+    return found.mapInArrow(run, schema).groupBy("host", "token", "is_text").agg(
         F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.bit_xor("vector").alias("vector"),
         F.sum("place").alias("place"))
 
 
+def classes_of(tokens: pd.DataFrame) -> tuple[pd.DataFrame, list[pd.DataFrame]]:
+    """(the root, all classes) of one host's frequent tokens, each in page order."""
+    tokens = tokens.assign(at=tokens.place / tokens.pages).sort_values(["at", "token"])
+    classes = [g for _, g in tokens.groupby(["vector", "pages", "total"], sort=False)]
+    return max(classes, key=lambda g: (g.pages.iloc[0], g.total.iloc[0] == g.pages.iloc[0], len(g))), classes
+
+
 def nested(tokens: pd.DataFrame) -> tuple[list[int], list[int]]:
     """(skeleton in page order, template text) of one host's frequent tokens.
 
@@ -204,9 +253,7 @@ def nested(tokens: pd.DataFrame) -> tuple[list[int], list[int]]:
     class whose tokens lie in different gaps repeats across the page and is not
     part of one piece of template.
     """
-    tokens = tokens.assign(at=tokens.place / tokens.pages).sort_values(["at", "token"])
-    classes = [g for _, g in tokens.groupby(["vector", "pages", "total"], sort=False)]
-    root = max(classes, key=lambda g: (g.pages.iloc[0], g.total.iloc[0] == g.pages.iloc[0], len(g)))
+    root, classes = classes_of(tokens)
     marks = root["at"].to_numpy()
     skeleton, text = root[~root.is_text].token.tolist(), root[root.is_text].token.tolist()
     for g in classes:
@@ -220,29 +267,42 @@ def nested(tokens: pd.DataFrame) -> tuple[list[int], list[int]]:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, skeleton, text): the template tokens of each host that has one."""
+    """(host, skeleton, text): the marks and the template text, by role, of each host that has a template."""
+    def marks(group: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"host": [group.host.iloc[0]], "skeleton": [classes_of(group)[0].token.tolist()]})
+
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        skeleton, text = nested(group)
-        return pd.DataFrame({"host": [group.host.iloc[0]], "skeleton": [skeleton], "text": [text]})
+        return pd.DataFrame({"host": [group.host.iloc[0]], "text": [nested(group)[1]]})
 
-    counted, _ = materialise(occurrences(pages), "tokens")
-    sizes = pages.groupBy("host").agg(F.count("*").alias("host_pages"))
-    # at least half of the pages hold each of these tokens, so a host has about two pages' worth at most
-    shared = counted.where(F.col("pages") >= MIN_PAGES).join(sizes, "host").where(
-        F.col("pages") >= F.col("host_pages") * F.lit(SHARE))
-    return shared.groupBy("host").applyInPandas(run, "host string, skeleton array<long>, text array<long>")
+    found, _ = materialise(bodies(pages), "bodies")
+    sizes = found.groupBy("host").agg(F.count("*").alias("host_bodies")).where(F.col("host_bodies") >= MIN_PAGES)
 
+    def shared(counted: DataFrame) -> DataFrame:
+        # at least half of the bodies hold each of these tokens, so a host has about two pages' worth at most
+        return counted.where(F.col("pages") >= MIN_PAGES).join(sizes, "host").where(
+            F.col("pages") >= F.col("host_bodies") * F.lit(SHARE))
 
-def main_text(html: str, template: set[int], reader: Reader) -> str:
-    """The article's slots, a line per block."""
-    events = list(reader.events(html))
-    articles = any(kind == "open" and inside and not apart for kind, _, apart, inside, _, _ in events)
+    skeletons, _ = materialise(shared(occurrences(found, False)).groupBy("host").applyInPandas(
+        marks, "host string, skeleton array<long>"), "skeletons")
+    placed = found.join(skeletons, "host")
+    text = shared(occurrences(placed, True)).groupBy("host").applyInPandas(run, "host string, text array<long>")
+    return skeletons.join(text, "host")
+
+
+def marked(events: list[tuple]) -> bool:
+    return any(kind == "open" and inside and not apart for kind, _, apart, inside, _, _ in events)
+
+
+def chosen(events: list[tuple]) -> list[tuple]:
+    """The text and space events that their elements' kinds leave: inside the articles where there are any."""
+    articles = marked(events)
+    return [e for e in events if e[0] != "open" and not e[2] and (e[3] or not articles)]
+
+
+def joined(events: list[tuple]) -> str:
+    """The events' text, a line per block."""
     blocks: list[tuple[int, list[str]]] = []
-    for kind, path, apart, inside, text, block in events:
-        if kind == "open" or apart or (articles and not inside):
-            continue
-        if kind == "text" and not articles and text_token(path, text) in template:
-            continue
+    for *_, text, block in events:
         if not blocks or blocks[-1][0] != block:
             blocks.append((block, []))
         blocks[-1][1].append(text)
@@ -250,6 +310,15 @@ def main_text(html: str, template: set[int], reader: Reader) -> str:
     return "\n".join(line for line in lines if line)
 
 
+def main_text(html: str, skeleton: dict[int, int], template: set[int], reader: Reader) -> str:
+    """The slots that the skeleton locates, of the elements that can hold main text."""
+    events = list(reader.events(html))
+    if template:
+        roles = located(tokens_of(events), skeleton)
+        events = [e for e in events if e[0] == "space" or next(roles)[0] not in template or e[0] == "open"]
+    return joined(chosen(events))
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(page_id, url, text) of each page."""
     src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
@@ -260,13 +329,14 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader()
         for batch in batches:
-            htmls, known = batch.column("html").to_pylist(), batch.column("template").to_pylist()
-            out = [main_text(h, set(t or ()), reader) for h, t in zip(htmls, known)]
+            htmls, skeletons, known = (batch.column(c).to_pylist() for c in ("html", "skeleton", "template"))
+            out = [main_text(h, {t: k for k, t in enumerate(s or ())}, set(t or ()), reader)
+                   for h, s, t in zip(htmls, skeletons, known)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())],
                                              names=["page_id", "url", "text"])
 
-    return src.join(found.select("host", F.col("text").alias("template")), "host", "left") \
-        .select("page_id", "url", "html", "template").mapInArrow(run, f"page_id {id_type}, url string, text string")
+    return src.join(found.select("host", "skeleton", F.col("text").alias("template")), "host", "left") \
+        .select("page_id", "url", "html", "skeleton", "template").mapInArrow(run, f"page_id {id_type}, url string, text string")
 
 
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:

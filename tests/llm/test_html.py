@@ -59,3 +59,22 @@ def test_empty_table_clashing_columns_and_query(spark, tmp_dir):
     assert H.extract(df.limit(0)).count() == 0
     df.write.parquet(f"{tmp_dir}/pages.parquet")
     assert H.op7_html(spark, tmp_dir).first()["n_chars"] == 3
+
+
+def test_host_template_inside_articles_goes(spark):
+    page = "<body><main><p>Read us daily</p><article><h1>T{0}</h1>{1}<p>Tell your friends</p></article>" \
+           "<article><h2>More</h2><p>Old story</p></article></main></body>"
+    paras = [[prose(8, 100 * k + j) for j in range(1 + k % 3)] for k in range(9)]
+    rows = [(k, "https://a.example/x", page.format(k, "".join(f"<p>{p}</p>" for p in paras[k]))) for k in range(9)]
+    got = texts(spark, rows + [(99, "https://single.example/", page.format(99, "<p>alone</p>"))])
+    for k in range(9):
+        assert got[k] == "\n".join([f"T{k}", *paras[k]])
+    assert got[99] == "Read us daily\nT99\nalone\nTell your friends\nMore\nOld story"
+
+
+def test_skeleton_tells_equal_texts_apart(spark):
+    # the template's line stands before the heading; an article that quotes it keeps it
+    page = "<body><article><p>Share this</p><h1>T{0}</h1><p>{1}</p>{2}</article></body>"
+    rows = [(k, "http://h.example/", page.format(k, prose(9, k), "<p>Share this</p>" if k == 2 else "")) for k in range(7)]
+    got = texts(spark, rows)
+    assert got[2] == f"T2\n{prose(9, 2)}\nShare this" and got[3] == f"T3\n{prose(9, 3)}"

@@ -14,8 +14,9 @@ hashes of (body, count), which combines on the map side, so a host with a third
 of all pages is no burden. What is left per host are the tokens that at least
 half of its bodies share, which is bounded by the size of a page.
 
-Pages of a host with equal articles count once, by one representative; a page
-without articles counts by itself.
+Pages of a host with the same body, the text that only the elements' kinds
+choose, count once, by one representative: copies of an article never make it
+a template, and no row cancels another in a vector.
 
 The main text are the slots, on every page: template text goes inside articles
 too. Menus, page headers, footers, sidebars, notices, adverts, forms and reader
@@ -189,9 +190,9 @@ def bodies(pages: DataFrame) -> DataFrame:
             rows = []
             for html in batch.column("html").to_pylist():
                 events = list(reader.events(html))
-                rows.append((_hash(joined(chosen(events))) if marked(events) else None, tokens_of(events)))
+                rows.append((_hash(joined(chosen(events))), tokens_of(events)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("host"), pa.array([p if r[0] is None else r[0] for r, p in zip(rows, batch.column("page").to_pylist())], pa.int64()), batch.column("page"),
+                [batch.column("host"), pa.array([r[0] for r in rows], pa.int64()), batch.column("page"),
                  pa.array([[t for t, _ in r[1]] for r in rows], pa.list_(pa.int64())),
                  pa.array([[x for _, x in r[1]] for r in rows], pa.list_(pa.bool_()))],
                 names=["host", "body", "page", "tokens", "texts"])
@@ -289,13 +290,9 @@ def templates(pages: DataFrame) -> DataFrame:
     return skeletons.join(text, "host")
 
 
-def marked(events: list[tuple]) -> bool:
-    return any(kind == "open" and inside and not apart for kind, _, apart, inside, _, _ in events)
-
-
 def chosen(events: list[tuple]) -> list[tuple]:
     """The text and space events that their elements' kinds leave: inside the articles where there are any."""
-    articles = marked(events)
+    articles = any(kind == "open" and inside and not apart for kind, _, apart, inside, _, _ in events)
     return [e for e in events if e[0] != "open" and not e[2] and (e[3] or not articles)]
 
 

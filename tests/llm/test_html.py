@@ -78,3 +78,19 @@ def test_skeleton_tells_equal_texts_apart(spark):
     rows = [(k, "http://h.example/", page.format(k, prose(9, k), "<p>Share this</p>" if k == 2 else "")) for k in range(7)]
     got = texts(spark, rows)
     assert got[2] == f"T2\n{prose(9, 2)}\nShare this" and got[3] == f"T3\n{prose(9, 3)}"
+
+
+def test_copies_never_make_an_article_a_template(spark):
+    page = "<body><nav>menu {2}</nav><div>Welcome</div><h1>{0}</h1>{1}</body>"
+    same = "".join(f"<p>{prose(9, j)}</p>" for j in range(4))
+    whole = "\n".join(["Welcome", "Same", *(prose(9, j) for j in range(4))])
+    mirror = [(k, "http://mirror.example/", page.format("Same", same, k)) for k in range(12)]
+    half = [(100 + k, "http://half.example/", page.format("Same", same, k)) for k in range(12)]
+    half += [(200 + k, "http://half.example/", page.format(f"T{k}", f"<p>{prose(9, 50 + k)}</p>", k)) for k in range(6)]
+    # every row twice: no page cancels itself in a vector
+    twice = [(300 + k, "http://twice.example/", page.format(f"T{k}", f"<p>{prose(9, 70 + k)}</p>", k)) for k in range(4)] * 2
+    got = texts(spark, mirror + half + twice)
+    assert {got[k] for k in range(12)} == {whole}
+    assert {got[100 + k] for k in range(12)} == {whole.removeprefix("Welcome\n")}
+    assert all(got[200 + k] == f"T{k}\n{prose(9, 50 + k)}" for k in range(6))
+    assert all(got[300 + k] == f"T{k}\n{prose(9, 70 + k)}" for k in range(4))

@@ -166,6 +166,8 @@ def scan(texts: list[str | None], index: Index) -> list[tuple[int, int, int, int
     norms = [normal(t) for t in texts]
     starts = np.cumsum([0] + [len(t) + 1 for t in norms])
     whole = codes_of("\x00".join(norms))
+    if not len(whole):  # a run of one empty text
+        return out
     found_at, found_key = [], []
     for lo in range(0, len(whole), SCAN_CHARS):
         h = grams(whole[lo:lo + SCAN_CHARS + Q - 1])

@@ -76,6 +76,18 @@ def test_empty_tables_and_blocks(spark, monkeypatch):
     assert D.decontaminate(docs(spark, texts), bench(spark, [])).count() == 24
 
 
+def test_runs_of_one_empty_text(spark):
+    item = prose(25, 1)
+    for empty in (None, "", " "):
+        one = docs(spark, [empty]).coalesce(1)
+        assert D.matches(one, bench(spark, [item])).count() == 0
+        assert [r["text"] for r in D.decontaminate(one, bench(spark, [item])).collect()] == [empty]
+        # the long text closes a run, so the empty one makes up its own
+        both = docs(spark, ["x" * D.SCAN_CHARS + f" {item}", empty]).coalesce(1)
+        assert [(r["doc_id"], r["edits"]) for r in D.matches(both, bench(spark, [item])).collect()] == [(0, 0)]
+        assert [r["doc_id"] for r in D.decontaminate(both, bench(spark, [item])).collect()] == [1]
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet="abc", min_size=1, max_size=14), st.text(alphabet="abc", max_size=30))
 def test_alignment_over_all_diagonals_is_the_edit_distance(item, text):

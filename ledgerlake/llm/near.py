@@ -116,7 +116,7 @@ def key_of(shingles: np.ndarray) -> int:
 
 
 def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WORDS) -> DataFrame:
-    """(doc_id, class_key, n_shingles, sketch); no class for texts without words."""
+    """(doc_id, text_key, class_key, n_shingles, sketch); no class for texts without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, (a, b) = Shingles(n), places()
         for batch in batches:
@@ -127,11 +127,12 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
                 sizes.append(len(s))
                 made.append(sketch(s, a, b).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(made, pa.binary())],
-                names=["doc_id", "class_key", "n_shingles", "sketch"])
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()),
+                 pa.array(made, pa.binary())], names=["doc_id", "text_key", "class_key", "n_shingles", "sketch"])
 
-    return docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")) \
-        .mapInArrow(run, "doc_id long, class_key long, n_shingles long, sketch binary")
+    return docs.where(F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")) \
+        .mapInArrow(run, "doc_id long, text_key long, class_key long, n_shingles long, sketch binary")
 
 
 # ---- chosen paths -------------------------------------------------------------------------------------------------
@@ -460,6 +461,12 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL, threshold: float =
     """(doc_id, class_id, n_links) of each row with an id: the smallest id of its
     group (linked rows, directly or through others) and the number of other rows
     whose similarity to it is at or above the threshold."""
+    return grouped(docs, recall, threshold, id_col, text_col, node_limit, depth, block).select("doc_id", "class_id", "n_links")
+
+
+def grouped(docs: DataFrame, recall: float = RECALL, threshold: float = THRESHOLD, id_col: str = "doc_id",
+            text_col: str = "text", node_limit: int = NODE_LIMIT, depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
+    """(doc_id, text_key, group_key, class_id, n_links) of each row with an id; no group for texts without words."""
     if threshold < THRESHOLD:
         raise ValueError(f"the sketches are made for thresholds of {THRESHOLD} and more")
     rows, _ = materialise(sketched(docs, id_col, text_col), "sketches")
@@ -477,16 +484,23 @@ def near_duplicates(docs: DataFrame, recall: float = RECALL, threshold: float =
     about = classes.select("class_key", "doc_id", "copies") \
         .join(labels.withColumnRenamed("node", "class_key"), "class_key", "left") \
         .join(smallest, "label", "left").join(counts, "class_key", "left") \
-        .select("class_key", F.coalesce("class_id", "doc_id").alias("class_id"),
+        .select("class_key", F.coalesce("label", "class_key").alias("group_key"), F.coalesce("class_id", "doc_id").alias("class_id"),
                 (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
-    return rows.select("doc_id", "class_key").join(about, "class_key", "left").select(
-        "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return rows.select("doc_id", "text_key", "class_key").join(about, "class_key", "left").select(
+        "doc_id", "text_key", "group_key", F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents with one of each group of near duplicates (that of the smallest id); rows without id stay."""
-    found = near_duplicates(docs).where("doc_id = class_id").select("doc_id").distinct()
-    stay = docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """The documents with one of each group of near duplicates (that of the smallest id); rows without id stay,
+    and of rows without words one of each id and text. An id may stand on different texts."""
+    found, row = grouped(docs), F.struct("doc_id", "text_key")
+    first = found.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min(row).alias("k")).select("k.*") \
+        .unionByName(found.where("group_key IS NULL").select("doc_id", "text_key")) \
+        .select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_text"))
+    stay = docs.withColumn("_text_key", F.xxhash64("text")).join(
+        first, (F.col("doc_id").cast("long") == F.col("_kept_id")) & (F.col("_text_key") == F.col("_kept_text")), "left_semi") \
+        .dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
     return stay.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
 
 

@@ -89,6 +89,16 @@ def test_keep_one(spark):
     assert sorted((r["doc_id"] is not None, r["doc_id"] or 0) for r in kept.collect()) == [(False, 0), (True, 3), (True, 4), (True, 6), (True, 9)]
 
 
+def test_keep_one_of_an_id_on_different_texts(spark):
+    a, b, c = prose(50, 1), prose(50, 2), prose(50, 3)
+    # 5 stands on a, on a near copy of a and on b; 2 on c and on a copy of b; 4 on no words and on words
+    rows = [(5, a), (5, edited(a, 1, 2)), (5, a), (9, a), (5, b), (2, b), (2, c), (4, None), (4, prose(50, 4))]
+    kept = sorted((r["doc_id"], r["text"] or "") for r in N.keep_one(docs(spark, rows).repartition(5)).collect())
+    near = [t for i, t in kept if i == 5]
+    assert len(near) == 1 and near[0] in (a, edited(a, 1, 2))
+    assert [k for k in kept if k[0] != 5] == sorted([(2, b), (2, c), (4, ""), (4, prose(50, 4))])
+
+
 def test_runs_reach_the_recall():
     assert N.runs_for(0.9999) >= N.runs_for(0.99) >= 1
     with pytest.raises(ValueError):

@@ -6,6 +6,7 @@ import corpus_pipeline
 from ledgerlake.llm.ann import op10_ann
 from ledgerlake.llm.bpe import op5_bpe
 from ledgerlake.llm.decontaminate import op4_decontaminate
+from ledgerlake.llm.exact import op11_exact, op11_sql
 from ledgerlake.llm.html import op7_html
 from ledgerlake.llm.lm import op3_lm
 from ledgerlake.llm.near import op2_near
@@ -25,12 +26,13 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_sharding": op9_sharding,
     "op10_ann": op10_ann,
+    "op11_exact": op11_exact,
     "pipeline": corpus_pipeline.run,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {"op1_urls": op1_sql(), "op6_warc": op6_sql()}
+    out = {"op1_urls": op1_sql(), "op6_warc": op6_sql(), "op11_exact": op11_sql()}
     if corpus_pipeline.ORACLE_SQL is not None:
         out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out

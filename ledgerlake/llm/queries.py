@@ -10,6 +10,7 @@ from ledgerlake.llm.exact import op11_exact, op11_sql
 from ledgerlake.llm.html import op7_html
 from ledgerlake.llm.lm import op3_lm
 from ledgerlake.llm.near import op2_near
+from ledgerlake.llm.planes import op13_planes, op13_sql
 from ledgerlake.llm.quality import op8_quality
 from ledgerlake.llm.sharding import op9_sharding
 from ledgerlake.llm.urls import op1_sql, op1_urls
@@ -27,12 +28,13 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_ann": op10_ann,
     "op11_exact": op11_exact,
+    "op13_planes": op13_planes,
     "pipeline": corpus_pipeline.run,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {"op1_urls": op1_sql(), "op6_warc": op6_sql(), "op11_exact": op11_sql()}
+    out = {"op1_urls": op1_sql(), "op6_warc": op6_sql(), "op11_exact": op11_sql(), "op13_planes": op13_sql()}
     if corpus_pipeline.ORACLE_SQL is not None:
         out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out

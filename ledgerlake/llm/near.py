@@ -14,14 +14,19 @@ are linked to that pivot. Runs are repeated until the chance that a pair at
 the threshold shares no small node in any run is below 1 - `recall`.
 
 These comparisons use the sketches with a wide margin and give candidate
-groups. An exact check follows: inside each candidate group, cut into blocks,
-the whole shingle sets are compared, links are counted and the exact groups
-built. A group is never held as a whole and its pairs are never written out.
+groups. An exact check follows on whole shingle sets, one for each class. A
+candidate group is cut into blocks of bounded numbers of sets and bytes. Each
+block is compared with itself and gives every set the representative of its
+part of the block; then each two blocks are compared, and only a forest of links
+between representatives is handed on. So the links of a group grow with its
+members, not with its pairs; pairs are counted for each member and never written
+out, and a group is never held as a whole.
 
 Defined results: texts without words have no shingles and no links, each is a
-class of its own; rows without an id are kept apart, with no class and no
-links; repeated rows are copies of one another; an empty table gives an empty
-result; other columns are not read.
+class of its own; rows without an id take part like all others, their id is
+larger than any other (`class_id` is NULL only if the whole group has none);
+repeated rows are copies of one another; an empty table gives an empty result;
+other columns are not read. A very long text is a block of its own.
 """
 
 from __future__ import annotations
@@ -47,7 +52,9 @@ RECALL = 0.9999
 NODE_LIMIT = 256  # sets of a node that are compared by brute force
 PIVOTS = 4
 DEPTH = 6
-BLOCK = 1024  # sets of a block in the exact check
+LEAF_BLOCK = 1024  # sets of a block in a node that is too deep to split
+BLOCK = 2048  # sets of a block in the exact check
+BLOCK_BYTES = 16 << 20  # bytes of the sets of a block
 BITMAP_BITS = 1 << 25
 SEED = 0x5EED
 
@@ -130,7 +137,7 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n:
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()),
                  pa.array(made, pa.binary())], names=["doc_id", "text_key", "class_key", "n_shingles", "sketch"])
 
-    return docs.where(F.col(id_col).isNotNull()).select(
+    return docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_key"), F.col(text_col).alias("text")) \
         .mapInArrow(run, "doc_id long, text_key long, class_key long, n_shingles long, sketch binary")
 
@@ -218,11 +225,19 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _edges(1, new.T.reshape(-1).view(np.int64), np.tile(cls[left], BRANCH))
 
 
+def _lowest(linked: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Smallest label among the linked columns of each row; the number of labels where there is none."""
+    out = np.empty(len(linked), np.int64)
+    for lo in range(0, len(linked), 256):
+        out[lo:lo + 256] = np.where(linked[lo:lo + 256], label[None, :], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
+    return out
+
+
 def _forest(linked: np.ndarray) -> np.ndarray:
     """Smallest member of each row's component in a symmetric boolean matrix."""
     label = np.arange(len(linked))
     while True:
-        low = np.minimum(label, np.where(linked, label[None, :], len(linked)).min(axis=1))
+        low = np.minimum(label, _lowest(linked, label))
         low = low[low]
         if (low == label).all():
             return label
@@ -278,17 +293,18 @@ def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def candidate_links(classes: DataFrame, recall: float = RECALL, node_limit: int = NODE_LIMIT, depth: int = DEPTH,
-                    block: int = BLOCK) -> DataFrame:
-    """(u, v) links whose components hold all pairs of classes at or above the threshold."""
-    spark = classes.sparkSession
+                    block: int = LEAF_BLOCK) -> tuple[DataFrame, list[str]]:
+    """(u, v) links whose components hold all pairs of classes at or above the threshold, and the tables they are read from."""
     members = classes.select("class_key", "sketch").mapInArrow(_first_nodes(runs_for(recall)), "node long, class_key long")
     links, leaves, paths = [], [], []
     for level in range(depth):
         rows, path = materialise(members.distinct() if level else members, "nodes")
+        paths.append(path)
         sized = rows.join(rows.groupBy("node").count().where("count > 1"), "node")
         leaves.append(sized.where(F.col("count") <= node_limit).select(
             "node", "class_key", F.lit(0).alias("bi"), F.lit(0).alias("bj")))
-        large, large_path = materialise(sized.where(F.col("count") > node_limit), "large-nodes")
+        large, path = materialise(sized.where(F.col("count") > node_limit), "large-nodes")
+        paths.append(path)
         if large.isEmpty():
             break
         if level == depth - 1:
@@ -302,8 +318,9 @@ def candidate_links(classes: DataFrame, recall: float = RECALL, node_limit: int
         drawn = full.withColumn("r", F.row_number().over(W.partitionBy("node").orderBy(F.xxhash64("class_key", "node"), "class_key")))
         pivots = drawn.where(F.col("r") <= PIVOTS).groupBy("node").agg(
             F.sort_array(F.collect_list(F.struct("class_key", "sketch"))).alias("pivots"))
-        out, out_path = materialise(full.join(pivots, "node").select("node", "class_key", "sketch", "pivots").mapInArrow(
+        out, path = materialise(full.join(pivots, "node").select("node", "class_key", "sketch", "pivots").mapInArrow(
             _split, "kind int, u long, v long"), "split-nodes")
+        paths.append(path)
         links.append(out.where("kind = 0").select("u", "v"))
         members = out.where("kind = 1").select(F.col("u").alias("node"), F.col("v").alias("class_key"))
     all_leaves = leaves[0]
@@ -314,98 +331,104 @@ def candidate_links(classes: DataFrame, recall: float = RECALL, node_limit: int
         .repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_brute, "kind int, u long, v long").select("u", "v")
     for more in links:
         brute = brute.unionByName(more)
-    return brute
+    return brute, paths
 
 
 # ---- exact check --------------------------------------------------------------------------------------------------
 
-def _shared(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarray:
-    """(sets x others) sizes of the intersections, through matrix products over the shingles that several sets hold."""
-    lengths = [len(s) for s in sets] + [len(s) for s in others]
-    values, back, counts = np.unique(np.concatenate(sets + others), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(lengths)), lengths)
+def _shared(sets: list[np.ndarray], others: list[np.ndarray] | None = None) -> np.ndarray:
+    """(sets x others) sizes of the intersections (without `others`: of the sets among themselves),
+    through matrix products over the shingles that several sets hold."""
+    n, every = len(sets), sets + (others or [])
+    values, back, counts = np.unique(np.concatenate(every), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(every)), [len(s) for s in every])
     many = counts[back] > 1
     column = (np.cumsum(counts > 1) - 1)[back[many]]
-    owner = owner[many]
-    out = np.zeros((len(sets), len(others)), np.float32)
+    del values, back, counts
     order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
+    column, owner = column[order], owner[many][order]
+    out = np.zeros((n, n if others is None else len(others)), np.float32)
     total = int(column[-1]) + 1 if len(column) else 0
-    for lo in range(0, total, 4096):
-        a, b = np.searchsorted(column, [lo, lo + 4096])
-        m = np.zeros((len(lengths), min(4096, total - lo)), np.float32)
+    for lo in range(0, total, 1024):
+        a, b = np.searchsorted(column, [lo, lo + 1024])
+        m = np.zeros((len(every), min(1024, total - lo)), np.float32)
         m[owner[a:b], column[a:b] - lo] = 1
-        out += m[:len(sets)] @ m[len(sets):].T
-    return np.rint(out).astype(np.int64)
+        out += m[:n] @ (m if others is None else m[n:]).T
+    return out
+
+
+def _linked(shared: np.ndarray, sizes: np.ndarray, other_sizes: np.ndarray, threshold: float) -> np.ndarray:
+    """True where the similarity is at or above the threshold."""
+    out = np.empty(shared.shape, bool)
+    for lo in range(0, len(sizes), 256):
+        inter = np.rint(shared[lo:lo + 256].astype(np.float64))
+        out[lo:lo + 256] = inter >= threshold * (sizes[lo:lo + 256, None] + other_sizes[None, :] - inter) - 1e-9
+    return out
+
+
+def _between(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A forest of the links of two blocks, between the representatives `left` and `right` of rows and columns."""
+    ln, li = np.unique(left, return_inverse=True)
+    rn, ri = np.unique(right, return_inverse=True)
+    at, to = np.nonzero(hit)
+    linked = np.zeros((len(ln), len(rn)), bool)
+    linked[li[at], ri[to]] = True
+    n = len(ln)
+    label = np.arange(n + len(rn))
+    while True:
+        low_l = np.minimum(label[:n], _lowest(linked, label[n:]))
+        low = np.concatenate([low_l, np.minimum(label[n:], _lowest(linked.T, low_l))])
+        low = low[low]
+        if (low == label).all():
+            break
+        label = low
+    names, off = np.concatenate([ln, rn]), label != np.arange(n + len(rn))
+    return names[off], names[label[off]]
 
 
 def _exact(threshold: float):
-    """mapInArrow on candidate groups, sorted by group and block pair: forest links (kind 0) and link counts (kind 1)."""
+    """mapInArrow on blocks (bi = bj) or pairs of blocks of candidate groups, sorted by them: a forest of links
+    (kind 0), of members to the smallest of their part of a block or between such, and link counts (kind 1)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = ["label", "bi", "bj"]
         for t in _runs_of(batches, keys):
             starts, sizes = _starts(t, keys)
-            cls, own, copies = (t.column(c).to_numpy() for c in ("class_key", "own", "copies"))
+            cls, own, root, copies = (t.column(c).to_numpy() for c in ("class_key", "own", "root", "copies"))
             sets = t.column("shingles")
             bi, bj = t.column("bi").to_numpy(), t.column("bj").to_numpy()
             u, v, node, count = [], [], [], []
             for at, size in zip(starts, sizes):
-                raw = [np.frombuffer(x, np.uint64) for x in sets.slice(at, size).to_pylist()]
-                rows = np.arange(at, at + size)
                 # two rows of one class would be counted twice
-                _, first = np.unique(cls[rows], return_index=True)
-                left = [i for i in first if own[rows[i]] == bi[at]]
-                same = bi[at] == bj[at]
-                right = left if same else [i for i in first if own[rows[i]] == bj[at]]
-                if not left or not right:
+                rows = at + np.unique(cls[at:at + size], return_index=True)[1]
+                raw = dict(zip(rows.tolist(), (np.frombuffer(x, np.uint64) for x in sets.take(pa.array(rows)).to_pylist())))
+                size_of = np.vectorize(lambda r: len(raw[r]), otypes=[np.int64])
+                left, right = rows[own[rows] == bi[at]], rows[own[rows] == bj[at]]
+                if not len(left) or not len(right):
                     continue
-                for lo in range(0, len(left), 256):
-                    part = left[lo:lo + 256]
-                    inter = _shared([raw[i] for i in part], [raw[i] for i in right])
-                    ln = np.array([len(raw[i]) for i in part])[:, None]
-                    rn = np.array([len(raw[i]) for i in right])[None, :]
-                    hit = inter >= threshold * (ln + rn - inter) - 1e-9
-                    if same:
-                        hit[np.arange(len(part)), np.arange(lo, lo + len(part))] = False
-                    lc, rc = cls[rows[part]], cls[rows[right]]
-                    # a forest of the links: each row to its smallest partner, and each column to its smallest
-                    for side, other, m in ((lc, rc, hit), (rc, lc, hit.T)):
-                        some = m.any(axis=1)
-                        u.append(side[some])
-                        v.append(other[m[some].argmax(axis=1)])
-                    # what those do not connect: partners of one row beyond its first
-                    chain_u, chain_v = _chains(hit, lc, rc)
-                    u.append(chain_u)
-                    v.append(chain_v)
-                    node.append(lc)
-                    count.append(hit @ copies[rows[right]])
-                    if not same:
-                        node.append(rc)
-                        count.append(hit.T @ copies[rows[part]])
+                lc, rc = cls[left], cls[right]
+                if bi[at] == bj[at]:
+                    hit = _linked(_shared([raw[r] for r in left]), size_of(left), size_of(left), threshold)
+                    np.fill_diagonal(hit, False)
+                    first = _forest(hit)
+                    off = first != np.arange(len(left))
+                    u.append(lc[off])
+                    v.append(lc[first[off]])
+                else:
+                    hit = _linked(_shared([raw[r] for r in left], [raw[r] for r in right]), size_of(left), size_of(right), threshold)
+                    between_u, between_v = _between(hit, root[left], root[right])
+                    u.append(between_u)
+                    v.append(between_v)
+                    node.append(rc)
+                    count.append(hit.T @ copies[left])
+                node.append(lc)
+                count.append(hit @ copies[right])
             if u:
                 yield _edges(0, np.concatenate(u), np.concatenate(v))
-                yield _edges(1, np.concatenate(node), np.concatenate(count))
+                node, count = np.concatenate(node), np.concatenate(count)
+                yield _edges(1, node[count > 0], count[count > 0])
     return run
 
 
-def _chains(hit: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest of the bipartite links, rows and columns as nodes."""
-    n, m = hit.shape
-    label = np.arange(n + m)
-    cols = np.arange(n, n + m)
-    while True:
-        low_r = np.minimum(label[:n], np.where(hit, label[n:][None, :], n + m).min(axis=1, initial=n + m))
-        low_c = np.minimum(label[cols], np.where(hit.T, low_r[None, :], n + m).min(axis=1, initial=n + m))
-        low = np.concatenate([low_r, low_c])
-        low = low[low]
-        if (low == label).all():
-            break
-        label = low
-    names = np.concatenate([left, right])
-    off = label != np.arange(n + m)
-    return names[off], names[label[off]]
-
-
 def _bitmap(ids: DataFrame) -> np.ndarray:
     """A fixed number of bits in which each id sets one, whatever the number of ids."""
     at = F.pmod(F.xxhash64("doc_id"), F.lit(BITMAP_BITS)) + 1  # Spark's bitmaps number their places from 1
@@ -417,9 +440,10 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def exact_links(docs: DataFrame, members: DataFrame, threshold: float = THRESHOLD, n: int = WORDS, block: int = BLOCK,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(kind, u, v): links (0) and counts (1) inside the groups of `members` (doc_id, class_key, label, copies).
+def candidate_sets(docs: DataFrame, members: DataFrame, n: int = WORDS, block: int = BLOCK, block_bytes: int = BLOCK_BYTES,
+                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(label, blocks, own, class_key, copies, shingles) of the `members` (doc_id, class_key, label, copies, n_shingles):
+    their whole sets, the number of blocks of their group and their own block.
 
     Texts are not moved: a bitmap of fixed size lets nearly only the members'
     texts through where they lie, and their shingles meet the groups.
@@ -427,7 +451,7 @@ def exact_links(docs: DataFrame, members: DataFrame, threshold: float = THRESHOL
     some = docs.sparkSession.sparkContext.broadcast(_bitmap(members))  # BITMAP_BITS
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, bits = Shingles(n), some.value
+        shingles, bits, given = Shingles(n), some.value, set()
         for batch in batches:
             at = batch.column("at").to_numpy()
             hit = np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
@@ -436,72 +460,103 @@ def exact_links(docs: DataFrame, members: DataFrame, threshold: float = THRESHOL
             part = batch.take(pa.array(hit))
             for lo in range(0, part.num_rows, 512):
                 few = part.slice(lo, 512)
-                made = [shingles.of(t) for t in few.column("text").to_pylist()]
-                keep = [i for i, s in enumerate(made) if len(s)]
-                yield pa.RecordBatch.from_arrays(
-                    [few.column("doc_id").take(pa.array(keep, pa.int64())), pa.array([key_of(made[i]) for i in keep], pa.int64()),
-                     pa.array([made[i].tobytes() for i in keep], pa.binary())], names=["doc_id", "class_key", "shingles"])
-
-    blocks = members.groupBy("label").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
-    wanted = members.join(blocks, "label")
+                ids, keep, keys, out = few.column("doc_id").to_pylist(), [], [], []
+                for i, text in enumerate(few.column("text").to_pylist()):
+                    s = shingles.of(text)
+                    key = key_of(s)
+                    # of repeated rows a task gives one
+                    if len(s) and (ids[i], key) not in given:
+                        given.add((ids[i], key))
+                        keep.append(i)
+                        keys.append(key)
+                        out.append(s.tobytes())
+                yield pa.RecordBatch.from_arrays([few.column("doc_id").take(pa.array(keep, pa.int64())), pa.array(keys, pa.int64()),
+                                                  pa.array(out, pa.binary())], names=["doc_id", "class_key", "shingles"])
+
+    blocks = members.groupBy("label").agg(F.greatest(
+        F.ceil(F.count("*") / F.lit(block)), F.ceil(F.sum("n_shingles") * 8 / F.lit(block_bytes))).cast("int").alias("blocks"))
+    wanted = members.join(blocks, "label").select(
+        "label", "blocks", F.pmod(F.xxhash64("class_key"), F.col("blocks")).cast("int").alias("own"),
+        F.col("doc_id").alias("member_id"), F.col("class_key").alias("member_key"), "copies")
     doc_id = F.col(id_col).cast("long")
     # an id repeated with another text has another class
-    rows = docs.where(F.col(id_col).isNotNull()).select(
-        doc_id.alias("doc_id"), F.pmod(F.xxhash64(doc_id), F.lit(BITMAP_BITS)).alias("at"), F.col(text_col).alias("text")) \
-        .mapInArrow(sets, "doc_id long, class_key long, shingles binary").join(wanted, ["doc_id", "class_key"])
+    return docs.select(doc_id.alias("doc_id"), F.pmod(F.xxhash64(doc_id), F.lit(BITMAP_BITS)).alias("at"), F.col(text_col).alias("text")) \
+        .mapInArrow(sets, "doc_id long, class_key long, shingles binary") \
+        .join(wanted, (F.col("class_key") == F.col("member_key")) & F.col("doc_id").eqNullSafe(F.col("member_id"))) \
+        .select("label", "blocks", "own", "class_key", "copies", "shingles")
+
+
+def exact_links(sets: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, list[str]]:
+    """(kind, u, v): a forest of links (0) and parts of the link counts (1) inside the groups of `sets`, and the tables read."""
     keys = ["label", "bi", "bj"]
-    paired = rows.withColumn("own", F.pmod(F.xxhash64("class_key"), F.col("blocks")).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "label", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "class_key", "copies", "shingles")
-    return paired.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_exact(threshold), "kind int, u long, v long")
+    schema = "kind int, u long, v long"
+
+    def compared(rows: DataFrame) -> DataFrame:
+        return rows.select("label", "bi", "bj", "own", "class_key", "root", "copies", "shingles") \
+            .repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_exact(threshold), schema)
+
+    inside, inside_path = materialise(compared(sets.withColumn("bi", F.col("own")).withColumn("bj", F.col("own"))
+                                               .withColumn("root", F.col("class_key"))), "links-inside")
+    first = inside.where("kind = 0").select(F.col("u").alias("class_key"), F.col("v").alias("first"))
+    pairs = sets.where("blocks > 1").join(first, "class_key", "left").withColumn("root", F.coalesce("first", "class_key")) \
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> own") \
+        .withColumn("bi", F.least("own", "other")).withColumn("bj", F.greatest("own", "other"))
+    across, across_path = materialise(compared(pairs), "links-across")
+    return inside.unionByName(across), [inside_path, across_path]
 
 
 def near_duplicates(docs: DataFrame, recall: float = RECALL, threshold: float = THRESHOLD, id_col: str = "doc_id",
-                    text_col: str = "text", node_limit: int = NODE_LIMIT, depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
-    """(doc_id, class_id, n_links) of each row with an id: the smallest id of its
-    group (linked rows, directly or through others) and the number of other rows
-    whose similarity to it is at or above the threshold."""
-    return grouped(docs, recall, threshold, id_col, text_col, node_limit, depth, block).select("doc_id", "class_id", "n_links")
+                    text_col: str = "text", **limits: int) -> DataFrame:
+    """(doc_id, class_id, n_links) of each row: the smallest id of its group
+    (linked rows, directly or through others) and the number of other rows
+    whose similarity to it is at or above the threshold. `limits` as in `grouped`."""
+    return grouped(docs, recall, threshold, id_col, text_col, **limits).select("doc_id", "class_id", "n_links")
 
 
 def grouped(docs: DataFrame, recall: float = RECALL, threshold: float = THRESHOLD, id_col: str = "doc_id",
-            text_col: str = "text", node_limit: int = NODE_LIMIT, depth: int = DEPTH, block: int = BLOCK) -> DataFrame:
-    """(doc_id, text_key, group_key, class_id, n_links) of each row with an id; no group for texts without words."""
+            text_col: str = "text", node_limit: int = NODE_LIMIT, depth: int = DEPTH, leaf_block: int = LEAF_BLOCK,
+            block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(doc_id, text_key, group_key, class_id, n_links) of each row; no group for texts without words."""
     if threshold < THRESHOLD:
         raise ValueError(f"the sketches are made for thresholds of {THRESHOLD} and more")
+    spark = docs.sparkSession
     rows, _ = materialise(sketched(docs, id_col, text_col), "sketches")
     classes, _ = materialise(rows.where("class_key IS NOT NULL").groupBy("class_key").agg(
         F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.max("n_shingles").alias("n_shingles"),
         F.max("sketch").alias("sketch")), "classes")
-    groups = components(candidate_links(classes, recall, node_limit, depth, block))
-    members, _ = materialise(groups.withColumnRenamed("node", "class_key").join(
-        classes.select("class_key", "doc_id", "copies"), "class_key"), "candidates")
-    exact, _ = materialise(exact_links(docs, members, threshold, block=block, id_col=id_col, text_col=text_col), "links")
+    links, done = candidate_links(classes, recall, node_limit, depth, leaf_block)
+    members, members_path = materialise(components(links).withColumnRenamed("node", "class_key").join(
+        classes.select("class_key", "doc_id", "copies", "n_shingles"), "class_key"), "candidates")
+    sets, sets_path = materialise(candidate_sets(docs, members, block=block, block_bytes=block_bytes, id_col=id_col, text_col=text_col),
+                                  "candidate-sets")
+    exact, exact_paths = exact_links(sets, threshold)
     labels, _ = materialise(components(exact.where("kind = 0").select("u", "v")), "labels")
     named = labels.withColumnRenamed("node", "class_key").join(classes.select("class_key", "doc_id"), "class_key")
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     counts = exact.where("kind = 1").groupBy(F.col("u").alias("class_key")).agg(F.sum("v").alias("others"))
-    about = classes.select("class_key", "doc_id", "copies") \
-        .join(labels.withColumnRenamed("node", "class_key"), "class_key", "left") \
-        .join(smallest, "label", "left").join(counts, "class_key", "left") \
+    about, _ = materialise(classes.select("class_key", "doc_id", "copies")
+        .join(labels.withColumnRenamed("node", "class_key"), "class_key", "left")
+        .join(smallest, "label", "left").join(counts, "class_key", "left")
         .select("class_key", F.coalesce("label", "class_key").alias("group_key"), F.coalesce("class_id", "doc_id").alias("class_id"),
-                (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+                (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "classes-named")
+    for path in [*done, members_path, sets_path, *exact_paths]:
+        discard(spark, path)
     return rows.select("doc_id", "text_key", "class_key").join(about, "class_key", "left").select(
         "doc_id", "text_key", "group_key", F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents with one of each group of near duplicates (that of the smallest id); rows without id stay,
-    and of rows without words one of each id and text. An id may stand on different texts."""
-    found, row = grouped(docs), F.struct("doc_id", "text_key")
-    first = found.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min(row).alias("k")).select("k.*") \
+    """The documents with one of each group of near duplicates (that of the smallest id, rows without id last), and of
+    rows without words one of each id and text. An id may stand on different texts."""
+    found = grouped(docs)
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    first = found.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min(row).alias("k")).select("k.doc_id", "k.text_key") \
         .unionByName(found.where("group_key IS NULL").select("doc_id", "text_key")) \
         .select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_text"))
-    stay = docs.withColumn("_text_key", F.xxhash64("text")).join(
-        first, (F.col("doc_id").cast("long") == F.col("_kept_id")) & (F.col("_text_key") == F.col("_kept_text")), "left_semi") \
-        .dropDuplicates(["doc_id", "_text_key"]).drop("_text_key")
-    return stay.unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    return docs.withColumn("_text_key", F.xxhash64("text")).join(
+        first, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")) & (F.col("_text_key") == F.col("_kept_text")), "left_semi") \
+        .dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns)
 
 
 def op2_near(spark: SparkSession, sf_dir: str) -> DataFrame:

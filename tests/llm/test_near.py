@@ -69,24 +69,59 @@ def test_equals_brute_force(spark):
 
 def test_deep_splits_and_blocks_equal_brute_force(spark):
     texts = corpus()
-    got = N.near_duplicates(docs(spark, texts), node_limit=12, depth=3, block=40)
+    got = N.near_duplicates(docs(spark, texts), node_limit=12, depth=3, leaf_block=40, block=25)
     check({r["doc_id"]: r for r in got.collect()}, texts)
 
 
+def test_blocks_bounded_by_bytes_equal_brute_force(spark):
+    texts = corpus()
+    check({r["doc_id"]: r for r in N.near_duplicates(docs(spark, texts), block_bytes=20_000).collect()}, texts)
+
+
+def near_copies(spark, g, seed=3):
+    """Sets of one group: g different ones that share 40 of 41 shingles, and one that is linked to none."""
+    rng = np.random.RandomState(seed)
+    base = rng.randint(0, 2**62, 40).astype(np.uint64)
+    rows = [(1, k, 1, np.unique(np.append(base, np.uint64(2**63 + k))).tobytes()) for k in range(g)]
+    rows.append((1, g, 1, np.unique(rng.randint(0, 2**62, 40).astype(np.uint64)).tobytes()))
+    return spark.createDataFrame(rows, "label long, class_key long, copies long, shingles binary")
+
+
+@pytest.mark.parametrize("g", [256, 512, 1024, 4096])
+def test_links_grow_with_the_members_of_a_group(spark, g):
+    blocks = -(-g // 256)
+    sets = near_copies(spark, g).withColumn("blocks", F.lit(blocks)) \
+        .withColumn("own", F.pmod(F.xxhash64("class_key"), F.lit(blocks)).cast("int"))
+    links, _ = N.exact_links(sets)
+    tree = [(r["u"], r["v"]) for r in links.where("kind = 0").collect()]
+    assert len(tree) <= g + blocks * blocks / 2 < 1.2 * g
+    label = {r["node"]: r["label"] for r in components(spark.createDataFrame(tree, "u long, v long")).collect()}
+    assert len(label) == g and set(label.values()) == {0}
+    counts = {r["u"]: r["n"] for r in links.where("kind = 1").groupBy("u").agg(F.sum("v").alias("n")).collect()}
+    assert counts == {k: g - 1 for k in range(g)}
+
+
 def test_null_ids_repeated_ids_and_empty(spark):
     t = prose(50, 1)
-    rows = N.near_duplicates(docs(spark, [(None, t), (5, t), (5, t), (5, prose(50, 2)), (9, t)])).collect()
-    assert sorted((r["doc_id"], r["class_id"], r["n_links"]) for r in rows) == [(5, 5, 0), (5, 5, 2), (5, 5, 2), (9, 5, 2)]
+    rows = N.near_duplicates(docs(spark, [(None, t), (5, t), (5, t), (5, prose(50, 2)), (9, edited(t, 1, 1)), (None, None)])).collect()
+    assert sorted((r["doc_id"] or 0, r["class_id"], r["n_links"]) for r in rows if r["class_id"] is not None) == \
+        [(0, 5, 3), (5, 5, 0), (5, 5, 3), (5, 5, 3), (9, 5, 3)]
+    assert [(r["doc_id"], r["n_links"]) for r in rows if r["class_id"] is None] == [(None, 0)]
+    rows = N.near_duplicates(docs(spark, [(None, t), (None, t), (None, edited(t, 1, 1))])).collect()
+    assert [(r["doc_id"], r["class_id"], r["n_links"]) for r in rows] == [(None, None, 2)] * 3
     assert N.near_duplicates(docs(spark, [])).count() == 0
 
 
 def test_keep_one(spark):
     t = prose(50, 1)
-    df = docs(spark, [(7, t), (3, t), (3, t), (None, t), (4, None), (6, None), (8, edited(t, 1, 2)), (9, prose(50, 3))])
+    df = docs(spark, [(7, t), (3, t), (3, t), (None, t), (4, None), (6, None), (8, edited(t, 1, 2)), (9, prose(50, 3)),
+                      (None, prose(50, 8)), (None, edited(prose(50, 8), 1, 1)), (None, None), (None, None)])
     df = df.withColumn("class_id", F.lit("mine"))
     kept = N.keep_one(df)
     assert kept.columns == df.columns
-    assert sorted((r["doc_id"] is not None, r["doc_id"] or 0) for r in kept.collect()) == [(False, 0), (True, 3), (True, 4), (True, 6), (True, 9)]
+    rows = kept.collect()
+    assert sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == [3, 4, 6, 9]
+    assert sorted(r["text"] is None for r in rows if r["doc_id"] is None) == [False, True]
 
 
 def test_keep_one_of_an_id_on_different_texts(spark):

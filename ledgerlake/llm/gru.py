@@ -15,9 +15,10 @@ from __future__ import annotations
 import numpy as np
 
 WIDTH = 16  # state
-LANES = 256
+LANES = 1024
 WINDOW = 16  # steps of truncated back-propagation
 SCORE_LANES = 256
+LEAST_LANES = 16
 STRETCH = 512  # tokens
 RATE = 0.05
 SPREAD = 0.1
@@ -25,6 +26,8 @@ SPREAD = 0.1
 
 def classes_of(counts: np.ndarray, classes: int) -> np.ndarray:
     """First word of each class (and the end): words in falling order of counts, cut at equal shares of the counts' roots."""
+    if not counts.sum():
+        return np.array([0, len(counts)])
     root = np.sqrt(counts.astype(np.float64))
     share = np.cumsum(root) / root.sum()
     cls = np.minimum((share - root / root.sum() / 2) * classes, classes - 1).astype(np.int64)
@@ -159,11 +162,13 @@ class Net:
         return logp, grads, dh
 
     # ---- scoring ----
-    def score(self, docs: list[tuple[np.ndarray, np.ndarray]], lanes: int = SCORE_LANES, window: int = 32) -> np.ndarray:
-        """Natural log probability of each document's targets."""
+    def score(self, docs: list[tuple[np.ndarray, np.ndarray]], lanes: int = SCORE_LANES, window: int = 128) -> np.ndarray:
+        """Natural log probability of each document's targets. As many lanes run as the longest document lets fill evenly."""
         total = np.zeros(len(docs))
         if not docs:
             return total
+        sizes = [len(y) for _, y in docs]
+        lanes = max(LEAST_LANES, min(lanes, sum(sizes) // max(sizes)))
         x, y, who, begins, lengths = self.lanes(docs, lanes)
         h = np.zeros((x.shape[1], self.width), np.float32)
         for lo in range(0, len(x), window):

@@ -13,8 +13,11 @@ averaged by tokens in a tree, so neither the driver nor a task sees more than a
 few copies of the weights, whose size is fixed. Scoring carries the state
 through the whole document.
 
-Counts of the most frequent tokens (a bounded list) travel with the scoring
-tasks; the counts of all other tokens are joined by token.
+Texts are split twice: to count their tokens, and to write each text as the
+numbers of its words, two bytes a token, with what its score needs of the counts.
+Learning and scoring read these numbers. Counts of the most frequent tokens (a
+bounded list) travel with the writing tasks; the counts of all other tokens are
+joined by token.
 
 Defined results: NULL and empty texts are one end token; rows without training
 documents at all get the untrained net (counts of the end only); repeated rows
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import crc32_of_id, held_out, table
@@ -98,12 +101,19 @@ class Vocabulary:
     def net(self) -> Net:
         return Net(self.counts, self.inputs, CLASSES)
 
-    def encode(self, ids: np.ndarray, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
-        """(inputs, targets) of a text from its words' numbers."""
-        x = np.empty(len(ids) + 1, np.int32)
+    def inputs_of(self, ids: np.ndarray, codes: Codes) -> np.ndarray:
+        """The net's inputs for a text, from its words' numbers."""
+        x = np.empty(len(ids) + 1, np.uint16)  # fewer than 65,536 inputs
         x[0] = self.first
         x[1:] = codes.inputs[ids]
-        y = np.append(x[1:], np.int32(self.index.get(END, self.rare)))
+        return x
+
+    def encode(self, ids: np.ndarray, codes: Codes) -> tuple[np.ndarray, np.ndarray]:
+        """(inputs, targets) of a text from its words' numbers."""
+        return self.with_targets(self.inputs_of(ids, codes))
+
+    def with_targets(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        y = np.append(x[1:], np.uint16(self.index.get(END, self.rare)))
         y[y >= self.size] = self.rare
         return x, y
 
@@ -166,45 +176,74 @@ def vocabulary(counts: DataFrame, listed: dict[bytes, int]) -> Vocabulary:
     return Vocabulary(top, total, kinds)
 
 
-def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """(id, words) of each row."""
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 256):
-            part = batch.slice(lo, 256)
-            for i, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                yield i, tokens_of(text)
+def coded(docs: DataFrame, vocab: Vocabulary, listed: dict[bytes, int]) -> DataFrame:
+    """Each row of (doc_id, text, learns, share) with `x`, its net inputs, and what its score needs of the counts."""
+    shared = docs.sparkSession.sparkContext.broadcast((vocab, listed))  # LISTED tokens
+    names = ["doc_id", "learns", "share", "n_tokens", "known", "listed_sum", "rare_sum", "n_rare", "x", "tail"]
 
-
-def learn(docs: DataFrame, vocab: Vocabulary, share: Column) -> Net:
-    """The net after all rounds; `share` numbers each row's eighth."""
-    spark = docs.sparkSession
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from collections import Counter
+        vocab, listed = shared.value
+        codes = Codes(vocab, listed)
+        end_log = float(np.log10(listed[END] + ADD)) if END in listed else np.nan
+        end_rare = END not in vocab.index
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                rows, tails = [], []
+                for text in part.column("text").to_pylist():
+                    words = tokens_of(text)
+                    ids = codes.numbers(words)
+                    x = vocab.inputs_of(ids, codes)
+                    log = np.append(codes.logs[ids], end_log)
+                    off = np.isnan(log)
+                    at = np.flatnonzero(off)
+                    tails.append(Counter([words[k] if k < len(words) else END for k in at]))
+                    log[at] = 0.0
+                    rare = np.append(x[1:] >= vocab.size, end_rare)
+                    rows.append((len(log), len(log) - len(at), float(log.sum()), float(log[rare].sum()), int(rare.sum()), x.tobytes()))
+                flat = pa.StructArray.from_arrays(
+                    [pa.array([w for t in tails for w in t], pa.binary()), pa.array([n for t in tails for n in t.values()], pa.int64())],
+                    names=["token", "n"])
+                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary()]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in names[:3]), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds)),
+                     pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(t) for t in tails]), pa.int32()), flat)], names=names)
+
+    return docs.select("doc_id", "text", "learns", "share").mapInArrow(
+        run, "doc_id long, learns boolean, share int, n_tokens long, known long, listed_sum double, rare_sum double, n_rare long, "
+             "x binary, tail array<struct<token:binary,n:long>>").withColumn("row", F.monotonically_increasing_id())
+
+
+def learn(rows: DataFrame, vocab: Vocabulary) -> Net:
+    """The net after all rounds, from the inputs `x` of rows whose `share` is their eighth."""
+    spark = rows.sparkSession
     net = vocab.net()
     if vocab.total == 0:
         return net
     known = spark.sparkContext.broadcast(vocab)  # WORDS words
-    rows = docs.select(F.col("doc_id"), F.col("text"), share.alias("share"))
     for lo, hi in ROUNDS:
         weights = spark.sparkContext.broadcast(net.flat())  # fixed size
 
         def run(batches: Iterator[pa.RecordBatch], weights=weights) -> Iterator[pa.RecordBatch]:
             vocab = known.value
-            net, memory, codes, n = vocab.net(), {}, Codes(vocab), 0
+            net, memory, n = vocab.net(), {}, 0
             net.load(weights.value)
-            coded, size = [], 0
-            for _, words in _texts(batches):
-                coded.append(vocab.encode(codes.numbers(words), codes))
-                size += len(words) + 1
-                if size >= LEARN_TOKENS:
-                    net.train(coded, memory)
-                    n, coded, size = n + size, [], 0
-            net.train(coded, memory)
+            texts, size = [], 0
+            for batch in batches:
+                for x in batch.column("x").to_pylist():
+                    texts.append(vocab.with_targets(np.frombuffer(x, np.uint16)))
+                    size += len(texts[-1][0])
+                    if size >= LEARN_TOKENS:
+                        net.train(texts, memory)
+                        n, texts, size = n + size, [], 0
+            net.train(texts, memory)
             n += size
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([net.flat().tobytes()], pa.binary())],
                                                  names=["n", "weights"])
 
-        learnt = rows.where((F.col("share") >= lo) & (F.col("share") < hi)).select("doc_id", "text") \
-            .mapInArrow(run, "n long, weights binary")
+        learnt = rows.where((F.col("share") >= lo) & (F.col("share") < hi)).select("x").mapInArrow(run, "n long, weights binary")
 
         def add(acc, row):
             n, w = acc
@@ -222,56 +261,44 @@ def learn(docs: DataFrame, vocab: Vocabulary, share: Column) -> Net:
     return net
 
 
-def scores(docs: DataFrame, counts: DataFrame, listed: dict[bytes, int], vocab: Vocabulary, net: Net,
-           id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, n_tokens, n_known, base_score, score) of each row."""
-    shared = docs.sparkSession.sparkContext.broadcast((vocab, net.flat(), listed))  # LISTED tokens and the net
+def scores(part: DataFrame, counts: DataFrame, vocab: Vocabulary, net: Net) -> DataFrame:
+    """(doc_id, n_tokens, n_known, base_score, score) of each row of the stored table of `coded`."""
+    shared = part.sparkSession.sparkContext.broadcast((vocab, net.flat()))  # fixed size
+    kept = ["row", "doc_id", "n_tokens", "known", "listed_sum", "rare_sum", "n_rare"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-        vocab, flat, listed = shared.value
-        net, codes = vocab.net(), Codes(vocab, listed)
+        vocab, flat = shared.value
+        net = vocab.net()
         net.load(flat)
-        end_log = float(np.log10(listed[END] + ADD)) if END in listed else np.nan
-        names = ["doc_id", "n_tokens", "known", "listed_sum", "rare_sum", "n_rare", "logp", "tail"]
-        kinds = [*[pa.int64()] * 3, *[pa.float64()] * 2, pa.int64(), pa.float64()]
-
-        def scored(rows: list[tuple], coded: list, tails: list[Counter]) -> pa.RecordBatch:
-            logp = net.score(coded) / np.log(10)
-            columns = [pa.array(c, k) for c, k in zip([*zip(*rows), logp], kinds)]
-            flat_tail = pa.StructArray.from_arrays(
-                [pa.array([w for t in tails for w in t], pa.binary()), pa.array([n for t in tails for n in t.values()], pa.int64())],
-                names=["token", "n"])
-            offsets = pa.array(np.cumsum([0] + [len(t) for t in tails]), pa.int32())
-            return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(offsets, flat_tail)], names=names)
+
+        def scored(pool: list) -> pa.RecordBatch:
+            rows = pa.concat_tables([pa.Table.from_batches([b]) for b in pool[0]]).combine_chunks()
+            logp = net.score([vocab.with_targets(np.frombuffer(x, np.uint16)) for x in pool[1]]) / np.log(10)
+            return pa.RecordBatch.from_arrays([*(rows.column(c).chunk(0) for c in kept), pa.array(logp)], names=[*kept, "logp"])
 
         # long documents wait for their like, so that lanes are of one length
-        pools: dict[bool, list] = {False: [[], [], [], 0], True: [[], [], [], 0]}
-        for i, words in _texts(batches):
-            ids = codes.numbers(words)
-            coded = vocab.encode(ids, codes)
-            every = [*words, END]
-            log = np.append(codes.logs[ids], end_log)
-            off = np.isnan(log)
-            tail = Counter([every[k] for k in np.flatnonzero(off)])
-            log[off] = 0.0
-            rare = coded[1] == vocab.rare
-            is_long = len(words) > LONG
-            pool = pools[is_long]
-            pool[0].append((i, len(every), len(every) - int(off.sum()), float(log.sum()), float(log[rare].sum()), int(rare.sum())))
-            pool[1].append(coded)
-            pool[2].append(tail)
-            pool[3] += len(every)
-            if pool[3] >= (LONG_TOKENS if is_long else SCORE_TOKENS):
-                yield scored(*pool[:3])
-                pool[:] = [], [], [], 0
-        for rows, coded, tails, size in pools.values():
-            if size:
-                yield scored(rows, coded, tails)
-
-    part, _ = materialise(docs.select(F.col(id_col).cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n_tokens long, known long, listed_sum double, rare_sum double, n_rare long, logp double, "
-             "tail array<struct<token:binary,n:long>>").withColumn("row", F.monotonically_increasing_id()), "lm-parts")
+        pools: dict[bool, list] = {False: [[], [], 0], True: [[], [], 0]}
+        for batch in batches:
+            n = batch.column("n_tokens").to_numpy()
+            texts = batch.column("x").to_pylist()
+            for is_long, pool in pools.items():
+                mine = np.flatnonzero((n > LONG) == is_long)
+                # a pool is closed within a batch as often as it fills
+                for at in np.split(mine, np.flatnonzero(np.diff((pool[2] + np.cumsum(n[mine])) // (LONG_TOKENS if is_long else SCORE_TOKENS))) + 1):
+                    if not len(at):
+                        continue
+                    pool[0].append(batch.select(kept).take(pa.array(at)))
+                    pool[1] += [texts[k] for k in at]
+                    pool[2] += int(n[at].sum())
+                    if pool[2] >= (LONG_TOKENS if is_long else SCORE_TOKENS):
+                        yield scored(pool)
+                        pool[:] = [], [], 0
+        for pool in pools.values():
+            if pool[1]:
+                yield scored(pool)
+
+    known = part.select(*kept, "x").mapInArrow(run, "row long, doc_id long, n_tokens long, known long, listed_sum double, rare_sum double, "
+                                                    "n_rare long, logp double")
     # tokens off the list meet their counts by token; rows are numbered in the stored table, so the numbers are firm
     tail = part.select("row", F.explode("tail").alias("t")).select("row", "t.token", "t.n") \
         .join(counts, "token", "left").groupBy("row").agg(
@@ -280,7 +307,7 @@ def scores(docs: DataFrame, counts: DataFrame, listed: dict[bytes, int], vocab:
     all_log = float(np.log10(vocab.total + ADD * (vocab.kinds + 1)))
     rare_log = float(np.log10(vocab.rare_total + ADD * (vocab.rare_kinds + 1)))
     none = F.lit(0.0)
-    return part.drop("tail").join(tail, "row", "left").select(
+    return known.join(tail, "row", "left").select(
         "doc_id", "n_tokens", (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         (F.col("listed_sum") + F.coalesce("tail_sum", none) - F.col("n_tokens") * F.lit(all_log)).alias("base_score"),
         (F.col("logp") + F.col("rare_sum") + F.coalesce("tail_sum", none) - F.col("n_rare") * F.lit(rare_log)).alias("score"))
@@ -288,13 +315,14 @@ def scores(docs: DataFrame, counts: DataFrame, listed: dict[bytes, int], vocab:
 
 def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by a net and counts learnt outside the held-out fold."""
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    training = docs.where(~held_out(F.col("doc_id"), FOLDS))
-    counts, _ = materialise(token_counts(training), "token-counts")
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", (~held_out(F.col("doc_id"), FOLDS)).alias("learns"),
+        (F.floor(crc32_of_id(F.col("doc_id")) / F.lit(FOLDS)) % 8).cast("int").alias("share"))
+    counts, _ = materialise(token_counts(docs.where("learns")), "token-counts")
     listed = listed_counts(counts)
     vocab = vocabulary(counts, listed)
-    eighth = F.floor(crc32_of_id(F.col("doc_id")) / F.lit(FOLDS)) % 8
-    net = learn(training, vocab, eighth)
-    return scores(docs, counts, listed, vocab, net).select(
+    part, _ = materialise(coded(docs, vocab, listed), "lm-codes")
+    net = learn(part.where("learns"), vocab)
+    return scores(part, counts, vocab, net).select(
         "doc_id", held_out(F.col("doc_id"), FOLDS).alias("held_out"), "n_tokens", "n_known",
         F.lit(vocab.total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -7,7 +7,9 @@ Long texts are cut at safe boundaries before they reach the library: between a
 letter or digit and a following space or line feed, and, where a stretch has
 none, between a letter and a digit or the other way round. No match of the
 pattern spans such a place and no match looks back over it, so the tokens are
-those of the whole text.
+those of the whole text. A very long run of white space, over which the library's
+pattern matcher would run out of stack, is one match of the pattern by itself (all
+of it at the end of a text, else all but its last character) and is merged as one.
 
 Defined results: NULL and empty texts encode to no ids and decode to no bytes;
 ids outside the vocabulary make the decoding fail; other columns pass through
@@ -27,6 +29,7 @@ from pyspark.sql import types as T
 from ledgerlake.llm.common import kept_fields, named, table, with_columns
 
 PIECE_CHARS = 1 << 14  # texts longer than this are cut
+SPACE_RUN = 1 << 14  # runs of white space from this length on are merged without the pattern
 BATCH_BYTES = 4 << 20  # output batches are closed at about this size
 
 
@@ -57,6 +60,21 @@ def pieces(text: str, limit: int = PIECE_CHARS) -> list[str]:
     return out
 
 
+def encoded(enc, text: str) -> Iterator[list[int]]:
+    """The token ids of a text, in parts."""
+    import regex
+    start = 0
+    if len(text) >= SPACE_RUN:
+        for run in regex.finditer(r"\p{White_Space}{%d,}+" % SPACE_RUN, text):
+            end = run.end() if run.end() == len(text) else run.end() - 1
+            for piece in pieces(text[start:run.start()]):
+                yield enc.encode_ordinary(piece)
+            yield enc._encode_single_piece(text[run.start():end])
+            start = end
+    for piece in pieces(text[start:]):
+        yield enc.encode_ordinary(piece)
+
+
 def _slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices whose text is about `most` bytes."""
     import pyarrow.compute as pc
@@ -80,15 +98,13 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from array import array
         enc = load_encoding(rank_path, pattern)
-        one = enc.encode_ordinary
         for whole in batches:
             for batch in _slices(whole, text_col):
                 packed, counts = [], []
                 for text in batch.column(text_col).to_pylist():
                     ids = array("I")
-                    if text:
-                        for piece in pieces(text):
-                            ids.extend(one(piece))
+                    for part in encoded(enc, text) if text else ():
+                        ids.extend(part)
                     packed.append(_le_bytes(ids))
                     counts.append(len(ids))
                 rest = batch.select([f.name for f in kept])

@@ -60,3 +60,17 @@ def test_extra_and_clashing_columns(spark):
     assert out.columns == ["doc_id", "lang", "source", "n_chars", "extra", "ids", "n_tokens"]
     assert out.first()["n_tokens"] == 2 and out.first()["extra"] == 3
     assert bpe.encode(docs(spark, []), PATH, PATTERN).count() == 0
+
+
+def test_long_runs_of_white_space(enc, monkeypatch):
+    """Runs over which the library would run out of stack; short ones by the same path equal the library."""
+    for t in [" " * 3_000_000, "a" + " " * 3_000_000 + "b", "x\n" + "\n" * 1_500_000 + " y"]:
+        ids = [i for part in bpe.encoded(enc, t) for i in part]
+        assert enc.decode_bytes(ids) == t.encode()
+    monkeypatch.setattr(bpe, "SPACE_RUN", 4)
+    spaces = [" ", "\n", "\t", "\r", "\u00a0", "\u3000", "\x85", "\x1c", "\u200b"]
+    for n in range(4000):
+        rng = np.random.RandomState(n)
+        t = "".join(rng.choice(["a", "é", "7", "'s", "-"]) if rng.rand() < 0.4 else rng.choice(spaces) * rng.choice([1, 1, 3, 4, 5, 9])
+                    for _ in range(rng.randint(1, 12)))
+        assert [i for part in bpe.encoded(enc, t) for i in part] == enc.encode_ordinary(t)

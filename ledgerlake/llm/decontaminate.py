@@ -10,15 +10,22 @@ with the region.
 
 Text and items are compared in lower case with white space runs as one space.
 The edit budget is `EDIT_RATE` of the item's characters, lowered for short items
-so that the bound stays positive.
+so that the bound stays positive. Items shorter than `MIN_CHARS` characters have no
+q-grams to count; they are found without edits, as whole words.
+
+A phrase that many items share and a text repeats gives hits times items. So an
+item is looked at only if the text holds enough of its distinct q-grams at all, and
+bands are found by its other q-grams: a band that reaches the bound must hold as
+many of these as the bound exceeds the item's places in such phrases. The bands
+found are then counted whole, place by place. Items that consist of such phrases
+are counted by all their hits, in slices of at most `SLICE` pairs.
 
 The q-grams of the items form an index that every task gets. Its size is
 checked: items above `BLOCK_CHARS` characters are taken in several blocks, each
 one pass over the documents.
 
-Defined results: NULL and empty texts match nothing; items shorter than
-`MIN_CHARS` characters (NULL and empty ones too) name no passage and are left
-out; items with equal texts all match; a document holding an item more than once
+Defined results: NULL and empty texts match nothing; NULL and empty items name no
+passage and are left out; items with equal texts all match; a document holding an item more than once
 gives one row per item, with the best region; repeated rows give repeated
 results; empty tables give no matches; other columns pass through the filter.
 """
@@ -40,6 +47,8 @@ Q = 10
 EDIT_RATE = 0.06
 MIN_CHARS = 2 * Q
 BLOCK_CHARS = 4 << 20  # characters of items in one index
+HOT_PAIRS = 1 << 12  # pairs of a hit and an item place, from which on a q-gram of a text finds no bands by itself
+SLICE = 1 << 20  # pairs of a hit and an item place that are counted at once
 SCAN_CHARS = 1 << 19  # texts are scanned together up to about this size
 TABLE_BITS = 22
 BASE = 0x9E3779B97F4A7C15
@@ -82,8 +91,8 @@ def grams(codes: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Index:
-    """The q-grams of a block of items."""
-    item_ids: list
+    """The q-grams of a block of items; items with equal texts are one."""
+    item_ids: list[list]
     texts: list[str]
     lengths: np.ndarray
     budgets: np.ndarray
@@ -92,11 +101,18 @@ class Index:
     starts: np.ndarray  # of each key's postings
     items: np.ndarray
     places: np.ndarray
+    item_starts: np.ndarray  # of each item's q-grams
+    item_keys: np.ndarray  # in the order of their places, as numbers of `keys`
     table: np.ndarray  # bit per leading bits of a q-gram
+    short: dict[str, list]  # items below MIN_CHARS: ids by text
 
 
 def build_index(rows: list[tuple[int, str]]) -> Index:
-    kept = [(i, t) for i, t in ((i, normal(t)) for i, t in rows) if len(t) >= MIN_CHARS]
+    ids: dict[str, list] = {}
+    for i, t in rows:
+        ids.setdefault(normal(t), []).append(i)
+    kept = [(i, t) for t, i in ids.items() if len(t) >= MIN_CHARS]
+    short = {t: i for t, i in ids.items() if 0 < len(t) < MIN_CHARS}
     lengths = np.array([len(t) for _, t in kept], np.int64)
     budgets = np.array([budget(m) for m in lengths], np.int64)
     hashes = [grams(codes_of(t)) for _, t in kept]
@@ -107,8 +123,10 @@ def build_index(rows: list[tuple[int, str]]) -> Index:
     keys, starts = np.unique(every[order], return_index=True)
     bits = np.zeros(1 << TABLE_BITS, bool)
     bits[(keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)] = True
+    sizes = np.array([len(h) for h in hashes], np.int64)
     return Index([i for i, _ in kept], [t for _, t in kept], lengths, budgets, lengths - Q + 1 - budgets * Q,
-                 keys, np.append(starts, len(every)), item[order], place[order], bits)
+                 keys, np.append(starts, len(every)), item[order], place[order],
+                 np.append(0, np.cumsum(sizes)), np.searchsorted(keys, every), bits, short)
 
 
 def align(item: np.ndarray, text: np.ndarray, first: int, last: int) -> tuple[int, int, int]:
@@ -141,29 +159,112 @@ def align(item: np.ndarray, text: np.ndarray, first: int, last: int) -> tuple[in
     return int(cost[c]), int(start[c]), int(first + len(item) + c)
 
 
+def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first[i], first[i] + 1, ... for count[i] numbers, one i after another."""
+    return np.repeat(first - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
+def _bands(item: np.ndarray, place: np.ndarray, at: np.ndarray, step: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """((item, band) rows, distinct places in each) of hits; each band starts at a multiple of the step and is two steps wide."""
+    band = np.floor_divide(at - place, step[item])
+    rows = np.concatenate([np.column_stack([item, band, place]), np.column_stack([item, band - 1, place])])
+    low = rows.min(axis=0)
+    span = (rows.max(axis=0) - low + 1).tolist()
+    if span[0] * span[1] * span[2] >= 1 << 62:
+        return np.unique(np.unique(rows, axis=0)[:, :2], axis=0, return_counts=True)
+    code = np.unique(((rows[:, 0] - low[0]) * span[1] + rows[:, 1] - low[1]) * span[2] + rows[:, 2] - low[2]) // span[2]
+    code, seen = np.unique(code, return_counts=True)
+    return np.column_stack([code // span[1] + low[0], code % span[1] + low[1]]), seen
+
+
+def _counted(index: Index, post: np.ndarray, first: np.ndarray, times: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """`_bands` of all pairs of the postings `post` and their hits `at[first:first + times]`, slice by slice:
+    a posting is in one slice, so the counts of distinct places add up."""
+    step = index.budgets + 1
+    cuts = np.flatnonzero(np.diff(np.cumsum(times) // SLICE, prepend=0)).tolist()
+    parts = [_bands(np.repeat(index.items[post[lo:hi]], times[lo:hi]), np.repeat(index.places[post[lo:hi]], times[lo:hi]),
+                    at[_spread(first[lo:hi], times[lo:hi])], step)
+             for lo, hi in zip([0, *cuts], [*cuts, len(post)]) if lo < hi]
+    if len(parts) < 2:
+        return parts[0] if parts else (np.empty((0, 2), np.int64), np.empty(0, np.int64))
+    group, back = np.unique(np.concatenate([g for g, _ in parts]), axis=0, return_inverse=True)
+    return group, np.bincount(back.ravel(), np.concatenate([n for _, n in parts])).astype(np.int64)
+
+
+def _shared_in(index: Index, i: int, band: int, held: np.ndarray, first: np.ndarray, times: np.ndarray, at: np.ndarray) -> int:
+    """Distinct places of an item whose q-gram the text holds inside the band."""
+    step = int(index.budgets[i]) + 1
+    own = slice(index.item_starts[i], index.item_starts[i + 1])
+    keys, places = index.item_keys[own], np.arange(index.item_starts[i + 1] - index.item_starts[i])
+    where = np.searchsorted(held, keys)
+    there = np.flatnonzero(held[np.minimum(where, len(held) - 1)] == keys)
+    total = 0
+    for k, p in zip(where[there].tolist(), places[there].tolist()):
+        hits = at[first[k]:first[k] + times[k]]
+        total += int(np.searchsorted(hits, band * step + p) < np.searchsorted(hits, (band + 2) * step + p))
+    return total
+
+
 def _regions(index: Index, at: np.ndarray, key: np.ndarray) -> list[tuple[int, int, int]]:
     """(item, first diagonal, shared q-grams) of the bands that reach the bound; `at`: places of hits, `key`: their q-grams."""
-    counts = index.starts[key + 1] - index.starts[key]
-    post = np.repeat(index.starts[key], counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    item, place = index.items[post], index.places[post]
-    diag = np.repeat(at, counts) - place
-    step = index.budgets[item] + 1
-    band = np.floor_divide(diag, step)
-    # each band starts at a multiple of the step and is two steps wide
-    rows = np.concatenate([np.column_stack([item, band, place]), np.column_stack([item, band - 1, place])])
-    rows = np.unique(rows, axis=0)
-    group, shared = np.unique(rows[:, :2], axis=0, return_counts=True)
-    ok = shared >= index.bounds[group[:, 0]]
-    return [(int(i), int(b * (index.budgets[i] + 1)), int(n)) for (i, b), n in zip(group[ok], shared[ok])]
+    order = np.lexsort((at, key))
+    at, (held, first, times) = at[order], np.unique(key[order], return_index=True, return_counts=True)
+    count = index.starts[held + 1] - index.starts[held]
+    post, mine = _spread(index.starts[held], count), np.repeat(np.arange(len(held)), count)
+    # an item needs as many distinct q-grams in the whole text as in a band
+    n_items = len(index.bounds)
+    enough = np.bincount(index.items[post], minlength=n_items) >= index.bounds
+    keep = enough[index.items[post]]
+    post, mine = post[keep], mine[keep]
+    left = np.bincount(mine, minlength=len(held))
+    hot = left * times > HOT_PAIRS
+    hot_places = np.bincount(index.items[post][hot[mine]], minlength=n_items)
+    need = index.bounds - hot_places
+    by_rest = (need > 0)[index.items[post]]
+    some = ~(by_rest & hot[mine])  # all postings of the other items
+    group, shared = _counted(index, post[some], first[mine[some]], times[mine[some]], at)
+    least = np.where(need > 0, need, index.bounds)
+    out = []
+    for (i, b), n in zip(group[shared >= least[group[:, 0]]].tolist(), shared[shared >= least[group[:, 0]]].tolist()):
+        if need[i] > 0 and hot_places[i]:
+            n = _shared_in(index, i, b, held, first, times, at)
+        if n >= index.bounds[i]:
+            out.append((i, b * (int(index.budgets[i]) + 1), int(n)))
+    return out
+
+
+def _short_items(norm: str, index: Index, machine) -> list[tuple[int, int, int, int, int]]:
+    """(item id, edits, start, end, shared) of the short items that stand in a normal text as whole words, each at its first place."""
+    best: dict[str, int] = {}
+    for end, item in machine.iter(f" {norm} "):
+        best.setdefault(item, end - len(item) - 1)
+    return [(i, 0, at, at + len(item), 0) for item, at in best.items() for i in index.short[item]]
+
+
+def _machine(index: Index):
+    """What finds the short items, None where there are none."""
+    if not index.short:
+        return None
+    import ahocorasick
+    machine = ahocorasick.Automaton()
+    for item in index.short:
+        machine.add_word(f" {item} ", item)
+    machine.make_automaton()
+    return machine
 
 
-def scan(texts: list[str | None], index: Index) -> list[tuple[int, int, int, int, int, int]]:
-    """(text number, item number, edits, start, end, shared q-grams) of the items found in normal texts."""
+def scan(texts: list[str | None], index: Index, machine=None) -> list[tuple[int, int, int, int, int, int]]:
+    """(text number, item id, edits, start, end, shared q-grams) of the items found in normal texts; `machine` finds the short ones."""
+    norms = [normal(t) for t in texts]
+    out = [(d, *found) for d, norm in enumerate(norms) for found in _short_items(norm, index, machine)] if machine is not None else []
+    return out + _scan_long(norms, index)
+
+
+def _scan_long(norms: list[str], index: Index) -> list[tuple[int, int, int, int, int, int]]:
     out = []
     if not len(index.keys):
         return out
     # a text is scanned with its neighbours, the separator is in no item
-    norms = [normal(t) for t in texts]
     starts = np.cumsum([0] + [len(t) + 1 for t in norms])
     whole = codes_of("\x00".join(norms))
     if not len(whole):  # a run of one empty text
@@ -209,13 +310,13 @@ def scan(texts: list[str | None], index: Index) -> list[tuple[int, int, int, int
             edits, a, b = align(codes_of(index.texts[i]), codes[lo:hi], diag - lo, diag - lo + 2 * (k + 1))
             if edits <= k and (i not in best or (edits, a + lo) < best[i][:2]):
                 best[i] = (edits, a + lo, b + lo, shared)
-        out += [(int(d), i, *found) for i, found in sorted(best.items())]
+        out += [(int(d), item_id, *found) for i, found in sorted(best.items()) for item_id in index.item_ids[i]]
     return out
 
 
 def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]:
     """The items in blocks of bounded size."""
-    items = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).where("t IS NOT NULL")
+    items = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).where("t IS NOT NULL")  # an item without an id is reported without one
     total = items.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     count = max(1, math.ceil(2 * total / BLOCK_CHARS)) if total > BLOCK_CHARS else 1
     for b in range(count):
@@ -225,12 +326,12 @@ def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[Index]
 
 def _scanned(batch: pa.RecordBatch, text_col: str, index: Index) -> Iterator[tuple[int, int, list]]:
     """(first row, rows, matches) of runs of rows whose texts together have a bounded size."""
-    texts = batch.column(text_col).to_pylist()
+    texts, machine = batch.column(text_col).to_pylist(), _machine(index)
     lo, size = 0, 0
     for n, text in enumerate(texts):
         size += len(text or "")
         if size >= SCAN_CHARS or n == len(texts) - 1:
-            yield lo, n + 1 - lo, scan(texts[lo:n + 1], index)
+            yield lo, n + 1 - lo, scan(texts[lo:n + 1], index, machine)
             lo, size = n + 1, 0
 
 
@@ -251,7 +352,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
             for batch in batches:
                 ids = batch.column("doc_id").to_pylist()
                 for lo, _, found in _scanned(batch, "text", index):
-                    rows = [(ids[lo + d], index.item_ids[i], *rest) for d, i, *rest in found]
+                    rows = [(ids[lo + d], *rest) for d, *rest in found]
                     if rows:
                         ordered = [(r[0], r[1], r[2], r[3], r[4], r[5]) for r in rows]
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*ordered), kinds)], names=names)

@@ -27,12 +27,14 @@ Defined results: NULL and empty pages give an empty text; a NULL or unusual URL
 belongs to the host ''; hosts with too few different bodies have an empty
 template, so only the elements' kinds decide; bodies that differ anywhere in
 their text count as different; broken markup is read leniently (unknown end
-tags are skipped, open elements end with their parents); an empty table gives
-no rows.
+tags are skipped, open elements end with their parents, a tag without an end is
+text); an empty table gives no rows. A page takes time and memory in proportion
+to its length, however deep its elements are nested.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,14 +72,26 @@ def host_of(url: Column) -> Column:
     return found
 
 
+# elements over which the end of an open paragraph is not sought, and those at which an open item is sought
+BARRIERS = frozenset("article section div td li".split())
+ITEMS = frozenset(ENDS) | LISTS
+
+
+# an open element: tag, path (a hash of the labels from the outermost element to this one), apart, in an article, place of the
+# innermost open p with no barrier above it (-1 where there is none), place of the innermost item or list
+PAGE = ("", 0, False, False, -1, -1)
+
+
 class Reader:
-    """Events of a page: ('open', path), ('text', path, text) in page order, with what encloses them."""
+    """Events of a page in page order, with what encloses them."""
 
     def __init__(self) -> None:
         import re
-        self.markup = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+        self.markup = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)(?:([^>\"']{0,99})>)?", re.S)
+        self.special = re.compile(r"[>\"']")
         self.attribute = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
         self.word = re.compile(r"[a-z]+|[0-9]+")
+        self.raw_end = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}
 
     def apart(self, tag: str, attributes: str, inside_article: bool) -> tuple[bool, str]:
         """(not main text, label of the element in paths)."""
@@ -90,67 +104,103 @@ class Reader:
                     continue
                 label += ("." if name.lower() == "class" else "#") + value
                 if tag not in ("body", "html", "article", "main"):
-                    apart = apart or bool(APART_WORDS.intersection(self.word.findall(value)))
+                    words = value.split() if inside_article else self.word.findall(value)
+                    apart = apart or bool(APART_WORDS.intersection(words))
         return apart, label
 
+    def _tag_end(self, html: str, at: int, known: dict) -> int:
+        """Place after the tag whose attributes begin at `at`, -1 where it has no end. Quoted values may hold '>'.
+        `known` keeps the last special character found and the quotes that lead to no end, so that a page is searched once."""
+        met = []
+        while True:
+            lo, hi = known["next"]
+            if not lo <= at <= hi:
+                m = self.special.search(html, at)
+                hi = m.start() if m else len(html)
+                known["next"] = at, hi
+            if hi == len(html) or hi in known["endless"]:
+                break
+            if html[hi] == ">":
+                return hi + 1
+            met.append(hi)
+            close = html.find(html[hi], hi + 1)
+            if close < 0:
+                break
+            at = close + 1
+        known["endless"].update(met)
+        return -1
+
     def events(self, html: str) -> Iterator[tuple]:
         """(kind, path, apart, in_article, text, blocks so far)."""
         import html as entities
-        stack: list[tuple[str, str, bool, bool]] = []  # tag, path, apart, in article
-        at, block = 0, 0
-        top = ("", "", False, False)
-        pos, end = 0, len(html)
-        low = None
-        while pos < end:
-            m = self.markup.search(html, pos)
-            upto = m.start() if m else end
-            if upto > at or not m:
-                text = html[at:upto]
-                if text and not text.isspace():
-                    yield "text", top[1], top[2], top[3], entities.unescape(text), block
-                elif text:
+        import xxhash
+        name_of = xxhash.xxh3_64_intdigest
+        stack: list[tuple] = []
+        count: Counter = Counter()  # open elements by tag
+        known = {"next": (1, 0), "endless": set()}
+        top, at, block, pos, end = PAGE, 0, 0, 0, len(html)
+        search, unescape = self.markup.search, entities.unescape
+
+        def close(down_to: int) -> tuple:
+            for e in stack[down_to:]:
+                count[e[0]] -= 1
+            del stack[down_to:]
+            return stack[-1] if stack else PAGE
+
+        while True:
+            m = search(html, pos) if pos < end else None
+            if m:
+                closing, tag, attributes = m.groups()
+                after = m.end()
+                if tag is not None and attributes is None:  # quotes, or many attributes
+                    after = self._tag_end(html, m.end(), known)
+                    if after < 0:  # not a tag: text
+                        pos = m.start() + 1
+                        continue
+                    attributes = html[m.end():after - 1]
+            text = html[at:m.start() if m else end]
+            if text:
+                if text.isspace():
                     yield "space", top[1], top[2], top[3], " ", block
+                else:
+                    yield "text", top[1], top[2], top[3], unescape(text), block
             if not m:
-                break
-            pos = at = m.end()
-            closing, name, attributes = m.group(1), m.group(2), m.group(3)
-            if name is None:
+                return
+            pos = at = after
+            if tag is None:
                 continue
-            tag = name.lower()
-            if tag in BLOCK:
+            tag = tag.lower()
+            is_block = tag in BLOCK
+            if is_block:
                 block += 1
             if closing:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
-                        break
-            else:
-                if tag in BLOCK and any(s[0] == "p" for s in stack):
-                    k = max(i for i, s in enumerate(stack) if s[0] == "p")
-                    if not any(s[0] in ("article", "section", "div", "td", "li") for s in stack[k:]):
-                        del stack[k:]
-                for k in range(len(stack) - 1, -1, -1) if tag in ENDS else ():
+                if count[tag]:
+                    top = close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
+                continue
+            if is_block and top[4] >= 0:
+                top = close(top[4])
+            if tag in ENDS:
+                k = top[5]
+                while k >= 0 and stack[k][0] not in LISTS:
                     if stack[k][0] in ENDS[tag]:
-                        del stack[k:]
-                        break
-                    if stack[k][0] in LISTS:
+                        top = close(k)
                         break
-                top = stack[-1] if stack else ("", "", False, False)
-                apart, label = self.apart(tag, attributes, top[3])
-                inside = top[3] or tag in ("article", "main")
-                path = f"{top[1]}/{label}"
-                yield "open", path, top[2] or apart, inside, "", block
-                if tag == "br":
-                    yield "space", top[1], top[2], top[3], " ", block
-                if tag in RAW and not attributes.rstrip().endswith("/"):
-                    # raw text up to its end tag
-                    low = html.lower() if low is None else low
-                    close = low.find(f"</{tag}", pos)
-                    stop = end if close < 0 else low.find(">", close) + 1 or end
-                    pos = at = stop
-                elif tag not in VOID and not attributes.rstrip().endswith("/"):
-                    stack.append((tag, path, top[2] or apart, inside))
-            top = stack[-1] if stack else ("", "", False, False)
+                    k = stack[k - 1][5] if k else -1
+            apart, label = self.apart(tag, attributes, top[3])
+            path, apart, inside = name_of(label.encode("utf-8", "surrogatepass"), top[1]), top[2] or apart, top[3] or tag in ("article", "main")
+            yield "open", path, apart, inside, "", block
+            if tag == "br":
+                yield "space", top[1], top[2], top[3], " ", block
+            if tag in VOID or attributes.endswith("/") or attributes.rstrip().endswith("/"):
+                continue
+            if tag in RAW:
+                stop = self.raw_end[tag].search(html, pos)
+                pos = at = end if stop is None else html.find(">", stop.end()) + 1 or end
+                continue
+            here = len(stack)
+            top = (tag, path, apart, inside, here if tag == "p" else -1 if tag in BARRIERS else top[4], here if tag in ITEMS else top[5])
+            stack.append(top)
+            count[tag] += 1
 
 
 def _hash(text: str) -> int:
@@ -159,7 +209,7 @@ def _hash(text: str) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def text_token(path: str, text: str) -> int:
+def text_token(path: int, text: str) -> int:
     return _hash(f"{path}\n{' '.join(text.split())}")
 
 
@@ -177,7 +227,7 @@ def located(tokens: list[tuple[int, bool]], skeleton: dict[int, int]) -> Iterato
 
 def tokens_of(events: list[tuple]) -> list[tuple[int, bool]]:
     """(token, is text) of the events that are no space."""
-    return [(text_token(e[1], e[4]), True) if e[0] == "text" else (_hash(e[1]), False) for e in events if e[0] != "space"]
+    return [(text_token(e[1], e[4]), True) if e[0] == "text" else (e[1] - (1 << 64) if e[1] >> 63 else e[1], False) for e in events if e[0] != "space"]
 
 
 def bodies(pages: DataFrame) -> DataFrame:

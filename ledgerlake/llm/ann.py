@@ -13,10 +13,11 @@ double precision on the original vectors; each query keeps its best few there,
 and the tables' candidates are merged. Buckets above a size are cut into
 chunks, so no task gets an unbounded bucket and no candidate is dropped.
 
-Parameters follow the size of the index: below `exact_below` classes all share
-one bucket (brute force); above, the width and probes were set on
-near-orthogonal vectors of 64 dimensions, the hardest case for the method, for
-a recall of 0.9 and more (tests measure it against brute force).
+The width and probes were set on near-orthogonal vectors of 64 dimensions, the
+hardest case for the method, for a recall of 0.9 and more (tests measure it
+against brute force). A query whose buckets held fewer than `k` others is then
+compared with all vectors of its dimension, in chunks, so that a result is short
+only where there are no more candidates.
 
 Defined results: vectors that are NULL, empty, zero or hold NULL or non-finite
 components take no part, as query or candidate; vectors of another dimension
@@ -43,7 +44,6 @@ WIDTH = 2.0
 TABLES = 6
 PROBES = 40
 TEMPLATE = 4  # perturbation sets weighed per set visited
-EXACT_BELOW = 1024
 CHUNK = 4096  # members of a bucket that one group holds
 SEED = 20240229
 
@@ -192,36 +192,24 @@ def _score_bucket(k: int):
 
 
 def _pack(rows: DataFrame) -> DataFrame:
-    """(class_id, v): the vector packed as little-endian doubles."""
+    """(class_id, v): the vector packed as little-endian doubles, scaled by the power of two that brings its
+    largest component between 0.5 and 1: cosines stay what they are, and no square over- or underflows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            packed = [np.asarray(v, "<f8").tobytes() for v in batch.column("x").to_pylist()]
+            packed = []
+            for v in batch.column("x").to_pylist():
+                x = np.asarray(v, "<f8")
+                packed.append(np.ldexp(x, -np.frexp(np.abs(x).max())[1]).astype("<f8").tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("class_id"), pa.array(packed, pa.binary())],
                                              names=["class_id", "v"])
     return rows.select("class_id", "x").mapInArrow(run, "class_id long, v binary")
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
-            functions: int = FUNCTIONS, width: float = WIDTH, tables: int = TABLES, probes: int = PROBES,
-            exact_below: int = EXACT_BELOW, chunk: int = CHUNK) -> DataFrame:
-    """(query_id, rank, vec_id, score): each query row's `k` nearest other rows found, by cosine."""
-    src = vectors.where(usable(F.col(vector_col))).select(
-        F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("x"), is_query.alias("is_query")) \
-        .withColumn("h", F.struct(F.xxhash64("x"), F.xxhash64(F.lit(SEED), F.col("x"))))
-    # a class of equal vectors is named by its smallest id and known by its k + 1 smallest
-    ranked = src.select("id", "x", "h").distinct().withColumn(
-        "r", F.row_number().over(W.partitionBy("h").orderBy("id"))).where(F.col("r") <= k + 1)
-    classes, _ = materialise(ranked.groupBy("h").agg(
-        F.min("id").alias("class_id"), F.min_by("x", "id").alias("x"), F.sort_array(F.collect_list("id")).alias("ids")),
-        "ann-classes")
-    asked, _ = materialise(src.where("is_query").select("id", "h").distinct()
-                           .join(classes.select("h", "class_id"), "h").select(F.col("id").alias("query_id"), "class_id"),
-                           "ann-queries")
-    if classes.count() < exact_below:
-        functions, tables, probes = 0, 1, 1
-    packed, _ = materialise(_pack(classes), "ann-packed")
+def _visited(packed: DataFrame, queries: DataFrame, k: int, functions: int, width: float, tables: int, probes: int,
+             chunk: int) -> DataFrame:
+    """(query_class, class_id, score): the best `k` classes of every bucket that a class of `queries` visits."""
     members = packed.mapInArrow(_hashed(tables, functions, width, None), "tab int, bucket long, class_id long, v binary")
-    probing = packed.join(asked.select("class_id").distinct(), "class_id", "left_semi").repartition("class_id") \
+    probing = packed.join(queries.select("class_id").distinct(), "class_id", "left_semi").repartition("class_id") \
         .mapInArrow(_hashed(tables, functions, width, probes), "tab int, bucket long, class_id long, v binary")
     # full buckets are cut; a query visits all chunks of its buckets
     heavy, _ = materialise(members.groupBy("tab", "bucket").count().where(F.col("count") > chunk)
@@ -232,8 +220,12 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     visiting = probing.join(heavy, ["tab", "bucket"], "left").withColumn(
         "chunk", F.explode(F.sequence(F.lit(0), n - 1))).withColumn("is_query", F.lit(True))
     cols = ["tab", "bucket", "chunk", "is_query", "class_id", "v"]
-    found = placed.select(cols).unionByName(visiting.select(cols)).groupBy("tab", "bucket", "chunk") \
-        .applyInArrow(_score_bucket(k + 1), "query_class long, class_id long, score double")
+    return placed.select(cols).unionByName(visiting.select(cols)).groupBy("tab", "bucket", "chunk") \
+        .applyInArrow(_score_bucket(k), "query_class long, class_id long, score double")
+
+
+def _best_rows(found: DataFrame, classes: DataFrame, k: int) -> DataFrame:
+    """(query_class, l): the `k` + 1 nearest rows of each query class as (r, vec_id, score), its own rows included."""
     merged = found.groupBy("query_class", "class_id").agg(F.max("score").alias("score"))
     # k + 1 classes hold the k nearest rows, the query's own class included
     by_score = W.partitionBy("query_class").orderBy(F.col("score").desc(), "class_id")
@@ -243,9 +235,35 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
     top = W.partitionBy("query_class").orderBy(F.col("score").desc(), "vec_id")
     # k + 1 rows per query class are enough: a query leaves out itself only
     best = best.withColumn("r", F.row_number().over(top)).where(F.col("r") <= k + 1)
-    lists = best.groupBy("query_class").agg(F.sort_array(F.collect_list(F.struct("r", "vec_id", "score"))).alias("l"))
-    rows = asked.join(lists, F.col("class_id") == F.col("query_class")).select(
-        "query_id", F.posexplode(F.slice(F.filter("l", lambda x: x["vec_id"] != F.col("query_id")), 1, k)).alias("p", "e"))
+    return best.groupBy("query_class").agg(F.sort_array(F.collect_list(F.struct("r", "vec_id", "score"))).alias("l"))
+
+
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding",
+            functions: int = FUNCTIONS, width: float = WIDTH, tables: int = TABLES, probes: int = PROBES,
+            chunk: int = CHUNK) -> DataFrame:
+    """(query_id, rank, vec_id, score): each query row's `k` nearest other rows found, by cosine."""
+    src = vectors.where(usable(F.col(vector_col))).select(
+        F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("x"), is_query.alias("is_query")) \
+        .withColumn("h", F.struct(F.xxhash64("x"), F.xxhash64(F.lit(SEED), F.col("x"))))
+    # a class of equal vectors is named by its smallest id and known by its k + 1 smallest
+    ranked = src.select("id", "x", "h").distinct().withColumn(
+        "r", F.row_number().over(W.partitionBy("h").orderBy("id"))).where(F.col("r") <= k + 1)
+    classes, _ = materialise(ranked.groupBy("h").agg(
+        F.min("id").alias("class_id"), F.min_by("x", "id").alias("x"), F.sort_array(F.collect_list("id")).alias("ids")),
+        "ann-classes")
+    asked, _ = materialise(src.where("is_query").select("id", "h").distinct()
+                           .join(classes.select("h", "class_id"), "h").select(F.col("id").alias("query_id"), "class_id"),
+                           "ann-queries")
+    packed, _ = materialise(_pack(classes), "ann-packed")
+    lists, _ = materialise(_best_rows(_visited(packed, asked, k + 1, functions, width, tables, probes, chunk), classes, k), "ann-lists")
+    others = F.filter("l", lambda x: x["vec_id"] != F.col("query_id"))
+    of_query = F.col("class_id") == F.col("query_class")
+    short, _ = materialise(asked.join(lists, of_query, "left").where(F.coalesce(F.size(others), F.lit(0)) < k).select(
+        "query_id", "class_id"), "ann-short")
+    if not short.isEmpty():
+        whole = _best_rows(_visited(packed, short, k + 1, 0, width, 1, 1, chunk), classes, k)
+        lists = lists.join(short.select(F.col("class_id").alias("query_class")).distinct(), "query_class", "left_anti").unionByName(whole)
+    rows = asked.join(lists, of_query).select("query_id", F.posexplode(F.slice(others, 1, k)).alias("p", "e"))
     return rows.select("query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("e.vec_id").alias("vec_id"),
                        F.col("e.score").alias("score"))
 

@@ -12,6 +12,10 @@ Distinct (key, fetch time) pairs of a hot host are evaluated once, so a host
 that holds a third of all captures meets its intervals once per fetch time, and
 the join is an equi-join on the key that adaptive execution can split.
 
+A URL's possible keys go as deep as the list's own keys do. The host is what stands
+between the scheme (or a leading //) and the path without user information, port
+and a trailing dot.
+
 Defined results: URLs without a host match no entry and are kept; NULL fetch
 times match no interval; entries of one key, category and time count in the
 order removed, added, so the later state is 'added'; an entry is valid from its
@@ -28,25 +32,26 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import table
 
-PATH_PARTS = 2  # path segments that keys may hold
+_SCHEME = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#]*@)?"
 
 
 def host(url: Column) -> Column:
-    return F.regexp_extract(F.lower(url), r"^[a-z]+://([^/:?#]+)", 1)
+    return F.regexp_extract(F.lower(url), _SCHEME + r"(\[[^\]/?#]*\]|[^/:?#]*?)\.?(?=[/:?#]|$)", 1)
 
 
 def path(url: Column) -> Column:
-    return F.regexp_extract(url, r"^[a-zA-Z]+://[^/?#]+(/[^?#]*)", 1)
+    return F.regexp_extract(url, _SCHEME + r"[^/?#]+(/[^?#]*)", 1)
 
 
-def keys_of(url: Column) -> Column:
-    """array<struct<key, rank>>: the URL's possible keys, more specific ones with a higher rank."""
+def keys_of(url: Column, depth: int) -> Column:
+    """array<struct<key, rank>>: the URL's possible keys with up to `depth` path segments, more specific ones with a higher rank."""
     labels = F.split(host(url), r"\.")
     n = F.size(labels)
     domains = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
         F.concat_ws(".", F.slice(labels, n - i + 1, i)).alias("key"), i.alias("rank")))
     parts = F.filter(F.split(path(url), "/"), lambda p: p != "")
-    prefixes = F.transform(F.filter(F.sequence(F.lit(1), F.lit(PATH_PARTS)), lambda i: i <= F.size(parts)), lambda i: F.struct(
+    depths = F.filter(F.sequence(F.lit(0), F.least(F.size(parts), F.lit(depth))), lambda i: i > 0)
+    prefixes = F.transform(depths, lambda i: F.struct(
         F.concat_ws("/", host(url), F.concat_ws("/", F.slice(parts, 1, i))).alias("key"), (n + i).alias("rank")))
     return F.when(host(url) != "", F.concat(domains, prefixes)).otherwise(F.array().cast("array<struct<key:string,rank:int>>"))
 
@@ -62,8 +67,10 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 def evaluate(captures: DataFrame, spans: DataFrame) -> DataFrame:
     """(id, url, fetched_at, verdict, matched_key, category) of captures (id, url, fetched_at)."""
+    # path segments of the deepest key of the list
+    depth = spans.agg(F.coalesce(F.max(F.size(F.split("key", "/"))), F.lit(1))).first()[0] - 1
     distinct = captures.groupBy("id", "url", "fetched_at").agg(F.count("*").alias("copies"))
-    asked = distinct.select("id", "url", "fetched_at", "copies", F.explode_outer(keys_of(F.col("url"))).alias("k")).select(
+    asked = distinct.select("id", "url", "fetched_at", "copies", F.explode_outer(keys_of(F.col("url"), depth)).alias("k")).select(
         "id", "url", "fetched_at", "copies", F.col("k.key").alias("key"), F.col("k.rank").alias("rank"))
     # each key is evaluated once per fetch time, however many captures share it
     points = asked.select("key", "fetched_at").where("key IS NOT NULL AND fetched_at IS NOT NULL").distinct()
@@ -112,17 +119,13 @@ def op1_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_sql() -> str:
     """DuckDB form: every capture against the latest entry of each key and category at its time."""
-    domains = " UNION ALL ".join(
-        f"SELECT id, url, fetched_at, list_aggregate(l[len(l) - {i}:], 'string_agg', '.') AS key, {i + 1} AS rank FROM c WHERE h <> '' AND len(l) > {i}"
-        for i in range(8))
-    paths = " UNION ALL ".join(
-        f"SELECT id, url, fetched_at, h || '/' || list_aggregate(p[1:{i}], 'string_agg', '/') AS key, len(l) + {i} AS rank FROM c WHERE h <> '' AND len(p) >= {i}"
-        for i in range(1, PATH_PARTS + 1))
     return f"""
 WITH captures AS ({CAPTURES_SQL}), hosts AS ({HOSTS_SQL}), log AS ({LOG_SQL}),
 c AS (SELECT *, string_split(h, '.') AS l, list_filter(string_split(regexp_extract(url, '^[a-zA-Z]+://[^/?#]+(/[^?#]*)', 1), '/'), lambda x: x <> '') AS p
       FROM (SELECT *, regexp_extract(lower(url), '^[a-z]+://([^/:?#]+)', 1) AS h FROM captures) AS x),
-asked AS ({domains} UNION ALL {paths}),
+asked AS (SELECT id, url, fetched_at, array_to_string(l[len(l) - i + 1:], '.') AS key, i AS rank FROM c, unnest(range(1, len(l) + 1)) AS t(i) WHERE h <> ''
+  UNION ALL SELECT id, url, fetched_at, h || '/' || array_to_string(p[1:i], '/') AS key, len(l) + i AS rank FROM c, unnest(range(1, len(p) + 1)) AS t(i)
+  WHERE h <> ''),
 state AS (SELECT a.id, a.url, a.fetched_at, a.key, a.rank, g.category, arg_max(g.action, (g.changed_at, g.change = 'add')) AS action,
                  arg_max(g.change, (g.changed_at, g.change = 'add')) AS change
           FROM asked a JOIN log g ON a.key = g.key AND g.changed_at <= a.fetched_at GROUP BY ALL),

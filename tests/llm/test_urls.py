@@ -28,3 +28,15 @@ def test_hot_host_keeps_every_capture(spark):
     log = spark.createDataFrame([("h.example", "s", "block", "add", 3)], "key string, category string, action string, change string, changed_at long")
     captures = spark.range(500).select("id", F.lit("http://h.example/p").alias("url"), (F.col("id") % 5).alias("fetched_at"))
     assert U.evaluate(captures, U.intervals(log)).where("verdict = 'block'").count() == 200
+
+
+def test_deep_keys_and_unusual_urls(spark):
+    log = spark.createDataFrame([("h.example/a/b/c", "s", "block", "add", 0), ("bad.example", "s", "block", "add", 0),
+                                 ("x.a.b.c.d.e.f.g.h.i.example", "s", "block", "add", 0)],
+                                "key string, category string, action string, change string, changed_at long")
+    urls = {"http://h.example/a/b/c/d": "block", "http://h.example/a/b": "keep", "http://user:pw@bad.example/": "block",
+            "http://bad.example./": "block", "//bad.example/x": "block", "svn+ssh2://bad.example:22/": "block", "http://bad.example": "block",
+            "http://bad.example:80": "block", "http://bad.example./?q": "block", "http://[::1]:80/": "keep", "bad.example/x": "keep",
+            "http://notbad.example/": "keep", "http://x.a.b.c.d.e.f.g.h.i.example/": "block", "http:///p": "keep", "http://a@b@bad.example/": "block"}
+    rows = U.evaluate(spark.createDataFrame([(k, u, 1) for k, u in enumerate(urls)], "id long, url string, fetched_at long"), U.intervals(log)).collect()
+    assert {r["url"]: r["verdict"] for r in rows} == urls

@@ -48,4 +48,4 @@ def test_oracle(spark, name):
 
 def test_every_operator_has_one_query():
     names = [n for n in entry.queries() if n.startswith("op") and n[2:3].isdigit()]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()

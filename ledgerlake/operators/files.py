@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlake.functions.dates import normalise_date_text
 from ledgerlake.operators.flags import bounded
+from ledgerlake.operators.intervals import points_in_ranges
 from ledgerlake.operators.rownum import with_row_number
 from ledgerlake.session import cut_lineage, discard, materialise
 
@@ -50,18 +51,11 @@ def split_halves(df: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def range_candidates(files: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Every (file, range) with start <= date <= end.
-
-    Ranges are exploded to the months they cover and joined on (month) - an
-    equi-join whatever the size of the ranges table - then the exact bounds are
-    checked. Ranges tables of a measured size are broadcast."""
-    months = ranges.withColumn(
-        "_m", F.explode(F.sequence(F.trunc("start_date", "month"), F.trunc("end_date", "month"),
-                                   F.expr("INTERVAL 1 MONTH"))))
-    months = bounded(months)
-    f = files.withColumn("_m", F.trunc("cell_date", "month"))
-    j = f.join(months, "_m").filter((F.col("cell_date") >= F.col("start_date")) & (F.col("cell_date") <= F.col("end_date")))
-    return j.select("file", "file_order", F.col("file_name").alias("name"), "range_rank")
+    """Every (file, range) with start <= date <= end, and no other pair on the way (see `intervals`)."""
+    found = points_in_ranges(files.select("file", "file_order", "cell_date"),
+                             ranges.select(F.col("file_name").alias("name"), "start_date", "end_date", "range_rank"),
+                             "cell_date", "start_date", "end_date")
+    return found.select("file", "file_order", "name", "range_rank")
 
 
 def assign_names(files: DataFrame, ranges: DataFrame, existing: DataFrame | None = None) -> DataFrame:

@@ -5,6 +5,8 @@
   python -m ledgerlake worklist --file worklist.xls --out OUT --as-of 2024-03-15
   python -m ledgerlake split --file pdr.xls --out OUT --as-of 2024-03-15
   python -m ledgerlake to-csv --file pdr.xls --out OUT.csv
+  python -m ledgerlake payment-files --folder IN --ranges ranges.csv --out OUT [--glob '*.xls'] [--date-column 15]
+  python -m ledgerlake create-ledger --ledger PLAIN --table VERSIONED
 Prints the job's result as one JSON line.
 """
 
@@ -42,6 +44,15 @@ def parse(argv: list[str]) -> argparse.Namespace:
     c = sub.add_parser("to-csv")
     c.add_argument("--file", required=True)
     c.add_argument("--out", required=True)
+    pf = sub.add_parser("payment-files")
+    pf.add_argument("--folder", required=True)
+    pf.add_argument("--ranges", required=True)
+    pf.add_argument("--out", required=True)
+    pf.add_argument("--glob", default="*.csv")
+    pf.add_argument("--date-column", default="assignment_date")
+    cl = sub.add_parser("create-ledger")
+    cl.add_argument("--ledger", required=True)
+    cl.add_argument("--table", required=True)
     return p.parse_args(argv)
 
 
@@ -64,6 +75,13 @@ def main(argv: list[str] | None = None, spark=None) -> dict:
     elif args.job == "split":
         out = jobs.split_job(spark, args.file, args.out, args.as_of)
         result = {"rows": out.count()}
+    elif args.job == "payment-files":
+        from ledgerlake.sources.tables import read_ranges
+        column = int(args.date_column) if args.date_column.isdigit() else args.date_column
+        names = jobs.payment_files_job(spark, args.folder, read_ranges(spark, args.ranges), args.out, column, glob=args.glob)
+        result = {"renamed": names.filter("status = 'renamed'").count(), "output": args.out}
+    elif args.job == "create-ledger":
+        result = {"version": jobs.create_ledger(spark, args.ledger, args.table)}
     else:
         result = jobs.to_csv_job(spark, args.file, args.out)
     print(json.dumps(result, default=str))

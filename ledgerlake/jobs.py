@@ -18,49 +18,81 @@ from ledgerlake.operators.rownum import with_row_number
 from ledgerlake.operators.sinks import (append_counted, clustered, read_csv, replace_buckets, write_by, write_halves,
                                         write_normalised, write_split)
 from ledgerlake.operators.validate import VALIDATORS
+from ledgerlake.operators.versions import (Version, appended, changed, create_table, is_versioned, read_version, replaced,
+                                           updated)
 from ledgerlake.operators.worklist import clean_worklist, reconcile
-from ledgerlake.schemas import with_deal_bucket
-from ledgerlake.session import cut_lineage, path_exists
+from ledgerlake.schemas import conform_ledger, with_deal_bucket
+from ledgerlake.session import create_exclusive, cut_lineage, path_exists
 from ledgerlake.functions.text import double_column, file_name_of
 from ledgerlake.sources.tables import cell_at, read_batch, read_export, read_ledger, read_master
 
 INSERT_KINDS = ("worklist", "ns_payment", "o_payment", "o_exception")
 
 
+def _validated(spark: SparkSession, kind: str, staged_path: str, batch_name: str, ledger: DataFrame,
+               master: DataFrame | None, rejected_path: str) -> tuple[DataFrame, dict]:
+    """The validated batch, and its counts; rejected rows are written with their error text."""
+    batch = read_batch(spark.read.parquet(staged_path), kind, batch_name)
+    fn = VALIDATORS[kind]
+    validated = fn(batch, ledger, master) if kind in ("worklist", "o_exception") else fn(batch, ledger)
+    validated = cut_lineage(validated)  # read twice: rejected report and load
+    counts = validated.agg(F.count("*").alias("n"), F.count("error_msg").alias("bad")).first()
+    validated.filter(F.col("error_msg").isNotNull()).write.mode("overwrite").parquet(rejected_path)
+    return validated, {"batch_rows": counts["n"], "rejected": counts["bad"], "rejected_path": rejected_path}
+
+
+def _new_rows(kind: str, validated: DataFrame, master: DataFrame | None, ledger: DataFrame, **how) -> DataFrame:
+    rows = load_worklist(validated, master, ledger, **how) if kind == "worklist" else load_payment(validated, kind, ledger, **how)
+    return rows.drop("seq_id")
+
+
+def _updated_rows(kind: str, validated: DataFrame, ledger: DataFrame, **how) -> DataFrame:
+    return cut_lineage(load_status(validated, ledger, **how) if kind == "status" else load_patch(validated, ledger, **how))
+
+
 def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: str, ledger_path: str,
                  master_path: str | None = None, new_ledger_path: str | None = None, *,
                  source: str | None = None, user: str | None = None, as_of_ts=None,
                  partition_by: tuple[str, ...] = (), rejected_path: str | None = None) -> dict:
-    """Validate one staged batch and load its clean rows.
-
-    `partition_by` is the ledger's stored layout: ("source",) and/or
-    ("deal_bucket",) (see schemas.deal_bucket); look-ups then prune folders.
-
-    Inserts are appended to `ledger_path`. Updates (status, patch) write a new
-    ledger version to `new_ledger_path` (the input is never overwritten while
-    it is read). Rejected rows are written with their error text below
-    `rejected_path` (default: next to the ledger), one folder per batch. A batch
-    of a name already loaded into this ledger is refused: its record is written
-    after the load, below `<ledger>_batches`.
+    """Validate one staged batch and load its clean rows. Rejected rows are written
+    with their error text below `rejected_path` (default: next to the ledger), one
+    folder per batch. A batch of a name already loaded into this ledger is refused.
+
+    A versioned ledger (`operators.versions`) takes the rows and the batch's name
+    in one published version: a rerun after a crash loads the batch exactly once,
+    and of loaders at work at the same time each starts over from the version that
+    another one published first, so ids are unique and every batch is validated
+    against the ledger it is loaded into.
+
+    A plain ledger is appended to; updates (status, patch) write a new ledger to
+    `new_ledger_path` (the input is never overwritten while it is read), or
+    rewrite the buckets concerned. `partition_by` is its stored layout: ("source",)
+    and/or ("deal_bucket",) (see schemas.deal_bucket); look-ups then prune folders.
+    Its batches are claimed below `<ledger>_batches` before anything is written and
+    recorded there afterwards: a batch with a claim and no record was cut off, and
+    is refused, as its rows may be there.
 
     Returns counts and the rejected rows' folder."""
     beside = ledger_path.rstrip("/")
+    rejects = f"{(rejected_path or beside + '_rejected').rstrip('/')}/{kind}-{batch_name}"
+    master = read_master(spark, master_path) if master_path else None
+    how = {"as_of_ts": as_of_ts, "user": user}
+    if is_versioned(spark, ledger_path):
+        return _upload_versioned(spark, kind, staged_path, batch_name, ledger_path, master, source, rejects, **how)
     record = f"{beside}_batches/{kind}-{batch_name}"
     if path_exists(spark, record):
         raise ValueError(f"batch {batch_name!r} ({kind}) is already loaded into {ledger_path}")
-    staged = spark.read.parquet(staged_path)
-    batch = read_batch(staged, kind, batch_name)
+    if path_exists(spark, f"{record}.claim"):
+        raise ValueError(f"an earlier load of batch {batch_name!r} ({kind}) into {ledger_path} was cut off after it began to write; "
+                         f"see whether its rows are there before removing {record}.claim")
+    if kind not in INSERT_KINDS and new_ledger_path is None and "deal_bucket" not in partition_by:
+        raise ValueError("updates need new_ledger_path (or a deal_bucket-partitioned or versioned ledger)")
     ledger = read_ledger(spark, ledger_path)
-    fn = VALIDATORS[kind]
-    if kind in ("worklist", "o_exception"):
-        validated = fn(batch, ledger, read_master(spark, master_path))
-    else:
-        validated = fn(batch, ledger)
-    validated = cut_lineage(validated)  # read twice: rejected report and load
-    counts = validated.agg(F.count("*").alias("n"), F.count("error_msg").alias("bad")).first()
-    result = {"batch_rows": counts["n"], "rejected": counts["bad"],
-              "rejected_path": f"{(rejected_path or beside + '_rejected').rstrip('/')}/{kind}-{batch_name}"}
-    validated.filter(F.col("error_msg").isNotNull()).write.mode("overwrite").parquet(result["rejected_path"])
+    validated, result = _validated(spark, kind, staged_path, batch_name, ledger, master, rejects)
+
+    def claim() -> None:
+        if not create_exclusive(spark, f"{record}.claim", batch_name):
+            raise ValueError(f"batch {batch_name!r} ({kind}) is being loaded into {ledger_path}")
 
     def done() -> dict:
         spark.createDataFrame([(kind, batch_name, result["rows_written"])], "kind string, batch string, rows_written long") \
@@ -68,29 +100,22 @@ def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: s
         return result
 
     if kind in INSERT_KINDS:
-        if kind == "worklist":
-            rows = load_worklist(validated, read_master(spark, master_path), ledger, source=source,
-                                 as_of_ts=as_of_ts, user=user)
-        else:
-            rows = load_payment(validated, kind, ledger, source=source, as_of_ts=as_of_ts, user=user)
-        rows = rows.drop("seq_id")
+        rows = _new_rows(kind, validated, master, ledger, source=source, **how)
         if "deal_bucket" in partition_by:
             rows = with_deal_bucket(rows)
+        claim()
         result["rows_written"] = append_counted(rows, ledger_path, partition_by=partition_by)
         return done()
-    if new_ledger_path is None and "deal_bucket" not in partition_by:
-        raise ValueError("updates need new_ledger_path (or a deal_bucket-partitioned ledger)")
-    updated = load_status(validated, ledger, as_of_ts=as_of_ts, user=user) if kind == "status" \
-        else load_patch(validated, ledger, as_of_ts=as_of_ts, user=user)
-    updated = cut_lineage(updated)
-    result["rows_written"] = rows_written(updated).first()["rows_written"]
+    rows = _updated_rows(kind, validated, ledger, **how)
+    result["rows_written"] = rows_written(rows).first()["rows_written"]
+    claim()
     if new_ledger_path is None:
         # bucketed ledger: replace only the buckets that hold updated rows
-        result["buckets_rewritten"] = len(replace_buckets(spark, ledger_path, updated.drop("n_patches")))
+        result["buckets_rewritten"] = len(replace_buckets(spark, ledger_path, rows.drop("n_patches")))
         return done()
     # ids of a checked size are probed where the ledger lies; it is not dealt out for them
-    keep = ledger.join(bounded(updated.select("id")), "id", "left_anti")
-    writer = clustered(keep.unionByName(updated.select(*ledger.columns)), partition_by).write.mode("errorifexists")
+    keep = ledger.join(bounded(rows.select("id")), "id", "left_anti")
+    writer = clustered(keep.unionByName(rows.select(*ledger.columns)), partition_by).write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(new_ledger_path)
@@ -98,6 +123,46 @@ def upload_batch(spark: SparkSession, kind: str, staged_path: str, batch_name: s
     return done()
 
 
+def _upload_versioned(spark: SparkSession, kind: str, staged_path: str, batch_name: str, table: str,
+                      master: DataFrame | None, source: str | None, rejects: str, **how) -> dict:
+    result: dict = {}
+
+    def change(base: Version) -> Version:
+        if f"{kind}-{batch_name}" in base.batches:
+            raise ValueError(f"batch {batch_name!r} ({kind}) is already loaded into {table}")
+        ledger = conform_ledger(read_version(spark, table, base))
+        validated, counts = _validated(spark, kind, staged_path, batch_name, ledger, master, rejects)
+        result.update(counts)
+        if kind in INSERT_KINDS:
+            rows = _new_rows(kind, validated, master, ledger, source=source, **how)
+            rows = with_deal_bucket(rows) if "deal_bucket" in base.partition_by else rows
+            version, result["rows_written"] = appended(base, table, rows, f"{kind}-{batch_name}")
+            return version
+        rows = _updated_rows(kind, validated, ledger, **how)
+        result["rows_written"] = rows_written(rows).first()["rows_written"]
+        version, buckets = updated(base, table, rows.drop("n_patches"), batch=f"{kind}-{batch_name}")
+        result["buckets_rewritten"] = len(buckets)
+        return version
+
+    result["version"] = changed(spark, table, change).number
+    return result
+
+
+def create_ledger(spark: SparkSession, path: str, table: str, by_bucket: bool = True) -> int:
+    """A versioned ledger with the rows of the ledger at `path`, stored by deal bucket."""
+    rows = read_ledger(spark, path)
+    if by_bucket:
+        rows = with_deal_bucket(rows)
+    return create_table(rows, table, ("deal_bucket",) if by_bucket else ()).number
+
+
+def exclude_job(spark: SparkSession, table: str, exclusions: DataFrame, deal_col: str = "deal_id") -> int:
+    """Remove the listed (file, deal) pairs from a versioned table of payment rows; returns the version that has them removed."""
+    def change(base: Version) -> Version:
+        return replaced(base, table, exclude_deals(read_version(spark, table, base), exclusions, deal_col=deal_col))
+    return changed(spark, table, change).number
+
+
 def read_payment_sheet(spark: SparkSession, path: str) -> DataFrame:
     """The 'Raw' sheet exported as CSV, Parquet or an HTML '.xls', with its
     header; the report's columns typed (dates ISO or m/d/yyyy)."""

@@ -55,8 +55,8 @@ def write_halves(df_with_half: DataFrame, base: str, as_of, fmt: str = "parquet"
     return path
 
 
-# one quoting for writing and reading back, so that quotes and line breaks inside a cell survive
-CSV_OPTIONS = {"quote": '"', "escape": '"', "quoteAll": True}
+# one quoting for writing and reading back, so that quotes, line breaks and outer spaces of a cell survive
+CSV_OPTIONS = {"quote": '"', "escape": '"', "quoteAll": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def to_csv(df: DataFrame, path: str, header: bool = True) -> str:
@@ -66,7 +66,8 @@ def to_csv(df: DataFrame, path: str, header: bool = True) -> str:
 
 def read_csv(spark, path: str, header: bool = True) -> DataFrame:
     """A CSV folder written by this module, as text columns."""
-    return spark.read.option("quote", '"').option("escape", '"').option("multiLine", True).option("header", header).csv(path)
+    from ledgerlake.sources.tables import CSV_READ
+    return spark.read.options(**CSV_READ).option("header", header).csv(path)
 
 
 def clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -88,13 +89,13 @@ def append_counted(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     return int(obs.get["rows"])
 
 
-def replace_table(df: DataFrame, path: str, new_path: str, fmt: str = "parquet") -> str:
-    """A rewritten table goes to a new path (never overwrite the path
-    being read); the caller switches readers to `new_path` afterwards."""
-    if new_path.rstrip("/") == path.rstrip("/"):
-        raise ValueError("write the rewritten table to a new path")
-    df.write.mode("errorifexists").format(fmt).save(new_path)
-    return new_path
+def replace_table(df: DataFrame, table: str) -> int:
+    """The rows that stay become the next version of a versioned table they were
+    read from (see `versions`); readers of the version before keep it. Returns the
+    version's number; refused if another writer has changed the table meanwhile."""
+    from ledgerlake.operators.versions import publish, replaced, version_of
+    spark = df.sparkSession
+    return publish(spark, table, replaced(version_of(spark, table), table, df)).number
 
 
 def replace_buckets(spark, ledger_path: str, updated: DataFrame, bucket_col: str = "deal_bucket") -> list[int]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,6 +85,45 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none where it does not exist."""
+    jpath, fs = _path_and_fs(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(jpath)] if fs.exists(jpath) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    jpath, fs = _path_and_fs(spark, path)
+    stream = fs.open(jpath)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def create_exclusive(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small text file that appears whole and only if there is none yet; False where there is.
+
+    HDFS refuses to rename onto a name in use. A POSIX rename would replace the
+    file, so on a local or mounted file system a hard link, which is refused, gives the name."""
+    jpath, fs = _path_and_fs(spark, path)
+    jvm = spark._jvm
+    fs.mkdirs(jpath.getParent())
+    temp = jvm.org.apache.hadoop.fs.Path(jpath.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(temp, False)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            os.link(temp.toUri().getPath(), jpath.toUri().getPath())
+            return True
+        return not fs.exists(jpath) and bool(fs.rename(temp, jpath))
+    except FileExistsError:
+        return False
+    finally:
+        fs.delete(temp, False)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete an intermediate table that no later plan reads."""
     jpath, fs = _path_and_fs(spark, path)

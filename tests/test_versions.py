@@ -1,0 +1,152 @@
+"""Versioned tables: whole versions for readers, exactly-once loads, concurrent loaders."""
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerlake import jobs
+from ledgerlake.operators import versions as V
+from ledgerlake.operators.sinks import replace_table
+from ledgerlake.schemas import conform_ledger
+from ledgerlake.sources.tables import read_ledger, to_staged
+
+TS = "2024-01-01 00:00:00"
+
+
+def ledger_rows(spark, n=20):
+    return conform_ledger(spark.createDataFrame(
+        [(i, f"d{i % 7}", "Initial movement", "WIP", "Oracle", f"inv{i}") for i in range(1, n + 1)],
+        "id long, deal_id string, movement_type string, status string, source string, invoice_num_ string"))
+
+
+@pytest.fixture()
+def table(spark, tmp_dir):
+    ledger_rows(spark).write.parquet(f"{tmp_dir}/plain")
+    assert jobs.create_ledger(spark, f"{tmp_dir}/plain", f"{tmp_dir}/ledger") == 1
+    return f"{tmp_dir}/ledger"
+
+
+def stage(spark, path, batch, deals):
+    df = spark.createDataFrame([(k + 1, "WIP", "2024-01-05", d, "Warehouse V2", "Initial movement", "5") for k, d in enumerate(deals)],
+                               "seq_id long, status string, report_date string, deal_id string, deal_type string, movement_type string, "
+                               "adjustment_amount string")
+    to_staged(df, "o_payment", batch).write.mode("append").parquet(path)
+
+
+def upload(spark, table, staged, batch):
+    return jobs.upload_batch(spark, "o_payment", staged, batch, table, source="Oracle", user="u", as_of_ts=TS)
+
+
+def ids(spark, table):
+    return sorted(r["id"] for r in read_ledger(spark, table).select("id").collect())
+
+
+def test_a_load_cut_off_before_it_is_published_is_loaded_once_by_a_rerun(spark, tmp_dir, table, monkeypatch):
+    stage(spark, f"{tmp_dir}/s", "B1", ["n1", "n2", "n3"])
+    whole = V.publish
+
+    def cut_off(*args):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(V, "publish", cut_off)
+    with pytest.raises(RuntimeError):
+        upload(spark, table, f"{tmp_dir}/s", "B1")
+    assert ids(spark, table) == list(range(1, 21))
+    monkeypatch.setattr(V, "publish", whole)
+    out = upload(spark, table, f"{tmp_dir}/s", "B1")
+    assert out["rows_written"] == 3 and out["version"] == 2 and ids(spark, table) == list(range(1, 24))
+    with pytest.raises(ValueError, match="already loaded"):
+        upload(spark, table, f"{tmp_dir}/s", "B1")
+    # what the first attempt wrote belongs to no version
+    assert len(V.vacuum(spark, table, keep=1)) == 1 and ids(spark, table) == list(range(1, 24))
+
+
+def test_two_loaders_at_once_give_unique_ids(spark, tmp_dir, table, monkeypatch):
+    stage(spark, f"{tmp_dir}/s", "B1", ["n1", "n2", "n3"])
+    stage(spark, f"{tmp_dir}/s", "B2", ["m1", "m2"])
+    write, calls = V.write_part, []
+
+    def overtaken(*args):
+        calls.append(1)
+        if len(calls) == 1:  # another loader publishes while this one has read the ledger and not yet published
+            assert upload(spark, table, f"{tmp_dir}/s", "B2")["rows_written"] == 2
+        return write(*args)
+
+    monkeypatch.setattr(V, "write_part", overtaken)
+    out = upload(spark, table, f"{tmp_dir}/s", "B1")
+    assert out["rows_written"] == 3 and out["version"] == 3 and ids(spark, table) == list(range(1, 26))
+    assert V.version_of(spark, table).batches == ("o_payment-B2", "o_payment-B1")
+    # the overtaken attempt wrote rows that belong to no version
+    assert len(V.vacuum(spark, table)) == 1
+
+
+def test_a_reader_keeps_its_version_whole_while_buckets_are_rewritten(spark, tmp_dir, table):
+    before = read_ledger(spark, table)
+    st = spark.createDataFrame([(1, "d3", "Further Checking"), (2, "d5", "Exceptional move")], "seq_id long, deal_id string, status string")
+    to_staged(st, "status", "S1").write.parquet(f"{tmp_dir}/s")
+    out = jobs.upload_batch(spark, "status", f"{tmp_dir}/s", "S1", table, user="u", as_of_ts=TS)
+    assert out["buckets_rewritten"] >= 1 and out["version"] == 2
+    assert {r["status"] for r in before.collect()} == {"WIP"} and before.count() == 20
+    after = read_ledger(spark, table)
+    changed = {r["deal_id"]: r["status"] for r in after.filter("status <> 'WIP'").collect()}
+    assert after.count() == 20 and set(changed) <= {"d3", "d5"} and changed
+    # a second update of the same buckets, and rows appended after it
+    st2 = spark.createDataFrame([(1, "d3", "WIP")], "seq_id long, deal_id string, status string")
+    to_staged(st2, "status", "S2").write.parquet(f"{tmp_dir}/s2")
+    jobs.upload_batch(spark, "status", f"{tmp_dir}/s2", "S2", table, user="u", as_of_ts=TS)
+    stage(spark, f"{tmp_dir}/b", "B1", ["n1"])
+    upload(spark, table, f"{tmp_dir}/b", "B1")
+    newest = read_ledger(spark, table)
+    assert newest.count() == 21 and ids(spark, table) == list(range(1, 22))
+    assert {r["status"] for r in newest.filter("deal_id = 'd3'").collect()} == {"WIP"}
+    old = V.read_version(spark, table, V.version_of(spark, table, 2))
+    assert sorted(map(str, old.select(*after.columns).collect())) == sorted(map(str, after.collect()))
+    V.vacuum(spark, table)
+    assert V.version_numbers(spark, table) == [4] and read_ledger(spark, table).count() == 21
+
+
+def test_rows_removed_are_published_as_a_new_version(spark, tmp_dir):
+    rows = spark.createDataFrame([("f1", 1, 5), ("f1", 2, None), ("f2", 3, 5), ("f1", 4, 6)], "file_name string, row_no long, deal_id long")
+    table = f"{tmp_dir}/payments"
+    V.create_table(rows, table)
+    with pytest.raises(V.Conflict):
+        V.create_table(rows, table)
+    before = V.read_version(spark, table)
+    assert jobs.exclude_job(spark, table, spark.createDataFrame([("f1", 5)], "file_name string, deal_id long")) == 2
+    assert sorted(r["row_no"] for r in V.read_version(spark, table).collect()) == [2, 3, 4] and before.count() == 4
+    assert replace_table(V.read_version(spark, table).filter("row_no < 4"), table) == 3
+    assert V.read_version(spark, table).count() == 2
+    assert replace_table(V.read_version(spark, table).filter("false"), table) == 4
+    assert V.read_version(spark, table).count() == 0
+
+
+def test_a_plain_ledger_refuses_a_batch_that_was_cut_off(spark, tmp_dir, monkeypatch):
+    ledger_rows(spark).write.parquet(f"{tmp_dir}/plain")
+    stage(spark, f"{tmp_dir}/s", "B1", ["n1"])
+    append = jobs.append_counted
+
+    def cut_off(*args, **kw):
+        append(*args, **kw)
+        raise RuntimeError("driver lost between append and record")
+
+    monkeypatch.setattr(jobs, "append_counted", cut_off)
+    with pytest.raises(RuntimeError):
+        upload(spark, f"{tmp_dir}/plain", f"{tmp_dir}/s", "B1")
+    monkeypatch.setattr(jobs, "append_counted", append)
+    with pytest.raises(ValueError, match="cut off"):
+        upload(spark, f"{tmp_dir}/plain", f"{tmp_dir}/s", "B1")
+    assert ids(spark, f"{tmp_dir}/plain") == list(range(1, 22))
+
+
+def test_command_line_of_a_versioned_ledger_and_payment_files(spark, tmp_dir):
+    import os
+    from ledgerlake.__main__ import main
+    ledger_rows(spark).write.parquet(f"{tmp_dir}/plain")
+    assert main(["create-ledger", "--ledger", f"{tmp_dir}/plain", "--table", f"{tmp_dir}/t"], spark=spark) == {"version": 1}
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/a.csv", "w") as f:
+        f.write("Deal Id,Assignment Date\n1,01-Feb-2024\n2,02-Feb-2024\n")
+    with open(f"{tmp_dir}/ranges.csv", "w") as f:
+        f.write("File Name,Start Date,End Date\nQ1,2024-01-01,2024-03-31\n")
+    out = main(["payment-files", "--folder", f"{tmp_dir}/in", "--ranges", f"{tmp_dir}/ranges.csv", "--out", f"{tmp_dir}/out"], spark=spark)
+    assert out == {"renamed": 1, "output": f"{tmp_dir}/out"}
+    assert spark.read.option("header", True).csv(f"{tmp_dir}/out/assignments").first()["new_name"] == "Q1"
+    assert spark.read.parquet(f"{tmp_dir}/out/normalised").select(F.max("assignment_date")).first()[0] == "2/2/2024"

@@ -181,6 +181,15 @@ SELECT o_orderkey AS row_no, o_custkey AS file_order, 'PD_' || CAST(o_custkey AS
 FROM {{orders}}
 """
 
+# sheet rows whose cells hold separators, quotes, line breaks and outer spaces
+SQL["fx_export"] = """
+SELECT CAST(o_orderkey AS STRING) AS row_no, 'deal, "' || CAST(o_custkey AS STRING) || '"' AS deal,
+  CASE o_orderkey % 5 WHEN 0 THEN 'first line' || chr(10) || 'second "line"' || chr(13) || chr(10) || 'third' WHEN 1 THEN '"'
+    WHEN 2 THEN '  spaced, out  ' WHEN 3 THEN 'back' || chr(92) || '"slash' || chr(10) || chr(10) ELSE NULL END AS note,
+  'x' || substr(CAST(o_orderdate AS STRING), 1, 10) AS extra, o_orderkey % 3 AS part
+FROM {orders}
+"""
+
 
 def load_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet") for t in TABLES}

@@ -2,14 +2,13 @@
 
 Written independently of the Spark operators: look-ups are correlated EXISTS
 sub-queries as in the reference, posting joins a VALUES rule table, the
-worklist split uses list functions. Inputs are the same adapters (`duck`).
+worklist split uses list functions. Rules, texts and allowed values are its own
+(`expected`). Inputs are the same adapters (`duck`).
 """
 
 from __future__ import annotations
 
-from ledgerlake.operators import posting as P
-from ledgerlake.operators import validate as V
-from ledgerlake.operators.files import DATE_COLUMNS, REFERENCE_EXCLUSIONS
+from ledgerlake.plans import expected as E
 from ledgerlake.plans import queries as Q
 from ledgerlake.plans.adapters import duck
 
@@ -63,7 +62,7 @@ USER = s(Q.USER)
 
 # ------------------------------------------------------------------ adapters ----
 LEDGER_FULL = (f"SELECT *, CAST(NULL AS VARCHAR) AS adjustment_type, "
-               + ", ".join(f"{NULLM} AS {a}" for a in P.ALL_ACCOUNTS)
+               + ", ".join(f"{NULLM} AS {a}" for a in E.ALL_ACCOUNTS)
                + ", CAST(NULL AS VARCHAR) AS comments, CAST(NULL AS TIMESTAMP) AS created, "
                  "CAST(NULL AS VARCHAR) AS created_by, CAST(NULL AS TIMESTAMP) AS updated, "
                  "CAST(NULL AS VARCHAR) AS updated_by FROM (" + duck("fx_ledger") + ") z")
@@ -80,10 +79,10 @@ def batch_sql(kind: str) -> str:
 def post_sql(src: str, op: str = "insert") -> str:
     """Trigger as SQL over `src` (a SELECT with ledger columns)."""
     derive = (f"movement_type = {INIT} AND (source = 'NetSuite' OR (source = 'Oracle' AND deal_type IN "
-              f"{inlist(P.DERIVE_ORACLE_DEAL_TYPES)}))")
-    calc = " - ".join(f"COALESCE({c}, 0)" for c in P.INPUTS)
+              f"{inlist(E.DERIVE_ORACLE_DEAL_TYPES)}))")
+    calc = " - ".join(f"COALESCE({c}, 0)" for c in E.INPUTS)
     lock_all, lock_three = [], []
-    for source, movements, deal_types, what in P.LOCKS:
+    for source, movements, deal_types, what in E.LOCKS:
         cond = f"(source = {s(source)} AND movement_type IN {inlist(movements)}"
         cond += f" AND deal_type IN {inlist(deal_types)})" if deal_types else ")"
         (lock_all if what == "all" else lock_three).append(cond)
@@ -91,13 +90,13 @@ def post_sql(src: str, op: str = "insert") -> str:
         f"WHEN source = {s(src_)} AND movement_type = {s(mv)} AND deal_type = {s(dt)}"
         + (f" AND COALESCE(contains(upper(assignee), {s(holds)}), FALSE)" if holds else "")
         + f" THEN {rid}"
-        for rid, src_, mv, dt, holds, *_ in P.RULES) + " END"
+        for rid, src_, mv, dt, holds, *_ in E.RULES) + " END"
     # rule table: sign per account (+1, -1, 0 = set NULL, NULL = not this family)
     rows = []
-    for rid, src_, _mv, _dt, _h, atype, plus, minus, effect in P.RULES:
-        fam = P.NS_ACCOUNTS if src_ == P.NS else P.ORA_ACCOUNTS
+    for rid, src_, _mv, _dt, _h, atype, plus, minus, effect in E.RULES:
+        fam = E.NS_ACCOUNTS if src_ == E.NS else E.ORA_ACCOUNTS
         signs = []
-        for a in P.ALL_ACCOUNTS:
+        for a in E.ALL_ACCOUNTS:
             if a in plus:
                 signs.append("1")
             elif a in minus:
@@ -109,14 +108,14 @@ def post_sql(src: str, op: str = "insert") -> str:
         paid_mode = {"apply": "1", "paid": "1", "null4": "0", "nullpaid": "0"}.get(effect, "NULL")
         null3 = "TRUE" if effect in ("apply", "null4") else "FALSE"
         rows.append(f"({rid}, {s(atype)}, {', '.join(signs)}, {paid_mode}, {null3})")
-    rt_cols = "rt_rule, rt_type, " + ", ".join(f"rt_{a}" for a in P.ALL_ACCOUNTS) + ", rt_paid, rt_null3"
+    rt_cols = "rt_rule, rt_type, " + ", ".join(f"rt_{a}" for a in E.ALL_ACCOUNTS) + ", rt_paid, rt_null3"
     if op == "insert":
         stamp = f"CAST({TS} AS TIMESTAMP) AS created, {USER} AS created_by, CAST(NULL AS TIMESTAMP) AS updated, CAST(NULL AS VARCHAR) AS updated_by"
     else:
         stamp = f"created, created_by, CAST({TS} AS TIMESTAMP) AS updated, {USER} AS updated_by"
     acct = ", ".join(
         f"CASE WHEN rt_rule IS NULL OR rt_{a} IS NULL THEN {a} ELSE CAST(amt * NULLIF(rt_{a}, 0) AS {MONEY}) END AS {a}"
-        for a in P.ALL_ACCOUNTS)
+        for a in E.ALL_ACCOUNTS)
     return f"""
 WITH s0 AS ({src}),
 s1 AS (SELECT * EXCLUDE (created, created_by, updated, updated_by), {stamp},
@@ -128,7 +127,7 @@ rt({rt_cols}) AS (VALUES {', '.join(rows)}),
 s3 AS (SELECT * FROM s2 LEFT JOIN rt ON s2.posting_rule = rt.rt_rule)
 SELECT * EXCLUDE (amt, lock_all, lock_three, {rt_cols}, adjustment_amt, adjustment_type,
                   payment_applied_to_invoice, original_invoice_amount, payment_discount, other_adjustment,
-                  {', '.join(P.ALL_ACCOUNTS)}),
+                  {', '.join(E.ALL_ACCOUNTS)}),
   amt AS adjustment_amt,
   COALESCE(rt_type, adjustment_type) AS adjustment_type,
   CASE WHEN rt_paid = 1 THEN amt WHEN rt_paid = 0 THEN NULL WHEN lock_all THEN NULL
@@ -153,7 +152,7 @@ def show(cols, decimals=(), dates=()) -> str:
 
 
 MONEY_COLS = {"adjustment_amt", "original_invoice_amount", "payment_discount", "payment_applied_to_invoice",
-              "other_adjustment", *P.ALL_ACCOUNTS}
+              "other_adjustment", *E.ALL_ACCOUNTS}
 DATE_COLS = {"report_date", "gl_date_for_adjustment", "created", "updated", "payment_due_date"}
 
 
@@ -170,30 +169,30 @@ def v_worklist() -> str:
 WITH l AS ({duck('fx_ledger')}), mst AS ({duck('fx_master')}), b AS ({batch_sql('worklist')}),
 ma AS (SELECT deal_id, min(assignee_current) AS m_assignee FROM mst GROUP BY deal_id)
 SELECT b.*, {msgs(
-        ("b.deal_id IS NULL", V.M_DEAL_NULL),
-        (f"b.deal_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM mst WHERE mst.deal_id = b.deal_id AND {elig})", V.M_CRITERIA),
-        (f"{fm} IS NULL", V.M_FM_NULL),
-        (nin(fm, V.FUNDING_MODELS), V.M_FM_BAD),
+        ("b.deal_id IS NULL", E.M_DEAL_NULL),
+        (f"b.deal_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM mst WHERE mst.deal_id = b.deal_id AND {elig})", E.M_CRITERIA),
+        (f"{fm} IS NULL", E.M_FM_NULL),
+        (nin(fm, E.FUNDING_MODELS), E.M_FM_BAD),
         (f"b.deal_id IS NOT NULL AND ({fm} <> 'OFD Warehouse V2' OR {fm} IS NULL) AND EXISTS (SELECT 1 FROM l JOIN ma "
          f"ON l.deal_id = ma.deal_id WHERE l.deal_id = b.deal_id AND l.assignee = ma.m_assignee AND l.movement_type = {INIT})",
-         V.M_DUP_FOUND))} AS error_msg
+         E.M_DUP_FOUND))} AS error_msg
 FROM b"""
 
 
 def _ns_local(prefix: str = "") -> list[tuple[str, str]]:
     c = lambda x: prefix + x
     return [
-        (f"{c('deal_type')} = 'Upfront' AND {c('movement_type')} IN {inlist(V.NS_BAD_COMBO_MOVEMENTS)}", V.M_COMBO),
-        (f"{c('status')} = 'Standard' AND {c('report_date')} IS NULL", V.M_RD_NULL),
-        (nin(c("status"), V.NS_STATUSES), V.M_STATUS),
-        (baddate(c("report_date")), V.M_RD_FMT),
-        (nin(c("deal_type"), V.NS_DEAL_TYPES), V.M_DEAL_TYPE),
-        (nin(c("movement_type"), V.NS_MOVEMENTS), V.M_MOVEMENT),
-        (f"{c('adjustment_amount')} IS NULL", V.m_null("ADJUSTMENT_AMOUNT")),
-        (badnum(c("adjustment_amount")), V.m_invalid("ADJUSTMENT_AMOUNT")),
-        *[(badnum(c(x)), V.m_invalid(x.upper())) for x in V.AMOUNT_CHECKS],
-        (nin(c("ofs_payment_posting"), V.OFS_VALUES), V.M_OFS),
-        (nin(c("payment_source"), V.NS_PAYMENT_SOURCES), V.M_PAY_SRC),
+        (f"{c('deal_type')} = 'Upfront' AND {c('movement_type')} IN {inlist(E.NS_BAD_COMBO_MOVEMENTS)}", E.M_COMBO),
+        (f"{c('status')} = 'Standard' AND {c('report_date')} IS NULL", E.M_RD_NULL),
+        (nin(c("status"), E.NS_STATUSES), E.M_STATUS),
+        (baddate(c("report_date")), E.M_RD_FMT),
+        (nin(c("deal_type"), E.NS_DEAL_TYPES), E.M_DEAL_TYPE),
+        (nin(c("movement_type"), E.NS_MOVEMENTS), E.M_MOVEMENT),
+        (f"{c('adjustment_amount')} IS NULL", E.m_null("ADJUSTMENT_AMOUNT")),
+        (badnum(c("adjustment_amount")), E.m_invalid("ADJUSTMENT_AMOUNT")),
+        *[(badnum(c(x)), E.m_invalid(x.upper())) for x in E.AMOUNT_CHECKS],
+        (nin(c("ofs_payment_posting"), E.OFS_VALUES), E.M_OFS),
+        (nin(c("payment_source"), E.NS_PAYMENT_SOURCES), E.M_PAY_SRC),
     ]
 
 
@@ -205,21 +204,21 @@ def v_ns_payment() -> str:
 WITH l AS ({duck('fx_ledger')}), b0 AS ({batch_sql('ns_payment')}),
 b AS (SELECT *, ({err}) AS init_err FROM b0)
 SELECT b.* EXCLUDE (init_err), {msgs(
-        (v6, V.M_UPFRONT),
+        (v6, E.M_UPFRONT),
         (f"deal_id IS NOT NULL AND deal_type <> 'Warehouse V2' AND movement_type <> {INIT} "
          f"AND NOT EXISTS (SELECT 1 FROM l WHERE l.deal_id = b.deal_id AND l.movement_type = {INIT} AND l.source = 'NetSuite') "
-         f"AND NOT EXISTS (SELECT 1 FROM b0 b2 WHERE b2.deal_id = b.deal_id AND b2.movement_type = {INIT})", V.M_NO_INIT),
+         f"AND NOT EXISTS (SELECT 1 FROM b0 b2 WHERE b2.deal_id = b.deal_id AND b2.movement_type = {INIT})", E.M_NO_INIT),
         (f"deal_id IS NOT NULL AND movement_type <> {INIT} AND deal_type <> 'Warehouse V2' AND ("
          f"EXISTS (SELECT 1 FROM l WHERE l.deal_id = b.deal_id AND l.movement_type = {INIT} AND l.source = 'NetSuite' "
          f"AND l.status <> 'Standard') OR EXISTS (SELECT 1 FROM b b2 WHERE b2.deal_id = b.deal_id AND b2.movement_type = {INIT} "
-         f"AND (b2.status <> 'Standard' OR b2.report_date IS NULL OR (b2.init_err AND b2.seq_id < b.seq_id))))", V.M_NOT_MOVED),
-        ("deal_id IS NULL", V.M_DEAL_NULL),
+         f"AND (b2.status <> 'Standard' OR b2.report_date IS NULL OR (b2.init_err AND b2.seq_id < b.seq_id))))", E.M_NOT_MOVED),
+        ("deal_id IS NULL", E.M_DEAL_NULL),
         *local)} AS error_msg
 FROM b"""
 
 
 def _ora_combo() -> str:
-    return " OR ".join(f"(deal_type IN {inlist(d)} AND movement_type IN {inlist(m)})" for d, m in V.ORA_COMBO_RULES)
+    return " OR ".join(f"(deal_type IN {inlist(d)} AND movement_type IN {inlist(m)})" for d, m in E.ORA_COMBO_RULES)
 
 
 def v_o_payment() -> str:
@@ -227,68 +226,68 @@ def v_o_payment() -> str:
     return f"""
 WITH l AS ({duck('fx_ledger')}), b AS ({batch_sql('o_payment')})
 SELECT b.*, {msgs(
-        (f"{g} AND movement_type = {INIT} AND deal_type <> 'Warehouse V2'", V.M_NON_V2),
+        (f"{g} AND movement_type = {INIT} AND deal_type <> 'Warehouse V2'", E.M_NON_V2),
         (f"{g} AND deal_type <> 'Warehouse V2' AND movement_type <> {INIT} "
          f"AND NOT EXISTS (SELECT 1 FROM l WHERE l.deal_id = b.deal_id AND l.movement_type = {INIT} AND l.source = 'Oracle') "
-         f"AND NOT EXISTS (SELECT 1 FROM b b2 WHERE b2.deal_id = b.deal_id AND b2.movement_type = {INIT})", V.M_NO_INIT),
+         f"AND NOT EXISTS (SELECT 1 FROM b b2 WHERE b2.deal_id = b.deal_id AND b2.movement_type = {INIT})", E.M_NO_INIT),
         (f"{g} AND movement_type <> {INIT} AND deal_type <> 'Warehouse V2' AND ("
          f"EXISTS (SELECT 1 FROM l WHERE l.deal_id = b.deal_id AND l.movement_type = {INIT} AND l.source = 'Oracle' "
          f"AND l.status <> 'Standard') OR EXISTS (SELECT 1 FROM b b2 WHERE b2.deal_id = b.deal_id AND b2.movement_type = {INIT} "
-         f"AND (b2.status <> 'Standard' OR b2.report_date IS NULL)))", V.M_NOT_MOVED),
-        ("deal_id IS NULL", V.M_DEAL_NULL),
-        ("status = 'Standard' AND report_date IS NULL", V.M_RD_NULL),
-        (_ora_combo(), V.M_COMBO),
-        (nin("status", V.ORA_PAY_STATUSES), V.M_STATUS),
-        (baddate("report_date"), V.M_RD_FMT),
-        (nin("deal_type", V.ORA_DEAL_TYPES), V.M_DEAL_TYPE),
-        (nin("movement_type", V.ORA_MOVEMENTS), V.M_MOVEMENT),
-        ("adjustment_amount IS NULL", V.m_null("ADJUSTMENT_AMOUNT")),
-        (badnum("adjustment_amount"), V.m_invalid("ADJUSTMENT_AMOUNT")),
-        *[(badnum(x), V.m_invalid(x.upper())) for x in V.AMOUNT_CHECKS * 2],
-        (nin("ofs_payment_posting", V.OFS_VALUES), V.M_OFS),
-        (nin("payment_source", V.ORA_PAYMENT_SOURCES), V.M_PAY_SRC))} AS error_msg
+         f"AND (b2.status <> 'Standard' OR b2.report_date IS NULL)))", E.M_NOT_MOVED),
+        ("deal_id IS NULL", E.M_DEAL_NULL),
+        ("status = 'Standard' AND report_date IS NULL", E.M_RD_NULL),
+        (_ora_combo(), E.M_COMBO),
+        (nin("status", E.ORA_PAY_STATUSES), E.M_STATUS),
+        (baddate("report_date"), E.M_RD_FMT),
+        (nin("deal_type", E.ORA_DEAL_TYPES), E.M_DEAL_TYPE),
+        (nin("movement_type", E.ORA_MOVEMENTS), E.M_MOVEMENT),
+        ("adjustment_amount IS NULL", E.m_null("ADJUSTMENT_AMOUNT")),
+        (badnum("adjustment_amount"), E.m_invalid("ADJUSTMENT_AMOUNT")),
+        *[(badnum(x), E.m_invalid(x.upper())) for x in E.AMOUNT_CHECKS * 2],
+        (nin("ofs_payment_posting", E.OFS_VALUES), E.M_OFS),
+        (nin("payment_source", E.ORA_PAYMENT_SOURCES), E.M_PAY_SRC))} AS error_msg
 FROM b"""
 
 
 def v_o_exception() -> str:
     elig = ("m.complete_part1 = 'Y' AND m.complete_part2 = 'Y' AND m.complete_part3 IS NULL AND m.by_who_part3 IS NULL "
             "AND m.date_part3 IS NULL AND m.complete_part4 IS NULL AND m.by_who_part4 IS NULL AND m.date_part4 IS NULL")
-    bad_status = nin("status", V.ORA_EXC_STATUSES)
+    bad_status = nin("status", E.ORA_EXC_STATUSES)
     return f"""
 WITH l AS ({duck('fx_ledger')}), mst AS ({duck('fx_master')}), b AS ({batch_sql('o_exception')})
 SELECT b.*, {msgs(
         (f"deal_id IS NOT NULL AND movement_type = {INIT} AND NOT EXISTS (SELECT 1 FROM mst m WHERE m.deal_id = b.deal_id AND {elig})",
-         V.M_CRITERIA),
+         E.M_CRITERIA),
         (f"deal_id IS NOT NULL AND movement_type = {INIT} AND EXISTS (SELECT 1 FROM l WHERE l.deal_id = b.deal_id "
-         f"AND l.movement_type = {INIT})", V.M_DUP),
+         f"AND l.movement_type = {INIT})", E.M_DUP),
         (f"deal_id IS NOT NULL AND movement_type <> {INIT} "
          f"AND NOT EXISTS (SELECT 1 FROM l WHERE l.deal_id = b.deal_id AND l.movement_type = {INIT} AND l.source = 'Oracle') "
-         f"AND NOT EXISTS (SELECT 1 FROM b b2 WHERE b2.deal_id = b.deal_id AND b2.movement_type = {INIT})", V.M_NO_INIT),
-        ("deal_id IS NULL", V.M_DEAL_NULL),
-        ("status = 'Standard' AND report_date IS NULL", V.M_RD_NULL),
-        ("movement_type = '7.05 Auto Reversal' AND gl_date_for_adjustment IS NULL", V.M_GL_NULL),
-        (_ora_combo(), V.M_COMBO),
-        (bad_status, V.M_STATUS),
-        (f"{bad_status} AND status = 'WIP'", V.M_STATUS),
-        (baddate("report_date"), V.M_RD_FMT),
-        (nin("deal_type", V.EXC_DEAL_TYPES), V.M_DEAL_TYPE),
-        (nin("movement_type", V.EXC_MOVEMENTS), V.M_MOVEMENT),
-        ("amount IS NULL", V.m_null("AMOUNT")),
-        (badnum("amount"), V.m_invalid("AMOUNT")),
-        (baddate("gl_date_for_adjustment"), V.M_GL_FMT))} AS error_msg
+         f"AND NOT EXISTS (SELECT 1 FROM b b2 WHERE b2.deal_id = b.deal_id AND b2.movement_type = {INIT})", E.M_NO_INIT),
+        ("deal_id IS NULL", E.M_DEAL_NULL),
+        ("status = 'Standard' AND report_date IS NULL", E.M_RD_NULL),
+        ("movement_type = '7.05 Auto Reversal' AND gl_date_for_adjustment IS NULL", E.M_GL_NULL),
+        (_ora_combo(), E.M_COMBO),
+        (bad_status, E.M_STATUS),
+        (f"{bad_status} AND status = 'WIP'", E.M_STATUS),
+        (baddate("report_date"), E.M_RD_FMT),
+        (nin("deal_type", E.EXC_DEAL_TYPES), E.M_DEAL_TYPE),
+        (nin("movement_type", E.EXC_MOVEMENTS), E.M_MOVEMENT),
+        ("amount IS NULL", E.m_null("AMOUNT")),
+        (badnum("amount"), E.m_invalid("AMOUNT")),
+        (baddate("gl_date_for_adjustment"), E.M_GL_FMT))} AS error_msg
 FROM b"""
 
 
 def v_status() -> str:
     ex = "EXISTS (SELECT 1 FROM l WHERE l.deal_id = b.deal_id"
-    base = msgs(("b.deal_id IS NULL", V.M_DEAL_NULL), (f"b.deal_id IS NOT NULL AND NOT {ex})", V.M_NOT_IN_DB),
-                ("b.status IS NULL", V.M_STATUS_NULL))
+    base = msgs(("b.deal_id IS NULL", E.M_DEAL_NULL), (f"b.deal_id IS NOT NULL AND NOT {ex})", E.M_NOT_IN_DB),
+                ("b.status IS NULL", E.M_STATUS_NULL))
     return f"""
 WITH l AS ({duck('fx_ledger')}), b AS ({batch_sql('status')})
 SELECT b.*, CASE
-  WHEN b.status = 'Standard' AND {ex} AND l.report_date IS NULL) THEN {s(V.M_RD_NULL)}
-  WHEN b.status IS NOT NULL AND {ex} AND l.source = 'Oracle') AND b.status NOT IN {inlist(V.STATUS_ORA_OK)} THEN {s(V.M_STATUS_ORA)}
-  WHEN b.status IS NOT NULL AND {ex} AND l.source = 'NetSuite') AND b.status NOT IN {inlist(V.STATUS_NS_OK)} THEN {s(V.M_STATUS_NS)}
+  WHEN b.status = 'Standard' AND {ex} AND l.report_date IS NULL) THEN {s(E.M_RD_NULL)}
+  WHEN b.status IS NOT NULL AND {ex} AND l.source = 'Oracle') AND b.status NOT IN {inlist(E.STATUS_ORA_OK)} THEN {s(E.M_STATUS_ORA)}
+  WHEN b.status IS NOT NULL AND {ex} AND l.source = 'NetSuite') AND b.status NOT IN {inlist(E.STATUS_NS_OK)} THEN {s(E.M_STATUS_NS)}
   ELSE {base} END AS error_msg
 FROM b"""
 
@@ -297,13 +296,13 @@ def v_patch() -> str:
     return f"""
 WITH l AS ({duck('fx_ledger')}), b AS ({batch_sql('patch')})
 SELECT b.*, {msgs(
-        ("deal_id IS NULL", V.M_DEAL_NULL),
+        ("deal_id IS NULL", E.M_DEAL_NULL),
         ("deal_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM l WHERE l.deal_id = b.deal_id AND l.invoice_num_ = b.invoice_num "
-         "AND l.movement_type = b.movement_type)", V.M_NO_RECORD),
-        (baddate("report_date"), V.M_RD_FMT),
-        (nin("deal_type", V.PATCH_DEAL_TYPES), V.M_DEAL_TYPE),
-        (f"movement_type IS NOT NULL AND movement_type <> {INIT}", V.M_PATCH_MOVEMENT),
-        *[(badnum(x), V.m_invalid(x.upper())) for x in V.AMOUNT_CHECKS])} AS error_msg
+         "AND l.movement_type = b.movement_type)", E.M_NO_RECORD),
+        (baddate("report_date"), E.M_RD_FMT),
+        (nin("deal_type", E.PATCH_DEAL_TYPES), E.M_DEAL_TYPE),
+        (f"movement_type IS NOT NULL AND movement_type <> {INIT}", E.M_PATCH_MOVEMENT),
+        *[(badnum(x), E.m_invalid(x.upper())) for x in E.AMOUNT_CHECKS])} AS error_msg
 FROM b"""
 
 
@@ -342,7 +341,7 @@ def load_sql(kind: str) -> str:
         else:
             cols.update({"adjustment_amt": num("adjustment_amount"), "ofs_payment_posting": "ofs_payment_posting",
                          "payment_source": "payment_source", "invoice_num_": inv,
-                         **{x: num(x) for x in V.AMOUNT_CHECKS}})
+                         **{x: num(x) for x in E.AMOUNT_CHECKS}})
         typed = ", ".join(f"{e} AS {n}" for n, e in cols.items())
         src_sql = (f"SELECT {typed}, {_ledger_nulls(set(cols))} FROM ({v}) v WHERE error_msg IS NULL")
         posted = post_sql(src_sql, "insert")
@@ -495,7 +494,7 @@ FROM files f LEFT JOIN win w ON f.file = w.file"""
 
 
 def exclude_deals_sql() -> str:
-    ref = ", ".join(f"({s(f)}, {d})" for f, d in REFERENCE_EXCLUSIONS)
+    ref = ", ".join(f"({s(f)}, {d})" for f, d in E.REFERENCE_EXCLUSIONS)
     return f"""
 WITH r AS (SELECT file_name, row_no, deal_id FROM ({duck('fx_payment_files')}) z),
 pairs AS (SELECT file_name, max(deal_id) AS deal_id FROM r GROUP BY file_name
@@ -505,7 +504,7 @@ SELECT * FROM r WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p.file_name = r.fi
 
 def normalise_sql() -> str:
     cols = ", ".join(f"COALESCE(strftime(try_strptime(trim({c}), '%d-%b-%Y'), '%-m/%-d/%Y'), '') AS {c}"
-                     for c in DATE_COLUMNS)
+                     for c in E.DATE_COLUMNS)
     return f"SELECT row_no, {cols} FROM ({duck('fx_payment_files')}) z"
 
 
@@ -556,10 +555,10 @@ def oracle_sql() -> dict[str, str]:
     out["post_derive"] = f"SELECT id, source, movement_type, CAST(adjustment_amt AS DOUBLE) AS adjustment_amt FROM ({pl}) p"
     out["post_lock"] = (f"SELECT id, {show(['original_invoice_amount', 'payment_discount', 'payment_applied_to_invoice', 'other_adjustment'], MONEY_COLS)} "
                         f"FROM ({pl}) p")
-    out["post_accounts"] = (f"SELECT {show(['id', 'posting_rule', 'adjustment_type', 'adjustment_amt', 'payment_applied_to_invoice', *P.ALL_ACCOUNTS, 'created', 'created_by'], MONEY_COLS, DATE_COLS)} "
+    out["post_accounts"] = (f"SELECT {show(['id', 'posting_rule', 'adjustment_type', 'adjustment_amt', 'payment_applied_to_invoice', *E.ALL_ACCOUNTS, 'created', 'created_by'], MONEY_COLS, DATE_COLS)} "
                             f"FROM ({pl}) p")
     out["post_totals_by_account"] = ("SELECT source, adjustment_type, count(*) AS n_rows, "
-                                     + ", ".join(f"CAST(SUM({a}) AS DOUBLE) AS {a}" for a in P.ALL_ACCOUNTS)
+                                     + ", ".join(f"CAST(SUM({a}) AS DOUBLE) AS {a}" for a in E.ALL_ACCOUNTS)
                                      + f" FROM ({pl}) p GROUP BY source, adjustment_type")
     for kind, fn in VALIDATION_SQL.items():
         out[f"validate_{kind}"] = f"SELECT seq_id, deal_id, error_msg FROM ({fn()}) v"
@@ -593,6 +592,22 @@ def oracle_sql() -> dict[str, str]:
     out["write_halves"] = out["split_halves"]
     out["write_normalised"] = out["normalise_dates"]
     out["preview"] = f"SELECT row_no, file_name FROM ({duck('fx_payment_files')}) z ORDER BY row_no LIMIT 5"
-    out["post_stream"] = (f"SELECT {show(['id', 'adjustment_type', 'adjustment_amt', 'payment_applied_to_invoice', *P.ALL_ACCOUNTS, 'created', 'created_by'], MONEY_COLS, DATE_COLS)} "
+    out["post_stream"] = (f"SELECT {show(['id', 'adjustment_type', 'adjustment_amt', 'payment_applied_to_invoice', *E.ALL_ACCOUNTS, 'created', 'created_by'], MONEY_COLS, DATE_COLS)} "
                           f"FROM ({pl}) p")
+    out["read_export"] = (f"SELECT row_no, CASE WHEN part = 0 THEN deal END AS deal, note, CASE WHEN part > 0 THEN extra END AS extra "
+                          f"FROM ({duck('fx_export')}) e")
+    out["read_ranges"] = (f"SELECT file_name, CAST(start_date AS VARCHAR) AS start_date, CAST(end_date AS VARCHAR) AS end_date "
+                          f"FROM ({duck('fx_ranges')}) g")
+    ext = "CASE row_no % 4 WHEN 0 THEN '' WHEN 1 THEN '.XLS' ELSE '.amend.csv' END"
+    out["file_names"] = (f"SELECT row_no, CASE row_no % 3 WHEN 0 THEN 'C:' || chr(92) || 'Reports' || chr(92) || 'NA' WHEN 1 THEN '/data/in.d' ELSE '' END AS folder, "
+                         f"file_name || {ext} AS name, CASE row_no % 4 WHEN 0 THEN '' WHEN 1 THEN '.xls' ELSE '.csv' END AS extension "
+                         f"FROM ({duck('fx_payment_files')}) z")
+    before = f"SELECT id, status, CAST(updated_by AS VARCHAR) AS updated_by FROM ({LEDGER_FULL}) l"
+    last = (f"SELECT deal_id, arg_max(status, seq_id) AS s FROM ({v_status()}) v WHERE error_msg IS NULL AND deal_id IS NOT NULL GROUP BY deal_id")
+    after = (f"SELECT l.id, COALESCE(d.s, l.status) AS status, CASE WHEN d.s IS NULL THEN CAST(l.updated_by AS VARCHAR) ELSE {s(Q.USER)} END AS updated_by "
+             f"FROM ({LEDGER_FULL}) l LEFT JOIN ({last}) d ON l.deal_id = d.deal_id")
+    out["status_versions"] = " UNION ALL ".join(
+        f"SELECT {n} AS version, status, updated_by, count(*) AS n_rows, CAST(SUM(id) AS BIGINT) AS sum_id FROM ({x}) x GROUP BY status, updated_by"
+        for n, x in ((1, before), (2, after)))
+    out["exclude_versions"] = out["exclude_deals"]
     return out

@@ -10,19 +10,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ledgerlake.functions.oracle import is_bad_date, is_bad_number, parse_date3, to_number
-from ledgerlake.functions.text import clean_invoice_text, split_pieces
+from ledgerlake.functions.text import clean_invoice_text, file_dir_of, file_ext_of, file_name_of, split_pieces
+from ledgerlake.jobs import exclude_job, upload_batch
 from ledgerlake.operators import files as files_op
 from ledgerlake.operators.load import load_patch, load_payment, load_status, load_worklist
 from ledgerlake.operators.posting import ALL_ACCOUNTS, post
 from ledgerlake.operators.quality import constraint_report, row_count_check
 from ledgerlake.operators.report import aging_summary, funder_counts, funder_report
-from ledgerlake.operators.sinks import append_counted, write_by, write_halves, write_normalised, write_split
+from ledgerlake.operators.sinks import CSV_OPTIONS, append_counted, to_csv, write_by, write_halves, write_normalised, write_split
 from ledgerlake.operators.validate import VALIDATORS
+from ledgerlake.operators.versions import create_table, read_version
 from ledgerlake.operators.worklist import clean_worklist, reconcile
 from ledgerlake.plans.adapters import adapter, load_tables
 from ledgerlake.session import scratch_path, tune
-from ledgerlake.schemas import conform_ledger
-from ledgerlake.sources.tables import cell_at, preview, read_batch, read_ledger, read_master, to_staged
+from ledgerlake.schemas import conform_ledger, with_deal_bucket
+from ledgerlake.sources.tables import (cell_at, preview, read_batch, read_export, read_ledger, read_master, read_ranges,
+                                       to_staged)
 from ledgerlake.streaming.posting_stream import start_posting_stream
 
 # ---- fixed parameters of the registered queries (dates lie inside the data) ----
@@ -328,6 +331,56 @@ def q_preview(spark, sf):
     return preview(spark.read.parquet(path).orderBy("row_no"), 5).select("row_no", "file_name")
 
 
+def q_read_export(spark, sf):
+    """A folder of CSV files of two headers and of Parquet files, read back as one export."""
+    rows, path = Ctx(spark, sf).fx("fx_export"), scratch_path(spark, "exports")
+    first = rows.filter("part = 0").select(F.col("row_no").alias("Row No"), F.col("deal").alias("Deal"), F.col("note").alias("Note"))
+    second = rows.filter("part = 1").select(F.col("note").alias("Note"), F.col("extra").alias("Extra"), F.col("row_no").alias("row no"))
+    for part in (first, second):
+        part.write.mode("append").options(**CSV_OPTIONS).option("header", True).csv(path)
+    rows.filter("part = 2").select(F.col("row_no").alias("Row No"), F.col("note").alias("Note"), F.col("extra").alias("Extra")) \
+        .write.mode("append").parquet(path)
+    return read_export(spark, path, "part-*").select(F.col("`Row No`").alias("row_no"), F.col("Deal").alias("deal"),
+                                                     F.col("Note").alias("note"), F.col("Extra").alias("extra"))
+
+
+def q_read_ranges(spark, sf):
+    """The table of file names by date range, written as a sheet and read with its dates."""
+    rows = Ctx(spark, sf).fx("fx_ranges").orderBy("range_rank").select(
+        F.col("file_name").alias("File Name"), F.col("start_date").alias("Start Date"), F.col("end_date").alias("End Date"))
+    return for_compare(read_ranges(spark, to_csv(rows, scratch_path(spark, "ranges"))).select("file_name", "start_date", "end_date"))
+
+
+def q_file_names(spark, sf):
+    """Folder, name and extension of each row's file."""
+    rows = Ctx(spark, sf).fx("fx_payment_files").select("row_no", F.concat(
+        F.when(F.col("row_no") % 3 == 0, F.lit("C:\\Reports\\NA\\")).when(F.col("row_no") % 3 == 1, F.lit("/data/in.d/")).otherwise(F.lit("")),
+        F.col("file_name"), F.when(F.col("row_no") % 4 == 0, F.lit("")).when(F.col("row_no") % 4 == 1, F.lit(".XLS")).otherwise(F.lit(".amend.csv"))).alias("path"))
+    return rows.select("row_no", file_dir_of("path").alias("folder"), file_name_of("path").alias("name"), file_ext_of("path").alias("extension"))
+
+
+def q_status_versions(spark, sf):
+    """K4/K11 on a versioned ledger stored by deal: the status batch published as a version, beside the version before it."""
+    ctx, base = Ctx(spark, sf), scratch_path(spark, "versioned")
+    ledger, staged = conform_ledger(ctx.fx("fx_ledger")), f"{base}/staged"
+    to_staged(ctx.fx("fx_status_batch"), "status", BATCH).write.parquet(staged)
+    create_table(with_deal_bucket(ledger), f"{base}/ledger", ("deal_bucket",))
+    before = read_ledger(spark, f"{base}/ledger")
+    upload_batch(spark, "status", staged, BATCH, f"{base}/ledger", user=USER, as_of_ts=POST_TS)
+    shown = [x.groupBy("status", "updated_by").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("id").alias("sum_id")).withColumn("version", F.lit(n))
+             for n, x in ((1, before), (2, read_ledger(spark, f"{base}/ledger")))]
+    return shown[0].unionByName(shown[1])
+
+
+def q_exclude_versions(spark, sf):
+    """The rows that stay published as the table's next version."""
+    table = scratch_path(spark, "payments")
+    rows = Ctx(spark, sf).fx("fx_payment_files").select("file_name", "row_no", "deal_id")
+    create_table(rows, table)
+    exclude_job(spark, table, exclusion_pairs(rows))
+    return read_version(spark, table)
+
+
 def q_post_stream(spark, sf):
     """The ledger posted as a stream that ends with its input, read back."""
     src, out = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
@@ -369,4 +422,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "write_normalised": q_write_normalised,
     "preview": q_preview,
     "post_stream": q_post_stream,
+    "read_export": q_read_export,
+    "read_ranges": q_read_ranges,
+    "file_names": q_file_names,
+    "status_versions": q_status_versions,
+    "exclude_versions": q_exclude_versions,
 }

@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import table
 from ledgerlake.llm.components import components
+from ledgerlake.operators.flags import bounded
 from ledgerlake.session import discard, materialise
 
 WORDS = 5
@@ -482,7 +483,7 @@ def candidate_sets(docs: DataFrame, members: DataFrame, n: int = WORDS, block: i
     # an id repeated with another text has another class
     return docs.select(doc_id.alias("doc_id"), F.pmod(F.xxhash64(doc_id), F.lit(BITMAP_BITS)).alias("at"), F.col(text_col).alias("text")) \
         .mapInArrow(sets, "doc_id long, class_key long, shingles binary") \
-        .join(wanted, (F.col("class_key") == F.col("member_key")) & F.col("doc_id").eqNullSafe(F.col("member_id"))) \
+        .join(bounded(wanted), (F.col("class_key") == F.col("member_key")) & F.col("doc_id").eqNullSafe(F.col("member_id"))) \
         .select("label", "blocks", "own", "class_key", "copies", "shingles")
 
 
@@ -527,9 +528,13 @@ def grouped(docs: DataFrame, recall: float = RECALL, threshold: float = THRESHOL
     links, done = candidate_links(classes, recall, node_limit, depth, leaf_block)
     members, members_path = materialise(components(links).withColumnRenamed("node", "class_key").join(
         classes.select("class_key", "doc_id", "copies", "n_shingles"), "class_key"), "candidates")
+    for path in done:
+        discard(spark, path)
     sets, sets_path = materialise(candidate_sets(docs, members, block=block, block_bytes=block_bytes, id_col=id_col, text_col=text_col),
                                   "candidate-sets")
+    discard(spark, members_path)
     exact, exact_paths = exact_links(sets, threshold)
+    discard(spark, sets_path)
     labels, _ = materialise(components(exact.where("kind = 0").select("u", "v")), "labels")
     named = labels.withColumnRenamed("node", "class_key").join(classes.select("class_key", "doc_id"), "class_key")
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
@@ -539,7 +544,7 @@ def grouped(docs: DataFrame, recall: float = RECALL, threshold: float = THRESHOL
         .join(smallest, "label", "left").join(counts, "class_key", "left")
         .select("class_key", F.coalesce("label", "class_key").alias("group_key"), F.coalesce("class_id", "doc_id").alias("class_id"),
                 (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links")), "classes-named")
-    for path in [*done, members_path, sets_path, *exact_paths]:
+    for path in exact_paths:
         discard(spark, path)
     return rows.select("doc_id", "text_key", "class_key").join(about, "class_key", "left").select(
         "doc_id", "text_key", "group_key", F.coalesce("class_id", "doc_id").alias("class_id"),
@@ -550,13 +555,17 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The documents with one of each group of near duplicates (that of the smallest id, rows without id last), and of
     rows without words one of each id and text. An id may stand on different texts."""
     found = grouped(docs)
-    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    first = found.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min(row).alias("k")).select("k.doc_id", "k.text_key") \
-        .unionByName(found.where("group_key IS NULL").select("doc_id", "text_key")) \
-        .select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_text"))
-    return docs.withColumn("_text_key", F.xxhash64("text")).join(
-        first, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")) & (F.col("_text_key") == F.col("_kept_text")), "left_semi") \
-        .dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns)
+    rows = found.groupBy("doc_id", "text_key").agg(F.min("group_key").alias("group_key"), F.count("*").alias("n"))
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "n")
+    first = rows.where("group_key IS NOT NULL").groupBy("group_key").agg(F.min(row).alias("k")).select("k.doc_id", "k.text_key", "k.n") \
+        .unionByName(rows.where("group_key IS NULL").select("doc_id", "text_key", "n")) \
+        .select(F.col("doc_id").alias("_kept_id"), F.col("text_key").alias("_kept_text"), F.col("n").alias("_kept_rows"))
+    first, _ = materialise(first, "kept")
+    # ids of a checked size are probed where the texts lie
+    stay = docs.withColumn("_text_key", F.xxhash64("text")).join(
+        bounded(first), F.col("doc_id").cast("long").eqNullSafe(F.col("_kept_id")) & (F.col("_text_key") == F.col("_kept_text")))
+    # only repeated rows meet one another
+    return stay.where("_kept_rows = 1").unionByName(stay.where("_kept_rows > 1").dropDuplicates(["doc_id", "_text_key"])).select(*docs.columns)
 
 
 def op2_near(spark: SparkSession, sf_dir: str) -> DataFrame:

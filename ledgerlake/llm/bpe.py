@@ -89,11 +89,13 @@ def _slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Iter
         yield batch.slice(start)
 
 
-def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text", decoded: bool = False) -> DataFrame:
     """The input without its text, with `ids` (token ids packed as little-endian
-    unsigned 32-bit integers, binary) and `n_tokens`."""
-    kept = kept_fields(docs, text_col, "ids", "n_tokens")
-    schema = T.StructType([*kept, T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType())])
+    unsigned 32-bit integers, binary) and `n_tokens`; with `decoded` also the raw
+    bytes that the packed ids give back, as `decode` does, from the same worker."""
+    kept = kept_fields(docs, text_col, "ids", "n_tokens", *["decoded"] * decoded)
+    schema = T.StructType([*kept, T.StructField("ids", T.BinaryType()), T.StructField("n_tokens", T.LongType()),
+                           *[T.StructField("decoded", T.BinaryType())] * decoded])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from array import array
@@ -107,13 +109,20 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, text_col: str = "text"
                         ids.extend(part)
                     packed.append(_le_bytes(ids))
                     counts.append(len(ids))
-                rest = batch.select([f.name for f in kept])
-                yield with_columns(rest, {"ids": pa.array(packed, pa.binary()),
-                                          "n_tokens": pa.array(counts, pa.int64())})
+                out = {"ids": pa.array(packed, pa.binary()), "n_tokens": pa.array(counts, pa.int64())}
+                if decoded:
+                    out["decoded"] = pa.array([_decoded(enc, b) for b in packed], pa.binary())
+                yield with_columns(batch.select([f.name for f in kept]), out)
 
     return docs.select(*named(kept), F.col(f"`{text_col}`")).mapInArrow(run, schema)
 
 
+def _decoded(enc, packed: bytes | None) -> bytes:
+    """The raw bytes of packed ids, which need not be valid UTF-8."""
+    import numpy as np
+    return enc.decode_bytes(np.frombuffer(packed, "<u4").tolist()) if packed else b""
+
+
 def _le_bytes(ids) -> bytes:
     import sys
     if ids.itemsize != 4:
@@ -125,21 +134,19 @@ def _le_bytes(ids) -> bytes:
     return ids.tobytes()
 
 
-def decode(encoded: DataFrame, rank_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
+def decode(tokens: DataFrame, rank_path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
     """The input with `decoded`: the raw bytes of each row's ids, which need not be valid UTF-8."""
-    kept = kept_fields(encoded, "decoded")
+    kept = kept_fields(tokens, "decoded")
     schema = T.StructType([*kept, T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
         enc = load_encoding(rank_path, pattern)
         for whole in batches:
             for batch in _slices(whole, ids_col):
-                out = [enc.decode_bytes(np.frombuffer(b, "<u4").tolist()) if b else b""
-                       for b in batch.column(ids_col).to_pylist()]
+                out = [_decoded(enc, b) for b in batch.column(ids_col).to_pylist()]
                 yield with_columns(batch, {"decoded": pa.array(out, pa.binary())})
 
-    return encoded.select(*named(kept)).mapInArrow(run, schema)
+    return tokens.select(*named(kept)).mapInArrow(run, schema)
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str, rank_path: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -148,6 +155,6 @@ def op5_bpe(spark: SparkSession, sf_dir: str, rank_path: str | None = None, patt
     rank_path = rank_path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     pattern = pattern or public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = decode(encode(docs, rank_path, pattern), rank_path, pattern)
+    back = encode(docs, rank_path, pattern, decoded=True)
     return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -23,8 +23,10 @@ def test_round_trip_equals_the_library(spark, enc):
     texts = edge_texts() + ["it's 12ab 34  don't\n\n x", "<|endoftext|>", "a" * 40_000 + "1" * 40_000]
     df = docs(spark, texts)
     rows = {r["doc_id"]: r for r in bpe.decode(bpe.encode(df, PATH, PATTERN), PATH, PATTERN).collect()}
+    at_once = {r["doc_id"]: r for r in bpe.encode(df.withColumn("decoded", F.lit(1)), PATH, PATTERN, decoded=True).collect()}
     for i, t in enumerate(texts):
         ids = np.array(enc.encode_ordinary(t or ""), "<u4")
+        assert at_once[i]["decoded"] == rows[i]["decoded"] and at_once[i]["ids"] == rows[i]["ids"]
         assert bytes(rows[i]["ids"]) == ids.tobytes() and rows[i]["n_tokens"] == len(ids)
         assert bytes(rows[i]["decoded"]) == (t or "").encode()
 
@@ -71,6 +73,6 @@ def test_long_runs_of_white_space(enc, monkeypatch):
     spaces = [" ", "\n", "\t", "\r", "\u00a0", "\u3000", "\x85", "\x1c", "\u200b"]
     for n in range(4000):
         rng = np.random.RandomState(n)
-        t = "".join(rng.choice(["a", "é", "7", "'s", "-"]) if rng.rand() < 0.4 else rng.choice(spaces) * rng.choice([1, 1, 3, 4, 5, 9])
+        t = "".join(str(rng.choice(["a", "é", "7", "'s", "-"])) if rng.rand() < 0.4 else str(rng.choice(spaces)) * int(rng.choice([1, 1, 3, 4, 5, 9]))
                     for _ in range(rng.randint(1, 12)))
         assert [i for part in bpe.encoded(enc, t) for i in part] == enc.encode_ordinary(t)

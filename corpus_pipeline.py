@@ -35,7 +35,7 @@ def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, packed, with the digest of the bytes they decode to."""
     import public_tokenizers
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    back = bpe.decode(bpe.encode(docs, path, pattern), path, pattern)
+    back = bpe.encode(docs, path, pattern, decoded=True)
     return back.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 

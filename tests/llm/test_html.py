@@ -94,3 +94,27 @@ def test_copies_never_make_an_article_a_template(spark):
     assert {got[100 + k] for k in range(12)} == {whole.removeprefix("Welcome\n")}
     assert all(got[200 + k] == f"T{k}\n{prose(9, 50 + k)}" for k in range(6))
     assert all(got[300 + k] == f"T{k}\n{prose(9, 70 + k)}" for k in range(4))
+
+
+def test_inside_an_article_only_whole_class_words_count(spark):
+    page = """<body><div class="entry-header">outside</div><article><div class="entry-header"><h1>Title</h1></div><p>Body text</p>
+    <section id="related-work"><p>Others did this</p></section><div class="ad">buy</div><div class="big comments">first</div></article></body>"""
+    assert texts(spark, [(1, "http://h/", page)])[1] == "Title\nBody text\nOthers did this"
+
+
+def test_pages_are_read_in_linear_time():
+    import time
+    reader, start = H.Reader(), time.time()
+    deep = list(reader.events("<div>" * 100_000 + "x"))
+    assert deep[-1][4] == "x" and all(isinstance(e[1], int) for e in deep)
+    for page in ("<a " * 100_000, "<a '\"" * 60_000, "<b>" * 50_000 + "<li></li>" * 50_000, "</x>" * 100_000, "<p><div>" + "<b>" * 50_000 + "<hr>" * 50_000):
+        list(reader.events(page))
+    assert time.time() - start < 60
+
+
+def test_quoted_values_and_unclosed_tags():
+    events = lambda html: [(e[0], e[4]) for e in H.Reader().events(html)]
+    assert events('<a href="x>y">t') == [("open", ""), ("text", "t")]
+    assert events("a <b t='>\"'>c") == [("text", "a "), ("open", ""), ("text", "c")]
+    assert events("a <b 'c") == [("text", "a <b 'c")]
+    assert events("<i " + " ".join(f"x{k}" for k in range(90)) + ">t")[-1] == ("text", "t")

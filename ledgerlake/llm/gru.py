@@ -17,11 +17,12 @@ import numpy as np
 WIDTH = 16  # state
 LANES = 1024
 WINDOW = 16  # steps of truncated back-propagation
-SCORE_LANES = 256
+SCORE_LANES = 512
 LEAST_LANES = 16
 STRETCH = 512  # tokens
 RATE = 0.05
 SPREAD = 0.1
+SAFE = 60.0  # exponentials of scores this far from 0, and their sums, lie well within single precision
 
 
 def classes_of(counts: np.ndarray, classes: int) -> np.ndarray:
@@ -119,16 +120,24 @@ class Net:
             out[t] = h
         return out, kept
 
+    @staticmethod
+    def _exponentials(z: np.ndarray, at: np.ndarray, y: np.ndarray, largest: float) -> tuple[np.ndarray, np.ndarray]:
+        """(scores at `y`, sums of the rows' exponentials); `z` becomes the exponentials. No score is further from 0 than
+        `largest`: only where that is too much for single precision is each row's largest score taken off first."""
+        if not largest < SAFE:
+            z -= z.max(axis=1, keepdims=True)
+        picked = z[at, y]
+        np.exp(z, out=z)
+        return picked, z @ np.ones(z.shape[1], z.dtype)
+
     def _out(self, h: np.ndarray, y: np.ndarray, learn: bool = False):
         """Log probabilities of the words `y` after states `h`; with `learn` also the gradients."""
         w = self.w
         rows = np.arange(len(y))
         c = self.cls[y]
         z = h @ w["cls"] + w["cls_bias"]
-        z -= z.max(axis=1, keepdims=True)
-        picked = z[rows, c]
-        np.exp(z, out=z)
-        total = z.sum(axis=1)
+        # states lie between -1 and 1
+        picked, total = self._exponentials(z, rows, c, float((np.abs(w["cls"]).sum(axis=0) + np.abs(w["cls_bias"])).max()))
         logp = picked - np.log(total)
         grads, dh = {}, None
         if learn:
@@ -136,33 +145,35 @@ class Net:
             z[rows, c] -= 1
             grads["cls"], grads["cls_bias"] = h.T @ z, z.sum(axis=0)
             dh = z @ w["cls"].T
-            words: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+            # words without a target in their class keep a gradient of 0, which moves nothing
+            grads["word"], grads["word_bias"] = np.zeros_like(w["word"]), np.zeros_like(w["word_bias"])
+        largest = float((np.abs(w["word"]).sum(axis=1) + np.abs(w["word_bias"])).max())
         order = np.argsort(c.astype(np.int16), kind="stable")  # 16 bits: a radix sort
         ends = np.append(0, np.cumsum(np.bincount(c, minlength=len(self.edge) - 1)))
+        h, y = h[order], y[order]
+        more, dh_more = np.zeros_like(logp), None if dh is None else np.zeros_like(dh)
         for k in range(len(self.edge) - 1):
             lo, hi = self.edge[k], self.edge[k + 1]
             if hi - lo == 1 or ends[k] == ends[k + 1]:
                 continue
-            sel = order[ends[k]:ends[k + 1]]
+            sel = slice(ends[k], ends[k + 1])
             hk, yk = h[sel], y[sel] - lo
             z = hk @ w["word"][lo:hi].T + w["word_bias"][lo:hi]
-            z -= z.max(axis=1, keepdims=True)
-            at = np.arange(len(sel))
-            picked = z[at, yk]
-            np.exp(z, out=z)
-            total = z.sum(axis=1)
-            logp[sel] += picked - np.log(total)
+            at = rows[:len(yk)]
+            picked, total = self._exponentials(z, at, yk, largest)
+            more[sel] = picked - np.log(total)
             if learn:
                 z /= total[:, None]
                 z[at, yk] -= 1
-                words.append((lo, hi, z.T @ hk, z.sum(axis=0)))
-                dh[sel] += z @ w["word"][lo:hi]
+                grads["word"][lo:hi], grads["word_bias"][lo:hi] = z.T @ hk, z.sum(axis=0)
+                dh_more[sel] = z @ w["word"][lo:hi]
+        logp[order] += more
         if learn:
-            grads["words"] = words
+            dh[order] += dh_more
         return logp, grads, dh
 
     # ---- scoring ----
-    def score(self, docs: list[tuple[np.ndarray, np.ndarray]], lanes: int = SCORE_LANES, window: int = 128) -> np.ndarray:
+    def score(self, docs: list[tuple[np.ndarray, np.ndarray]], lanes: int = SCORE_LANES, window: int = 64) -> np.ndarray:
         """Natural log probability of each document's targets. As many lanes run as the longest document lets fill evenly."""
         total = np.zeros(len(docs))
         if not docs:
@@ -215,9 +226,18 @@ class Net:
         before, gates, rec, new = keep
         z, r = gates[..., :n], gates[..., n:]
         # factors of the state's gradient that do not depend on it
-        to_z = (before - new) * z * (1 - z)
-        to_new = (1 - z) * (1 - new * new)
-        to_r = to_new * rec * r * (1 - r)
+        z, r = np.ascontiguousarray(z), np.ascontiguousarray(r)
+        rest = 1 - z
+        to_z = before - new
+        to_z *= z
+        to_z *= rest
+        to_new = new * new
+        np.subtract(1, to_new, out=to_new)
+        to_new *= rest
+        to_r = to_new * rec
+        to_r *= r
+        np.subtract(1, r, out=rest)
+        to_r *= rest
         to_rec = to_new * r
         d_rec = np.empty((*xs.shape, 3 * n), np.float32)
         d_new = np.empty_like(dout)
@@ -240,9 +260,8 @@ class Net:
         self._step("state", slice(None), before.T @ d_rec.reshape(-1, 3 * n), memory, rate, scale)
         self._step("cls", slice(None), grads["cls"], memory, rate, scale)
         self._step("cls_bias", slice(None), grads["cls_bias"], memory, rate, scale)
-        for lo, hi, g, b in grads["words"]:
-            self._step("word", slice(lo, hi), g, memory, rate, scale)
-            self._step("word_bias", slice(lo, hi), b, memory, rate, scale)
+        self._step("word", slice(None), grads["word"], memory, rate, scale)
+        self._step("word_bias", slice(None), grads["word_bias"], memory, rate, scale)
         tokens = xs.ravel()
         order = np.argsort(tokens, kind="stable")
         counts = np.bincount(tokens)

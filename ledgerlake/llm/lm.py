@@ -46,10 +46,11 @@ LISTED = 100_000  # frequent tokens whose counts go with the tasks
 LISTED_BYTES = 64  # longer tokens are not listed, so the list is bounded
 ROUNDS = ((0, 1), (1, 2), (2, 4), (4, 8))  # shares of the training documents, in eighths
 END = b"\n"  # no word holds white space
+CODED_TOKENS = 50_000  # tokens looked up together
 LEARN_TOKENS = 300_000  # documents learnt from together
-SCORE_TOKENS = 600_000  # documents scored together
+SCORE_TOKENS = 1_200_000  # documents scored together
 LONG = 2048  # tokens; longer documents are scored with their like
-LONG_TOKENS = 2_000_000
+LONG_TOKENS = 4_000_000
 HELD_TOKENS = 200_000  # distinct tokens a counting task holds
 CODES = 300_000  # unknown words whose numbers a task remembers
 
@@ -182,33 +183,43 @@ def coded(docs: DataFrame, vocab: Vocabulary, listed: dict[bytes, int]) -> DataF
     names = ["doc_id", "learns", "share", "n_tokens", "known", "listed_sum", "rare_sum", "n_rare", "x", "tail"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
         vocab, listed = shared.value
         codes = Codes(vocab, listed)
-        end_log = float(np.log10(listed[END] + ADD)) if END in listed else np.nan
-        end_rare = END not in vocab.index
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
-                rows, tails = [], []
-                for text in part.column("text").to_pylist():
-                    words = tokens_of(text)
-                    ids = codes.numbers(words)
-                    x = vocab.inputs_of(ids, codes)
-                    log = np.append(codes.logs[ids], end_log)
-                    off = np.isnan(log)
-                    at = np.flatnonzero(off)
-                    tails.append(Counter([words[k] if k < len(words) else END for k in at]))
-                    log[at] = 0.0
-                    rare = np.append(x[1:] >= vocab.size, end_rare)
-                    rows.append((len(log), len(log) - len(at), float(log.sum()), float(log[rare].sum()), int(rare.sum()), x.tobytes()))
-                flat = pa.StructArray.from_arrays(
-                    [pa.array([w for t in tails for w in t], pa.binary()), pa.array([n for t in tails for n in t.values()], pa.int64())],
-                    names=["token", "n"])
-                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c) for c in names[:3]), *(pa.array(c, k) for c, k in zip(zip(*rows), kinds)),
-                     pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(t) for t in tails]), pa.int32()), flat)], names=names)
+            at, words, ends = 0, [], []
+            for text in batch.column("text").to_pylist():
+                words += tokens_of(text)
+                words.append(END)
+                ends.append(len(words))
+                if len(words) >= CODED_TOKENS:
+                    yield coded_part(batch.slice(at, len(ends)), words, np.array(ends), vocab, codes)
+                    at, words, ends = at + len(ends), [], []
+            if ends:
+                yield coded_part(batch.slice(at, len(ends)), words, np.array(ends), vocab, codes)
+
+    def coded_part(part: pa.RecordBatch, words: list[bytes], ends: np.ndarray, vocab: Vocabulary, codes: Codes) -> pa.RecordBatch:
+        from collections import Counter
+        starts = np.append(0, ends[:-1])
+        ids = codes.numbers(words)
+        given, log = codes.inputs[ids], codes.logs[ids]
+        x = np.empty(len(ids), np.uint16)  # fewer than 65,536 inputs
+        x[1:], x[starts] = given[:-1], vocab.first
+        off, rare = np.isnan(log), given >= vocab.size
+        log[off] = 0.0
+        at = np.flatnonzero(off)
+        cut = np.searchsorted(at, np.append(0, ends)).tolist()
+        unlisted = [words[k] for k in at.tolist()]
+        tails = [Counter(unlisted[lo:hi]) for lo, hi in zip(cut, cut[1:])]
+        flat = pa.StructArray.from_arrays(
+            [pa.array([w for t in tails for w in t], pa.binary()), pa.array([n for t in tails for n in t.values()], pa.int64())],
+            names=["token", "n"])
+        sizes = ends - starts
+        rows = [sizes, sizes - np.diff(cut), np.add.reduceat(log, starts), np.add.reduceat(np.where(rare, log, 0.0), starts),
+                np.add.reduceat(rare.astype(np.int64), starts)]
+        texts = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer((np.append(0, ends) * x.itemsize).astype(np.int32)), pa.py_buffer(x)])
+        return pa.RecordBatch.from_arrays(
+            [*(part.column(c) for c in names[:3]), *(pa.array(c) for c in rows), texts,
+             pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(t) for t in tails]), pa.int32()), flat)], names=names)
 
     return docs.select("doc_id", "text", "learns", "share").mapInArrow(
         run, "doc_id long, learns boolean, share int, n_tokens long, known long, listed_sum double, rare_sum double, n_rare long, "

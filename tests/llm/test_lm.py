@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import gru
 from ledgerlake.llm import lm as L
@@ -115,3 +116,48 @@ def test_no_training_rows_and_empty_table(spark, tmp_dir):
     assert rows[0]["train_tokens"] == 0 and rows[0]["n_known"] == 0 and rows[0]["n_tokens"] == 3
     docs(spark, []).write.parquet(f"{tmp_dir}/e/documents.parquet")
     assert L.op3_lm(spark, f"{tmp_dir}/e").count() == 0
+
+
+def test_scores_beyond_single_precision_are_exact():
+    """Scores whose exponentials overflow or vanish give the same probabilities as in exact arithmetic."""
+    rng = np.random.RandomState(5)
+    for size in (1.0, 40.0, 400.0):
+        net = gru.Net(np.array([50, 30, 20, 10, 8, 5]), 6, 2)
+        net.w["word"] = rng.normal(0, size, net.w["word"].shape).astype(np.float32)
+        net.w["cls"] = rng.normal(0, size, net.w["cls"].shape).astype(np.float32)
+        h = rng.uniform(-1, 1, (40, net.width)).astype(np.float32)
+        y = rng.randint(0, 6, 40)
+
+        def log_shares(z):
+            z = z - z.max(axis=1, keepdims=True)
+            return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+
+        want = np.zeros(40)
+        by_class = log_shares(h.astype(np.float64) @ net.w["cls"] + net.w["cls_bias"])
+        for i, word in enumerate(y):
+            k = net.cls[word]
+            lo, hi = net.edge[k], net.edge[k + 1]
+            z = h[i:i + 1].astype(np.float64) @ net.w["word"][lo:hi].T + net.w["word_bias"][lo:hi]
+            want[i] = by_class[i, k] + log_shares(z)[0, word - lo]
+        got = net._out(h, y)[0]
+        assert np.isfinite(got).all() and np.allclose(got, want, rtol=1e-4, atol=1e-3 * size)
+
+
+def test_texts_are_coded_in_groups(spark, tmp_dir, monkeypatch):
+    """However many texts are looked up together, their inputs and sums are the same."""
+    monkeypatch.setattr(L, "LISTED", 30)
+    monkeypatch.setattr(L, "WORDS", 12)
+    rows = docs(spark, edge_texts() + ["", None] + [prose(40, k) for k in range(30)]).select("doc_id", "text").withColumn("learns", F.lit(True)).withColumn("share", F.lit(0))
+    counts = L.token_counts(rows)
+    listed = L.listed_counts(counts)
+    vocab = L.vocabulary(counts, listed)
+
+    def shown(tokens):
+        monkeypatch.setattr(L, "CODED_TOKENS", tokens)
+        return sorted((r["doc_id"], r["n_tokens"], r["known"], round(r["listed_sum"], 6), round(r["rare_sum"], 6), r["n_rare"], bytes(r["x"]),
+                       tuple(sorted((bytes(t["token"]), t["n"]) for t in r["tail"]))) for r in L.coded(rows.repartition(2), vocab, listed).collect())
+
+    assert shown(1) == shown(10**6)
+    codes = L.Codes(vocab, listed)
+    text = {r["doc_id"]: r["text"] for r in rows.collect()}
+    assert all(x == vocab.inputs_of(codes.numbers(L.tokens_of(text[i])), codes).tobytes() for i, *_, x, _ in shown(100))

@@ -31,6 +31,7 @@ other columns are not read. A very long text is a block of its own.
 
 from __future__ import annotations
 
+import contextlib
 import math
 from collections.abc import Iterator
 
@@ -55,8 +56,9 @@ PIVOTS = 4
 DEPTH = 6
 LEAF_BLOCK = 1024  # sets of a block in a node that is too deep to split
 BLOCK = 2048  # sets of a block in the exact check
-BLOCK_BYTES = 16 << 20  # bytes of the sets of a block
+BLOCK_BYTES = 8 << 20  # bytes of the sets of a block
 BITMAP_BITS = 1 << 25
+TEXTS = 1024  # texts of a batch on their way to Python
 SEED = 0x5EED
 
 
@@ -71,7 +73,7 @@ def runs_for(recall: float, threshold: float = THRESHOLD, branch: int = BRANCH,
 class Shingles:
     """Sorted distinct 64-bit shingle hashes of texts. Word hashes are remembered up to a bound."""
 
-    REMEMBERED = 1 << 18
+    REMEMBERED = 1 << 16
     MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
     FINISH = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -301,10 +303,13 @@ def candidate_links(classes: DataFrame, recall: float = RECALL, node_limit: int
     for level in range(depth):
         rows, path = materialise(members.distinct() if level else members, "nodes")
         paths.append(path)
-        sized = rows.join(rows.groupBy("node").count().where("count > 1"), "node")
-        leaves.append(sized.where(F.col("count") <= node_limit).select(
-            "node", "class_key", F.lit(0).alias("bi"), F.lit(0).alias("bj")))
-        large, path = materialise(sized.where(F.col("count") > node_limit), "large-nodes")
+        # at most one node in `node_limit` rows
+        crowded, path = materialise(rows.groupBy("node").count().where(F.col("count") > node_limit), "crowded-nodes")
+        paths.append(path)
+        # a row is never joined with the count of its node: the members of a small node are one bounded list
+        leaves.append(rows.join(crowded, "node", "left_anti").groupBy("node").agg(F.collect_list("class_key").alias("members"))
+                      .where(F.size("members") > 1).select("node", F.explode("members").alias("class_key"), F.lit(0).alias("bi"), F.lit(0).alias("bj")))
+        large, path = materialise(rows.join(crowded, "node", "left_semi"), "large-nodes")
         paths.append(path)
         if large.isEmpty():
             break
@@ -312,7 +317,7 @@ def candidate_links(classes: DataFrame, recall: float = RECALL, node_limit: int
             # too deep: compared block against block, whole
             blocks = F.ceil(F.col("count") / block).cast("int")
             own = F.pmod(F.xxhash64("class_key", "node"), blocks).cast("int")
-            leaves.append(large.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+            leaves.append(large.join(crowded, "node").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
                 "node", "class_key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj")))
             break
         full = large.join(classes.select("class_key", "sketch"), "class_key")
@@ -506,6 +511,18 @@ def exact_links(sets: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFram
     return inside.unionByName(across), [inside_path, across_path]
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession):
+    """While texts go to Python, few at a time: both sides hold whole batches of them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(TEXTS, int(before)) if int(before) > 0 else TEXTS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def near_duplicates(docs: DataFrame, recall: float = RECALL, threshold: float = THRESHOLD, id_col: str = "doc_id",
                     text_col: str = "text", **limits: int) -> DataFrame:
     """(doc_id, class_id, n_links) of each row: the smallest id of its group
@@ -521,7 +538,8 @@ def grouped(docs: DataFrame, recall: float = RECALL, threshold: float = THRESHOL
     if threshold < THRESHOLD:
         raise ValueError(f"the sketches are made for thresholds of {THRESHOLD} and more")
     spark = docs.sparkSession
-    rows, _ = materialise(sketched(docs, id_col, text_col), "sketches")
+    with small_batches(spark):
+        rows, _ = materialise(sketched(docs, id_col, text_col), "sketches")
     classes, _ = materialise(rows.where("class_key IS NOT NULL").groupBy("class_key").agg(
         F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.max("n_shingles").alias("n_shingles"),
         F.max("sketch").alias("sketch")), "classes")
@@ -530,8 +548,9 @@ def grouped(docs: DataFrame, recall: float = RECALL, threshold: float = THRESHOL
         classes.select("class_key", "doc_id", "copies", "n_shingles"), "class_key"), "candidates")
     for path in done:
         discard(spark, path)
-    sets, sets_path = materialise(candidate_sets(docs, members, block=block, block_bytes=block_bytes, id_col=id_col, text_col=text_col),
-                                  "candidate-sets")
+    with small_batches(spark):
+        sets, sets_path = materialise(candidate_sets(docs, members, block=block, block_bytes=block_bytes, id_col=id_col, text_col=text_col),
+                                      "candidate-sets")
     discard(spark, members_path)
     exact, exact_paths = exact_links(sets, threshold)
     discard(spark, sets_path)

@@ -165,3 +165,23 @@ def test_components(spark):
             parent[b] = a
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: root(x) for x in parent}
+
+
+def test_members_of_nodes_are_not_joined_with_counts(spark, monkeypatch):
+    """One large group and many small ones: rows meet crowded nodes only, which are few, and the counts of none."""
+    texts = [edited(prose(80, 9), 2, k) for k in range(120)] + [t for k in range(30) for t in (prose(60, 300 + k), edited(prose(60, 300 + k), 1, k))]
+    rows = N.sketched(docs(spark, texts)).where("class_key IS NOT NULL")
+    classes, _ = N.materialise(rows.groupBy("class_key").agg(F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")), "classes")
+    tables = {}
+    stored = N.materialise
+    monkeypatch.setattr(N, "materialise", lambda df, name="cut": tables.setdefault(name, []).append(stored(df, name)) or tables[name][-1])
+    links, _ = N.candidate_links(classes, node_limit=16, depth=2)
+    assert links.count() and len(tables["crowded-nodes"]) == 2
+    for (nodes, _), (crowded, _), (large, _) in zip(tables["nodes"], tables["crowded-nodes"], tables["large-nodes"]):
+        sizes = {r["node"]: r["count"] for r in nodes.groupBy("node").count().collect()}
+        assert {r["node"]: r["count"] for r in crowded.collect()} == {k: n for k, n in sizes.items() if n > 16}
+        assert large.columns == nodes.columns and large.count() == sum(n for n in sizes.values() if n > 16)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with N.small_batches(spark):
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= N.TEXTS
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
